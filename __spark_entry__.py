@@ -22,6 +22,8 @@ from pyspark.sql import DataFrame, SparkSession  # noqa: E402
 from pyspark.sql import functions as F  # noqa: E402
 
 import duck_oracle as duck  # noqa: E402
+from logloom.operators import abi as abi_ops  # noqa: E402
+from logloom.operators import registry as reg  # noqa: E402
 from logloom.operators import tokens as tk  # noqa: E402
 from logloom.plans.catalog import ChainTables  # noqa: E402
 from logloom.session import apply_defaults  # noqa: E402
@@ -59,6 +61,31 @@ def _m_token(table: str, json_cols: tuple[str, ...] = ()):
     return run
 
 
+def _m1_abi_catalog(spark, sf_dir):
+    t = _tables(spark, sf_dir)
+    return reg.abi_catalog(t.address_to_ordinal(), t.abi_to_ordinal())
+
+
+def _x_entries(kind: str):
+    def run(spark, sf_dir):
+        t = _tables(spark, sf_dir)
+        e = abi_ops.with_hash_ids(abi_ops.signature_entries(t.abi_to_ordinal()))
+        return e.where(F.col("type") == kind).select(
+            "ordinal", "type", "entry_name", "signature", "inputs", "outputs", "hash_id")
+    return run
+
+
+def _a1_ungrouped(spark, sf_dir):
+    t = _tables(spark, sf_dir)
+    return reg.ungrouped_signatures(t.address_to_ordinal(), t.abi_to_ordinal(), t.contracts(partial=True))
+
+
+def _m2_registry(spark, sf_dir):
+    t = _tables(spark, sf_dir)
+    return reg.signature_registry(t.address_to_ordinal(), t.abi_to_ordinal(),
+                                  t.contracts(partial=True), t.spellbook_dependent_names())
+
+
 _TOKEN_KEYS = {
     "m4_erc20_transfer": ("erc20_ethereum.evt_Transfer", ()),
     "m5_erc20_approval": ("erc20_ethereum.evt_Approval", ()),
@@ -76,6 +103,11 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     q: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         "m3_token_types": _m3_token_types,
         "u2_token_types_union": _m3_token_types_union,
+        "m1_abi_catalog": _m1_abi_catalog,
+        "x2_parse_abi_events": _x_entries("event"),
+        "x3_parse_abi_functions": _x_entries("call"),
+        "a1_ungrouped_signatures": _a1_ungrouped,
+        "m2_signature_registry": _m2_registry,
     }
     for key, (table, js) in _TOKEN_KEYS.items():
         q[key] = _m_token(table, js)
@@ -86,6 +118,11 @@ def oracle_sql() -> dict[str, str]:
     o = {
         "m3_token_types": duck.token_types_sql(),
         "u2_token_types_union": duck.token_types_sql(),
+        "m1_abi_catalog": duck.abi_catalog_sql(),
+        "x2_parse_abi_events": duck.signature_entries_sql("event"),
+        "x3_parse_abi_functions": duck.signature_entries_sql("call"),
+        "a1_ungrouped_signatures": duck.ungrouped_sql(),
+        "m2_signature_registry": duck.signature_registry_sql(),
     }
     o.update(duck.token_tables_sql())
     return o

@@ -150,3 +150,185 @@ def token_types_sql() -> str:
     return (f"SELECT {A(s)} AS contract_address, ({s} % 5 IN (0, 3)) AS erc20, "
             f"({s} % 5 IN (1, 3)) AS erc721, ({s} % 5 = 2) AS erc1155 "
             f"FROM supplier WHERE {s} % 5 <> 4")
+
+
+# --- ABI registry ------------------------------------------------------------
+
+def _sql_str(s: str) -> str:
+    return "'" + s.replace("'", "''") + "'"
+
+
+def _abi_values() -> str:
+    from logloom.sources.abis import ABI_DOCUMENTS
+
+    rows = ", ".join(f"({i}, {_sql_str(d)})" for i, d in enumerate(ABI_DOCUMENTS))
+    return f"abis AS (SELECT * FROM (VALUES {rows}) AS t(ordinal, abi))"
+
+
+def _param_json(depth: int) -> str:
+    base = '"name":"VARCHAR","type":"VARCHAR","indexed":"BOOLEAN"'
+    if depth == 0:
+        return "{" + base + "}"
+    return "{" + base + ',"components":[' + _param_json(depth - 1) + "]}"
+
+
+_ENTRY_JSON = ('[{"type":"VARCHAR","name":"VARCHAR","anonymous":"BOOLEAN","inputs":['
+               + _param_json(3) + '],"outputs":[' + _param_json(3) + "]}]")
+
+_SUFFIX = r"(\[[0-9]*\])+$"
+
+
+def _scalar(base: str) -> str:
+    bits = (f"coalesce(CAST(nullif(regexp_extract({base}, '^u?int([0-9]*)$', 1), '') AS INTEGER), 256)")
+    return (f"CASE WHEN {base} = 'address' THEN 'ADDRESS' WHEN {base} = 'bool' THEN 'BOOL' "
+            f"WHEN regexp_full_match({base}, 'int[0-9]*') THEN CASE WHEN {bits} <= 64 THEN 'INT64' ELSE 'BIGNUMERIC' END "
+            f"WHEN regexp_full_match({base}, 'uint[0-9]*') THEN CASE WHEN {bits} <= 56 THEN 'INT64' ELSE 'BIGNUMERIC' END "
+            "ELSE 'STRING' END")
+
+
+def _vocab(p: str, depth: int) -> str:
+    base = f"regexp_replace({p}.type, '{_SUFFIX}', '')"
+    name = f"coalesce({p}.name, '')"
+    out = (f"CASE WHEN regexp_matches({p}.type, '{_SUFFIX}') THEN 'ARRAY<' || {name} || ' ' || "
+           f"({_scalar(base)}) || '>' ELSE ({_scalar(base)}) END")
+    if depth > 0:
+        c = f"c{depth}"
+        fields = (f"array_to_string(list_transform({p}.components, lambda {c}: coalesce({c}.name, '') "
+                  f"|| ' ' || ({_vocab(c, depth - 1)})), ', ')")
+        out = f"CASE WHEN {base} = 'tuple' THEN 'ARRAY<' || {fields} || '>' ELSE {out} END"
+    return out
+
+
+def _canon(p: str, depth: int) -> str:
+    t = f"regexp_replace({p}.type, '^(u?int)(\\[|$)', '\\1256\\2')"
+    if depth == 0:
+        return t
+    c = f"k{depth}"
+    inner = f"array_to_string(list_transform({p}.components, lambda {c}: {_canon(c, depth - 1)}), ',')"
+    return (f"CASE WHEN starts_with({t}, 'tuple') THEN '(' || {inner} || ')' || "
+            f"regexp_extract({t}, '^tuple(.*)$', 1) ELSE {t} END")
+
+
+def _py_canon(p) -> str:
+    import re
+
+    t = re.sub(r"^(u?int)(\[|$)", r"\g<1>256\g<2>", p["type"])
+    if t.startswith("tuple"):
+        return "(" + ",".join(_py_canon(c) for c in p.get("components", [])) + ")" + t[5:]
+    return t
+
+
+def _hash_values() -> str:
+    import json
+
+    from logloom.functions.keccak import keccak_hex
+    from logloom.sources.abis import ABI_DOCUMENTS
+
+    sigs = set()
+    for doc in ABI_DOCUMENTS:
+        try:
+            entries = json.loads(doc)
+        except ValueError:
+            continue
+        for e in entries:
+            if e.get("type") in ("event", "function"):
+                sigs.add(e["name"] + "(" + ",".join(_py_canon(p) for p in e.get("inputs", [])) + ")")
+    rows = ", ".join(f"({_sql_str(s)}, '{keccak_hex(s)}')" for s in sorted(sigs))
+    return f"hashes AS (SELECT * FROM (VALUES {rows}) AS t(signature, keccak))"
+
+
+def entries_cte() -> str:
+    plain = ("array_to_string(list_transform(coalesce({L}, []), lambda x: to_json(struct_pack("
+             "name := coalesce(x.name, ''), type := " + _vocab("x", 3) + "))), ',')")
+    ev = ("array_to_string(list_transform(coalesce(e.inputs, []), lambda x, i: to_json(struct_pack("
+          "name := coalesce(x.name, ''), type := " + _vocab("x", 3) + ", index_type := "
+          "CASE WHEN coalesce(x.indexed, false) THEN 'topic' || CAST(len(list_filter("
+          "list_slice(e.inputs, 1, i), lambda y: coalesce(y.indexed, false))) AS VARCHAR) "
+          "ELSE 'data' END))), ',')")
+    sig = ("e.name || '(' || array_to_string(list_transform(coalesce(e.inputs, []), lambda x: "
+           + _canon("x", 3) + "), ',') || ')'")
+    return f"""{_abi_values()},
+{_hash_values()},
+parsed AS (
+  SELECT ordinal, unnest(from_json(abi, '{_ENTRY_JSON}')) AS e FROM abis WHERE json_valid(abi)
+),
+entries AS (
+  SELECT ordinal,
+         CASE WHEN e.type = 'event' THEN 'event' ELSE 'call' END AS type,
+         e.name AS entry_name,
+         {sig} AS signature,
+         CASE WHEN e.type = 'event' THEN {ev} ELSE {plain.format(L='e.inputs')} END AS inputs,
+         CASE WHEN e.type = 'event' THEN CAST(NULL AS VARCHAR) ELSE {plain.format(L='e.outputs')} END AS outputs
+  FROM parsed
+  WHERE e.type IN ('event', 'function') AND e.name IS NOT NULL
+    AND NOT (e.type = 'event' AND coalesce(e.anonymous, false))
+),
+hashed AS (
+  SELECT en.*, CASE WHEN type = 'event' THEN h.keccak ELSE substr(h.keccak, 1, 10) END AS hash_id
+  FROM entries en LEFT JOIN hashes h USING (signature)
+)"""
+
+
+def seeds_cte() -> str:
+    s = "s_suppkey"
+    return f"""cat AS (
+  SELECT {A(s)} AS address, replace('Token.V' || CAST({s} % 3 AS VARCHAR), '.', '_') AS contract_name,
+         replace('proj.' || CAST({s} % 4 AS VARCHAR), '.', '_') AS namespace, {s} % 6 AS ordinal
+  FROM supplier
+),
+contracts_partial AS (
+  SELECT {A(s)} AS address, TIMESTAMP '1992-01-01' + to_days(CAST({s} AS INTEGER)) AS block_timestamp
+  FROM supplier WHERE {s} % 7 <> 6
+)"""
+
+
+def _allow_values() -> str:
+    from logloom.sources.abis import ALLOW_LIST
+
+    rows = ", ".join(f"({_sql_str(n)})" for n in ALLOW_LIST)
+    return f"names AS (SELECT * FROM (VALUES {rows}) AS t(sub_name))"
+
+
+def abi_catalog_sql() -> str:
+    return (f"WITH {_abi_values()}, {seeds_cte()}\n"
+            "SELECT cat.address, cat.contract_name AS name, cat.namespace, CAST(cat.ordinal AS BIGINT) AS ordinal, abis.abi "
+            "FROM cat LEFT JOIN abis ON abis.ordinal = cat.ordinal")
+
+
+def signature_entries_sql(kind: str) -> str:
+    return (f"WITH {entries_cte()}\nSELECT CAST(ordinal AS BIGINT) AS ordinal, type, entry_name, signature, "
+            f"inputs, outputs, hash_id FROM hashed WHERE type = '{kind}'")
+
+
+def ungrouped_cte() -> str:
+    return f"""{entries_cte()},
+{seeds_cte()},
+ungrouped AS (
+  SELECT DISTINCT cat.contract_name || CASE WHEN h.type = 'event' THEN '_evt_' ELSE '_call_' END || h.entry_name AS sub_name,
+         h.inputs, h.outputs, h.type, h.hash_id, c.block_timestamp AS min_created_ts, cat.address,
+         cat.contract_name, cat.namespace
+  FROM cat JOIN hashed h ON h.ordinal = cat.ordinal
+  LEFT JOIN contracts_partial c ON c.address = cat.address
+)"""
+
+
+def _jlist(c: str) -> str:
+    return f"to_json(list_sort(list(DISTINCT {c}), 'ASC', 'NULLS FIRST'))"
+
+
+def signature_registry_sql() -> str:
+    return f"""WITH {ungrouped_cte()},
+{_allow_values()}
+SELECT n.sub_name, u.type, min(u.min_created_ts) AS min_created_ts,
+       {_jlist('u.inputs')} AS inputs_, {_jlist('u.outputs')} AS outputs,
+       {_jlist('u.hash_id')} AS hash_ids, {_jlist('u.address')} AS contract_addresses,
+       u.contract_name, u.namespace,
+       COUNT(*) OVER (PARTITION BY u.sub_name) AS count
+FROM ungrouped u
+LEFT JOIN names n ON lower(n.sub_name) = lower(u.sub_name)
+WHERE lower(u.sub_name) IN (SELECT lower(sub_name) FROM names)
+GROUP BY u.sub_name, u.type, u.contract_name, u.namespace, n.sub_name"""
+
+
+def ungrouped_sql() -> str:
+    return f"WITH {ungrouped_cte()}\nSELECT * FROM ungrouped"
