@@ -23,6 +23,7 @@ from pyspark.sql import functions as F  # noqa: E402
 
 import duck_oracle as duck  # noqa: E402
 from logloom.operators import abi as abi_ops  # noqa: E402
+from logloom.operators import decode as dec  # noqa: E402
 from logloom.operators import registry as reg  # noqa: E402
 from logloom.operators import tokens as tk  # noqa: E402
 from logloom.plans.catalog import ChainTables  # noqa: E402
@@ -86,6 +87,30 @@ def _m2_registry(spark, sf_dir):
                                   t.contracts(partial=True), t.spellbook_dependent_names())
 
 
+def _specs(t: ChainTables):
+    return reg.signature_specs(t.address_to_ordinal(), t.abi_to_ordinal(), t.contracts(partial=True))
+
+
+def _d_table(table: str, kind: str, source: str, json_cols: tuple[str, ...] = ()):
+    def run(spark, sf_dir):
+        t = _tables(spark, sf_dir)
+        df = dec.decode_table(getattr(t, source)(), _specs(t), table, kind)
+        for c in json_cols:
+            df = df.withColumn(c, F.to_json(F.col(c)))
+        return df
+    return run
+
+
+_DECODE_KEYS = {
+    "d1_decode_events_static": ("Token_V0_evt_Transfer", "event", "logs", ()),
+    "d2_decode_events_dynamic_arrays": ("Token_V2_evt_TransferBatch", "event", "logs", ("ids", "values")),
+    "d2_decode_events_dynamic_string": ("Token_V2_evt_URI", "event", "logs", ()),
+    "d3_decode_calls_static": ("Token_V0_call_transfer", "call", "traces", ()),
+    "d4_decode_calls_dynamic": ("Token_V2_call_balanceOfBatch", "call", "traces_batch",
+                                ("accounts", "ids", "output_0")),
+}
+
+
 _TOKEN_KEYS = {
     "m4_erc20_transfer": ("erc20_ethereum.evt_Transfer", ()),
     "m5_erc20_approval": ("erc20_ethereum.evt_Approval", ()),
@@ -111,6 +136,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     }
     for key, (table, js) in _TOKEN_KEYS.items():
         q[key] = _m_token(table, js)
+    for key, args in _DECODE_KEYS.items():
+        q[key] = _d_table(*args)
     return q
 
 
@@ -125,4 +152,11 @@ def oracle_sql() -> dict[str, str]:
         "m2_signature_registry": duck.signature_registry_sql(),
     }
     o.update(duck.token_tables_sql())
+    o.update({
+        "d1_decode_events_static": duck.d1_sql(),
+        "d2_decode_events_dynamic_arrays": duck.d2_batch_sql(),
+        "d2_decode_events_dynamic_string": duck.d2_uri_sql(),
+        "d3_decode_calls_static": duck.d3_sql(),
+        "d4_decode_calls_dynamic": duck.d4_sql(),
+    })
     return o

@@ -332,3 +332,91 @@ GROUP BY u.sub_name, u.type, u.contract_name, u.namespace, n.sub_name"""
 
 def ungrouped_sql() -> str:
     return f"WITH {ungrouped_cte()}\nSELECT * FROM ungrouped"
+
+
+# --- registry-driven decode (D1-D4) -----------------------------------------
+
+def _spec_cte(sub_name: str) -> str:
+    return f"""{ungrouped_cte()},
+spec AS (
+  SELECT u.namespace, u.hash_id, u.address, b.min_ts
+  FROM (SELECT DISTINCT namespace, hash_id, address FROM ungrouped WHERE sub_name = '{sub_name}') u
+  JOIN (SELECT namespace, min(min_created_ts) AS min_ts FROM ungrouped
+        WHERE sub_name = '{sub_name}' GROUP BY namespace) b USING (namespace)
+)"""
+
+
+def _evt_meta() -> str:
+    return (f"{A('s')} AS contract_address, o AS evt_block_number, bt AS evt_block_time, "
+            "ln AS evt_index, '0x' || sh AS evt_tx_hash, o % 200 AS evt_tx_index, sp.namespace")
+
+
+def decode_event_sql(sub_name: str, select: str, kinds: list[str], evt_hash: str) -> str:
+    kl = ", ".join(f"'{k}'" for k in kinds)
+    return f"""WITH {LINEITEM_KINDS},
+{_spec_cte(sub_name)}
+SELECT {select}, {_evt_meta()}, '{evt_hash}' AS evt_hash
+FROM lv JOIN spec sp ON sp.address = {A('s')} AND sp.hash_id = '{evt_hash}'
+WHERE kind IN ({kl}) AND (sp.min_ts IS NULL OR bt >= sp.min_ts)"""
+
+
+def d1_sql() -> str:
+    return decode_event_sql(
+        "Token_V0_evt_Transfer",
+        f"{A('p + 1')} AS \"from\", {A('o + 1')} AS \"to\", wdec AS \"value\"",
+        ["transfer", "transfer721"], sig.TRANSFER)
+
+
+def d2_batch_sql() -> str:
+    return decode_event_sql(
+        "Token_V2_evt_TransferBatch",
+        f"{A('p + 1')} AS operator, {A('o + 1')} AS \"from\", {A('q + 1')} AS \"to\", "
+        "to_json(list_transform(range(q % 4), lambda x: CAST(p AS VARCHAR))) AS ids, "
+        "to_json(list_transform(range(q % 4), lambda x: wdec)) AS \"values\"",
+        ["batch"], sig.TRANSFER_BATCH)
+
+
+def d2_uri_sql() -> str:
+    return decode_event_sql(
+        "Token_V2_evt_URI",
+        "'uri-' || lpad(CAST(p AS VARCHAR), 8, '0') AS \"value\", CAST(p AS VARCHAR) AS id",
+        ["uri"], sig.URI)
+
+
+def _orders_calls() -> str:
+    return f"""oc AS (
+  SELECT o_orderkey AS o, o_custkey AS c, o_orderdate AS bt, o_orderstatus <> 'F' AS ok,
+         CAST(round(o_totalprice * 100) AS BIGINT) AS cents,
+         '0x' || {SHA('o_orderkey')} AS tx, {A('o_custkey % 10')} AS addr
+  FROM orders
+)"""
+
+
+def _call_meta(ok: str, method: str, frm: str, trace_address: str) -> str:
+    return (f"tx AS call_tx_hash, addr AS contract_address, o AS call_block_number, bt AS call_block_time, "
+            f"{ok} AS call_success, {trace_address} AS call_trace_address, 'call_' || tx AS call_trace_id, "
+            f"CASE WHEN NOT {ok} THEN 'Reverted' END AS call_error, 'call' AS call_trace_type, "
+            f"{frm} AS trace_from_address, '0' AS trace_value, '{method}' AS method_id, sp.namespace")
+
+
+def d3_sql() -> str:
+    return f"""WITH {_orders_calls()},
+{_spec_cte('Token_V0_call_transfer')}
+SELECT {A('c')} AS "to", CAST(cents AS VARCHAR) AS "value", CASE WHEN ok THEN true END AS output_0,
+       {_call_meta('ok', '0xa9059cbb', A('c + 1'), "''")}
+FROM oc JOIN spec sp ON sp.address = addr AND sp.hash_id = '0xa9059cbb'
+WHERE o % 2 = 0 AND (sp.min_ts IS NULL OR bt >= sp.min_ts)"""
+
+
+def d4_sql() -> str:
+    return f"""WITH {LINEITEM_KINDS},
+bc AS (
+  SELECT *, ln <> 7 AS ok, '0x' || {SHA('o * 10 + ln')} AS tx, {A('s')} AS addr FROM lv WHERE s % 5 = 2
+),
+{_spec_cte('Token_V2_call_balanceOfBatch')}
+SELECT CASE WHEN ok THEN to_json(list_transform(range(q % 4), lambda x: {A('o + 1')})) END AS accounts,
+       CASE WHEN ok THEN to_json(list_transform(range(q % 4), lambda x: CAST(p AS VARCHAR))) END AS ids,
+       CASE WHEN ok THEN to_json(list_transform(range(q % 4), lambda x: CAST(o * 1000 + q AS VARCHAR))) END AS output_0,
+       {_call_meta('ok', '0x4e1273f4', A('p + 1'), 'CAST(ln AS VARCHAR)').replace('o AS call_block_number', 'o AS call_block_number')}
+FROM bc JOIN spec sp ON sp.address = addr AND sp.hash_id = '0x4e1273f4'
+WHERE (sp.min_ts IS NULL OR bt >= sp.min_ts)"""

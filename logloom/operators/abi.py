@@ -135,6 +135,8 @@ def signature_entries(abi_docs: DataFrame, key: str = "ordinal") -> DataFrame:
         sig.alias("signature"),
         F.when(is_event, _event_inputs_text(inputs)).otherwise(_plain_text(inputs)).alias("inputs"),
         F.when(is_event, F.lit(None).cast("string")).otherwise(_plain_text(outputs)).alias("outputs"),
+        F.to_json(inputs).alias("abi_inputs"),
+        F.to_json(outputs).alias("abi_outputs"),
     )
 
 

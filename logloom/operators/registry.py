@@ -41,9 +41,10 @@ def abi_catalog(address_to_ordinal: DataFrame, abi_to_ordinal: DataFrame) -> Dat
 
 
 def ungrouped_signatures(address_to_ordinal: DataFrame, abi_to_ordinal: DataFrame,
-                         contracts: DataFrame) -> DataFrame:
+                         contracts: DataFrame, with_abi: bool = False) -> DataFrame:
     """The registry's ``ungrouped`` relation: one distinct row per (signature
-    entry, address) with the contract's creation time (JN2, JN3, A1, U1)."""
+    entry, address) with the contract's creation time (JN2, JN3, A1, U1).
+    ``with_abi`` keeps the ABI parameter trees the decoders need."""
     entries = abi_ops.with_hash_ids(abi_ops.signature_entries(abi_to_ordinal, "ordinal"))
     cat = address_to_ordinal.select(
         "address", "ordinal", sanitize(F.col("name")).alias("contract_name"),
@@ -54,7 +55,7 @@ def ungrouped_signatures(address_to_ordinal: DataFrame, abi_to_ordinal: DataFram
     return rows.select(
         F.concat(F.col("contract_name"), infix, F.col("entry_name")).alias("sub_name"),
         "inputs", "outputs", "type", "hash_id", "min_created_ts", "address",
-        "contract_name", "namespace",
+        "contract_name", "namespace", *(["abi_inputs", "abi_outputs"] if with_abi else []),
     ).distinct()
 
 
@@ -97,11 +98,11 @@ def signature_specs(address_to_ordinal: DataFrame, abi_to_ordinal: DataFrame,
     table it decodes into, its layout (inputs/outputs text) and the lower time
     bound. Keyed by (namespace, sub_name, type) -- not by name alone -- so equal
     names in different namespaces keep their own addresses."""
-    u = ungrouped_signatures(address_to_ordinal, abi_to_ordinal, contracts)
+    u = ungrouped_signatures(address_to_ordinal, abi_to_ordinal, contracts, with_abi=True)
     if allow_list is not None:
         names = allow_list.select(F.lower("sub_name").alias("lname")).distinct()
         u = u.join(names, F.lower(u["sub_name"]) == names["lname"], "left_semi")
     return u.select(
         "type", "hash_id", F.col("address").alias("contract_address"), "namespace",
         table_name(F.col("sub_name")).alias("table"), "sub_name", "inputs", "outputs",
-        "min_created_ts")
+        "abi_inputs", "abi_outputs", "min_created_ts")

@@ -112,8 +112,9 @@ def dynamic_word_array(data: Column, head_word: int, base: int = wd.DATA_BASE) -
     last = start + F.lit(wd.WORD) + count * wd.WORD - 1  # last char of the elements
     valid = (off.isNotNull() & (off <= F.lit(1 << 31)) & (start + wd.WORD - 1 <= n_chars)
              & count.isNotNull() & (count <= F.lit(1 << 31)) & (last <= n_chars))
+    # bound guarded inside the sequence (UDF inputs are computed for all rows)
     elems = F.transform(
-        F.sequence(F.lit(0).cast("bigint"), count - 1),
+        F.sequence(F.lit(0).cast("bigint"), F.when(valid, count - 1).otherwise(F.lit(-1).cast("bigint"))),
         lambda i: F.substr(data, start + F.lit(wd.WORD) + i * wd.WORD, F.lit(wd.WORD)))
     return F.when(valid, F.when(count > 0, elems).otherwise(F.array().cast("array<string>")))
 
