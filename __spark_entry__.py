@@ -24,6 +24,7 @@ from pyspark.sql import functions as F  # noqa: E402
 import duck_oracle as duck  # noqa: E402
 from logloom.operators import abi as abi_ops  # noqa: E402
 from logloom.operators import decode as dec  # noqa: E402
+from logloom.operators import prices as px  # noqa: E402
 from logloom.operators import registry as reg  # noqa: E402
 from logloom.operators import tokens as tk  # noqa: E402
 from logloom.plans.catalog import ChainTables  # noqa: E402
@@ -87,6 +88,11 @@ def _m2_registry(spark, sf_dir):
                                   t.contracts(partial=True), t.spellbook_dependent_names())
 
 
+def _m13_prices(spark, sf_dir):
+    t = _tables(spark, sf_dir)
+    return px.usd(t.token_prices(), t.tokens_coinpaprika(), t.tokens())
+
+
 def _specs(t: ChainTables):
     return reg.signature_specs(t.address_to_ordinal(), t.abi_to_ordinal(), t.contracts(partial=True))
 
@@ -133,6 +139,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "x3_parse_abi_functions": _x_entries("call"),
         "a1_ungrouped_signatures": _a1_ungrouped,
         "m2_signature_registry": _m2_registry,
+        "m13_prices_usd": _m13_prices,
     }
     for key, (table, js) in _TOKEN_KEYS.items():
         q[key] = _m_token(table, js)
@@ -150,6 +157,7 @@ def oracle_sql() -> dict[str, str]:
         "x3_parse_abi_functions": duck.signature_entries_sql("call"),
         "a1_ungrouped_signatures": duck.ungrouped_sql(),
         "m2_signature_registry": duck.signature_registry_sql(),
+        "m13_prices_usd": duck.prices_usd_sql(),
     }
     o.update(duck.token_tables_sql())
     o.update({

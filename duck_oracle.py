@@ -420,3 +420,11 @@ SELECT CASE WHEN ok THEN to_json(list_transform(range(q % 4), lambda x: {A('o +
        {_call_meta('ok', '0x4e1273f4', A('p + 1'), 'CAST(ln AS VARCHAR)').replace('o AS call_block_number', 'o AS call_block_number')}
 FROM bc JOIN spec sp ON sp.address = addr AND sp.hash_id = '0x4e1273f4'
 WHERE (sp.min_ts IS NULL OR bt >= sp.min_ts)"""
+
+
+def prices_usd_sql() -> str:
+    return f"""SELECT {A('pt.p_partkey')} AS contract_address, 'ethereum' AS blockchain,
+       CAST(s.s_suppkey % 19 AS INTEGER) AS decimals, e.ts AS minute, e.value AS price, pt.p_brand AS symbol
+FROM events e
+JOIN part pt ON pt.p_partkey < 20 AND pt.p_partkey % 5 <> 0 AND pt.p_partkey = e.user_id % 20
+LEFT JOIN supplier s ON s.s_suppkey = pt.p_partkey"""

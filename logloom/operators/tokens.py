@@ -106,9 +106,9 @@ def dynamic_word_array(data: Column, head_word: int, base: int = wd.DATA_BASE) -
     word ``head_word``. Offset or length outside the payload -> NULL array;
     length 0 -> empty array. Native: ``sequence`` + ``transform`` + ``substr``."""
     n_chars = F.length(data)
-    off = wd.hex_to_long(wd.word_at(data, head_word, base))
+    off = wd.word_to_long(wd.word_at(data, head_word, base))
     start = F.lit(base) + off * 2                      # 1-based char of the length word
-    count = wd.hex_to_long(F.substr(data, start, F.lit(wd.WORD)))
+    count = wd.word_to_long(F.substr(data, start, F.lit(wd.WORD)))
     last = start + F.lit(wd.WORD) + count * wd.WORD - 1  # last char of the elements
     valid = (off.isNotNull() & (off <= F.lit(1 << 31)) & (start + wd.WORD - 1 <= n_chars)
              & count.isNotNull() & (count <= F.lit(1 << 31)) & (last <= n_chars))
@@ -122,9 +122,9 @@ def dynamic_word_array(data: Column, head_word: int, base: int = wd.DATA_BASE) -
 def dynamic_bytes(data: Column, head_word: int, base: int = wd.DATA_BASE) -> Column:
     """Hex payload (no prefix) of a dynamic ``bytes``/``string`` argument."""
     n_chars = F.length(data)
-    off = wd.hex_to_long(wd.word_at(data, head_word, base))
+    off = wd.word_to_long(wd.word_at(data, head_word, base))
     start = F.lit(base) + off * 2
-    size = wd.hex_to_long(F.substr(data, start, F.lit(wd.WORD)))
+    size = wd.word_to_long(F.substr(data, start, F.lit(wd.WORD)))
     valid = (off.isNotNull() & (off <= F.lit(1 << 31)) & size.isNotNull()
              & (size <= F.lit(1 << 31)) & (start + wd.WORD - 1 + size * 2 <= n_chars))
     return F.when(valid, F.substr(data, start + wd.WORD, size * 2))
