@@ -104,30 +104,26 @@ def event_metadata() -> list[Column]:
 def dynamic_word_array(data: Column, head_word: int, base: int = wd.DATA_BASE) -> Column:
     """Elements (64-char words) of a dynamic ``T[]`` whose offset sits at head
     word ``head_word``. Offset or length outside the payload -> NULL array;
-    length 0 -> empty array. Native: ``sequence`` + ``transform`` + ``substr``."""
-    n_chars = F.length(data)
-    off = wd.word_to_long(wd.word_at(data, head_word, base))
-    start = F.lit(base) + off * 2                      # 1-based char of the length word
-    count = wd.word_to_long(F.substr(data, start, F.lit(wd.WORD)))
-    last = start + F.lit(wd.WORD) + count * wd.WORD - 1  # last char of the elements
-    valid = (off.isNotNull() & (off <= F.lit(1 << 31)) & (start + wd.WORD - 1 <= n_chars)
-             & count.isNotNull() & (count <= F.lit(1 << 31)) & (last <= n_chars))
-    # bound guarded inside the sequence (UDF inputs are computed for all rows)
-    elems = F.transform(
-        F.sequence(F.lit(0).cast("bigint"), F.when(valid, count - 1).otherwise(F.lit(-1).cast("bigint"))),
-        lambda i: F.substr(data, start + F.lit(wd.WORD) + i * wd.WORD, F.lit(wd.WORD)))
-    return F.when(valid, F.when(count > 0, elems).otherwise(F.array().cast("array<string>")))
+    length 0 -> empty array. Native: one ``regexp_extract_all`` over the
+    element area (no per-element lambda)."""
+    from .decode import Node, tail
+
+    return tail(Node("array", elem=Node("scalar", scalar="bytes32")), data,
+                _tail_start(data, head_word, base))
+
+
+def _tail_start(data: Column, head_word: int, base: int) -> Column:
+    from .decode import _offset_target
+
+    start, ok = _offset_target(data, F.lit(base + wd.WORD * head_word), F.lit(base))
+    return F.when(ok, start)
 
 
 def dynamic_bytes(data: Column, head_word: int, base: int = wd.DATA_BASE) -> Column:
     """Hex payload (no prefix) of a dynamic ``bytes``/``string`` argument."""
-    n_chars = F.length(data)
-    off = wd.word_to_long(wd.word_at(data, head_word, base))
-    start = F.lit(base) + off * 2
-    size = wd.word_to_long(F.substr(data, start, F.lit(wd.WORD)))
-    valid = (off.isNotNull() & (off <= F.lit(1 << 31)) & size.isNotNull()
-             & (size <= F.lit(1 << 31)) & (start + wd.WORD - 1 + size * 2 <= n_chars))
-    return F.when(valid, F.substr(data, start + wd.WORD, size * 2))
+    from .decode import _payload
+
+    return _payload(data, _tail_start(data, head_word, base))
 
 
 @dataclass(frozen=True)
