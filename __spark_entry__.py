@@ -27,6 +27,7 @@ from logloom.operators import decode as dec  # noqa: E402
 from logloom.operators import prices as px  # noqa: E402
 from logloom.operators import registry as reg  # noqa: E402
 from logloom.operators import tokens as tk  # noqa: E402
+from logloom.plans import fanout  # noqa: E402
 from logloom.plans.catalog import ChainTables  # noqa: E402
 from logloom.session import apply_defaults  # noqa: E402
 
@@ -107,6 +108,13 @@ def _d_table(table: str, kind: str, source: str, json_cols: tuple[str, ...] = ()
     return run
 
 
+def _d9_decode_all(spark, sf_dir):
+    """D9 + D5: every registered event table in one scan (long form)."""
+    t = _tables(spark, sf_dir)
+    df = fanout.decode_all_events(t.logs(), _specs(t))
+    return df.withColumn("args", F.to_json("args"))
+
+
 _DECODE_KEYS = {
     "d1_decode_events_static": ("Token_V0_evt_Transfer", "event", "logs", ()),
     "d2_decode_events_dynamic_arrays": ("Token_V2_evt_TransferBatch", "event", "logs", ("ids", "values")),
@@ -145,6 +153,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         q[key] = _m_token(table, js)
     for key, args in _DECODE_KEYS.items():
         q[key] = _d_table(*args)
+    # no oracle: checked against the wide decoders in tests/test_fanout.py
+    q["d9_decode_all_events"] = _d9_decode_all
     return q
 
 
