@@ -111,8 +111,7 @@ def _d_table(table: str, kind: str, source: str, json_cols: tuple[str, ...] = ()
 def _d9_decode_all(spark, sf_dir):
     """D9 + D5: every registered event table in one scan (long form)."""
     t = _tables(spark, sf_dir)
-    df = fanout.decode_all_events(t.logs(), _specs(t))
-    return df.withColumn("args", F.to_json("args"))
+    return fanout.decode_all_events(t.logs(), _specs(t), as_json=True)
 
 
 _DECODE_KEYS = {

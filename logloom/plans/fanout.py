@@ -29,8 +29,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions import hexint as H
 from ..functions import words as wd
+from ..functions.hexint import py_hex_to_decimal, py_hex_to_signed_decimal
 from ..operators import abi as abi_ops
 from ..operators import decode as dec
 
@@ -79,7 +79,7 @@ def _finish(raw: list) -> list:
     for r in raw:
         k, kind, v = r["key"], r["kind"], r["value"]
         if v is not None and kind and kind.endswith("wide"):
-            conv = H.py_hex_to_signed_decimal if kind.endswith("iwide") else H.py_hex_to_decimal
+            conv = py_hex_to_signed_decimal if kind.endswith("iwide") else py_hex_to_decimal
             v = SEP.join("" if x is None else (conv(x) or "") for x in v.split(SEP)) if v else v
         out.append({"key": k, "value": v})
     return out
@@ -90,6 +90,17 @@ def _finish_udf(s: pd.Series) -> pd.Series:
     return s.map(_finish, na_action="ignore")
 
 
+def _finish_json(raw: list) -> str:
+    import json
+
+    return json.dumps(_finish(raw), separators=(",", ":"), ensure_ascii=False)
+
+
+@F.pandas_udf(T.StringType())
+def _finish_json_udf(s: pd.Series) -> pd.Series:
+    return s.map(_finish_json, na_action="ignore")
+
+
 def _event_args(params: Column, text: Column) -> Column:
     """Interpretive decode of every argument of a one-word-per-argument layout."""
     area = F.lit(wd.DATA_BASE)
@@ -133,8 +144,9 @@ def event_specs(specs: DataFrame) -> DataFrame:
         "namespace", "table", "abi_inputs", "min_ts")
 
 
-def decode_all_events(logs: DataFrame, specs: DataFrame) -> DataFrame:
-    """D9 (events) + D5 long form, one scan of ``logs``."""
+def decode_all_events(logs: DataFrame, specs: DataFrame, as_json: bool = False) -> DataFrame:
+    """D9 (events) + D5 long form, one scan of ``logs``. ``as_json`` renders
+    ``args`` as JSON text (for exports and oracle hashing)."""
     sp = event_specs(specs)
     joined = logs.join(sp, (F.col("evt_hash") == F.col("_h")) & (F.col("contract_address") == F.col("_a")))
     joined = joined.where(F.col("min_ts").isNull() | (F.col("block_time") >= F.col("min_ts")))
@@ -142,12 +154,26 @@ def decode_all_events(logs: DataFrame, specs: DataFrame) -> DataFrame:
     full = F.from_json("abi_inputs", T.ArrayType(abi_ops.PARAM))
     supported = F.forall(full, lambda p: ~p["type"].startswith("tuple") & ~p["type"].rlike(r"\[[0-9]+\]")
                          & ~p["type"].rlike(r"\]\["))
-    raw = F.when(supported, _event_args(params, F.col("data")))
-    return joined.select(
-        *dec.event_meta(), "namespace", "table",
-        supported.alias("layout_supported"),
-        _finish_udf(raw).alias("args"),
-    )
+    staged = joined.select(
+        *dec.event_meta(), "namespace", "table", supported.alias("layout_supported"),
+        "data", "topic1", "topic2", "topic3", params.alias("_params"))
+    raw = F.when(F.col("layout_supported"), _event_args(F.col("_params"), F.col("data")))
+    keep = [c for c in staged.columns if c not in ("data", "topic1", "topic2", "topic3", "_params")]
+    native = staged.select(*keep, raw.alias("_raw"))
+    # wide integers are finished in Arrow batches per partition (mapInPandas):
+    # everything else was decoded natively above
+    out_type = T.StringType() if as_json else T.ArrayType(ARG)
+    schema = T.StructType([f for f in native.schema.fields if f.name != "_raw"]
+                          + [T.StructField("args", out_type)])
+    finish = _finish_json if as_json else _finish
+
+    def batches(it: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in it:
+            raw_col = pdf.pop("_raw")
+            pdf["args"] = [None if r is None else finish([dict(x) for x in r]) for r in raw_col]
+            yield pdf
+
+    return native.mapInPandas(batches, schema)
 
 
 def write_clustered(df: DataFrame, path: str, keys: tuple[str, ...] = ("evt_hash", "contract_address"),
