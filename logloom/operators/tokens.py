@@ -132,7 +132,7 @@ class TokenTable:
     name: str
     standard: str
     evt_hash: str
-    columns: Callable[[], list[Column]]
+    columns: Callable[..., list[Column]]
 
     @property
     def table(self) -> str:
@@ -143,10 +143,14 @@ def _addr(topic: str) -> Column:
     return wd.word_to_address(F.col(topic))
 
 
-def _batch_columns() -> list[Column]:
+def _batch_columns(stager=None) -> list[Column]:
+    from .decode import Node, top_value
+
     data = F.col("data")
-    ids = wd.hex_array_to_decimal(dynamic_word_array(data, 0))
-    values = wd.hex_array_to_decimal(dynamic_word_array(data, 1))
+    words = Node("array", elem=Node("scalar", scalar="bytes32"))
+    area = F.lit(wd.DATA_BASE)
+    ids = wd.hex_array_to_decimal(top_value(words, data, area, area, stager=stager))
+    values = wd.hex_array_to_decimal(top_value(words, data, area + wd.WORD, area, stager=stager))
     return [
         F.col("contract_address"),
         _addr("topic2").alias("from"),
@@ -187,7 +191,7 @@ TOKEN_TABLES: dict[str, TokenTable] = {t.table: t for t in [
         _addr("topic1").alias("operator"), _addr("topic3").alias("to"),
         wd.hex_to_decimal(wd.prefixed(wd.last_word(F.col("data")))).alias("value")]),
     TokenTable("erc1155_ethereum", "evt_TransferBatch", "erc1155", sig.TRANSFER_BATCH, _batch_columns),
-    TokenTable("erc1155_ethereum", "evt_URI", "erc1155", sig.URI, lambda: [
+    TokenTable("erc1155_ethereum", "evt_URI", "erc1155", sig.URI, lambda st=None: [
         F.col("contract_address"), wd.hex_to_decimal(F.col("topic1")).alias("id"),
         F.col("data").alias("value"),
         wd.hex_to_text(dynamic_bytes(F.col("data"), 0)).alias("uri_text")]),
@@ -201,10 +205,14 @@ def holders(token_types_df: DataFrame, standard: str) -> DataFrame:
 
 def token_events(logs: DataFrame, token_types_df: DataFrame, table: str) -> DataFrame:
     """One token table (M4-M12): hash filter, semi join (JN6), projection."""
+    from .decode import Stager
+
     spec = TOKEN_TABLES[table]
     events = (logs.where(F.col("evt_hash") == F.lit(spec.evt_hash))
               .join(holders(token_types_df, spec.standard), "contract_address", "left_semi"))
-    return events.select(*spec.columns(), *event_metadata())
+    st = Stager()
+    cols = spec.columns(st) if spec.columns is _batch_columns else spec.columns()
+    return st.apply(events).select(*cols, *event_metadata())
 
 
 def erc20_transfer(logs: DataFrame, token_types_df: DataFrame) -> DataFrame:

@@ -21,6 +21,17 @@ def read(spark: SparkSession, sf_dir: str, name: str, *cols: str) -> DataFrame:
     return df.select(*cols) if cols else df
 
 
+def read_spread(spark: SparkSession, sf_dir: str, name: str, key: str, *cols: str) -> DataFrame:
+    """Read a driver table and hash-partition it on ``key`` before encoding.
+
+    The driver files hold one row group each, so a scan is a single task; the
+    per-row encoding (sha2, hex words) would then run on one core. Real chain
+    tables are many files; this gives the fixture the same parallelism.
+    Hash partitioning (not round robin) keeps task retries deterministic."""
+    df = read(spark, sf_dir, name, *cols)
+    return df.repartition(spark.sparkContext.defaultParallelism, key)
+
+
 def W(n: Column) -> Column:
     """64-char zero-padded lower-case hex word of a non-negative integer."""
     return F.lpad(F.lower(F.hex(n.cast("bigint"))), 64, "0")
@@ -41,8 +52,8 @@ def _hex_text(s: Column) -> Column:
 
 def logs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``ethereum.logs`` encoded from ``lineitem`` (FIXTURES.md 2.1)."""
-    li = read(spark, sf_dir, "lineitem", "l_orderkey", "l_partkey", "l_suppkey",
-              "l_linenumber", "l_quantity", "l_shipdate")
+    li = read_spread(spark, sf_dir, "lineitem", "l_orderkey", "l_orderkey", "l_partkey", "l_suppkey",
+                     "l_linenumber", "l_quantity", "l_shipdate")
     s, o, p = F.col("l_suppkey"), F.col("l_orderkey"), F.col("l_partkey")
     ln = F.col("l_linenumber").cast("bigint")
     q = F.col("l_quantity").cast("bigint")
@@ -131,8 +142,8 @@ def contracts(spark: SparkSession, sf_dir: str, partial: bool = False) -> DataFr
 def traces(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``ethereum.traces`` from ``orders`` (FIXTURES.md 2.3): ERC-20
     ``transfer`` / ``transferFrom`` calls; failed orders are reverted calls."""
-    o = read(spark, sf_dir, "orders", "o_orderkey", "o_custkey", "o_orderstatus",
-             "o_totalprice", "o_orderdate")
+    o = read_spread(spark, sf_dir, "orders", "o_orderkey", "o_orderkey", "o_custkey", "o_orderstatus",
+                    "o_totalprice", "o_orderdate")
     key, cust = F.col("o_orderkey"), F.col("o_custkey")
     cents = F.round(F.col("o_totalprice") * 100).cast("bigint")
     even = key % 2 == 0
@@ -162,8 +173,8 @@ def traces_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Dynamic-argument traces from ``lineitem``: ``balanceOfBatch(address[],
     uint256[])`` calls on ERC-1155 contracts; the output is the uint256[]
     balance list. n = quantity mod 4 (empty arrays occur)."""
-    li = read(spark, sf_dir, "lineitem", "l_orderkey", "l_partkey", "l_suppkey",
-              "l_linenumber", "l_quantity", "l_shipdate")
+    li = read_spread(spark, sf_dir, "lineitem", "l_orderkey", "l_orderkey", "l_partkey", "l_suppkey",
+                     "l_linenumber", "l_quantity", "l_shipdate")
     s, o, p = F.col("l_suppkey"), F.col("l_orderkey"), F.col("l_partkey")
     ln = F.col("l_linenumber").cast("bigint")
     q = F.col("l_quantity").cast("bigint")
@@ -218,7 +229,7 @@ def spellbook_dependent_names(spark: SparkSession) -> DataFrame:
 
 
 def token_prices(spark: SparkSession, sf_dir: str) -> DataFrame:
-    ev = read(spark, sf_dir, "events", "ts", "user_id", "value")
+    ev = read_spread(spark, sf_dir, "events", "user_id", "ts", "user_id", "value")
     return ev.select(
         F.col("ts").alias("timestamp"),
         F.col("value").alias("price_usd"),
