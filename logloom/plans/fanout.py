@@ -44,34 +44,79 @@ _PLAIN_PARAMS = T.ArrayType(T.StructType([T.StructField("name", T.StringType()),
                                           T.StructField("indexed", T.BooleanType())]))
 
 
-def _kind(t: Column) -> Column:
-    """Decode family of an ABI scalar/array type string."""
-    base = F.regexp_replace(t, r"\[\]$", "")
-    bits = F.regexp_extract(base, r"^u?int([0-9]*)$", 1)
-    nbits = F.when(bits == "", F.lit(256)).otherwise(bits.try_cast("int"))
-    scalar = (
-        F.when(base == "address", F.lit("address"))
-        .when(base == "bool", F.lit("bool"))
-        .when(base.rlike(r"^uint[0-9]*$"), F.when(nbits <= 56, F.lit("u64")).otherwise(F.lit("uwide")))
-        .when(base.rlike(r"^int[0-9]*$"), F.when(nbits <= 64, F.lit("i64")).otherwise(F.lit("iwide")))
-        .when(base == "string", F.lit("string"))
-        .when(base == "bytes", F.lit("bytes"))
-        .when(base.rlike(r"^bytes[0-9]+$"), F.lit("word"))
-    )
-    return F.when(t.rlike(r"\[[0-9]*\]\[|\[[0-9]+\]$|^tuple"), F.lit(None)) \
-        .when(t.endswith("[]"), F.concat(F.lit("array:"), scalar)).otherwise(scalar)
-
-
-def _word_text(kind: Column, w: Column) -> Column:
-    """Text of one static word for a scalar kind (wide ints stay hex)."""
-    v = wd.word_to_long(w)
-    return (
-        F.when(kind.endswith("address"), wd.word_to_address(w))
-        .when(kind.endswith("bool"), F.when(v.isNotNull(), (v != 0).cast("string")))
-        .when(kind.endswith("u64"), v.cast("string"))
-        .when(kind.endswith("i64"), wd.hex_to_signed_long(w).cast("string"))
-        .otherwise(w)
-    )
+# Per-argument layout, computed once per spec row (before the join) so that
+# log rows only extract words. Kinds: address, bool, u64, i64, uwide, iwide,
+# word (bytesN), string, bytes, and "array:<kind>" for T[] of scalars.
+_SQL_FIXED = r"'\\[[0-9]+\\]|\\]\\['"
+
+_KIND_SQL = """CASE
+  WHEN p.type RLIKE {fixed} OR p.type LIKE 'tuple%' THEN NULL
+  ELSE concat(IF(p.type LIKE '%[]', 'array:', ''), CASE
+    WHEN b = 'address' THEN 'address' WHEN b = 'bool' THEN 'bool'
+    WHEN b RLIKE '^uint[0-9]*$' THEN IF(nb <= 56, 'u64', 'uwide')
+    WHEN b RLIKE '^int[0-9]*$' THEN IF(nb <= 64, 'i64', 'iwide')
+    WHEN b = 'string' THEN 'string' WHEN b = 'bytes' THEN 'bytes'
+    WHEN b RLIKE '^bytes[0-9]+$' THEN 'word' END) END"""
+
+
+def layout_sql(params: str) -> str:
+    """``array<struct<key, kind, indexed, topic, head>>`` for a parameter list."""
+    b = "IF(p.type LIKE '%[]', substr(p.type, 1, length(p.type) - 2), p.type)"
+    nb = f"coalesce(try_cast(nullif(regexp_extract({b}, '^u?int([0-9]*)$', 1), '') AS INT), 256)"
+    kind = _KIND_SQL.format(fixed=_SQL_FIXED).replace("nb", nb).replace(" b ", f" {b} ").replace(
+        "WHEN b", f"WHEN {b}")
+    n_idx = f"size(filter(slice({params}, 1, i), y -> coalesce(y.indexed, false)))"
+    key = ("IF(coalesce(p.name, '') = '', concat('input_', CAST(i AS STRING)), "
+           "replace(p.name, '_partition', 'partition'))")
+    return (f"transform({params}, (p, i) -> named_struct('key', {key}, 'kind', {kind}, "
+            f"'indexed', coalesce(p.indexed, false), 'topic', {n_idx} + 1, "
+            f"'head', 3 + (i - {n_idx}) * 64))")
+
+
+_ZEROS48 = "0" * 48
+_MAXW = 1 << 31
+
+
+def _wlong(w: str) -> str:
+    """word_to_long in SQL: 64-char word whose value fits 63 bits, else NULL."""
+    return (f"IF(length({w}) = 64 AND substr({w}, 1, 48) = '{_ZEROS48}' AND {w} RLIKE '^[0-9a-fA-F]+$', "
+            f"try_cast(conv(substr({w}, 49, 16), 16, 10) AS BIGINT), NULL)")
+
+
+def _word_text_sql(kind: str, w: str) -> str:
+    v = _wlong(w)
+    signed = (f"IF(length({w}) = 64 AND {w} RLIKE '^[0-9a-fA-F]+$' AND ((substr({w}, 1, 48) = '{_ZEROS48}' "
+              f"AND substr({w}, 49, 1) < '8') OR (lower(substr({w}, 1, 48)) = '{'f' * 48}' "
+              f"AND lower(substr({w}, 49, 1)) >= '8')), conv(substr({w}, 49, 16), 16, -10), NULL)")
+    return (f"CASE WHEN {kind} LIKE '%address' THEN concat('0x', right({w}, 40)) "
+            f"WHEN {kind} LIKE '%bool' THEN CAST({v} <> 0 AS STRING) "
+            f"WHEN {kind} LIKE '%u64' THEN CAST({v} AS STRING) "
+            f"WHEN {kind} LIKE '%i64' THEN {signed} ELSE {w} END")
+
+
+def _args_sql(text: str = "data") -> str:
+    """Per-row decode over the precomputed layout ``_layout`` (SQL text)."""
+    w = f"substr({text}, a.head, 64)"
+    off = f"IF({_wlong(w)} <= {_MAXW}, {_wlong(w)}, NULL)"
+    start = f"(3 + ({off}) * 2)"
+    n = f"IF({_wlong(f'substr({text}, least({start}, {_MAXW - 1}), 64)')} <= {_MAXW}, " \
+        f"{_wlong(f'substr({text}, least({start}, {_MAXW - 1}), 64)')}, NULL)"
+    payload = (f"IF({start} + 63 + ({n}) * 2 <= length({text}), "
+               f"substr({text}, least({start} + 64, {_MAXW - 1}), least(({n}) * 2, {_MAXW - 1})), NULL)")
+    region = (f"IF({start} + 63 + ({n}) * 64 <= length({text}), "
+              f"substr({text}, least({start} + 64, {_MAXW - 1}), least(({n}) * 64, {_MAXW - 1})), NULL)")
+    elems = (f"array_join(transform(regexp_extract_all({region}, '(.{{64}})', 1), "
+             f"e -> {_word_text_sql('a.kind', 'e')}), '{SEP}')")
+    text_value = f"try_validate_utf8(decode(unhex({payload}), 'UTF-8'))"
+    data_value = (f"CASE WHEN a.kind = 'string' THEN {text_value} "
+                  f"WHEN a.kind = 'bytes' THEN concat('0x', {payload}) "
+                  f"WHEN a.kind LIKE 'array:%' THEN {elems} "
+                  f"ELSE {_word_text_sql('a.kind', w)} END")
+    topic = "element_at(array(topic1, topic2, topic3), least(a.topic, 3))"
+    topic_value = (f"CASE WHEN a.kind IN ('string', 'bytes') OR a.kind LIKE 'array:%' THEN {topic} "
+                   f"ELSE {_word_text_sql('a.kind', f'substr({topic}, 3, 64)')} END")
+    return (f"transform(_layout, a -> named_struct('key', a.key, 'kind', a.kind, "
+            f"'value', IF(a.indexed, {topic_value}, {data_value})))")
 
 
 def _finish(raw: list) -> list:
@@ -80,7 +125,10 @@ def _finish(raw: list) -> list:
         k, kind, v = r["key"], r["kind"], r["value"]
         if v is not None and kind and kind.endswith("wide"):
             conv = py_hex_to_signed_decimal if kind.endswith("iwide") else py_hex_to_decimal
-            v = SEP.join("" if x is None else (conv(x) or "") for x in v.split(SEP)) if v else v
+            if kind.startswith("array:"):
+                v = SEP.join(conv(x) or "" for x in v.split(SEP)) if v else v
+            else:
+                v = conv(v)  # invalid or past-the-end word -> NULL, as in the wide path
         out.append({"key": k, "value": v})
     return out
 
@@ -101,47 +149,19 @@ def _finish_json_udf(s: pd.Series) -> pd.Series:
     return s.map(_finish_json, na_action="ignore")
 
 
-def _event_args(params: Column, text: Column) -> Column:
-    """Interpretive decode of every argument of a one-word-per-argument layout."""
-    area = F.lit(wd.DATA_BASE)
-
-    def one(p, i):
-        before = F.slice(params, 1, i)
-        n_idx = F.size(F.filter(before, lambda y: F.coalesce(y["indexed"], F.lit(False))))
-        kind = _kind(p["type"])
-        name = F.when(F.coalesce(p["name"], F.lit("")) == "", F.concat(F.lit("input_"), i.cast("string"))) \
-            .otherwise(F.replace(p["name"], F.lit("_partition"), F.lit("partition")))
-        indexed = F.coalesce(p["indexed"], F.lit(False))
-        topic = F.element_at(F.array(F.col("topic1"), F.col("topic2"), F.col("topic3")),
-                             F.least(n_idx + 1, F.lit(3)).cast("int"))
-        head = area + (i - n_idx) * 64
-        start, ok = dec._offset_target(text, head, area)
-        payload = dec._payload(text, start)
-        count = dec.bounded_word(text, start)
-        region = F.when(ok & count.isNotNull() & (start + 63 + count * 64 <= F.length(text)),
-                        F.substr(text, dec._clamp(start + 64), dec._clamp(count * 64)))
-        elems = F.array_join(F.transform(dec.field_words(region, 1, 0), lambda w: _word_text(kind, w)), SEP)
-        data_value = (
-            F.when(kind == "string", F.when(ok, wd.hex_to_text(payload)))
-            .when(kind == "bytes", F.when(ok, F.concat(F.lit("0x"), payload)))
-            .when(kind.startswith("array:"), elems)
-            .otherwise(_word_text(kind, dec._word(text, head)))
-        )
-        topic_value = F.when(kind.isin("string", "bytes") | kind.startswith("array:"), topic) \
-            .otherwise(_word_text(kind, F.substr(topic, F.lit(3), F.lit(64))))
-        return F.struct(name.alias("key"), kind.alias("kind"),
-                        F.when(indexed, topic_value).otherwise(data_value).alias("value"))
-
-    return F.transform(params, one)
-
-
 def event_specs(specs: DataFrame) -> DataFrame:
-    """Event spec rows with the table-level lower time bound."""
+    """Event spec rows with the table-level lower time bound and the
+    precomputed argument layout (one row per hash x address; small)."""
     s = specs.where(F.col("type") == "event")
     bound = s.groupBy("namespace", "table").agg(F.min("min_created_ts").alias("min_ts"))
+    full = F.from_json("abi_inputs", T.ArrayType(abi_ops.PARAM))
+    supported = F.forall(full, lambda p: ~p["type"].startswith("tuple") & ~p["type"].rlike(r"\[[0-9]+\]")
+                         & ~p["type"].rlike(r"\]\["))
     return s.join(bound, ["namespace", "table"]).select(
         F.col("hash_id").alias("_h"), F.col("contract_address").alias("_a"),
-        "namespace", "table", "abi_inputs", "min_ts")
+        "namespace", "table", "min_ts", supported.alias("layout_supported"),
+        F.from_json("abi_inputs", _PLAIN_PARAMS).alias("_params"),
+    ).select("*", F.expr(layout_sql("_params")).alias("_layout")).drop("_params")
 
 
 def decode_all_events(logs: DataFrame, specs: DataFrame, as_json: bool = False) -> DataFrame:
@@ -150,16 +170,8 @@ def decode_all_events(logs: DataFrame, specs: DataFrame, as_json: bool = False)
     sp = event_specs(specs)
     joined = logs.join(sp, (F.col("evt_hash") == F.col("_h")) & (F.col("contract_address") == F.col("_a")))
     joined = joined.where(F.col("min_ts").isNull() | (F.col("block_time") >= F.col("min_ts")))
-    params = F.from_json("abi_inputs", _PLAIN_PARAMS)
-    full = F.from_json("abi_inputs", T.ArrayType(abi_ops.PARAM))
-    supported = F.forall(full, lambda p: ~p["type"].startswith("tuple") & ~p["type"].rlike(r"\[[0-9]+\]")
-                         & ~p["type"].rlike(r"\]\["))
-    staged = joined.select(
-        *dec.event_meta(), "namespace", "table", supported.alias("layout_supported"),
-        "data", "topic1", "topic2", "topic3", params.alias("_params"))
-    raw = F.when(F.col("layout_supported"), _event_args(F.col("_params"), F.col("data")))
-    keep = [c for c in staged.columns if c not in ("data", "topic1", "topic2", "topic3", "_params")]
-    native = staged.select(*keep, raw.alias("_raw"))
+    raw = F.when(F.col("layout_supported"), F.expr(_args_sql("data")))
+    native = joined.select(*dec.event_meta(), "namespace", "table", "layout_supported", raw.alias("_raw"))
     # wide integers are finished in Arrow batches per partition (mapInPandas):
     # everything else was decoded natively above
     out_type = T.StringType() if as_json else T.ArrayType(ARG)
