@@ -152,7 +152,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         q[key] = _m_token(table, js)
     for key, args in _DECODE_KEYS.items():
         q[key] = _d_table(*args)
-    # no oracle: checked against the wide decoders in tests/test_fanout.py
+    # also checked against the wide decoders in tests/test_fanout.py
     q["d9_decode_all_events"] = _d9_decode_all
     return q
 
@@ -175,5 +175,6 @@ def oracle_sql() -> dict[str, str]:
         "d2_decode_events_dynamic_string": duck.d2_uri_sql(),
         "d3_decode_calls_static": duck.d3_sql(),
         "d4_decode_calls_dynamic": duck.d4_sql(),
+        "d9_decode_all_events": duck.d9_sql(),
     })
     return o

@@ -428,3 +428,63 @@ def prices_usd_sql() -> str:
 FROM events e
 JOIN part pt ON pt.p_partkey < 20 AND pt.p_partkey % 5 <> 0 AND pt.p_partkey = e.user_id % 20
 LEFT JOIN supplier s ON s.s_suppkey = pt.p_partkey"""
+
+
+# --- D9 decode-all (long form, JSON args) -----------------------------------
+
+def d9_sql() -> str:
+    """Expected long-form rows: every log row x every event spec row with the
+    same (hash, address) and within the table's time bound; argument values
+    computed from the source columns by the (ABI ordinal, hash) layout."""
+    whex = "CASE WHEN p % 10 = 0 THEN sh ELSE " + W("o * 1000 + q") + " END"
+    t1_addr = f"CASE WHEN kind = 'uri' THEN {A('p')} ELSE {A('p + 1')} END"
+    t1_uw = "CAST(CASE WHEN kind = 'uri' THEN p ELSE p + 1 END AS VARCHAR)"
+    t2_addr = f"CASE WHEN kind = 'uri' THEN NULL ELSE {A('o + 1')} END"
+    t3_addr = (f"CASE WHEN kind IN ('transfer721', 'approval721') THEN '0x' || right({whex}, 40) "
+               f"WHEN kind IN ('single', 'batch') THEN {A('q + 1')} END")
+    t3_uw = ("CASE WHEN kind IN ('transfer721', 'approval721') THEN wdec "
+             "WHEN kind IN ('single', 'batch') THEN CAST(q + 1 AS VARCHAR) END")
+    d0_uw = ("CASE WHEN kind IN ('transfer', 'approval', 'transfer721', 'approval721') THEN wdec "
+             "WHEN kind = 'approvalforall' THEN CAST(o % 2 AS VARCHAR) WHEN kind = 'single' THEN CAST(p AS VARCHAR) "
+             "WHEN kind = 'batch' THEN '64' WHEN kind = 'uri' THEN '32' END")
+    d0_bool = "CASE WHEN o % 2 <> 0 THEN 'true' ELSE 'false' END"
+    d1_uw = "CASE WHEN kind = 'single' THEN wdec END"
+    ids = "array_to_string(list_transform(range(q % 4), lambda x: CAST(p AS VARCHAR)), '|||')"
+    vals = "array_to_string(list_transform(range(q % 4), lambda x: wdec), '|||')"
+    uri = "'uri-' || lpad(CAST(p AS VARCHAR), 8, '0')"
+
+    def kv(*pairs):
+        return "to_json([" + ", ".join(f"{{'key': '{k}', 'value': {v}}}" for k, v in pairs) + "])"
+
+    layouts = [
+        (0, sig.TRANSFER, kv(("from", t1_addr), ("to", t2_addr), ("value", d0_uw))),
+        (0, sig.APPROVAL, kv(("owner", t1_addr), ("spender", t2_addr), ("value", d0_uw))),
+        (1, sig.TRANSFER, kv(("from", t1_addr), ("to", t2_addr), ("tokenId", t3_uw))),
+        (1, sig.APPROVAL, kv(("owner", t1_addr), ("approved", t2_addr), ("tokenId", t3_uw))),
+        (1, sig.APPROVAL_FOR_ALL, kv(("owner", t1_addr), ("operator", t2_addr), ("approved", d0_bool))),
+        (2, sig.TRANSFER_SINGLE, kv(("operator", t1_addr), ("from", t2_addr), ("to", t3_addr),
+                                    ("id", d0_uw), ("value", d1_uw))),
+        (2, sig.TRANSFER_BATCH, kv(("operator", t1_addr), ("from", t2_addr), ("to", t3_addr),
+                                   ("ids", ids), ("values", vals))),
+        (2, sig.APPROVAL_FOR_ALL, kv(("account", t1_addr), ("operator", t2_addr), ("approved", d0_bool))),
+        (2, sig.URI, kv(("value", uri), ("id", t1_uw))),
+    ]
+    cases = " ".join(f"WHEN s % 6 = {o} AND sp.hash_id = '{h}' THEN {expr}" for o, h, expr in layouts)
+    evt_hash = ("CASE WHEN kind IN ('transfer', 'transfer721') THEN '" + sig.TRANSFER + "' "
+                "WHEN kind IN ('approval', 'approval721') THEN '" + sig.APPROVAL + "' "
+                "WHEN kind = 'approvalforall' THEN '" + sig.APPROVAL_FOR_ALL + "' "
+                "WHEN kind = 'single' THEN '" + sig.TRANSFER_SINGLE + "' "
+                "WHEN kind = 'batch' THEN '" + sig.TRANSFER_BATCH + "' ELSE '" + sig.URI + "' END")
+    return f"""WITH {LINEITEM_KINDS},
+{ungrouped_cte()},
+ev AS (SELECT DISTINCT namespace, sub_name, hash_id, address FROM ungrouped WHERE type = 'event'),
+bound AS (SELECT namespace, sub_name, min(min_created_ts) AS min_ts FROM ungrouped WHERE type = 'event'
+          GROUP BY namespace, sub_name),
+sp AS (SELECT ev.*, bound.min_ts FROM ev JOIN bound USING (namespace, sub_name)),
+lh AS (SELECT *, {evt_hash} AS eh FROM lv)
+SELECT {A('s')} AS contract_address, o AS evt_block_number, bt AS evt_block_time, ln AS evt_index,
+       '0x' || sh AS evt_tx_hash, o % 200 AS evt_tx_index, eh AS evt_hash, sp.namespace,
+       sp.sub_name AS "table", true AS layout_supported,
+       CAST(CASE {cases} END AS VARCHAR) AS args
+FROM lh JOIN sp ON sp.hash_id = lh.eh AND sp.address = {A('s')}
+WHERE sp.min_ts IS NULL OR bt >= sp.min_ts"""
