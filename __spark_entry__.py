@@ -114,6 +114,23 @@ def _d9_decode_all(spark, sf_dir):
     return fanout.decode_all_events(t.logs(), _specs(t), as_json=True)
 
 
+def _a5_a6_keyed_pick(spark, sf_dir):
+    """A5 + A6 over the long form: pick arguments by key, split the
+    ``|||`` lists and cast items safely (bigint drops values above 2^63)."""
+    t = _tables(spark, sf_dir)
+    long = fanout.decode_all_events(t.logs(), _specs(t))
+    batch = long.where(F.col("table") == "Token_V2_evt_TransferBatch")
+    ids = fanout.split_cast(fanout.pick("args", "ids"), "decimal(38,0)")
+    values64 = fanout.split_cast(fanout.pick("args", "values"), "bigint")
+    return batch.select(
+        "evt_tx_hash", "evt_index", "namespace",
+        fanout.pick("args", "from").alias("from"),
+        F.when(ids.isNotNull(), F.size(ids)).alias("n_ids"),
+        F.aggregate(ids, F.lit(0).cast("decimal(38,0)"), lambda a, x: a + x).cast("string").alias("ids_sum"),
+        F.when(values64.isNotNull(), F.size(values64)).alias("n_values_64"),
+    )
+
+
 _DECODE_KEYS = {
     "d1_decode_events_static": ("Token_V0_evt_Transfer", "event", "logs", ()),
     "d2_decode_events_dynamic_arrays": ("Token_V2_evt_TransferBatch", "event", "logs", ("ids", "values")),
@@ -154,6 +171,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         q[key] = _d_table(*args)
     # also checked against the wide decoders in tests/test_fanout.py
     q["d9_decode_all_events"] = _d9_decode_all
+    q["a5_a6_keyed_pick_split_cast"] = _a5_a6_keyed_pick
     return q
 
 
@@ -176,5 +194,6 @@ def oracle_sql() -> dict[str, str]:
         "d3_decode_calls_static": duck.d3_sql(),
         "d4_decode_calls_dynamic": duck.d4_sql(),
         "d9_decode_all_events": duck.d9_sql(),
+        "a5_a6_keyed_pick_split_cast": duck.a5_a6_sql(),
     })
     return o

@@ -488,3 +488,22 @@ SELECT {A('s')} AS contract_address, o AS evt_block_number, bt AS evt_block_time
        CAST(CASE {cases} END AS VARCHAR) AS args
 FROM lh JOIN sp ON sp.hash_id = lh.eh AND sp.address = {A('s')}
 WHERE sp.min_ts IS NULL OR bt >= sp.min_ts"""
+
+
+def a5_a6_sql() -> str:
+    """TransferBatch rows of the long form: keyed picks (A5) and the split,
+    safely cast id / value lists (A6), summarised per row."""
+    return f"""WITH {LINEITEM_KINDS},
+{ungrouped_cte()},
+ev AS (SELECT DISTINCT namespace, sub_name, hash_id, address FROM ungrouped
+       WHERE type = 'event' AND sub_name = 'Token_V2_evt_TransferBatch'),
+bound AS (SELECT namespace, min(min_created_ts) AS min_ts FROM ungrouped
+          WHERE type = 'event' AND sub_name = 'Token_V2_evt_TransferBatch' GROUP BY namespace),
+sp AS (SELECT ev.*, bound.min_ts FROM ev JOIN bound USING (namespace))
+SELECT '0x' || sh AS evt_tx_hash, ln AS evt_index, sp.namespace,
+       {A('o + 1')} AS "from",
+       CASE WHEN q % 4 > 0 THEN CAST(q % 4 AS INTEGER) END AS n_ids,
+       CASE WHEN q % 4 > 0 THEN CAST(CAST(p AS DECIMAL(38, 0)) * (q % 4) AS VARCHAR) END AS ids_sum,
+       CASE WHEN q % 4 > 0 AND p % 10 <> 0 THEN CAST(q % 4 AS INTEGER) END AS n_values_64
+FROM lv JOIN sp ON sp.hash_id = '{sig.TRANSFER_BATCH}' AND sp.address = {A('s')}
+WHERE kind = 'batch' AND (sp.min_ts IS NULL OR bt >= sp.min_ts)"""

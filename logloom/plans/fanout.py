@@ -195,3 +195,19 @@ def write_clustered(df: DataFrame, path: str, keys: tuple[str, ...] = ("evt_hash
     n = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     (df.repartitionByRange(n, *keys).sortWithinPartitions(*keys)
      .write.mode("overwrite").parquet(path))
+
+
+def pick(args, key: str) -> Column:
+    """A5 keyed pick ``MAX(IF(d.key = name, d.value, NULL))`` over the
+    key/value array: ``map_from_entries(args)[name]`` (keys are unique)."""
+    col = F.col(args) if isinstance(args, str) else args
+    return F.element_at(F.map_from_entries(col), F.lit(key))
+
+
+def split_cast(text, to_type: str) -> Column:
+    """A6 ``ARRAY_AGG(SAFE_CAST(item AS T))`` over a ``|||``-joined list:
+    items that do not cast are dropped; an empty result is NULL."""
+    col = F.col(text) if isinstance(text, str) else text
+    items = F.filter(F.transform(F.split(col, r"\|\|\|"), lambda x: x.try_cast(to_type)),
+                     lambda x: x.isNotNull())
+    return F.when(F.size(items) > 0, items)
