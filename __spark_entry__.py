@@ -114,6 +114,14 @@ def _d9_decode_all(spark, sf_dir):
     return fanout.decode_all_events(t.logs(), _specs(t), as_json=True)
 
 
+def _d9_decode_all_calls(spark, sf_dir):
+    """D9 for calls: every registered function decoded in one scan of the
+    traces (both trace fixtures)."""
+    t = _tables(spark, sf_dir)
+    traces = t.traces().unionByName(t.traces_batch())
+    return fanout.decode_all_calls(traces, _specs(t), as_json=True)
+
+
 def _a5_a6_keyed_pick(spark, sf_dir):
     """A5 + A6 over the long form: pick arguments by key, split the
     ``|||`` lists and cast items safely (bigint drops values above 2^63)."""
@@ -172,6 +180,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     # also checked against the wide decoders in tests/test_fanout.py
     q["d9_decode_all_events"] = _d9_decode_all
     q["a5_a6_keyed_pick_split_cast"] = _a5_a6_keyed_pick
+    q["d9_decode_all_calls"] = _d9_decode_all_calls
     return q
 
 
@@ -195,5 +204,6 @@ def oracle_sql() -> dict[str, str]:
         "d4_decode_calls_dynamic": duck.d4_sql(),
         "d9_decode_all_events": duck.d9_sql(),
         "a5_a6_keyed_pick_split_cast": duck.a5_a6_sql(),
+        "d9_decode_all_calls": duck.d9_calls_sql(),
     })
     return o

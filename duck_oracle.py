@@ -507,3 +507,46 @@ SELECT '0x' || sh AS evt_tx_hash, ln AS evt_index, sp.namespace,
        CASE WHEN q % 4 > 0 AND p % 10 <> 0 THEN CAST(q % 4 AS INTEGER) END AS n_values_64
 FROM lv JOIN sp ON sp.hash_id = '{sig.TRANSFER_BATCH}' AND sp.address = {A('s')}
 WHERE kind = 'batch' AND (sp.min_ts IS NULL OR bt >= sp.min_ts)"""
+
+
+def d9_calls_sql() -> str:
+    """Expected long-form call rows over both trace fixtures (ERC-20 style
+    calls from ``orders``, balanceOfBatch calls from ``lineitem``)."""
+    def kv(*pairs):
+        return "to_json([" + ", ".join(f"{{'key': '{k}', 'value': {v}}}" for k, v in pairs) + "])"
+
+    out_bool = "CASE WHEN ok THEN 'true' END"
+    order_layouts = [
+        (0, "0xa9059cbb", kv(("to", A("c")), ("value", "CAST(cents AS VARCHAR)"), ("output_0", out_bool))),
+        (0, "0x23b872dd", kv(("from", A("c")), ("to", A("c + 1")), ("value", "CAST(cents AS VARCHAR)"),
+                             ("output_0", out_bool))),
+        (1, "0x23b872dd", kv(("from", A("c")), ("to", A("c + 1")), ("tokenId", "CAST(cents AS VARCHAR)"),
+                             ("output_0", f"CASE WHEN ok THEN {W('1')} ELSE '' END"))),
+    ]
+    rep = "array_to_string(list_transform(range(q % 4), lambda x: {v}), '|||')"
+    batch = kv(("accounts", f"CASE WHEN ok THEN {rep.format(v=A('o + 1'))} END"),
+               ("ids", f"CASE WHEN ok THEN {rep.format(v='CAST(p AS VARCHAR)')} END"),
+               ("output_0", f"CASE WHEN ok THEN {rep.format(v='CAST(o * 1000 + q AS VARCHAR)')} END"))
+    o_cases = " ".join(f"WHEN (c % 10) % 6 = {o} AND sp.hash_id = '{h}' THEN {e}" for o, h, e in order_layouts)
+    meta_o = _call_meta("ok", "' || m || '", A("c + 1"), "''").replace("'' || m || ''", "m")
+    meta_b = _call_meta("ok", "0x4e1273f4", A("p + 1"), "CAST(ln AS VARCHAR)")
+    return f"""WITH {LINEITEM_KINDS},
+{_orders_calls()},
+om AS (SELECT *, CASE WHEN o % 2 = 0 THEN '0xa9059cbb' ELSE '0x23b872dd' END AS m FROM oc),
+bc AS (
+  SELECT *, ln <> 7 AS ok, '0x' || {SHA('o * 10 + ln')} AS tx, {A('s')} AS addr FROM lv WHERE s % 5 = 2
+),
+{ungrouped_cte()},
+cv AS (SELECT DISTINCT namespace, sub_name, hash_id, address FROM ungrouped WHERE type = 'call'),
+bound AS (SELECT namespace, sub_name, min(min_created_ts) AS min_ts FROM ungrouped WHERE type = 'call'
+          GROUP BY namespace, sub_name),
+sp AS (SELECT cv.*, bound.min_ts FROM cv JOIN bound USING (namespace, sub_name))
+SELECT {meta_o}, sp.sub_name AS "table", true AS layout_supported,
+       CAST(CASE {o_cases} END AS VARCHAR) AS args
+FROM om JOIN sp ON sp.hash_id = om.m AND sp.address = om.addr
+WHERE sp.min_ts IS NULL OR bt >= sp.min_ts
+UNION ALL
+SELECT {meta_b}, sp.sub_name AS "table", true AS layout_supported,
+       CAST(CASE WHEN s % 6 = 2 THEN {batch} END AS VARCHAR) AS args
+FROM bc JOIN sp ON sp.hash_id = '0x4e1273f4' AND sp.address = bc.addr
+WHERE sp.min_ts IS NULL OR bt >= sp.min_ts"""

@@ -59,6 +59,30 @@ _KIND_SQL = """CASE
     WHEN b RLIKE '^bytes[0-9]+$' THEN 'word' END) END"""
 
 
+def _kind_sql() -> str:
+    b = "IF(p.type LIKE '%[]', substr(p.type, 1, length(p.type) - 2), p.type)"
+    nb = f"coalesce(try_cast(nullif(regexp_extract({b}, '^u?int([0-9]*)$', 1), '') AS INT), 256)"
+    return _KIND_SQL.format(fixed=_SQL_FIXED).replace("nb", nb).replace(" b ", f" {b} ").replace(
+        "WHEN b", f"WHEN {b}")
+
+
+def call_layout_sql(inputs: str, outputs: str) -> str:
+    """Layout of a call: arguments after the 4-byte selector (``input``,
+    offsets relative to char 11), results in ``output`` (char 3). A function
+    without outputs gets ``output_0``, the raw first output word."""
+    kind = _kind_sql()
+    key_in = ("IF(coalesce(p.name, '') = '', concat('input_', CAST(i AS STRING)), "
+              "replace(p.name, '_partition', 'partition'))")
+    key_out = ("IF(coalesce(p.name, '') = '', concat('output_', CAST(i AS STRING)), "
+               "concat('output_', p.name))")
+    ins = (f"transform({inputs}, (p, i) -> named_struct('key', {key_in}, 'kind', {kind}, "
+           f"'head', 11 + i * 64, 'src', 'in', 'area', 11))")
+    outs = (f"IF(size({outputs}) = 0, array(named_struct('key', 'output_0', 'kind', 'word', 'head', 3, "
+            f"'src', 'out', 'area', 3)), transform({outputs}, (p, i) -> named_struct('key', {key_out}, "
+            f"'kind', {kind}, 'head', 3 + i * 64, 'src', 'out', 'area', 3)))")
+    return f"concat({ins}, {outs})"
+
+
 def layout_sql(params: str) -> str:
     """``array<struct<key, kind, indexed, topic, head>>`` for a parameter list."""
     b = "IF(p.type LIKE '%[]', substr(p.type, 1, length(p.type) - 2), p.type)"
@@ -94,11 +118,13 @@ def _word_text_sql(kind: str, w: str) -> str:
             f"WHEN {kind} LIKE '%i64' THEN {signed} ELSE {w} END")
 
 
-def _args_sql(text: str = "data") -> str:
-    """Per-row decode over the precomputed layout ``_layout`` (SQL text)."""
+def _args_sql(text: str = "data", area: str = "3", topics: bool = True) -> str:
+    """Per-row decode over the precomputed layout ``_layout`` (SQL text).
+    ``text`` / ``area`` may depend on the argument (calls read ``input``
+    after the selector and ``output``)."""
     w = f"substr({text}, a.head, 64)"
     off = f"IF({_wlong(w)} <= {_MAXW}, {_wlong(w)}, NULL)"
-    start = f"(3 + ({off}) * 2)"
+    start = f"({area} + ({off}) * 2)"
     n = f"IF({_wlong(f'substr({text}, least({start}, {_MAXW - 1}), 64)')} <= {_MAXW}, " \
         f"{_wlong(f'substr({text}, least({start}, {_MAXW - 1}), 64)')}, NULL)"
     payload = (f"IF({start} + 63 + ({n}) * 2 <= length({text}), "
@@ -112,6 +138,8 @@ def _args_sql(text: str = "data") -> str:
                   f"WHEN a.kind = 'bytes' THEN concat('0x', {payload}) "
                   f"WHEN a.kind LIKE 'array:%' THEN {elems} "
                   f"ELSE {_word_text_sql('a.kind', w)} END")
+    if not topics:
+        return f"transform(_layout, a -> named_struct('key', a.key, 'kind', a.kind, 'value', {data_value}))"
     topic = "element_at(array(topic1, topic2, topic3), least(a.topic, 3))"
     topic_value = (f"CASE WHEN a.kind IN ('string', 'bytes') OR a.kind LIKE 'array:%' THEN {topic} "
                    f"ELSE {_word_text_sql('a.kind', f'substr({topic}, 3, 64)')} END")
@@ -211,3 +239,51 @@ def split_cast(text, to_type: str) -> Column:
     items = F.filter(F.transform(F.split(col, r"\|\|\|"), lambda x: x.try_cast(to_type)),
                      lambda x: x.isNotNull())
     return F.when(F.size(items) > 0, items)
+
+
+def call_specs(specs: DataFrame) -> DataFrame:
+    """Call spec rows with the table time bound, the precomputed layout and
+    the success guard (the reference guards only layouts with arrays/tuples)."""
+    s = specs.where(F.col("type") == "call")
+    bound = s.groupBy("namespace", "table").agg(F.min("min_created_ts").alias("min_ts"))
+    full_in = F.from_json("abi_inputs", T.ArrayType(abi_ops.PARAM))
+    full_out = F.from_json("abi_outputs", T.ArrayType(abi_ops.PARAM))
+    both = F.concat(full_in, full_out)
+    supported = F.forall(both, lambda p: ~p["type"].startswith("tuple") & ~p["type"].rlike(r"\[[0-9]+\]")
+                         & ~p["type"].rlike(r"\]\["))
+    guard = F.exists(both, lambda p: p["type"].contains("[") | p["type"].startswith("tuple"))
+    return s.join(bound, ["namespace", "table"]).select(
+        F.col("hash_id").alias("_h"), F.col("contract_address").alias("_a"),
+        "namespace", "table", "min_ts", supported.alias("layout_supported"), guard.alias("_guard"),
+        F.from_json("abi_inputs", _PLAIN_PARAMS).alias("_pin"),
+        F.from_json("abi_outputs", _PLAIN_PARAMS).alias("_pout"),
+    ).select("*", F.expr(call_layout_sql("_pin", "_pout")).alias("_layout")).drop("_pin", "_pout")
+
+
+def decode_all_calls(traces: DataFrame, specs: DataFrame, as_json: bool = False) -> DataFrame:
+    """D9 (calls) + D5 long form, one scan of ``traces``."""
+    sp = call_specs(specs)
+    joined = traces.join(sp, (F.col("method_id") == F.col("_h")) & (F.col("to") == F.col("_a")))
+    joined = joined.where(F.col("min_ts").isNull() | (F.col("block_time") >= F.col("min_ts")))
+    failed = F.col("_guard") & ~F.coalesce(F.col("success"), F.lit(False))
+    staged = joined.select("*", F.when(~failed, F.col("input")).alias("_in"),
+                           F.when(~failed, F.col("output")).alias("_out"))
+    raw = F.when(F.col("layout_supported"),
+                 F.expr(_args_sql("IF(a.src = 'out', _out, _in)", "a.area", topics=False)))
+    native = staged.select(*dec.call_meta(), "namespace", "table", "layout_supported", raw.alias("_raw"))
+    return _finish_frame(native, as_json)
+
+
+def _finish_frame(native: DataFrame, as_json: bool) -> DataFrame:
+    out_type = T.StringType() if as_json else T.ArrayType(ARG)
+    schema = T.StructType([f for f in native.schema.fields if f.name != "_raw"]
+                          + [T.StructField("args", out_type)])
+    finish = _finish_json if as_json else _finish
+
+    def batches(it: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in it:
+            raw_col = pdf.pop("_raw")
+            pdf["args"] = [None if r is None else finish([dict(x) for x in r]) for r in raw_col]
+            yield pdf
+
+    return native.mapInPandas(batches, schema)
