@@ -29,6 +29,7 @@ from logloom.operators import registry as reg  # noqa: E402
 from logloom.operators import tokens as tk  # noqa: E402
 from logloom.plans import fanout  # noqa: E402
 from logloom.plans.catalog import ChainTables  # noqa: E402
+from logloom.functions import words as wd  # noqa: E402
 from logloom.session import apply_defaults  # noqa: E402
 
 SF0001 = "/root/testdata/sf0.001"
@@ -114,6 +115,58 @@ def _d9_decode_all(spark, sf_dir):
     return fanout.decode_all_events(t.logs(), _specs(t), as_json=True)
 
 
+def _f_words(spark, sf_dir):
+    """F1-F9 over every log row: address from a topic, i-th data word,
+    first/last word, hexToInt, INT64 / BIGNUMERIC / BOOL safe casts."""
+    t = _tables(spark, sf_dir)
+    logs = t.logs()
+    d0 = wd.data_word("data", 0)
+    first = wd.first_word("data")
+    return logs.select(
+        F.col("tx_hash").alias("evt_tx_hash"), F.col("index").alias("evt_index"),
+        wd.word_to_address("topic1").alias("t1_address"),
+        d0.alias("d0"), wd.data_word("data", 1).alias("d1"),
+        first.alias("first_word"), wd.last_word("data").alias("last_word"),
+        wd.hex_to_decimal(wd.prefixed(d0)).alias("d0_int"),
+        wd.hex_to_long("topic3").alias("t3_int64"),
+        wd.bignumeric_range(wd.hex_to_decimal(first)).alias("d0_bignumeric"),
+        wd.hex_to_bool(first).alias("d0_bool"),
+    )
+
+
+def _registry(t: ChainTables):
+    return reg.signature_registry(t.address_to_ordinal(), t.abi_to_ordinal(),
+                                  t.contracts(partial=True), t.spellbook_dependent_names(), ordered=False)
+
+
+def _d7_contract_addresses(spark, sf_dir):
+    """D7/F16 in the reference's shape: the registry's JSON address lists
+    exploded to rows, keyed by name (``scope='sub_name'``)."""
+    t = _tables(spark, sf_dir)
+    r = _registry(t)
+    return r.select("sub_name", F.explode(F.from_json("contract_addresses", "array<string>"))
+                    .alias("contract_address")).distinct()
+
+
+def _f21_registry_specs(spark, sf_dir):
+    """F21 (JSON list cell -> spec, '[null]' / '[\"\"]' -> default), S11 schema
+    name, S13 table name, from each registry row."""
+    t = _tables(spark, sf_dir)
+    r = _registry(t)
+    empty = F.col("inputs_").isin('[null]', '[""]')
+    empty_out = F.col("outputs").isin('[null]', '[""]')
+    first_in = F.element_at(F.from_json("inputs_", "array<string>"), 1)
+    first_out = F.element_at(F.from_json("outputs", "array<string>"), 1)
+    return r.select(
+        "sub_name", "type", "contract_name", "namespace",
+        reg.table_name(F.col("sub_name")).alias("table_name"),
+        reg.output_schema(F.col("namespace")).alias("schema_name"),
+        F.when(empty, F.lit("[]")).otherwise(F.concat(F.lit("["), first_in, F.lit("]"))).alias("input_spec"),
+        F.when(empty_out, F.lit('[{"name":"output_0","type":"STRING"}]'))
+        .otherwise(F.concat(F.lit("["), first_out, F.lit("]"))).alias("output_spec"),
+    )
+
+
 def _d9_decode_all_calls(spark, sf_dir):
     """D9 for calls: every registered function decoded in one scan of the
     traces (both trace fixtures)."""
@@ -181,6 +234,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     q["d9_decode_all_events"] = _d9_decode_all
     q["a5_a6_keyed_pick_split_cast"] = _a5_a6_keyed_pick
     q["d9_decode_all_calls"] = _d9_decode_all_calls
+    q["f1_f9_word_functions"] = _f_words
+    q["d7_f16_contract_addresses"] = _d7_contract_addresses
+    q["f21_s11_s13_registry_specs"] = _f21_registry_specs
     return q
 
 
@@ -205,5 +261,8 @@ def oracle_sql() -> dict[str, str]:
         "d9_decode_all_events": duck.d9_sql(),
         "a5_a6_keyed_pick_split_cast": duck.a5_a6_sql(),
         "d9_decode_all_calls": duck.d9_calls_sql(),
+        "f1_f9_word_functions": duck.words_sql(),
+        "d7_f16_contract_addresses": duck.contract_addresses_sql(),
+        "f21_s11_s13_registry_specs": duck.registry_specs_sql(),
     })
     return o

@@ -550,3 +550,49 @@ SELECT {meta_b}, sp.sub_name AS "table", true AS layout_supported,
        CAST(CASE WHEN s % 6 = 2 THEN {batch} END AS VARCHAR) AS args
 FROM bc JOIN sp ON sp.hash_id = '0x4e1273f4' AND sp.address = bc.addr
 WHERE sp.min_ts IS NULL OR bt >= sp.min_ts"""
+
+
+# --- word primitives (F1-F9) over every log row ------------------------------
+
+def words_sql() -> str:
+    whex = "CASE WHEN p % 10 = 0 THEN sh ELSE " + W("o * 1000 + q") + " END"
+    uri_pay = "rpad(lower(hex('uri-' || lpad(CAST(p AS VARCHAR), 8, '0'))), 64, '0')"
+    one_word = "kind IN ('transfer', 'approval', 'transfer721', 'approval721')"
+    d0 = (f"CASE WHEN {one_word} THEN {whex} WHEN kind = 'approvalforall' THEN {W('o % 2')} "
+          f"WHEN kind = 'single' THEN {W('p')} WHEN kind = 'batch' THEN {W('64')} ELSE {W('32')} END")
+    d1 = (f"CASE WHEN kind = 'single' THEN {whex} WHEN kind = 'batch' THEN {W('64 + 32 * (1 + q % 4)')} "
+          f"WHEN kind = 'uri' THEN {W('12')} ELSE '' END")
+    last = (f"CASE WHEN {one_word} OR kind = 'single' THEN {whex} WHEN kind = 'approvalforall' THEN {W('o % 2')} "
+            f"WHEN kind = 'batch' THEN CASE WHEN q % 4 > 0 THEN {whex} ELSE {W('0')} END ELSE {uri_pay} END")
+    d0_int = ("CASE WHEN " + one_word + " THEN wdec WHEN kind = 'approvalforall' THEN CAST(o % 2 AS VARCHAR) "
+              "WHEN kind = 'single' THEN CAST(p AS VARCHAR) WHEN kind = 'batch' THEN '64' ELSE '32' END")
+    bign = f"CASE WHEN {one_word} AND p % 10 = 0 THEN NULL ELSE {d0_int} END"
+    d0_bool = (f"CASE WHEN {one_word} THEN CASE WHEN p % 10 = 0 THEN NULL ELSE true END "
+               "WHEN kind = 'approvalforall' THEN o % 2 <> 0 WHEN kind = 'single' THEN p <> 0 ELSE true END")
+    t3_long = ("CASE WHEN kind IN ('transfer721', 'approval721') THEN wlong "
+               "WHEN kind IN ('single', 'batch') THEN q + 1 END")
+    t1_addr = f"CASE WHEN kind = 'uri' THEN {A('p')} ELSE {A('p + 1')} END"
+    return f"""WITH {LINEITEM_KINDS}
+SELECT '0x' || sh AS evt_tx_hash, ln AS evt_index, {t1_addr} AS t1_address,
+       {d0} AS d0, {d1} AS d1, '0x' || ({d0}) AS first_word, {last} AS last_word,
+       {d0_int} AS d0_int, {t3_long} AS t3_int64, {bign} AS d0_bignumeric, {d0_bool} AS d0_bool
+FROM lv"""
+
+
+def contract_addresses_sql() -> str:
+    return f"""WITH reg AS ({signature_registry_sql()})
+SELECT DISTINCT sub_name, CAST(a AS VARCHAR) AS contract_address
+FROM reg, unnest(CAST(json(contract_addresses) AS VARCHAR[])) AS t(a)"""
+
+
+def registry_specs_sql() -> str:
+    default_out = '[{"name":"output_0","type":"STRING"}]'
+    return f"""WITH reg AS ({signature_registry_sql()})
+SELECT sub_name, type, contract_name, namespace,
+       replace(replace(sub_name, '.', '_'), '++', '') AS table_name,
+       namespace || '_ethereum' AS schema_name,
+       CASE WHEN inputs_ IN ('[null]', '[""]') THEN '[]'
+            ELSE '[' || json_extract_string(inputs_, '$[0]') || ']' END AS input_spec,
+       CASE WHEN outputs IN ('[null]', '[""]') THEN '{default_out}'
+            ELSE '[' || json_extract_string(outputs, '$[0]') || ']' END AS output_spec
+FROM reg"""
