@@ -71,11 +71,20 @@ def _m1_abi_catalog(spark, sf_dir):
 
 
 def _x_entries(kind: str):
+    """X2 / X3 as the reference calls them: per catalog row (address, contract
+    name), the events or functions of its ABI, named ``{Contract}_evt_{Event}``
+    / ``{Contract}_call_{Function}``. ABI text is parsed once per distinct ABI
+    and joined to the (growing) address catalog."""
     def run(spark, sf_dir):
         t = _tables(spark, sf_dir)
         e = abi_ops.with_hash_ids(abi_ops.signature_entries(t.abi_to_ordinal()))
-        return e.where(F.col("type") == kind).select(
-            "ordinal", "type", "entry_name", "signature", "inputs", "outputs", "hash_id")
+        cat = t.address_to_ordinal().select(
+            "address", "ordinal", reg.sanitize(F.col("name")).alias("contract_name"))
+        infix = "_evt_" if kind == "event" else "_call_"
+        return cat.join(e.where(F.col("type") == kind), "ordinal").select(
+            "address", "contract_name", "ordinal", "type",
+            F.concat("contract_name", F.lit(infix), "entry_name").alias("sub_name"),
+            "signature", "inputs", "outputs", "hash_id")
     return run
 
 

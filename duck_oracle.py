@@ -296,8 +296,11 @@ def abi_catalog_sql() -> str:
 
 
 def signature_entries_sql(kind: str) -> str:
-    return (f"WITH {entries_cte()}\nSELECT CAST(ordinal AS BIGINT) AS ordinal, type, entry_name, signature, "
-            f"inputs, outputs, hash_id FROM hashed WHERE type = '{kind}'")
+    infix = "_evt_" if kind == "event" else "_call_"
+    return (f"WITH {entries_cte()},\n{seeds_cte()}\n"
+            f"SELECT cat.address, cat.contract_name, CAST(cat.ordinal AS BIGINT) AS ordinal, h.type, "
+            f"cat.contract_name || '{infix}' || h.entry_name AS sub_name, h.signature, h.inputs, h.outputs, "
+            f"h.hash_id FROM cat JOIN hashed h ON h.ordinal = cat.ordinal WHERE h.type = '{kind}'")
 
 
 def ungrouped_cte() -> str:

@@ -52,11 +52,16 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
-    On a cluster this setting points at shared storage and is used as is. Only
-    when it is unset (local tests) a scratch folder is created for it.
+    On a cluster this setting points at shared storage and is used as is (and
+    is required). Only in local mode, when it is unset (tests), a scratch
+    folder is created for it.
     """
     path = spark.conf.get("spark.checkpoint.dir", None)
     if not path:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (e.g. on the cluster's "
+                               "distributed file system); a machine-local folder would not survive "
+                               "the loss of an executor")
         path = tempfile.mkdtemp(prefix="logloom-ckpt-")
         spark.conf.set("spark.checkpoint.dir", path)
     spark.sparkContext.setCheckpointDir(path)
