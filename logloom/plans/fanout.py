@@ -25,7 +25,7 @@ from __future__ import annotations
 from typing import Iterator
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -177,17 +177,23 @@ def _finish_json_udf(s: pd.Series) -> pd.Series:
     return s.map(_finish_json, na_action="ignore")
 
 
+def _table_bound() -> Column:
+    """Table-level lower time bound (group minimum of creation times, as the
+    reference applies it) as a window over the spec rows -- a self-join with
+    an aggregate would compute the whole registry lineage twice."""
+    return F.min("min_created_ts").over(Window.partitionBy("namespace", "table"))
+
+
 def event_specs(specs: DataFrame) -> DataFrame:
     """Event spec rows with the table-level lower time bound and the
     precomputed argument layout (one row per hash x address; small)."""
     s = specs.where(F.col("type") == "event")
-    bound = s.groupBy("namespace", "table").agg(F.min("min_created_ts").alias("min_ts"))
     full = F.from_json("abi_inputs", T.ArrayType(abi_ops.PARAM))
     supported = F.forall(full, lambda p: ~p["type"].startswith("tuple") & ~p["type"].rlike(r"\[[0-9]+\]")
                          & ~p["type"].rlike(r"\]\["))
-    return s.join(bound, ["namespace", "table"]).select(
+    return s.select(
         F.col("hash_id").alias("_h"), F.col("contract_address").alias("_a"),
-        "namespace", "table", "min_ts", supported.alias("layout_supported"),
+        "namespace", "table", _table_bound().alias("min_ts"), supported.alias("layout_supported"),
         F.from_json("abi_inputs", _PLAIN_PARAMS).alias("_params"),
     ).select("*", F.expr(layout_sql("_params")).alias("_layout")).drop("_params")
 
@@ -245,16 +251,16 @@ def call_specs(specs: DataFrame) -> DataFrame:
     """Call spec rows with the table time bound, the precomputed layout and
     the success guard (the reference guards only layouts with arrays/tuples)."""
     s = specs.where(F.col("type") == "call")
-    bound = s.groupBy("namespace", "table").agg(F.min("min_created_ts").alias("min_ts"))
     full_in = F.from_json("abi_inputs", T.ArrayType(abi_ops.PARAM))
     full_out = F.from_json("abi_outputs", T.ArrayType(abi_ops.PARAM))
     both = F.concat(full_in, full_out)
     supported = F.forall(both, lambda p: ~p["type"].startswith("tuple") & ~p["type"].rlike(r"\[[0-9]+\]")
                          & ~p["type"].rlike(r"\]\["))
     guard = F.exists(both, lambda p: p["type"].contains("[") | p["type"].startswith("tuple"))
-    return s.join(bound, ["namespace", "table"]).select(
+    return s.select(
         F.col("hash_id").alias("_h"), F.col("contract_address").alias("_a"),
-        "namespace", "table", "min_ts", supported.alias("layout_supported"), guard.alias("_guard"),
+        "namespace", "table", _table_bound().alias("min_ts"), supported.alias("layout_supported"),
+        guard.alias("_guard"),
         F.from_json("abi_inputs", _PLAIN_PARAMS).alias("_pin"),
         F.from_json("abi_outputs", _PLAIN_PARAMS).alias("_pout"),
     ).select("*", F.expr(call_layout_sql("_pin", "_pout")).alias("_layout")).drop("_pin", "_pout")
