@@ -96,12 +96,12 @@ def _a1_ungrouped(spark, sf_dir):
 def _m2_registry(spark, sf_dir):
     t = _tables(spark, sf_dir)
     return reg.signature_registry(t.address_to_ordinal(), t.abi_to_ordinal(),
-                                  t.contracts(partial=True), t.spellbook_dependent_names())
+                                  t.contracts(partial=True), t.allow_list())
 
 
 def _m13_prices(spark, sf_dir):
     t = _tables(spark, sf_dir)
-    return px.usd(t.token_prices(), t.tokens_coinpaprika(), t.tokens())
+    return px.usd(t.token_prices(), t.coin_map(), t.tokens())
 
 
 def _specs(t: ChainTables):
@@ -145,7 +145,7 @@ def _f_words(spark, sf_dir):
 
 def _registry(t: ChainTables):
     return reg.signature_registry(t.address_to_ordinal(), t.abi_to_ordinal(),
-                                  t.contracts(partial=True), t.spellbook_dependent_names(), ordered=False)
+                                  t.contracts(partial=True), t.allow_list(), ordered=False)
 
 
 def _d7_contract_addresses(spark, sf_dir):

@@ -14,8 +14,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def usd(token_prices: DataFrame, tokens_coinpaprika: DataFrame, tokens: DataFrame) -> DataFrame:
-    coins = tokens_coinpaprika.where(F.col("contract").isNotNull()).select(
+def usd(token_prices: DataFrame, coin_map: DataFrame, tokens: DataFrame) -> DataFrame:
+    coins = coin_map.where(F.col("contract").isNotNull()).select(
         F.col("id").alias("coin_id"), F.col("contract").alias("contract_address"), "symbol")
     dims = tokens.select(F.col("address").alias("contract_address"), "decimals")
     return (token_prices.join(coins, "coin_id")

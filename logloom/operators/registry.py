@@ -34,7 +34,7 @@ def output_schema(namespace: Column, target_prefix: str | None = None) -> Column
 
 
 def abi_catalog(address_to_ordinal: DataFrame, abi_to_ordinal: DataFrame) -> DataFrame:
-    """M1 ``dune_abis``: address, sanitised name/namespace, ordinal, abi (JN1)."""
+    """M1 ABI catalog view: address, sanitised name/namespace, ordinal, abi (JN1)."""
     return address_to_ordinal.join(abi_to_ordinal, "ordinal", "left").select(
         "address", sanitize(F.col("name")).alias("name"), sanitize(F.col("namespace")).alias("namespace"),
         "ordinal", "abi")

@@ -50,17 +50,17 @@ class ChainTables:
     def abi_to_ordinal(self) -> DataFrame:
         return self._load("abi_to_ordinal", lambda: fixtures.abi_to_ordinal(self.spark))
 
-    def spellbook_dependent_names(self) -> DataFrame:
-        return self._load("spellbook_dependent_names",
-                          lambda: fixtures.spellbook_dependent_names(self.spark))
+    def allow_list(self) -> DataFrame:
+        return self._load("allow_list",
+                          lambda: fixtures.allow_list(self.spark))
 
     # price feed inputs
     def token_prices(self) -> DataFrame:
         return self._load("token_prices", lambda: fixtures.token_prices(self.spark, self.sf_dir))
 
-    def tokens_coinpaprika(self) -> DataFrame:
-        return self._load("tokens_coinpaprika",
-                          lambda: fixtures.tokens_coinpaprika(self.spark, self.sf_dir))
+    def coin_map(self) -> DataFrame:
+        return self._load("coin_map",
+                          lambda: fixtures.coin_map(self.spark, self.sf_dir))
 
     def tokens(self) -> DataFrame:
         return self._load("tokens", lambda: fixtures.tokens(self.spark, self.sf_dir))

@@ -222,7 +222,7 @@ def abi_to_ordinal(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame(rows, "ordinal bigint, abi string")
 
 
-def spellbook_dependent_names(spark: SparkSession) -> DataFrame:
+def allow_list(spark: SparkSession) -> DataFrame:
     from .abis import ALLOW_LIST
 
     return spark.createDataFrame([(n,) for n in ALLOW_LIST], "sub_name string")
@@ -237,7 +237,7 @@ def token_prices(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def tokens_coinpaprika(spark: SparkSession, sf_dir: str) -> DataFrame:
+def coin_map(spark: SparkSession, sf_dir: str) -> DataFrame:
     p = F.col("p_partkey")
     return read(spark, sf_dir, "part", "p_partkey", "p_brand").where(p < 20).select(
         F.concat(F.lit("coin-"), p.cast("string")).alias("id"),

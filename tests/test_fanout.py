@@ -50,7 +50,7 @@ def test_decode_all_matches_wide(spark):
 def test_registry_csv_roundtrip(spark):
     t = ChainTables(spark, SF_SMALL)
     r = reg.signature_registry(t.address_to_ordinal(), t.abi_to_ordinal(), t.contracts(partial=True),
-                               t.spellbook_dependent_names(), ordered=False)
+                               t.allow_list(), ordered=False)
     d = tempfile.mkdtemp(prefix="logloom-csv-")
     registry_csv.write_registry_csv(r, d)
     back = registry_csv.read_registry_csv(spark, d)
