@@ -134,9 +134,9 @@ def token_tables_sql() -> dict[str, str]:
             f"{ERC1155} AND kind = 'single'", sig.TRANSFER_SINGLE),
         "m11_erc1155_transfer_batch": _token_sql(
             f"{A('o + 1')} AS \"from\", "
-            "to_json(list_transform(range(q % 4), lambda x: CAST(p AS VARCHAR))) AS ids, "
+            "CAST(to_json(list_transform(range(q % 4), lambda x: CAST(p AS VARCHAR))) AS VARCHAR) AS ids, "
             f"{A('p + 1')} AS operator, {A('q + 1')} AS \"to\", "
-            "to_json(list_transform(range(q % 4), lambda x: wdec)) AS \"values\"",
+            "CAST(to_json(list_transform(range(q % 4), lambda x: wdec)) AS VARCHAR) AS \"values\"",
             f"{ERC1155} AND kind = 'batch'", sig.TRANSFER_BATCH),
         "m12_erc1155_uri": _token_sql(
             f"CAST(p AS VARCHAR) AS id, {uri_value} AS \"value\", "
@@ -316,7 +316,7 @@ ungrouped AS (
 
 
 def _jlist(c: str) -> str:
-    return f"to_json(list_sort(list(DISTINCT {c}), 'ASC', 'NULLS FIRST'))"
+    return f"CAST(to_json(list_sort(list(DISTINCT {c}), 'ASC', 'NULLS FIRST')) AS VARCHAR)"
 
 
 def signature_registry_sql() -> str:
@@ -374,8 +374,8 @@ def d2_batch_sql() -> str:
     return decode_event_sql(
         "Token_V2_evt_TransferBatch",
         f"{A('p + 1')} AS operator, {A('o + 1')} AS \"from\", {A('q + 1')} AS \"to\", "
-        "to_json(list_transform(range(q % 4), lambda x: CAST(p AS VARCHAR))) AS ids, "
-        "to_json(list_transform(range(q % 4), lambda x: wdec)) AS \"values\"",
+        "CAST(to_json(list_transform(range(q % 4), lambda x: CAST(p AS VARCHAR))) AS VARCHAR) AS ids, "
+        "CAST(to_json(list_transform(range(q % 4), lambda x: wdec)) AS VARCHAR) AS \"values\"",
         ["batch"], sig.TRANSFER_BATCH)
 
 
@@ -417,9 +417,9 @@ bc AS (
   SELECT *, ln <> 7 AS ok, '0x' || {SHA('o * 10 + ln')} AS tx, {A('s')} AS addr FROM lv WHERE s % 5 = 2
 ),
 {_spec_cte('Token_V2_call_balanceOfBatch')}
-SELECT CASE WHEN ok THEN to_json(list_transform(range(q % 4), lambda x: {A('o + 1')})) END AS accounts,
-       CASE WHEN ok THEN to_json(list_transform(range(q % 4), lambda x: CAST(p AS VARCHAR))) END AS ids,
-       CASE WHEN ok THEN to_json(list_transform(range(q % 4), lambda x: CAST(o * 1000 + q AS VARCHAR))) END AS output_0,
+SELECT CASE WHEN ok THEN CAST(to_json(list_transform(range(q % 4), lambda x: {A('o + 1')})) AS VARCHAR) END AS accounts,
+       CASE WHEN ok THEN CAST(to_json(list_transform(range(q % 4), lambda x: CAST(p AS VARCHAR))) AS VARCHAR) END AS ids,
+       CASE WHEN ok THEN CAST(to_json(list_transform(range(q % 4), lambda x: CAST(o * 1000 + q AS VARCHAR))) AS VARCHAR) END AS output_0,
        {_call_meta('ok', '0x4e1273f4', A('p + 1'), 'CAST(ln AS VARCHAR)').replace('o AS call_block_number', 'o AS call_block_number')}
 FROM bc JOIN spec sp ON sp.address = addr AND sp.hash_id = '0x4e1273f4'
 WHERE (sp.min_ts IS NULL OR bt >= sp.min_ts)"""

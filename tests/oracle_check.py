@@ -31,6 +31,17 @@ def duck_connection(sf_dir: str):
     return con
 
 
+def _spark_type(t) -> str:
+    """DuckDB type-name prefix a Spark type should map to."""
+    name = t.simpleString()
+    for prefix, duck in (("string", "VARCHAR"), ("bigint", "BIGINT"), ("int", "INTEGER"),
+                         ("boolean", "BOOL"), ("timestamp_ntz", "TIMESTAMP"), ("double", "DOUBLE"),
+                         ("decimal", "DECIMAL"), ("array", "")):
+        if name.startswith(prefix):
+            return duck
+    return name.upper()
+
+
 def _norm(v):
     if v is None:
         return None
@@ -68,6 +79,12 @@ def compare(spark, sf_dir: str, key: str, con=None) -> tuple[bool, str]:
     d_rows = res.fetchall()
     if sorted(s_cols) != sorted(d_cols):
         return False, f"{key}: columns differ spark={sorted(s_cols)} duck={sorted(d_cols)}"
+    s_types = {f.name: _spark_type(f.dataType) for f in sdf.schema.fields}
+    d_types = {d[0]: str(d[1]).upper() for d in res.description}
+    bad_types = {c: (s_types[c], d_types[c]) for c in s_cols
+                 if not d_types[c].startswith(s_types[c])}
+    if bad_types:
+        return False, f"{key}: column types differ {bad_types}"
     order = sorted(range(len(s_cols)), key=lambda i: s_cols[i])
     d_index = {c: i for i, c in enumerate(d_cols)}
     s_norm = sorted((tuple(_norm(r[i]) for i in order) for r in s_rows), key=_key)
