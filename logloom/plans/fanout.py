@@ -293,3 +293,21 @@ def _finish_frame(native: DataFrame, as_json: bool) -> DataFrame:
             yield pdf
 
     return native.mapInPandas(batches, schema)
+
+
+def materialize_tables(source: DataFrame, specs: DataFrame, tables: list[str], kind: str,
+                       root: str, target_prefix: str | None = None) -> list[str]:
+    """S9 + S11: write requested wide tables as full rebuilds (``overwrite``),
+    one decode pass per table, partitioned by its output schema
+    ``[prefix_]{namespace}_ethereum`` -> ``{root}/{table}/schema=.../``.
+    Returns the written table paths."""
+    from ..operators import registry as reg
+
+    written = []
+    for table in tables:
+        df = dec.decode_table(source, specs, table, kind)
+        path = f"{root}/{table}"
+        (df.withColumn("schema", reg.output_schema(F.col("namespace"), target_prefix)).drop("namespace")
+         .write.mode("overwrite").partitionBy("schema").parquet(path))
+        written.append(path)
+    return written

@@ -108,3 +108,15 @@ def test_clustered_sink_and_reduce_abi(spark):
     assert sorted(red) == [1, 2]
     assert len(red[1]) == 2 and len(red[2]) == 1
     assert all(e["name"] == "safeTransferFrom" for v in red.values() for e in v)
+
+
+def test_materialize_tables(spark):
+    t = ChainTables(spark, SF_SMALL)
+    d = tempfile.mkdtemp(prefix="logloom-tables-")
+    specs = _specs(t)
+    paths = fanout.materialize_tables(t.logs(), specs, ["Token_V0_evt_Transfer"], "event", d, "dev")
+    assert paths == [f"{d}/Token_V0_evt_Transfer"]
+    back = spark.read.parquet(paths[0])
+    schemas = {r.schema for r in back.select("schema").distinct().collect()}
+    assert schemas and all(x.startswith("dev_proj_") and x.endswith("_ethereum") for x in schemas)
+    assert back.count() == dec.decode_table(t.logs(), specs, "Token_V0_evt_Transfer", "event").count()
