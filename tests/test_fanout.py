@@ -120,3 +120,21 @@ def test_materialize_tables(spark):
     schemas = {r.schema for r in back.select("schema").distinct().collect()}
     assert schemas and all(x.startswith("dev_proj_") and x.endswith("_ethereum") for x in schemas)
     assert back.count() == dec.decode_table(t.logs(), specs, "Token_V0_evt_Transfer", "event").count()
+
+
+def test_streaming_decode_all(spark):
+    from logloom.streaming.tokens import decode_all_stream
+
+    t = ChainTables(spark, SF_SMALL)
+    d = tempfile.mkdtemp(prefix="logloom-stream-d9-")
+    logs = t.logs()
+    logs.write.mode("overwrite").parquet(f"{d}/logs")
+    specs = _specs(t)
+    stream = decode_all_stream(spark, f"{d}/logs", logs.schema, specs)
+    q = (stream.writeStream.format("memory").queryName("d9_stream")
+         .option("checkpointLocation", f"{d}/ckpt").start())
+    q.processAllAvailable()
+    q.stop()
+    got = spark.sql("SELECT count(*) AS n, count(args) AS a FROM d9_stream").first()
+    exp = fanout.decode_all_events(logs, specs).count()
+    assert got.n == exp == got.a and exp > 0
