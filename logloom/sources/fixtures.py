@@ -25,11 +25,30 @@ def read_spread(spark: SparkSession, sf_dir: str, name: str, key: str, *cols: st
     """Read a driver table and hash-partition it on ``key`` before encoding.
 
     The driver files hold one row group each, so a scan is a single task; the
-    per-row encoding (sha2, hex words) would then run on one core. Real chain
-    tables are many files; this gives the fixture the same parallelism.
+    per-row encoding (sha2, hex words) would then run on one core. Only such a
+    file (fewer row groups than the parallelism, checked from its footer) is
+    spread; directories and well-split files are read as is, with no shuffle.
     Hash partitioning (not round robin) keeps task retries deterministic."""
     df = read(spark, sf_dir, name, *cols)
-    return df.repartition(spark.sparkContext.defaultParallelism, key)
+    parallelism = spark.sparkContext.defaultParallelism
+    if _row_groups(f"{sf_dir}/{name}.parquet") >= parallelism:
+        return df  # the scan already splits: no shuffle
+    return df.repartition(parallelism, key)
+
+
+def _row_groups(path: str) -> int:
+    """Row groups of a single local Parquet file (footer only); a directory or
+    any non-local path counts as already split."""
+    import os
+
+    if not os.path.isfile(path):
+        return 1 << 30
+    try:
+        import pyarrow.parquet as pq
+
+        return pq.ParquetFile(path).metadata.num_row_groups
+    except Exception:  # unreadable footer: let Spark decide
+        return 1 << 30
 
 
 def W(n: Column) -> Column:
