@@ -176,6 +176,26 @@ def _f21_registry_specs(spark, sf_dir):
     )
 
 
+def _x6_document(spark, sf_dir):
+    """X6 decoded documents ({"topic": ..., "data": ...}) of two tables, read
+    back by JSON path: F10 JSON_VALUE (scalars only) + BIGNUMERIC safe cast,
+    F12 JSON_VALUE_ARRAY."""
+    t = _tables(spark, sf_dir)
+    doc = fanout.decode_all_events(t.logs(), _specs(t), as_json="document")
+    doc = doc.where(F.col("table").isin("Token_V0_evt_Transfer", "Token_V2_evt_TransferBatch"))
+    ids = fanout.json_value_array("args", "$.data.ids")
+    value_text = fanout.json_value("args", "$.data.value")
+    return doc.select(
+        "evt_tx_hash", "evt_index", "namespace", "table", F.col("args").alias("document"),
+        fanout.json_value("args", "$.topic.from").alias("topic_from"),
+        value_text.alias("value_text"),
+        wd.bignumeric_range(value_text).alias("value_bignumeric"),
+        fanout.json_value("args", "$.data.ids").alias("ids_as_scalar"),
+        F.when(ids.isNotNull(), F.size(ids)).alias("n_ids"),
+        F.try_element_at(ids, F.lit(1)).alias("first_id"),
+    )
+
+
 def _d9_decode_all_calls(spark, sf_dir):
     """D9 for calls: every registered function decoded in one scan of the
     traces (both trace fixtures)."""
@@ -246,6 +266,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     q["f1_f9_word_functions"] = _f_words
     q["d7_f16_contract_addresses"] = _d7_contract_addresses
     q["f21_s11_s13_registry_specs"] = _f21_registry_specs
+    q["x6_f10_f12_json_document"] = _x6_document
     return q
 
 
@@ -273,5 +294,6 @@ def oracle_sql() -> dict[str, str]:
         "f1_f9_word_functions": duck.words_sql(),
         "d7_f16_contract_addresses": duck.contract_addresses_sql(),
         "f21_s11_s13_registry_specs": duck.registry_specs_sql(),
+        "x6_f10_f12_json_document": duck.document_sql(),
     })
     return o

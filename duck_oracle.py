@@ -599,3 +599,33 @@ SELECT sub_name, type, contract_name, namespace,
        CASE WHEN outputs IN ('[null]', '[""]') THEN '{default_out}'
             ELSE '[' || json_extract_string(outputs, '$[0]') || ']' END AS output_spec
 FROM reg"""
+
+
+def document_sql() -> str:
+    """X6 decoded documents of two tables, read back by JSON path (F10 scalar
+    JSON_VALUE with a BIGNUMERIC safe cast, F12 JSON_VALUE_ARRAY)."""
+    t_doc = (f"to_json({{'topic': {{'from': {A('p + 1')}, 'to': {A('o + 1')}}}, "
+             f"'data': {{'value': wdec}}}})")
+    lst = "list_transform(range(q % 4), lambda x: {v})"
+    b_doc = (f"to_json({{'topic': {{'operator': {A('p + 1')}, 'from': {A('o + 1')}, 'to': {A('q + 1')}}}, "
+             f"'data': {{'ids': {lst.format(v='CAST(p AS VARCHAR)')}, 'values': {lst.format(v='wdec')}}}}})")
+    is_t = f"sp.hash_id = '{sig.TRANSFER}'"
+    return f"""WITH {LINEITEM_KINDS},
+{ungrouped_cte()},
+ev AS (SELECT DISTINCT namespace, sub_name, hash_id, address FROM ungrouped
+       WHERE type = 'event' AND sub_name IN ('Token_V0_evt_Transfer', 'Token_V2_evt_TransferBatch')),
+bound AS (SELECT namespace, sub_name, min(min_created_ts) AS min_ts FROM ungrouped WHERE type = 'event'
+          GROUP BY namespace, sub_name),
+sp AS (SELECT ev.*, bound.min_ts FROM ev JOIN bound USING (namespace, sub_name)),
+lh AS (SELECT *, CASE WHEN kind IN ('transfer', 'transfer721') THEN '{sig.TRANSFER}'
+                      WHEN kind = 'batch' THEN '{sig.TRANSFER_BATCH}' END AS eh FROM lv)
+SELECT '0x' || sh AS evt_tx_hash, ln AS evt_index, sp.namespace, sp.sub_name AS "table",
+       CAST(CASE WHEN {is_t} THEN {t_doc} ELSE {b_doc} END AS VARCHAR) AS document,
+       CASE WHEN {is_t} THEN {A('p + 1')} ELSE {A('o + 1')} END AS topic_from,
+       CASE WHEN {is_t} THEN wdec END AS value_text,
+       CASE WHEN {is_t} AND p % 10 <> 0 THEN wdec END AS value_bignumeric,
+       CAST(NULL AS VARCHAR) AS ids_as_scalar,
+       CASE WHEN NOT {is_t} THEN CAST(q % 4 AS INTEGER) END AS n_ids,
+       CASE WHEN NOT {is_t} AND q % 4 > 0 THEN CAST(p AS VARCHAR) END AS first_id
+FROM lh JOIN sp ON sp.hash_id = lh.eh AND sp.address = {A('s')}
+WHERE sp.min_ts IS NULL OR bt >= sp.min_ts"""

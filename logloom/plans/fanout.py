@@ -139,12 +139,14 @@ def _args_sql(text: str = "data", area: str = "3", topics: bool = True) -> str:
                   f"WHEN a.kind LIKE 'array:%' THEN {elems} "
                   f"ELSE {_word_text_sql('a.kind', w)} END")
     if not topics:
-        return f"transform(_layout, a -> named_struct('key', a.key, 'kind', a.kind, 'value', {data_value}))"
+        return (f"transform(_layout, a -> named_struct('key', a.key, 'kind', a.kind, 'value', {data_value}, "
+                f"'src', IF(a.src = 'out', 'output', 'input')))")
     topic = "element_at(array(topic1, topic2, topic3), least(a.topic, 3))"
     topic_value = (f"CASE WHEN a.kind IN ('string', 'bytes') OR a.kind LIKE 'array:%' THEN {topic} "
                    f"ELSE {_word_text_sql('a.kind', f'substr({topic}, 3, 64)')} END")
     return (f"transform(_layout, a -> named_struct('key', a.key, 'kind', a.kind, "
-            f"'value', IF(a.indexed, {topic_value}, {data_value})))")
+            f"'value', IF(a.indexed, {topic_value}, {data_value}), "
+            f"'src', IF(a.indexed, 'topic', 'data')))")
 
 
 def _finish(raw: list) -> list:
@@ -166,6 +168,20 @@ def _finish_udf(s: pd.Series) -> pd.Series:
     return s.map(_finish, na_action="ignore")
 
 
+def _finish_document(raw: list) -> str:
+    """X6/X7 decoded document: ``{"topic": {...}, "data": {...}}`` for events,
+    ``{"input": {...}, "output": {...}}`` for calls; arrays as JSON arrays."""
+    import json
+
+    doc: dict = {}
+    for r, a in zip(raw, _finish(raw)):
+        v = a["value"]
+        if v is not None and r["kind"] and r["kind"].startswith("array:"):
+            v = v.split(SEP) if v else []
+        doc.setdefault(r["src"], {})[a["key"]] = v
+    return json.dumps(doc, separators=(",", ":"), ensure_ascii=False)
+
+
 def _finish_json(raw: list) -> str:
     import json
 
@@ -208,18 +224,7 @@ def decode_all_events(logs: DataFrame, specs: DataFrame, as_json: bool = False)
     native = joined.select(*dec.event_meta(), "namespace", "table", "layout_supported", raw.alias("_raw"))
     # wide integers are finished in Arrow batches per partition (mapInPandas):
     # everything else was decoded natively above
-    out_type = T.StringType() if as_json else T.ArrayType(ARG)
-    schema = T.StructType([f for f in native.schema.fields if f.name != "_raw"]
-                          + [T.StructField("args", out_type)])
-    finish = _finish_json if as_json else _finish
-
-    def batches(it: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in it:
-            raw_col = pdf.pop("_raw")
-            pdf["args"] = [None if r is None else finish([dict(x) for x in r]) for r in raw_col]
-            yield pdf
-
-    return native.mapInPandas(batches, schema)
+    return _finish_frame(native, as_json)
 
 
 def write_clustered(df: DataFrame, path: str, keys: tuple[str, ...] = ("evt_hash", "contract_address"),
@@ -280,11 +285,14 @@ def decode_all_calls(traces: DataFrame, specs: DataFrame, as_json: bool = False)
     return _finish_frame(native, as_json)
 
 
-def _finish_frame(native: DataFrame, as_json: bool) -> DataFrame:
+def _finish_frame(native: DataFrame, as_json) -> DataFrame:
+    """``as_json``: False -> ``args`` array<struct<key,value>>; True -> the
+    same as JSON text; ``"document"`` -> X6/X7 decoded document text. Only the
+    exact wide integers are finished here (Arrow batches per partition)."""
     out_type = T.StringType() if as_json else T.ArrayType(ARG)
     schema = T.StructType([f for f in native.schema.fields if f.name != "_raw"]
                           + [T.StructField("args", out_type)])
-    finish = _finish_json if as_json else _finish
+    finish = _finish_document if as_json == "document" else (_finish_json if as_json else _finish)
 
     def batches(it: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in it:
@@ -311,3 +319,17 @@ def materialize_tables(source: DataFrame, specs: DataFrame, tables: list[str], k
          .write.mode("overwrite").partitionBy("schema").parquet(path))
         written.append(path)
     return written
+
+
+def json_value(doc, path: str) -> Column:
+    """F10 ``JSON_VALUE``: scalar at ``path`` as text; objects/arrays -> NULL
+    (``get_json_object`` alone would return their JSON text)."""
+    col = F.col(doc) if isinstance(doc, str) else doc
+    raw = F.get_json_object(col, path)
+    return F.when(~(raw.startswith("[") | raw.startswith("{")), raw)
+
+
+def json_value_array(doc, path: str) -> Column:
+    """F12 ``JSON_VALUE_ARRAY``: array of scalars at ``path`` as array<string>."""
+    col = F.col(doc) if isinstance(doc, str) else doc
+    return F.from_json(F.get_json_object(col, path), "array<string>")
