@@ -16,6 +16,16 @@ def _plan(df) -> str:
     return df._jdf.queryExecution().executedPlan().toString()
 
 
+def _formatted(df) -> str:
+    import contextlib
+    import io
+
+    buf = io.StringIO()
+    with contextlib.redirect_stdout(buf):
+        df.explain("formatted")
+    return buf.getvalue()
+
+
 def test_token_types_single_scan(spark):
     t = ChainTables(spark, SF_SMALL)
     plan = _plan(tk.token_types(t.contracts()))
@@ -43,3 +53,17 @@ def test_hash_filter_pushed_to_scan(spark, stored_logs):
 def test_no_row_at_a_time_python(spark, key):
     plan = _plan(E.queries()[key](spark, SF_SMALL))
     assert "BatchEvalPython" not in plan
+
+
+def test_decode_pushes_hashes_and_time_bound(spark, stored_logs):
+    from logloom.operators import decode as dec
+    from logloom.operators import registry as reg
+
+    t = ChainTables(spark, SF_SMALL)
+    specs = reg.signature_specs(t.address_to_ordinal(), t.abi_to_ordinal(), t.contracts())
+    s = ChainTables(spark, None, {"logs": f"{stored_logs}/logs"})
+    df = dec.decode_table(s.logs(), specs, "Token_V0_evt_Transfer", "event")
+    plan = _formatted(df)
+    assert "EqualTo(evt_hash,0xddf252ad" in plan or "In(evt_hash, [0xddf252ad" in plan
+    assert "GreaterThanOrEqual(block_time," in plan
+    assert df.count() > 0
