@@ -138,3 +138,44 @@ def test_streaming_decode_all(spark):
     got = spark.sql("SELECT count(*) AS n, count(args) AS a FROM d9_stream").first()
     exp = fanout.decode_all_events(logs, specs).count()
     assert got.n == exp == got.a and exp > 0
+
+
+def test_decode_all_calls_malformed_rows(spark):
+    import datetime as dt
+    import json
+
+    def w(n):
+        return format(n % (1 << 256), "064x")
+
+    params = [{"name": "xs", "type": "uint256[]"}, {"name": "who", "type": "address"}]
+    specs = spark.createDataFrame(
+        [("call", "0x11111111", "0xc0", "ns", "T_call_f", "T_call_f", None, None,
+          json.dumps(params), json.dumps([{"name": "", "type": "string"}]), None)],
+        "type string, hash_id string, contract_address string, namespace string, table string, "
+        "sub_name string, inputs string, outputs string, abi_inputs string, abi_outputs string, "
+        "min_created_ts timestamp_ntz")
+    good_in = "0x11111111" + w(64) + w(0xABC) + w(2) + w(7) + w((1 << 256) - 1)
+    good_out = "0x" + w(32) + w(3) + "616263" + "00" * 29
+    inputs = [
+        (good_in, good_out),
+        ("0x11111111" + w(2 ** 40) + w(1), "0x"),               # offset far past the end
+        ("0x11111111" + w(64) + w(1) + w(2 ** 40), "0x" + w(2 ** 62)),  # huge length / offset
+        ("0x11111111" + "zz" * 64, "0x" + "zz" * 32),           # non-hex
+        ("0x11111111", None), (None, None),
+    ]
+    rows = [("0xt", "0xc0", "0xf", 1, dt.datetime(2020, 1, 1), True, "", f"c{k}", None, "call", "0",
+             "0x11111111", i, o) for k, (i, o) in enumerate(inputs)]
+    traces = spark.createDataFrame(rows, "tx_hash string, to string, from string, block_number bigint, "
+                                   "block_time timestamp_ntz, success boolean, trace_address string, "
+                                   "trace_id string, error string, type string, value string, "
+                                   "method_id string, input string, output string")
+    out = {r.call_trace_id: r.args for r in fanout.decode_all_calls(traces, specs, as_json=True).collect()}
+    assert len(out) == len(inputs)
+    got = [out[f"c{k}"] for k in range(len(inputs))]
+    first = json.loads(got[0])
+    assert first == [{"key": "xs", "value": "7|||" + str((1 << 256) - 1)},
+                     {"key": "who", "value": "0x" + format(0xABC, "040x")},
+                     {"key": "output_0", "value": "abc"}]
+    for a in got[1:]:
+        vals = {x["key"]: x["value"] for x in json.loads(a)}
+        assert vals["xs"] is None and vals["output_0"] is None
