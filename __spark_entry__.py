@@ -10,6 +10,8 @@ same values.
 
 from __future__ import annotations
 
+import importlib
+import importlib.util
 import os
 import sys
 from collections.abc import Callable
@@ -244,6 +246,30 @@ _TOKEN_KEYS = {
 }
 
 
+def _optional(name: str):
+    """The module, or None where its file is not there (an import error inside
+    it is raised)."""
+    parent = name.rpartition(".")[0]
+    if parent and importlib.util.find_spec(parent) is None:
+        return None
+    return importlib.import_module(name) if importlib.util.find_spec(name) else None
+
+
+def _training_data() -> tuple[dict, dict]:
+    """Queries and oracle statements of the optional training-data subpackage."""
+    q, o = {}, {}
+    ops = _optional("logloom.llm.queries")
+    if ops is not None:
+        q.update(ops.QUERIES)
+        o.update(ops.ORACLES)
+        pipe = _optional("corpus_pipeline")
+        if pipe is not None:
+            q["pipeline"] = pipe.run
+            if pipe.ORACLE_SQL:
+                o["pipeline"] = pipe.ORACLE_SQL
+    return q, o
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     q: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         "m3_token_types": _m3_token_types,
@@ -267,6 +293,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     q["d7_f16_contract_addresses"] = _d7_contract_addresses
     q["f21_s11_s13_registry_specs"] = _f21_registry_specs
     q["x6_f10_f12_json_document"] = _x6_document
+    q.update(_training_data()[0])
     return q
 
 
@@ -296,4 +323,5 @@ def oracle_sql() -> dict[str, str]:
         "f21_s11_s13_registry_specs": duck.registry_specs_sql(),
         "x6_f10_f12_json_document": duck.document_sql(),
     })
+    o.update(_training_data()[1])
     return o
