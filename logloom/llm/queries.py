@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
-from . import quality
+from . import lines, mixing, quality
 
 QUERIES = {
+    "op1_line_dedup": lines.op1_line_dedup,
     "op2_quality_rules": quality.op2_quality_rules,
+    "op9_mixing": mixing.op9_mixing,
 }
 
 ORACLES = {
+    "op1_line_dedup": lines.ORACLE,
     "op2_quality_rules": quality.ORACLE,
+    "op9_mixing": mixing.ORACLE,
 }
