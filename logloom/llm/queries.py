@@ -2,14 +2,17 @@
 
 from __future__ import annotations
 
-from . import lines, mixing, quality
+from . import decontaminate, lines, mixing, near, quality
 
 QUERIES = {
     "op1_line_dedup": lines.op1_line_dedup,
     "op2_quality_rules": quality.op2_quality_rules,
+    "op3_ngram_jaccard_join": near.op3_ngram_jaccard_join,
+    "op4_decontamination": decontaminate.op4_decontamination,
     "op9_mixing": mixing.op9_mixing,
 }
 
+#: Operators 3 to 8 and 10 have no statement: they are tested by brute force.
 ORACLES = {
     "op1_line_dedup": lines.ORACLE,
     "op2_quality_rules": quality.ORACLE,
