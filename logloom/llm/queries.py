@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
-from . import decontaminate, lines, mixing, near, quality
+from . import decontaminate, lines, mixing, near, quality, suffixes, token_counts
 
 QUERIES = {
     "op1_line_dedup": lines.op1_line_dedup,
     "op2_quality_rules": quality.op2_quality_rules,
     "op3_ngram_jaccard_join": near.op3_ngram_jaccard_join,
     "op4_decontamination": decontaminate.op4_decontamination,
+    "op6_suffix_dedup": suffixes.op6_suffix_dedup,
     "op9_mixing": mixing.op9_mixing,
+    "op10_token_counts": token_counts.op10_token_counts,
 }
 
 #: Operators 3 to 8 and 10 have no statement: they are tested by brute force.
