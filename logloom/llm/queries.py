@@ -2,14 +2,18 @@
 
 from __future__ import annotations
 
-from . import decontaminate, lines, mixing, near, quality, suffixes, token_counts
+from . import (decontaminate, html_text, lines, mixing, near, pii, quality, secret_scan,
+               suffixes, token_counts)
 
 QUERIES = {
     "op1_line_dedup": lines.op1_line_dedup,
     "op2_quality_rules": quality.op2_quality_rules,
     "op3_ngram_jaccard_join": near.op3_ngram_jaccard_join,
     "op4_decontamination": decontaminate.op4_decontamination,
+    "op5_personal_data": pii.op5_personal_data,
     "op6_suffix_dedup": suffixes.op6_suffix_dedup,
+    "op7_secret_scan": secret_scan.op7_secret_scan,
+    "op8_html_extraction": html_text.op8_html_extraction,
     "op9_mixing": mixing.op9_mixing,
     "op10_token_counts": token_counts.op10_token_counts,
 }
