@@ -54,7 +54,7 @@ def _people(r, n, wide):
         mail = f"{r.choice(filler)}.{i}@mail{r.randrange(9)}.example.com"
         noise = r.choice([str(r.randrange(10 ** 6, 10 ** 12)), f"v{r.randrange(9)}.{r.randrange(9)}.{r.randrange(9)}", "2024-01-02 03:04:05", "meet at noon. Then go"])
         if wide and i % 2:
-            phone, mail = phone[1:], mail.replace("@", " at ").replace(".", " dot ")
+            phone, mail = phone[1:], pii.rewritten(0, mail)[0]
         out.append((i, f"{say(9)} call {phone} {say(5)} mail {mail} {say(6)} {noise} {say(4)}"))
     return out
 
