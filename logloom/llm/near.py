@@ -107,8 +107,9 @@ def _shingler(n: int):
             for lo, hi in hs.chunks(texts):
                 sets, first = shingle_sets(texts[lo:hi], n)
                 raw = [sets[first[i]:first[i + 1]].tobytes() for i in range(hi - lo)]
-                yield pa.RecordBatch.from_arrays(
-                    [batch.slice(lo, hi - lo).column("node"), pa.array(raw, pa.binary())], names=["node", "grams"])
+                part = batch.slice(lo, hi - lo)
+                yield pa.RecordBatch.from_arrays([*(part.column(x) for x in ("node", "copies", "paths")), pa.array(raw, pa.binary())],
+                                                 names=["node", "copies", "paths", "grams"])
     return run
 
 
@@ -184,16 +185,18 @@ def link_classes(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", n:
     place = F.struct("no_id", "id", "dk")
     classes = c.stage(sketch.where("size > 0").groupBy("sa", "sb").agg(
         F.min(place).alias("node"), F.count("*").alias("copies"), F.first("paths").alias("paths")), "classes")
-    walks = classes.select("node", F.posexplode("paths").alias("tree", "key"))
+    # Dealt out once, for the count of each trie node and for its members.
+    walks = classes.select("node", F.posexplode("paths").alias("tree", "key")).repartition("tree", "key")
     h = F.xxhash64("node")
     nodes = walks.groupBy("tree", "key").agg(F.count("*").alias("m"), F.bit_xor(h).alias("x"), F.bit_xor(F.xxhash64(h)).alias("y")).where("m > 1")
     nodes = nodes.groupBy("m", "x", "y").agg(F.min(F.struct("tree", "key")).alias("n")).select("n.tree", "n.key", "m")
     met = c.stage(walks.join(nodes, ["tree", "key"]).select("tree", "key", "m", "node"), "met")
-    # The sets of the representatives that met another one, from their texts.
-    wanted = met.select("node").distinct().select("node", F.col("node.no_id").alias("no_id"), F.col("node.id").alias("id"), F.col("node.dk").alias("dk"))
-    texts = rows.join(wanted, ["no_id", "id", "dk"]).select("node", "text")
-    sets = texts.mapInArrow(_shingler(n), f"node struct<{PLACE.replace(' ', ':').replace(',:', ',')}>, grams binary")
-    sets = c.stage(sets.dropDuplicates(["node"]).join(classes.select("node", "copies", "paths"), "node"), "sets")
+    # The sets of the representatives that met another one, from their texts. A shuffle join at every size.
+    keys = ["no_id", "id", "dk"]
+    wanted = met.select("node").distinct().join(classes.select("node", "copies", "paths"), "node").select(
+        "node", "copies", "paths", *[F.col(f"node.{x}").alias(x) for x in keys])
+    texts = rows.join(wanted.hint("merge"), keys).dropDuplicates(keys).select("node", "copies", "paths", "text")
+    sets = c.stage(texts.mapInArrow(_shingler(n), f"node struct<{PLACE.replace(' ', ':').replace(',:', ',')}>, copies bigint, paths array<bigint>, grams binary"), "sets")
     blocks = F.ceil(F.col("m") / block).cast("int")
     met = met.select("tree", "key", "node", blocks.alias("blocks"), F.pmod(F.xxhash64("node", "tree"), blocks).cast("int").alias("block"))
     met = met.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
