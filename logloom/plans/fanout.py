@@ -22,8 +22,6 @@ directories would be a small-file disaster).
 
 from __future__ import annotations
 
-from typing import Iterator
-
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -133,7 +131,7 @@ def _args_sql(text: str = "data", area: str = "3", topics: bool = True) -> str:
               f"substr({text}, least({start} + 64, {_MAXW - 1}), least(({n}) * 64, {_MAXW - 1})), NULL)")
     elems = (f"array_join(transform(regexp_extract_all({region}, '(.{{64}})', 1), "
              f"e -> {_word_text_sql('a.kind', 'e')}), '{SEP}')")
-    text_value = f"try_validate_utf8(decode(unhex({payload}), 'UTF-8'))"
+    text_value = f"try_validate_utf8(CAST(unhex({payload}) AS STRING))"
     data_value = (f"CASE WHEN a.kind = 'string' THEN {text_value} "
                   f"WHEN a.kind = 'bytes' THEN concat('0x', {payload}) "
                   f"WHEN a.kind LIKE 'array:%' THEN {elems} "
@@ -163,11 +161,6 @@ def _finish(raw: list) -> list:
     return out
 
 
-@F.pandas_udf(T.ArrayType(ARG))
-def _finish_udf(s: pd.Series) -> pd.Series:
-    return s.map(_finish, na_action="ignore")
-
-
 def _finish_document(raw: list) -> str:
     """X6/X7 decoded document: ``{"topic": {...}, "data": {...}}`` for events,
     ``{"input": {...}, "output": {...}}`` for calls; arrays as JSON arrays."""
@@ -177,7 +170,7 @@ def _finish_document(raw: list) -> str:
     for r, a in zip(raw, _finish(raw)):
         v = a["value"]
         if v is not None and r["kind"] and r["kind"].startswith("array:"):
-            v = v.split(SEP) if v else []
+            v = [x or None for x in v.split(SEP)] if v else []
         doc.setdefault(r["src"], {})[a["key"]] = v
     return json.dumps(doc, separators=(",", ":"), ensure_ascii=False)
 
@@ -188,11 +181,6 @@ def _finish_json(raw: list) -> str:
     return json.dumps(_finish(raw), separators=(",", ":"), ensure_ascii=False)
 
 
-@F.pandas_udf(T.StringType())
-def _finish_json_udf(s: pd.Series) -> pd.Series:
-    return s.map(_finish_json, na_action="ignore")
-
-
 def _table_bound() -> Column:
     """Table-level lower time bound (group minimum of creation times, as the
     reference applies it) as a window over the spec rows -- a self-join with
@@ -227,10 +215,16 @@ def decode_all_events(logs: DataFrame, specs: DataFrame, as_json: bool = False)
     return _finish_frame(native, as_json)
 
 
-def write_clustered(df: DataFrame, path: str, keys: tuple[str, ...] = ("evt_hash", "contract_address"),
+def write_clustered(df: DataFrame, path: str, keys: tuple[str, ...] | None = None,
                     partitions: int | None = None) -> None:
     """S9/S12 sink: full rebuild, range-clustered on ``keys`` so Parquet
-    min/max statistics skip row groups for a hash or address predicate."""
+    min/max statistics skip row groups for a hash or address predicate. The
+    default keys (of events or calls) end with the block number and the row's
+    place in it, so one hot contract is spread over several ranges."""
+    if keys is None:
+        known = ("evt_hash", "method_id", "contract_address", "evt_block_number", "call_block_number",
+                 "block_number", "evt_index", "call_trace_id", "index")
+        keys = tuple(k for k in known if k in df.columns)
     n = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     (df.repartitionByRange(n, *keys).sortWithinPartitions(*keys)
      .write.mode("overwrite").parquet(path))
@@ -238,9 +232,9 @@ def write_clustered(df: DataFrame, path: str, keys: tuple[str, ...] = ("evt_hash
 
 def pick(args, key: str) -> Column:
     """A5 keyed pick ``MAX(IF(d.key = name, d.value, NULL))`` over the
-    key/value array: ``map_from_entries(args)[name]`` (keys are unique)."""
+    key/value array; a name that occurs twice gives its largest value."""
     col = F.col(args) if isinstance(args, str) else args
-    return F.element_at(F.map_from_entries(col), F.lit(key))
+    return F.array_max(F.transform(F.filter(col, lambda x: x["key"] == key), lambda x: x["value"]))
 
 
 def split_cast(text, to_type: str) -> Column:
@@ -288,19 +282,19 @@ def decode_all_calls(traces: DataFrame, specs: DataFrame, as_json: bool = False)
 def _finish_frame(native: DataFrame, as_json) -> DataFrame:
     """``as_json``: False -> ``args`` array<struct<key,value>>; True -> the
     same as JSON text; ``"document"`` -> X6/X7 decoded document text. Only the
-    exact wide integers are finished here (Arrow batches per partition)."""
-    out_type = T.StringType() if as_json else T.ArrayType(ARG)
-    schema = T.StructType([f for f in native.schema.fields if f.name != "_raw"]
-                          + [T.StructField("args", out_type)])
+    exact wide integers are finished here (Arrow batches)."""
     finish = _finish_document if as_json == "document" else (_finish_json if as_json else _finish)
 
-    def batches(it: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in it:
-            raw_col = pdf.pop("_raw")
-            pdf["args"] = [None if r is None else finish([dict(x) for x in r]) for r in raw_col]
-            yield pdf
+    @F.pandas_udf(T.StringType() if as_json else T.ArrayType(ARG))
+    def finished(raw: pd.Series) -> pd.Series:
+        return raw.map(lambda r: None if r is None else finish([dict(x) for x in r]))
 
-    return native.mapInPandas(batches, schema)
+    # Only the argument column goes to Python: metadata stays in the JVM (a
+    # bigint with NULLs would lose digits as float64), and filters on it are
+    # pushed below the conversion. As _raw is used twice, it stays a column of
+    # its own (a UDF over the transform itself is not extracted).
+    args = F.when(F.col("_raw").isNotNull(), finished("_raw"))
+    return native.select(*[c for c in native.columns if c != "_raw"], args.alias("args"))
 
 
 def materialize_tables(source: DataFrame, specs: DataFrame, tables: list[str], kind: str,
@@ -323,10 +317,11 @@ def materialize_tables(source: DataFrame, specs: DataFrame, tables: list[str], k
 
 def json_value(doc, path: str) -> Column:
     """F10 ``JSON_VALUE``: scalar at ``path`` as text; objects/arrays -> NULL
-    (``get_json_object`` alone would return their JSON text)."""
+    (``get_json_object`` alone would return their JSON text). The JSON type
+    decides: a text that begins with a bracket is a scalar."""
     col = F.col(doc) if isinstance(doc, str) else doc
-    raw = F.get_json_object(col, path)
-    return F.when(~(raw.startswith("[") | raw.startswith("{")), raw)
+    kind = F.schema_of_variant(F.try_variant_get(F.try_parse_json(col), path, "variant"))
+    return F.when(~(kind.startswith("ARRAY") | kind.startswith("OBJECT")), F.get_json_object(col, path))
 
 
 def json_value_array(doc, path: str) -> Column:
