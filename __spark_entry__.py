@@ -107,7 +107,8 @@ def _m13_prices(spark, sf_dir):
 
 
 def _specs(t: ChainTables):
-    return reg.signature_specs(t.address_to_ordinal(), t.abi_to_ordinal(), t.contracts(partial=True))
+    return reg.signature_specs(t.address_to_ordinal(), t.abi_to_ordinal(), t.contracts(partial=True),
+                               t.allow_list())
 
 
 def _d_table(table: str, kind: str, source: str, json_cols: tuple[str, ...] = ()):
@@ -179,12 +180,11 @@ def _f21_registry_specs(spark, sf_dir):
 
 
 def _x6_document(spark, sf_dir):
-    """X6 decoded documents ({"topic": ..., "data": ...}) of two tables, read
+    """X6 decoded documents ({"topic": ..., "data": ...}) of every table, read
     back by JSON path: F10 JSON_VALUE (scalars only) + BIGNUMERIC safe cast,
     F12 JSON_VALUE_ARRAY."""
     t = _tables(spark, sf_dir)
     doc = fanout.decode_all_events(t.logs(), _specs(t), as_json="document")
-    doc = doc.where(F.col("table").isin("Token_V0_evt_Transfer", "Token_V2_evt_TransferBatch"))
     ids = fanout.json_value_array("args", "$.data.ids")
     value_text = fanout.json_value("args", "$.data.value")
     return doc.select(
@@ -207,15 +207,14 @@ def _d9_decode_all_calls(spark, sf_dir):
 
 
 def _a5_a6_keyed_pick(spark, sf_dir):
-    """A5 + A6 over the long form: pick arguments by key, split the
-    ``|||`` lists and cast items safely (bigint drops values above 2^63)."""
+    """A5 + A6 over the long form of every table: pick arguments by key, split
+    the ``|||`` lists and cast items safely (bigint drops values above 2^63)."""
     t = _tables(spark, sf_dir)
-    long = fanout.decode_all_events(t.logs(), _specs(t))
-    batch = long.where(F.col("table") == "Token_V2_evt_TransferBatch")
+    batch = fanout.decode_all_events(t.logs(), _specs(t))
     ids = fanout.split_cast(fanout.pick("args", "ids"), "decimal(38,0)")
     values64 = fanout.split_cast(fanout.pick("args", "values"), "bigint")
     return batch.select(
-        "evt_tx_hash", "evt_index", "namespace",
+        "evt_tx_hash", "evt_index", "namespace", "table",
         fanout.pick("args", "from").alias("from"),
         F.when(ids.isNotNull(), F.size(ids)).alias("n_ids"),
         F.aggregate(ids, F.lit(0).cast("decimal(38,0)"), lambda a, x: a + x).cast("string").alias("ids_sum"),
@@ -223,6 +222,20 @@ def _a5_a6_keyed_pick(spark, sf_dir):
     )
 
 
+def _s6_base_views(spark, sf_dir):
+    """S6: the pass-through views, joined and counted in SQL per block day."""
+    from logloom.plans import sql
+
+    t = _tables(spark, sf_dir)
+    sql.register_views(t)
+    return spark.sql("""
+        SELECT to_date(b.time) AS block_day, count(DISTINCT b.number) AS n_blocks, count(DISTINCT t.hash) AS n_transactions,
+               count(tr.trace_id) AS n_traces, count_if(tr.success) AS n_successful
+        FROM ethereum_blocks b JOIN ethereum_transactions t ON t.block_number = b.number
+        LEFT JOIN ethereum_traces tr ON tr.tx_hash = t.hash
+        GROUP BY to_date(b.time)""")
+
+
 _DECODE_KEYS = {
     "d1_decode_events_static": ("Token_V0_evt_Transfer", "event", "logs", ()),
     "d2_decode_events_dynamic_arrays": ("Token_V2_evt_TransferBatch", "event", "logs", ("ids", "values")),
@@ -293,6 +306,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     q["d7_f16_contract_addresses"] = _d7_contract_addresses
     q["f21_s11_s13_registry_specs"] = _f21_registry_specs
     q["x6_f10_f12_json_document"] = _x6_document
+    q["s6_base_views"] = _s6_base_views
     q.update(_training_data()[0])
     return q
 
@@ -322,6 +336,7 @@ def oracle_sql() -> dict[str, str]:
         "d7_f16_contract_addresses": duck.contract_addresses_sql(),
         "f21_s11_s13_registry_specs": duck.registry_specs_sql(),
         "x6_f10_f12_json_document": duck.document_sql(),
+        "s6_base_views": duck.base_views_sql(),
     })
     o.update(_training_data()[1])
     return o

@@ -390,7 +390,7 @@ def _orders_calls() -> str:
     return f"""oc AS (
   SELECT o_orderkey AS o, o_custkey AS c, o_orderdate AS bt, o_orderstatus <> 'F' AS ok,
          CAST(round(o_totalprice * 100) AS BIGINT) AS cents,
-         '0x' || {SHA('o_orderkey')} AS tx, {A('o_custkey % 10')} AS addr
+         '0x' || {SHA('o_orderkey')} AS tx, {A('o_custkey % (SELECT count(*) FROM supplier)')} AS addr
   FROM orders
 )"""
 
@@ -429,16 +429,17 @@ def prices_usd_sql() -> str:
     return f"""SELECT {A('pt.p_partkey')} AS contract_address, 'ethereum' AS blockchain,
        CAST(s.s_suppkey % 19 AS INTEGER) AS decimals, e.ts AS minute, e.value AS price, pt.p_brand AS symbol
 FROM events e
-JOIN part pt ON pt.p_partkey < 20 AND pt.p_partkey % 5 <> 0 AND pt.p_partkey = e.user_id % 20
+JOIN part pt ON pt.p_partkey % 5 <> 0 AND pt.p_partkey = e.user_id
 LEFT JOIN supplier s ON s.s_suppkey = pt.p_partkey"""
 
 
 # --- D9 decode-all (long form, JSON args) -----------------------------------
 
-def d9_sql() -> str:
-    """Expected long-form rows: every log row x every event spec row with the
-    same (hash, address) and within the table's time bound; argument values
-    computed from the source columns by the (ABI ordinal, hash) layout."""
+def _event_rows_sql(columns: str, render) -> str:
+    """Every log row x every allow-listed event spec row with the same (hash,
+    address) and within the table's time bound; ``render`` makes the argument
+    text of a (ABI ordinal, hash) layout from (name, value, place) triples,
+    values computed from the source columns."""
     whex = "CASE WHEN p % 10 = 0 THEN sh ELSE " + W("o * 1000 + q") + " END"
     t1_addr = f"CASE WHEN kind = 'uri' THEN {A('p')} ELSE {A('p + 1')} END"
     t1_uw = "CAST(CASE WHEN kind = 'uri' THEN p ELSE p + 1 END AS VARCHAR)"
@@ -452,64 +453,68 @@ def d9_sql() -> str:
              "WHEN kind = 'batch' THEN '64' WHEN kind = 'uri' THEN '32' END")
     d0_bool = "CASE WHEN o % 2 <> 0 THEN 'true' ELSE 'false' END"
     d1_uw = "CASE WHEN kind = 'single' THEN wdec END"
-    ids = "array_to_string(list_transform(range(q % 4), lambda x: CAST(p AS VARCHAR)), '|||')"
-    vals = "array_to_string(list_transform(range(q % 4), lambda x: wdec), '|||')"
+    ids = "list_transform(range(q % 4), lambda x: CAST(p AS VARCHAR))"
+    vals = "list_transform(range(q % 4), lambda x: wdec)"
     uri = "'uri-' || lpad(CAST(p AS VARCHAR), 8, '0')"
-
-    def kv(*pairs):
-        return "to_json([" + ", ".join(f"{{'key': '{k}', 'value': {v}}}" for k, v in pairs) + "])"
-
     layouts = [
-        (0, sig.TRANSFER, kv(("from", t1_addr), ("to", t2_addr), ("value", d0_uw))),
-        (0, sig.APPROVAL, kv(("owner", t1_addr), ("spender", t2_addr), ("value", d0_uw))),
-        (1, sig.TRANSFER, kv(("from", t1_addr), ("to", t2_addr), ("tokenId", t3_uw))),
-        (1, sig.APPROVAL, kv(("owner", t1_addr), ("approved", t2_addr), ("tokenId", t3_uw))),
-        (1, sig.APPROVAL_FOR_ALL, kv(("owner", t1_addr), ("operator", t2_addr), ("approved", d0_bool))),
-        (2, sig.TRANSFER_SINGLE, kv(("operator", t1_addr), ("from", t2_addr), ("to", t3_addr),
-                                    ("id", d0_uw), ("value", d1_uw))),
-        (2, sig.TRANSFER_BATCH, kv(("operator", t1_addr), ("from", t2_addr), ("to", t3_addr),
-                                   ("ids", ids), ("values", vals))),
-        (2, sig.APPROVAL_FOR_ALL, kv(("account", t1_addr), ("operator", t2_addr), ("approved", d0_bool))),
-        (2, sig.URI, kv(("value", uri), ("id", t1_uw))),
+        (0, sig.TRANSFER, [("from", t1_addr, "topic"), ("to", t2_addr, "topic"), ("value", d0_uw, "data")]),
+        (0, sig.APPROVAL, [("owner", t1_addr, "topic"), ("spender", t2_addr, "topic"), ("value", d0_uw, "data")]),
+        (1, sig.TRANSFER, [("from", t1_addr, "topic"), ("to", t2_addr, "topic"), ("tokenId", t3_uw, "topic")]),
+        (1, sig.APPROVAL_FOR_ALL, [("owner", t1_addr, "topic"), ("operator", t2_addr, "topic"), ("approved", d0_bool, "data")]),
+        (2, sig.TRANSFER_SINGLE, [("operator", t1_addr, "topic"), ("from", t2_addr, "topic"), ("to", t3_addr, "topic"),
+                                  ("id", d0_uw, "data"), ("value", d1_uw, "data")]),
+        (2, sig.TRANSFER_BATCH, [("operator", t1_addr, "topic"), ("from", t2_addr, "topic"), ("to", t3_addr, "topic"),
+                                 ("ids", ids, "data"), ("values", vals, "data")]),
+        (2, sig.URI, [("value", uri, "data"), ("id", t1_uw, "topic")]),
     ]
-    cases = " ".join(f"WHEN s % 6 = {o} AND sp.hash_id = '{h}' THEN {expr}" for o, h, expr in layouts)
+    cases = " ".join(f"WHEN s % 6 = {o} AND sp.hash_id = '{h}' THEN CAST({render(args)} AS VARCHAR)" for o, h, args in layouts)
     evt_hash = ("CASE WHEN kind IN ('transfer', 'transfer721') THEN '" + sig.TRANSFER + "' "
                 "WHEN kind IN ('approval', 'approval721') THEN '" + sig.APPROVAL + "' "
                 "WHEN kind = 'approvalforall' THEN '" + sig.APPROVAL_FOR_ALL + "' "
                 "WHEN kind = 'single' THEN '" + sig.TRANSFER_SINGLE + "' "
                 "WHEN kind = 'batch' THEN '" + sig.TRANSFER_BATCH + "' ELSE '" + sig.URI + "' END")
     return f"""WITH {LINEITEM_KINDS},
+{_allow_values()},
 {ungrouped_cte()},
-ev AS (SELECT DISTINCT namespace, sub_name, hash_id, address FROM ungrouped WHERE type = 'event'),
+ev AS (SELECT DISTINCT namespace, sub_name, hash_id, address FROM ungrouped WHERE type = 'event'
+       AND lower(sub_name) IN (SELECT lower(sub_name) FROM names)),
 bound AS (SELECT namespace, sub_name, min(min_created_ts) AS min_ts FROM ungrouped WHERE type = 'event'
           GROUP BY namespace, sub_name),
 sp AS (SELECT ev.*, bound.min_ts FROM ev JOIN bound USING (namespace, sub_name)),
 lh AS (SELECT *, {evt_hash} AS eh FROM lv)
-SELECT {A('s')} AS contract_address, o AS evt_block_number, bt AS evt_block_time, ln AS evt_index,
-       '0x' || sh AS evt_tx_hash, o % 200 AS evt_tx_index, eh AS evt_hash, sp.namespace,
-       sp.sub_name AS "table", true AS layout_supported,
-       CAST(CASE {cases} END AS VARCHAR) AS args
+SELECT {columns}, sp.namespace, sp.sub_name AS "table", CASE {cases} END AS args
 FROM lh JOIN sp ON sp.hash_id = lh.eh AND sp.address = {A('s')}
 WHERE sp.min_ts IS NULL OR bt >= sp.min_ts"""
 
 
+def d9_sql() -> str:
+    """Expected long-form rows: arguments as key/value text, lists joined."""
+    def kv(args):
+        text = [(k, f"array_to_string({v}, '|||')" if v.startswith("list_transform") else v) for k, v, _ in args]
+        return "to_json([" + ", ".join(f"{{'key': '{k}', 'value': {v}}}" for k, v in text) + "])"
+
+    return _event_rows_sql(
+        f"{A('s')} AS contract_address, o AS evt_block_number, bt AS evt_block_time, ln AS evt_index, "
+        "'0x' || sh AS evt_tx_hash, o % 200 AS evt_tx_index, eh AS evt_hash, true AS layout_supported", kv)
+
+
 def a5_a6_sql() -> str:
-    """TransferBatch rows of the long form: keyed picks (A5) and the split,
-    safely cast id / value lists (A6), summarised per row."""
-    return f"""WITH {LINEITEM_KINDS},
-{ungrouped_cte()},
-ev AS (SELECT DISTINCT namespace, sub_name, hash_id, address FROM ungrouped
-       WHERE type = 'event' AND sub_name = 'Token_V2_evt_TransferBatch'),
-bound AS (SELECT namespace, min(min_created_ts) AS min_ts FROM ungrouped
-          WHERE type = 'event' AND sub_name = 'Token_V2_evt_TransferBatch' GROUP BY namespace),
-sp AS (SELECT ev.*, bound.min_ts FROM ev JOIN bound USING (namespace))
-SELECT '0x' || sh AS evt_tx_hash, ln AS evt_index, sp.namespace,
-       {A('o + 1')} AS "from",
-       CASE WHEN q % 4 > 0 THEN CAST(q % 4 AS INTEGER) END AS n_ids,
-       CASE WHEN q % 4 > 0 THEN CAST(CAST(p AS DECIMAL(38, 0)) * (q % 4) AS VARCHAR) END AS ids_sum,
-       CASE WHEN q % 4 > 0 AND p % 10 <> 0 THEN CAST(q % 4 AS INTEGER) END AS n_values_64
-FROM lv JOIN sp ON sp.hash_id = '{sig.TRANSFER_BATCH}' AND sp.address = {A('s')}
-WHERE kind = 'batch' AND (sp.min_ts IS NULL OR bt >= sp.min_ts)"""
+    """Every row of the long form: keyed picks (A5) and the split, safely cast
+    id / value lists (A6), summarised per row."""
+    def arg(key):
+        return f"list_extract(list_filter(kvs, lambda x: x.key = '{key}'), 1).value"
+
+    def cast(key, to):
+        return (f"list_filter(list_transform(string_split({arg(key)}, '|||'), lambda x: TRY_CAST(x AS {to})), "
+                "lambda x: x IS NOT NULL)")
+    return f"""WITH long AS ({d9_sql()}),
+kv AS (SELECT *, json_transform(args, '[{{"key":"VARCHAR","value":"VARCHAR"}}]') AS kvs FROM long),
+c AS (SELECT *, {cast('ids', 'DECIMAL(38, 0)')} AS ids, {cast('values', 'BIGINT')} AS v64 FROM kv)
+SELECT evt_tx_hash, evt_index, namespace, "table", {arg('from')} AS "from",
+       CASE WHEN len(ids) > 0 THEN CAST(len(ids) AS INTEGER) END AS n_ids,
+       CASE WHEN len(ids) > 0 THEN CAST(list_sum(ids) AS VARCHAR) END AS ids_sum,
+       CASE WHEN len(v64) > 0 THEN CAST(len(v64) AS INTEGER) END AS n_values_64
+FROM c"""
 
 
 def d9_calls_sql() -> str:
@@ -530,7 +535,7 @@ def d9_calls_sql() -> str:
     batch = kv(("accounts", f"CASE WHEN ok THEN {rep.format(v=A('o + 1'))} END"),
                ("ids", f"CASE WHEN ok THEN {rep.format(v='CAST(p AS VARCHAR)')} END"),
                ("output_0", f"CASE WHEN ok THEN {rep.format(v='CAST(o * 1000 + q AS VARCHAR)')} END"))
-    o_cases = " ".join(f"WHEN (c % 10) % 6 = {o} AND sp.hash_id = '{h}' THEN {e}" for o, h, e in order_layouts)
+    o_cases = " ".join(f"WHEN (c % (SELECT count(*) FROM supplier)) % 6 = {o} AND sp.hash_id = '{h}' THEN {e}" for o, h, e in order_layouts)
     meta_o = _call_meta("ok", "' || m || '", A("c + 1"), "''").replace("'' || m || ''", "m")
     meta_b = _call_meta("ok", "0x4e1273f4", A("p + 1"), "CAST(ln AS VARCHAR)")
     return f"""WITH {LINEITEM_KINDS},
@@ -539,8 +544,10 @@ om AS (SELECT *, CASE WHEN o % 2 = 0 THEN '0xa9059cbb' ELSE '0x23b872dd' END AS
 bc AS (
   SELECT *, ln <> 7 AS ok, '0x' || {SHA('o * 10 + ln')} AS tx, {A('s')} AS addr FROM lv WHERE s % 5 = 2
 ),
+{_allow_values()},
 {ungrouped_cte()},
-cv AS (SELECT DISTINCT namespace, sub_name, hash_id, address FROM ungrouped WHERE type = 'call'),
+cv AS (SELECT DISTINCT namespace, sub_name, hash_id, address FROM ungrouped WHERE type = 'call'
+       AND lower(sub_name) IN (SELECT lower(sub_name) FROM names)),
 bound AS (SELECT namespace, sub_name, min(min_created_ts) AS min_ts FROM ungrouped WHERE type = 'call'
           GROUP BY namespace, sub_name),
 sp AS (SELECT cv.*, bound.min_ts FROM cv JOIN bound USING (namespace, sub_name))
@@ -602,30 +609,27 @@ FROM reg"""
 
 
 def document_sql() -> str:
-    """X6 decoded documents of two tables, read back by JSON path (F10 scalar
-    JSON_VALUE with a BIGNUMERIC safe cast, F12 JSON_VALUE_ARRAY)."""
-    t_doc = (f"to_json({{'topic': {{'from': {A('p + 1')}, 'to': {A('o + 1')}}}, "
-             f"'data': {{'value': wdec}}}})")
-    lst = "list_transform(range(q % 4), lambda x: {v})"
-    b_doc = (f"to_json({{'topic': {{'operator': {A('p + 1')}, 'from': {A('o + 1')}, 'to': {A('q + 1')}}}, "
-             f"'data': {{'ids': {lst.format(v='CAST(p AS VARCHAR)')}, 'values': {lst.format(v='wdec')}}}}})")
-    is_t = f"sp.hash_id = '{sig.TRANSFER}'"
-    return f"""WITH {LINEITEM_KINDS},
-{ungrouped_cte()},
-ev AS (SELECT DISTINCT namespace, sub_name, hash_id, address FROM ungrouped
-       WHERE type = 'event' AND sub_name IN ('Token_V0_evt_Transfer', 'Token_V2_evt_TransferBatch')),
-bound AS (SELECT namespace, sub_name, min(min_created_ts) AS min_ts FROM ungrouped WHERE type = 'event'
-          GROUP BY namespace, sub_name),
-sp AS (SELECT ev.*, bound.min_ts FROM ev JOIN bound USING (namespace, sub_name)),
-lh AS (SELECT *, CASE WHEN kind IN ('transfer', 'transfer721') THEN '{sig.TRANSFER}'
-                      WHEN kind = 'batch' THEN '{sig.TRANSFER_BATCH}' END AS eh FROM lv)
-SELECT '0x' || sh AS evt_tx_hash, ln AS evt_index, sp.namespace, sp.sub_name AS "table",
-       CAST(CASE WHEN {is_t} THEN {t_doc} ELSE {b_doc} END AS VARCHAR) AS document,
-       CASE WHEN {is_t} THEN {A('p + 1')} ELSE {A('o + 1')} END AS topic_from,
-       CASE WHEN {is_t} THEN wdec END AS value_text,
-       CASE WHEN {is_t} AND p % 10 <> 0 THEN wdec END AS value_bignumeric,
+    """X6 decoded documents of every event table, read back by JSON path (F10
+    scalar JSON_VALUE with a BIGNUMERIC safe cast, F12 JSON_VALUE_ARRAY)."""
+    def document(args):
+        places = dict.fromkeys(place for _, _, place in args)
+        return "to_json({" + ", ".join(f"'{x}': {{" + ", ".join(f"'{k}': {v}" for k, v, place in args if place == x) + "}"
+                                       for x in places) + "})"
+
+    value = "json_extract_string(args, '$.data.value')"
+    return f"""WITH doc AS ({_event_rows_sql("'0x' || sh AS evt_tx_hash, ln AS evt_index", document)})
+SELECT evt_tx_hash, evt_index, namespace, "table", args AS document,
+       json_extract_string(args, '$.topic.from') AS topic_from, {value} AS value_text,
+       CASE WHEN regexp_full_match({value}, '[0-9]+') AND (length({value}) < 39 OR length({value}) = 39
+            AND {value} <= '578960446186580977117854925043439539266') THEN {value} END AS value_bignumeric,
        CAST(NULL AS VARCHAR) AS ids_as_scalar,
-       CASE WHEN NOT {is_t} THEN CAST(q % 4 AS INTEGER) END AS n_ids,
-       CASE WHEN NOT {is_t} AND q % 4 > 0 THEN CAST(p AS VARCHAR) END AS first_id
-FROM lh JOIN sp ON sp.hash_id = lh.eh AND sp.address = {A('s')}
-WHERE sp.min_ts IS NULL OR bt >= sp.min_ts"""
+       CAST(json_array_length(args, '$.data.ids') AS INTEGER) AS n_ids,
+       json_extract_string(args, '$.data.ids[0]') AS first_id
+FROM doc"""
+
+
+def base_views_sql() -> str:
+    """S6: one transaction, block and trace per order."""
+    return """SELECT CAST(o_orderdate AS DATE) AS block_day, count(*) AS n_blocks, count(*) AS n_transactions,
+       count(*) AS n_traces, count(*) FILTER (o_orderstatus <> 'F') AS n_successful
+FROM orders GROUP BY CAST(o_orderdate AS DATE)"""

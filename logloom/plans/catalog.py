@@ -38,6 +38,12 @@ class ChainTables:
     def traces_batch(self) -> DataFrame:
         return self._load("traces_batch", lambda: fixtures.traces_batch(self.spark, self.sf_dir))
 
+    def transactions(self) -> DataFrame:
+        return self._load("transactions", lambda: fixtures.transactions(self.spark, self.sf_dir))
+
+    def blocks(self) -> DataFrame:
+        return self._load("blocks", lambda: fixtures.blocks(self.spark, self.sf_dir))
+
     def contracts(self, partial: bool = False) -> DataFrame:
         return self._load("contracts_partial" if partial else "contracts",
                           lambda: fixtures.contracts(self.spark, self.sf_dir, partial))

@@ -11,10 +11,11 @@ from .catalog import ChainTables
 
 
 def register_views(tables: ChainTables, prefix: str = "ethereum") -> list[str]:
-    """S6: ``ethereum_logs``, ``ethereum_traces``, ``ethereum_contracts``
-    temp views over the configured sources (``SELECT *``)."""
+    """S6: ``ethereum_logs``, ``_traces``, ``_transactions``, ``_blocks`` and
+    ``_contracts`` temp views over the configured sources (``SELECT *``)."""
     names = []
     for name, df in [("logs", tables.logs()), ("traces", tables.traces()),
+                     ("transactions", tables.transactions()), ("blocks", tables.blocks()),
                      ("contracts", tables.contracts())]:
         view = f"{prefix}_{name}"
         df.createOrReplaceTempView(view)

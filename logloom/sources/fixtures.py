@@ -22,33 +22,11 @@ def read(spark: SparkSession, sf_dir: str, name: str, *cols: str) -> DataFrame:
 
 
 def read_spread(spark: SparkSession, sf_dir: str, name: str, key: str, *cols: str) -> DataFrame:
-    """Read a driver table and hash-partition it on ``key`` before encoding.
-
-    The driver files hold one row group each, so a scan is a single task; the
-    per-row encoding (sha2, hex words) would then run on one core. Only such a
-    file (fewer row groups than the parallelism, checked from its footer) is
-    spread; directories and well-split files are read as is, with no shuffle.
-    Hash partitioning (not round robin) keeps task retries deterministic."""
-    df = read(spark, sf_dir, name, *cols)
-    parallelism = spark.sparkContext.defaultParallelism
-    if _row_groups(f"{sf_dir}/{name}.parquet") >= parallelism:
-        return df  # the scan already splits: no shuffle
-    return df.repartition(parallelism, key)
-
-
-def _row_groups(path: str) -> int:
-    """Row groups of a single local Parquet file (footer only); a directory or
-    any non-local path counts as already split."""
-    import os
-
-    if not os.path.isfile(path):
-        return 1 << 30
-    try:
-        import pyarrow.parquet as pq
-
-        return pq.ParquetFile(path).metadata.num_row_groups
-    except Exception:  # unreadable footer: let Spark decide
-        return 1 << 30
+    """Read a driver table and hash-partition it on ``key`` before encoding:
+    a file may be a single task, and the per-row encoding (sha2, hex words)
+    would then run on one core. Hash partitioning (not round robin) keeps task
+    retries deterministic."""
+    return read(spark, sf_dir, name, *cols).repartition(key)
 
 
 def W(n: Column) -> Column:
@@ -170,9 +148,10 @@ def traces(spark: SparkSession, sf_dir: str) -> DataFrame:
     args = F.when(even, F.concat(W(cust), W(cents))).otherwise(F.concat(W(cust), W(cust + 1), W(cents)))
     ok = F.col("o_orderstatus") != "F"
     tx = F.concat(F.lit("0x"), SHA(key))
-    return o.select(
+    contracts_ = read(spark, sf_dir, "supplier", "s_suppkey").agg(F.count("*").alias("n_contracts"))
+    return o.join(F.broadcast(contracts_)).select(  # one row: the number of contracts
         tx.alias("tx_hash"),
-        A(cust % 10).alias("to"),
+        A(cust % F.col("n_contracts")).alias("to"),
         A(cust + 1).alias("from"),
         key.alias("block_number"),
         F.col("o_orderdate").alias("block_time"),
@@ -252,13 +231,13 @@ def token_prices(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ev.select(
         F.col("ts").alias("timestamp"),
         F.col("value").alias("price_usd"),
-        F.concat(F.lit("coin-"), (F.col("user_id") % 20).cast("string")).alias("coin_id"),
+        F.concat(F.lit("coin-"), F.col("user_id").cast("string")).alias("coin_id"),
     )
 
 
 def coin_map(spark: SparkSession, sf_dir: str) -> DataFrame:
     p = F.col("p_partkey")
-    return read(spark, sf_dir, "part", "p_partkey", "p_brand").where(p < 20).select(
+    return read(spark, sf_dir, "part", "p_partkey", "p_brand").select(
         F.concat(F.lit("coin-"), p.cast("string")).alias("id"),
         F.when(p % 5 != 0, A(p)).alias("contract"),
         F.col("p_brand").alias("symbol"),
@@ -269,3 +248,23 @@ def tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     s = F.col("s_suppkey")
     return read(spark, sf_dir, "supplier", "s_suppkey").select(
         A(s).alias("address"), (s % 19).cast("int").alias("decimals"))
+
+
+def transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``ethereum.transactions`` from ``orders``: one per order."""
+    o = read_spread(spark, sf_dir, "orders", "o_orderkey", "o_orderkey", "o_custkey", "o_totalprice", "o_orderdate")
+    return o.select(
+        F.concat(F.lit("0x"), SHA(F.col("o_orderkey"))).alias("hash"),
+        A(F.col("o_custkey") + 1).alias("from"),
+        A(F.col("o_custkey")).alias("to"),
+        F.round(F.col("o_totalprice") * 100).cast("bigint").cast("string").alias("value"),
+        F.col("o_orderkey").alias("block_number"),
+        F.col("o_orderdate").alias("block_time"),
+    )
+
+
+def blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``ethereum.blocks``: the blocks of the transactions."""
+    o = read(spark, sf_dir, "orders", "o_orderkey", "o_orderdate")
+    return o.groupBy(F.col("o_orderkey").alias("number")).agg(
+        F.min("o_orderdate").alias("time"), F.count("*").alias("transaction_count"))
