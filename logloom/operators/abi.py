@@ -2,7 +2,7 @@
 ``PARSE_ABI_FUNCTIONS``, X4/X5 reduce-to-one-entry).
 
 Parsing is ``from_json`` into a fixed ``StructType`` (tuple ``components``
-nested three levels deep; invalid JSON or a NULL ABI parse to NULL and yield no
+nested ten levels deep; invalid JSON or a NULL ABI parse to NULL and yield no
 entries, the reference's ``'ERROR'`` rows), then ``explode``. Canonical
 signatures and the registry's type vocabulary are built with ``transform`` /
 ``concat`` per argument. Hashes (Keccak-256) are computed by ``mapInPandas``
@@ -24,7 +24,9 @@ from pyspark.sql import types as T
 
 from ..functions.keccak import keccak_hex
 
-_DEPTH = 3  # levels of tuple components carried in the schema
+# Levels of tuple components carried in the schema. A document nested deeper
+# than this has no entries (NULL), never a wrong signature: see parse_abi.
+_DEPTH = 10
 
 
 def _param_type(depth: int) -> T.StructType:
@@ -94,9 +96,20 @@ def canonical_type_sql(p: str, depth: int = _DEPTH) -> str:
             f"regexp_extract({t}, '^tuple(.*)$', 1)) ELSE {t} END")
 
 
+def _cut_off(p: str, level: int) -> str:
+    """Does the parameter reach the schema's innermost level with a tuple?"""
+    if level > _DEPTH:
+        return f"startswith({p}.type, 'tuple')"
+    q = f"p{level + 1}"
+    return f"exists(coalesce({p}.components, array()), {q} -> {_cut_off(q, level + 1)})"
+
+
 def parse_abi(abi_docs: DataFrame, key: str = "ordinal") -> DataFrame:
     """One row per ABI entry: (key, entry) for events and functions."""
-    parsed = abi_docs.select(key, F.from_json("abi", ABI_SCHEMA).alias("entries"))
+    # the innermost level carries no components: a tuple there lost its fields
+    inner = F.expr(f"NOT exists(entries, e -> exists(concat(coalesce(e.inputs, array()), coalesce(e.outputs, array())), "
+                   f"p1 -> {_cut_off('p1', 1)}))")
+    parsed = abi_docs.select(key, F.from_json("abi", ABI_SCHEMA).alias("entries")).where(F.coalesce(inner, F.lit(True)))
     return parsed.select(key, F.explode("entries").alias("e")).where(
         F.col("e.type").isin("event", "function") & F.col("e.name").isNotNull())
 

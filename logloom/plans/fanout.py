@@ -7,10 +7,9 @@ layout by one interpretive native expression (``transform`` over the parsed
 ABI parameters). The result is the long form (D5): metadata, namespace, table
 and ``args`` as ``array<struct<key, value>>`` text, arrays joined by ``|||``.
 
-Layouts whose data part holds static tuples or fixed arrays (several head
-words per argument) are decoded by the wide path (:func:`decode.decode_table`);
-in the long form their ``args`` are NULL and ``layout_supported`` is false, so
-no row is dropped silently.
+Layouts that this expression cannot read (tuples, fixed and nested arrays,
+arrays of ``string`` or ``bytes``) are read by a small recursive reader in an
+Arrow UDF over their payloads; nested values come out as JSON text.
 
 Scale: the spec side is (hash, address) rows; Spark broadcasts it only if its
 measured size is below the threshold, otherwise both sides shuffle on
@@ -22,21 +21,27 @@ directories would be a small-file disaster).
 
 from __future__ import annotations
 
+import json
+
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions import words as wd
+from ..functions.nested import arguments, as_text, dumps
 from ..functions.hexint import py_hex_to_decimal, py_hex_to_signed_decimal
 from ..operators import abi as abi_ops
 from ..operators import decode as dec
+from ..operators.decode import CALL_META, EVENT_META, input_names, output_names, parse_param
 
 ARG = T.StructType([T.StructField("key", T.StringType()), T.StructField("value", T.StringType())])
 _RAW = T.ArrayType(T.StructType([T.StructField("key", T.StringType()),
                                  T.StructField("kind", T.StringType()),
                                  T.StructField("value", T.StringType())]))
 SEP = "|||"
+# 0-based places of the first word of event data / call output and of call input
+_DATA, _INPUT = wd.DATA_BASE - 1, wd.INPUT_BASE - 1
 _PLAIN_PARAMS = T.ArrayType(T.StructType([T.StructField("name", T.StringType()),
                                           T.StructField("type", T.StringType()),
                                           T.StructField("indexed", T.BooleanType())]))
@@ -164,8 +169,6 @@ def _finish(raw: list) -> list:
 def _finish_document(raw: list) -> str:
     """X6/X7 decoded document: ``{"topic": {...}, "data": {...}}`` for events,
     ``{"input": {...}, "output": {...}}`` for calls; arrays as JSON arrays."""
-    import json
-
     doc: dict = {}
     for r, a in zip(raw, _finish(raw)):
         v = a["value"]
@@ -176,8 +179,6 @@ def _finish_document(raw: list) -> str:
 
 
 def _finish_json(raw: list) -> str:
-    import json
-
     return json.dumps(_finish(raw), separators=(",", ":"), ensure_ascii=False)
 
 
@@ -194,11 +195,11 @@ def event_specs(specs: DataFrame) -> DataFrame:
     s = specs.where(F.col("type") == "event")
     full = F.from_json("abi_inputs", T.ArrayType(abi_ops.PARAM))
     supported = F.forall(full, lambda p: ~p["type"].startswith("tuple") & ~p["type"].rlike(r"\[[0-9]+\]")
-                         & ~p["type"].rlike(r"\]\["))
+                         & ~p["type"].rlike(r"\]\[") & ~p["type"].isin("string[]", "bytes[]"))
     return s.select(
         F.col("hash_id").alias("_h"), F.col("contract_address").alias("_a"),
         "namespace", "table", _table_bound().alias("min_ts"), supported.alias("layout_supported"),
-        F.from_json("abi_inputs", _PLAIN_PARAMS).alias("_params"),
+        F.when(~supported, F.col("abi_inputs")).alias("_abi"), F.from_json("abi_inputs", _PLAIN_PARAMS).alias("_params"),
     ).select("*", F.expr(layout_sql("_params")).alias("_layout")).drop("_params")
 
 
@@ -209,10 +210,13 @@ def decode_all_events(logs: DataFrame, specs: DataFrame, as_json: bool = False)
     joined = logs.join(sp, (F.col("evt_hash") == F.col("_h")) & (F.col("contract_address") == F.col("_a")))
     joined = joined.where(F.col("min_ts").isNull() | (F.col("block_time") >= F.col("min_ts")))
     raw = F.when(F.col("layout_supported"), F.expr(_args_sql("data")))
-    native = joined.select(*dec.event_meta(), "namespace", "table", "layout_supported", raw.alias("_raw"))
-    # wide integers are finished in Arrow batches per partition (mapInPandas):
+    rest = F.struct("_abi", F.lit(None).cast("string").alias("_abi_out"), F.col("data").alias("text"),
+                    F.lit(None).cast("string").alias("out"), F.array("topic1", "topic2", "topic3").alias("topics"))
+    native = joined.select(*dec.event_meta(), "namespace", "table", raw.alias("_raw"),
+                           F.when(~F.col("layout_supported"), rest).alias("_rest"))
+    # wide integers and nested layouts are finished in Arrow batches:
     # everything else was decoded natively above
-    return _finish_frame(native, as_json)
+    return _finish_frame(native, as_json, "event")
 
 
 def write_clustered(df: DataFrame, path: str, keys: tuple[str, ...] | None = None,
@@ -254,12 +258,13 @@ def call_specs(specs: DataFrame) -> DataFrame:
     full_out = F.from_json("abi_outputs", T.ArrayType(abi_ops.PARAM))
     both = F.concat(full_in, full_out)
     supported = F.forall(both, lambda p: ~p["type"].startswith("tuple") & ~p["type"].rlike(r"\[[0-9]+\]")
-                         & ~p["type"].rlike(r"\]\["))
+                         & ~p["type"].rlike(r"\]\[") & ~p["type"].isin("string[]", "bytes[]"))
     guard = F.exists(both, lambda p: p["type"].contains("[") | p["type"].startswith("tuple"))
     return s.select(
         F.col("hash_id").alias("_h"), F.col("contract_address").alias("_a"),
         "namespace", "table", _table_bound().alias("min_ts"), supported.alias("layout_supported"),
         guard.alias("_guard"),
+        F.when(~supported, F.col("abi_inputs")).alias("_abi"), F.when(~supported, F.col("abi_outputs")).alias("_abi_out"),
         F.from_json("abi_inputs", _PLAIN_PARAMS).alias("_pin"),
         F.from_json("abi_outputs", _PLAIN_PARAMS).alias("_pout"),
     ).select("*", F.expr(call_layout_sql("_pin", "_pout")).alias("_layout")).drop("_pin", "_pout")
@@ -275,26 +280,67 @@ def decode_all_calls(traces: DataFrame, specs: DataFrame, as_json: bool = False)
                            F.when(~failed, F.col("output")).alias("_out"))
     raw = F.when(F.col("layout_supported"),
                  F.expr(_args_sql("IF(a.src = 'out', _out, _in)", "a.area", topics=False)))
-    native = staged.select(*dec.call_meta(), "namespace", "table", "layout_supported", raw.alias("_raw"))
-    return _finish_frame(native, as_json)
-
-
-def _finish_frame(native: DataFrame, as_json) -> DataFrame:
+    rest = F.struct("_abi", "_abi_out", F.col("_in").alias("text"), F.col("_out").alias("out"),
+                    F.array().cast("array<string>").alias("topics"))
+    native = staged.select(*dec.call_meta(), "namespace", "table", raw.alias("_raw"),
+                           F.when(~F.col("layout_supported"), rest).alias("_rest"))
+    return _finish_frame(native, as_json, "call")
+
+
+def _nested_entries(kind: str, rest: dict) -> list[tuple]:
+    """(place, name, value) of a row whose layout is not native."""
+    params = json.loads(rest["_abi"] or "[]")
+    if kind == "event":
+        return arguments(params, input_names(params, EVENT_META), parse_param, rest["text"],
+                                _DATA, list(rest["topics"]))
+    outs = json.loads(rest["_abi_out"] or "[]")
+    ins = input_names(params, CALL_META)
+    names = output_names(outs, CALL_META + tuple(ins))
+    got = arguments(params, ins, parse_param, rest["text"], _INPUT)
+    if outs:
+        more = arguments(outs, names, parse_param, rest["out"], _DATA)
+    else:
+        more = [("data", names[0], None if rest["out"] is None else rest["out"][_DATA:_DATA + 64])]
+    return [("input", n, v) for _, n, v in got] + [("output", n, v) for _, n, v in more]
+
+
+def _finish_nested(kind: str, as_json, rest: dict):
+    entries = _nested_entries(kind, rest)
+    if as_json == "document":
+        doc: dict = {}
+        for place, name, v in entries:
+            doc.setdefault(place, {})[name] = as_document(v)
+        return dumps(doc)
+    args = [{"key": name, "value": as_text(v, SEP)} for _, name, v in entries]
+    return dumps(args) if as_json else args
+
+
+def as_document(v):
+    """Scalars of a document are text, also booleans, as in the native form."""
+    return ("true" if v else "false") if isinstance(v, bool) else v
+
+
+def _finish_frame(df: DataFrame, as_json, kind: str) -> DataFrame:
     """``as_json``: False -> ``args`` array<struct<key,value>>; True -> the
     same as JSON text; ``"document"`` -> X6/X7 decoded document text. Only the
-    exact wide integers are finished here (Arrow batches)."""
+    exact wide integers and the nested layouts are finished here (Arrow batches)."""
     finish = _finish_document if as_json == "document" else (_finish_json if as_json else _finish)
+    out_type = T.StringType() if as_json else T.ArrayType(ARG)
 
-    @F.pandas_udf(T.StringType() if as_json else T.ArrayType(ARG))
+    @F.pandas_udf(out_type)
     def finished(raw: pd.Series) -> pd.Series:
         return raw.map(lambda r: None if r is None else finish([dict(x) for x in r]))
 
-    # Only the argument column goes to Python: metadata stays in the JVM (a
+    @F.pandas_udf(out_type)
+    def finished_nested(rest: pd.DataFrame) -> pd.Series:
+        return pd.Series([None if r["_abi"] is None else _finish_nested(kind, as_json, r) for r in rest.to_dict("records")], dtype=object)
+
+    # Only the argument columns go to Python: metadata stays in the JVM (a
     # bigint with NULLs would lose digits as float64), and filters on it are
     # pushed below the conversion. As _raw is used twice, it stays a column of
     # its own (a UDF over the transform itself is not extracted).
-    args = F.when(F.col("_raw").isNotNull(), finished("_raw"))
-    return native.select(*[c for c in native.columns if c != "_raw"], args.alias("args"))
+    args = F.when(F.col("_raw").isNotNull(), finished("_raw")).otherwise(finished_nested("_rest"))
+    return df.select(*[c for c in df.columns if c not in ("_raw", "_rest")], F.lit(True).alias("layout_supported"), args.alias("args"))
 
 
 def materialize_tables(source: DataFrame, specs: DataFrame, tables: list[str], kind: str,

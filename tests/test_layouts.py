@@ -99,3 +99,102 @@ def test_clustered_sink_spreads_a_hot_contract(spark, tmp_path):
     fanout.write_clustered(df, str(tmp_path / "c"), partitions=8)
     sizes = [r["n"] for r in spark.read.parquet(str(tmp_path / "c")).groupBy(F.input_file_name()).agg(F.count("*").alias("n")).collect()]
     assert len(sizes) == 8 and max(sizes) < 1000
+
+
+# --- random nested layouts, encoded here and read by both forms ---------------
+
+def enc(t, v):
+    """(dynamic, hex) of a value of a type tree: 'uint256', ['[]', t], ['[k]', k, t], ['()', [(name, t), ...]]"""
+    if isinstance(t, str):
+        if t in ("string", "bytes"):
+            b = v.encode() if t == "string" else bytes.fromhex(v[2:])
+            return True, word(len(b)) + b.hex().ljust(-(-len(b) // 32) * 64, "0")
+        n = int(v, 16) if t == "address" else int(v)
+        return False, word(n % (1 << 256))
+    if t[0] == "()":
+        return pack([x for _, x in t[1]], [v[name] for name, _ in t[1]])
+    if t[0] == "[]":
+        return True, word(len(v)) + pack([t[1]] * len(v), v)[1]
+    return pack([t[2]] * t[1], v)
+
+
+def pack(types, values):
+    parts = [enc(t, v) for t, v in zip(types, values)]
+    size = sum(32 if d else len(x) // 2 for d, x in parts)
+    head, tail = "", ""
+    for d, x in parts:
+        if d:
+            head, tail = head + word(size + len(tail) // 2), tail + x
+        else:
+            head += x
+    return any(d for d, _ in parts), head + tail
+
+
+def spelled(t):
+    """(ABI type, components)"""
+    if isinstance(t, str):
+        return t, None
+    if t[0] == "()":
+        return "tuple", [dict(zip(("type", "components"), spelled(x)), name=n) for n, x in t[1]]
+    inner, parts = spelled(t[-1])
+    return inner + ("[]" if t[0] == "[]" else f"[{t[1]}]"), parts
+
+
+def random_type(r, depth):
+    k = r.choice(["s", "s", "[]", "[k]", "()"]) if depth else "s"
+    if k == "s":
+        return r.choice(["uint256", "address", "bool", "int128", "string", "bytes", "uint8"])
+    if k == "()":
+        return ["()", [(f"f{i}", random_type(r, depth - 1)) for i in range(r.randrange(1, 4))]]
+    return ["[]", random_type(r, depth - 1)] if k == "[]" else ["[k]", r.randrange(1, 4), random_type(r, depth - 1)]
+
+
+def random_value(r, t):
+    if isinstance(t, str):
+        return {"uint256": lambda: str(r.getrandbits(256)), "address": lambda: f"0x{r.getrandbits(160):040x}", "bool": lambda: r.random() < 0.5,
+                "int128": lambda: str(r.getrandbits(128) - (1 << 127)), "string": lambda: "é" * r.randrange(40), "uint8": lambda: str(r.randrange(256)),
+                "bytes": lambda: "0x" + "ab" * r.randrange(70)}[t]()
+    if t[0] == "()":
+        return {n: random_value(r, x) for n, x in t[1]}
+    return [random_value(r, t[-1]) for _ in range(r.randrange(4) if t[0] == "[]" else t[1])]
+
+
+def long_text(v):
+    if isinstance(v, bool):
+        return str(v).lower()
+    if isinstance(v, str):
+        return v
+    if isinstance(v, list) and not any(isinstance(x, (list, dict)) for x in v):
+        return "|||".join(long_text(x) for x in v)
+    return json.dumps(v, separators=(",", ":"), ensure_ascii=False)
+
+
+def test_random_nested_layouts_in_the_long_form(spark):
+    import random
+    r = random.Random(11)
+    layouts, rows, want = [], [], []
+    for i in range(60):
+        types = [random_type(r, 3) for _ in range(r.randrange(1, 4))]
+        values = [random_value(r, t) for t in types]
+        layouts.append([dict(zip(("type", "components"), spelled(t)), name=f"a{j}", indexed=False) for j, t in enumerate(types)])
+        rows.append((i, [], pack(types, values)[1], i))
+        want.append([(f"a{j}", long_text(v)) for j, v in enumerate(values)])
+    got = fanout.decode_all_events(logs(spark, *rows), specs(spark, *layouts)).collect()
+    assert len(got) == 60
+    for x in got:
+        assert [(a["key"], a["value"]) for a in x["args"]] == want[x["evt_index"]], layouts[x["evt_index"]]
+
+
+def test_nested_calls_and_documents(spark):
+    abi_in = [{"name": "trades", "type": "tuple[]", "components": [{"name": "pair", "type": "uint256[2]"}, {"name": "k", "type": "uint256"}]},
+              {"name": "m", "type": "uint256[][]"}]
+    t = [["[]", ["()", [("pair", ["[k]", 2, "uint256"]), ("k", "uint256")]]], ["[]", ["[]", "uint256"]]]
+    v = [[{"pair": ["11", "12"], "k": "3"}], [["7", "8"], []]]
+    spec = spark.createDataFrame([("call", "0x01020304", "0x" + "0" * 40, "ns", "T_call_f", "T_call_f", "", None, json.dumps(abi_in), "[]", None)], SPEC)
+    call = spark.createDataFrame([("0xt", "0x" + "0" * 40, "0xf", 1, None, True, "", "id", None, "call", "0", "0x01020304", "0x01020304" + pack(t, v)[1], "0x" + word(9))],
+                                 "tx_hash string, to string, from string, block_number long, block_time timestamp_ntz, success boolean, trace_address string, "
+                                 "trace_id string, error string, type string, value string, method_id string, input string, output string")
+    doc = json.loads(fanout.decode_all_calls(call, spec, as_json="document").collect()[0]["args"])
+    assert doc == {"input": {"trades": v[0], "m": v[1]}, "output": {"output_0": word(9)}}
+    wide = dec.decode_table(call, spec, "T_call_f", "call").collect()[0]
+    assert json.loads(wide["trades"]) == v[0] and json.loads(wide["m"]) == v[1]
