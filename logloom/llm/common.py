@@ -63,3 +63,15 @@ def text_key(text: Column) -> Column:
 def word_array(text: Column) -> Column:
     """The words of a text in order; null and empty texts have none."""
     return F.regexp_extract_all(F.coalesce(text, F.lit("")), F.lit(WORD), F.lit(0))
+
+
+def bounded_sample(df: DataFrame, most: int, *key: str) -> DataFrame:
+    """About ``most`` rows, those whose hash of ``key`` falls under the share
+    that the row count gives (all rows of a small table), and never over twice
+    as many. Rows are dropped where they are read, so no task or driver gets
+    more than the sample."""
+    n = df.count()
+    if n <= most:
+        return df
+    low = F.pmod(F.xxhash64(F.lit("sample"), *key), F.lit(1 << 30))
+    return df.where(low < int(most / n * (1 << 30))).limit(2 * most)
