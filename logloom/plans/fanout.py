@@ -333,7 +333,11 @@ def _finish_frame(df: DataFrame, as_json, kind: str) -> DataFrame:
 
     @F.pandas_udf(out_type)
     def finished_nested(rest: pd.DataFrame) -> pd.Series:
-        return pd.Series([None if r["_abi"] is None else _finish_nested(kind, as_json, r) for r in rest.to_dict("records")], dtype=object)
+        out = pd.Series([None] * len(rest), dtype=object)
+        mine = rest["_abi"].notna().to_numpy().nonzero()[0]  # most rows have a native layout
+        for i, r in zip(mine, rest.iloc[mine].to_dict("records")):
+            out.iat[i] = _finish_nested(kind, as_json, r)
+        return out
 
     # Only the argument columns go to Python: metadata stays in the JVM (a
     # bigint with NULLs would lose digits as float64), and filters on it are
