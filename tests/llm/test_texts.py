@@ -211,3 +211,22 @@ def test_host_suffixes_remove_boilerplate_and_keep_unique_runs(spark):
     assert got[50] == f"{boiler} alone" and got[51] == "" and got[None] == "" and got[52] == "a & b"
     assert all(got[60 + i] == own[0] for i in range(9))  # equal pages count once
     assert html_text.main_text(spark.createDataFrame([], "page_id long, url string, html string")).count() == 0
+
+
+def test_host_suffixes_use_all_pages_and_the_share_of_the_host(spark):
+    r = random.Random(8)
+    boiler = "all rights of this site are reserved by the owner since long ago"
+    phrase = "one of the most important things"
+    say = lambda n: " ".join(f"u{r.randrange(10 ** 6)}" for _ in range(n))
+    long = say(14)  # on 4 of 61 pages: long, but no boilerplate of this host
+    own = [f"{say(9)} {phrase} {say(9)} {long} {say(9)}" for _ in range(4)]
+    pages = [(i, f"https://a.example.com/{i}", f"<article>{say(20)}</article><footer>{boiler}</footer>") for i in range(56)]
+    pages += [(60 + i, "https://a.example.com/", f"<p>{t}</p><nav>menu</nav><div>{boiler}</div>") for i, t in enumerate(own)]
+    pages += [(70, "https://a.example.com/z", f"<article>before {boiler} after</article>")]
+    got = {x["page_id"]: x["text"] for x in html_text.main_text(spark.createDataFrame(pages, "page_id long, url string, html string")).collect()}
+    assert [got[60 + i] for i in range(4)] == own
+    assert got[70] == f"before {boiler} after"
+    few = pages[:56] + pages[56:57]  # one page without an article: the others tell its boilerplate
+    got = {x["page_id"]: x["text"] for x in html_text.main_text(spark.createDataFrame(few, "page_id long, url string, html string")).collect()}
+    assert got[60] == own[0]
+    assert html_text.zoned('a<span class="ad">Buy</span>b<nav>c</nav>') == (False, [("ab", True), ("Buy", False), ("c", False)])
