@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Sequence
+from bisect import bisect_left
+from collections.abc import Iterable, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -75,3 +76,25 @@ def bounded_sample(df: DataFrame, most: int, *key: str) -> DataFrame:
         return df
     low = F.pmod(F.xxhash64(F.lit("sample"), *key), F.lit(1 << 30))
     return df.where(low < int(most / n * (1 << 30))).limit(2 * most)
+
+
+class Spans:
+    """Disjoint spans in order; overlapping ones of the first are joined."""
+
+    def __init__(self, spans: Iterable[tuple[int, int]] = ()):
+        self.starts: list[int] = []
+        self.ends: list[int] = []
+        for a, z in sorted(spans):
+            if self.ends and a < self.ends[-1]:
+                self.ends[-1] = max(z, self.ends[-1])
+            else:
+                self.starts.append(a), self.ends.append(z)
+
+    def meets(self, a: int, z: int) -> bool:
+        i = bisect_left(self.starts, z)
+        return i > 0 and self.ends[i - 1] > a
+
+    def add(self, a: int, z: int):
+        """Add a span that meets none."""
+        i = bisect_left(self.starts, a)
+        self.starts.insert(i, a), self.ends.insert(i, z)

@@ -230,3 +230,29 @@ def test_host_suffixes_use_all_pages_and_the_share_of_the_host(spark):
     got = {x["page_id"]: x["text"] for x in html_text.main_text(spark.createDataFrame(few, "page_id long, url string, html string")).collect()}
     assert got[60] == own[0]
     assert html_text.zoned('a<span class="ad">Buy</span>b<nav>c</nav>') == (False, [("ab", True), ("Buy", False), ("c", False)])
+
+
+def test_numbers_side_by_side_are_proposed_one_by_one():
+    t = "pay 7536784127813050 4845168114407329 or +1 (826) 555-4081 190.137.223.204 (826) 555-4082."
+    got = {(pii.KINDS[k], t[a:z]) for k, a, z in pii.candidates(t)}
+    assert {("card", "7536784127813050"), ("card", "4845168114407329"), ("phone", "+1 (826) 555-4081"),
+            ("ip", "190.137.223.204"), ("phone", "(826) 555-4082")} <= got
+    assert len(list(pii.candidates("1 " * 20_000))) <= 19 * 20_000
+
+
+def test_merged_cards_and_phones_are_added(spark):
+    r = random.Random(9)
+
+    def card():
+        d = "4" + "".join(r.choice("0123456789") for _ in range(14))
+        return next(d + x for x in "0123456789" if pii.luhn(d + x))
+    phone = lambda: f"+1 ({r.randrange(200, 999)}) {r.randrange(200, 999)}-{r.randrange(1000, 9999)}"
+    docs = [(i, f"some words card {card()} and call {phone()} about order {r.randrange(10 ** 7, 10 ** 9)} now") for i in range(400)]
+    while len(docs) < 420:
+        two = f"{card()} {card()}"
+        if not pii.base_spans(two):
+            docs.append((len(docs), f"some words card {two} and call {phone()} 190.137.223.{len(docs) - 300} soon"))
+    got = {x["doc_id"]: [docs[x["doc_id"]][1][s["start"]:s["end"]] for s in x["spans"]] for x in pii.find_personal_data(spark.createDataFrame(docs, "doc_id long, text string")).collect()}
+    for i, t in docs[400:]:
+        want = re.findall(r"[0-9]{16}|\+1 \([0-9]+\) [0-9]+-[0-9]{4}|190[.0-9]+", t)
+        assert set(want) == set(got[i])
