@@ -101,12 +101,14 @@ class Forest:
         return sum(t.predict(bins) for t in self.trees) / len(self.trees)
 
 
-def threshold(score: np.ndarray, y: np.ndarray, precision: float) -> float:
+def threshold(score: np.ndarray, y: np.ndarray, precision: float, weight: np.ndarray | None = None) -> float:
     """The lowest score from which on the share of positives, with one negative
-    added for chance, reaches ``precision``; 1.01 (nothing) if there is none."""
+    added for chance, reaches ``precision``; 1.01 (nothing) if there is none.
+    With ``weight``, each row counts as that many."""
+    weight = np.ones(len(y)) if weight is None else weight
     order = np.argsort(-score, kind="stable")
-    good = np.cumsum(y[order])
-    share = good / np.arange(2, len(y) + 2)
+    good = np.cumsum((weight * y)[order])
+    share = good / (np.cumsum(weight[order]) + 1)
     last = np.append(score[order][1:] != score[order][:-1], True)
     at = np.flatnonzero((share >= precision) & last)
     return float(score[order][at[-1]]) if len(at) else 1.01

@@ -256,3 +256,14 @@ def test_merged_cards_and_phones_are_added(spark):
     for i, t in docs[400:]:
         want = re.findall(r"[0-9]{16}|\+1 \([0-9]+\) [0-9]+-[0-9]{4}|190[.0-9]+", t)
         assert set(want) == set(got[i])
+
+
+def test_rare_kinds_keep_their_rows_beside_digit_tables(spark):
+    r = random.Random(10)
+    docs = [(i, f"words and more mail {m} words" if i % 2 else f"more words mail {pii.rewritten(0, m)[0]} words")
+            for i, m in ((i, f"n{r.randrange(10 ** 6)}.x@mail{i % 9}.example.com") for i in range(200))]
+    docs += [(i, "\n".join(f"t {r.randrange(10 ** 6, 10 ** 9)} {r.randrange(10 ** 6, 10 ** 9)}" for _ in range(300))) for i in range(200, 300)]
+    got = pii.find_personal_data(spark.createDataFrame(docs, "doc_id long, text string"), sample=2000).collect()
+    found = [len(x["spans"]) - len(x["base"]) for x in got if x["doc_id"] < 200 and x["doc_id"] % 2 == 0]
+    assert sum(n == 1 for n in found) >= 95
+    assert trees.threshold(np.array([0.9, 0.8]), np.array([1, 0]), 0.5, np.array([1, 9])) == 0.9
