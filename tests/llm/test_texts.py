@@ -267,3 +267,19 @@ def test_rare_kinds_keep_their_rows_beside_digit_tables(spark):
     found = [len(x["spans"]) - len(x["base"]) for x in got if x["doc_id"] < 200 and x["doc_id"] % 2 == 0]
     assert sum(n == 1 for n in found) >= 95
     assert trees.threshold(np.array([0.9, 0.8]), np.array([1, 0]), 0.5, np.array([1, 9])) == 0.9
+
+
+def test_each_place_once_in_a_long_config():
+    r = random.Random(11)
+    text = "\n".join(f"password={''.join(r.choice('0123456789abcdef') for _ in range(24))}" for _ in range(200))
+    got = secret_scan.candidates(text)
+    assert len(got) == 200 and all(z <= a for (_, _, z), (_, a, _) in zip(got, got[1:]))
+
+
+def test_bare_tokens_are_learnt_from_assigned_values(spark):
+    r = random.Random(12)
+    value = lambda: "".join(r.choice("0123456789abcdef") for _ in range(40))
+    plain = lambda: f"https-{r.choice(['red', 'blue', 'green'])}-page-of-the-site-{r.randrange(9)}/a/b/c"
+    docs = [(i, f"some words password={value()} and {plain()} words", "a") if i < 400 else (i, f"the thing {value()} stands here", "a") for i in range(500)]
+    got = {x["doc_id"]: x for x in secret_scan.find_secrets(spark.createDataFrame(docs, h.EDGE_SCHEMA)).collect()}
+    assert sum(got[i]["n_secrets"] == 1 == got[i]["n_candidates"] for i in range(400, 500)) >= 95
