@@ -283,3 +283,10 @@ def test_bare_tokens_are_learnt_from_assigned_values(spark):
     docs = [(i, f"some words password={value()} and {plain()} words", "a") if i < 400 else (i, f"the thing {value()} stands here", "a") for i in range(500)]
     got = {x["doc_id"]: x for x in secret_scan.find_secrets(spark.createDataFrame(docs, h.EDGE_SCHEMA)).collect()}
     assert sum(got[i]["n_secrets"] == 1 == got[i]["n_candidates"] for i in range(400, 500)) >= 95
+
+
+def test_dictionary_counts_all_documents(spark):
+    """A language of 6 among 12,000 documents."""
+    df = spark.range(12_000).selectExpr("id as doc_id", "if(id % 2000 = 7, 'кошка сидит дома', 'plain words') as text", "'a' as path")
+    known = secret_scan._trigrams(df)
+    assert {"кош", "дом", "pla"} <= known
