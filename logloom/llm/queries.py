@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from . import (decontaminate, html_text, lines, mixing, near, pii, quality, secret_scan,
-               suffixes, token_counts)
+from . import (decontaminate, html_text, language, lines, mixing, near, period_runs, pii, quality, search,
+               secret_scan, suffixes, token_counts)
 
 QUERIES = {
     "op1_line_dedup": lines.op1_line_dedup,
@@ -16,11 +16,15 @@ QUERIES = {
     "op8_html_extraction": html_text.op8_html_extraction,
     "op9_mixing": mixing.op9_mixing,
     "op10_token_counts": token_counts.op10_token_counts,
+    "op11_language_id": language.op11_language_id,
+    "op12_lexical_search": search.op12_lexical_search,
+    "op13_period_runs": period_runs.op13_period_runs,
 }
 
-#: Operators 3 to 8 and 10 have no statement: they are tested by brute force.
+#: The others have no statement: they are tested by brute force or held-out rows.
 ORACLES = {
     "op1_line_dedup": lines.ORACLE,
     "op2_quality_rules": quality.ORACLE,
     "op9_mixing": mixing.ORACLE,
+    "op12_lexical_search": search.ORACLE,
 }
