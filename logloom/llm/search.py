@@ -148,8 +148,9 @@ class Stratified:
         self.impact = (10**9 * (levels % above) // (1000 * (levels % above) + 12 * (levels // above)))[which]
         self.strata, stratum = np.unique(m, return_inverse=True)
         # postings of one term in one stratum lie together, the largest tf last
-        head = np.flatnonzero(np.concatenate(([True], (term[1:] != term[:-1]) | (stratum[1:] != stratum[:-1])))) if len(term) else np.zeros(0, dtype=np.int64)
-        self.first, self.last = head, np.append(head[1:], len(term))
+        edge = (term[1:] != term[:-1]) | (stratum[1:] != stratum[:-1])
+        head = np.concatenate((np.zeros(min(len(term), 1), dtype=np.int64), np.flatnonzero(edge) + 1))
+        self.first, self.last = head, np.append(head[1:], len(term))[:len(head)]
         self.stratum = stratum[head]
         self.most = self.impact[self.last - 1]
         self.by_term = np.searchsorted(term[head], np.arange(len(number) + 1))
