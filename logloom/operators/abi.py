@@ -1,12 +1,15 @@
 """ABI documents -> signature entries (X2 ``PARSE_ABI_EVENTS``, X3
 ``PARSE_ABI_FUNCTIONS``, X4/X5 reduce-to-one-entry).
 
-Parsing is ``from_json`` into a fixed ``StructType`` (tuple ``components``
-nested ten levels deep; invalid JSON or a NULL ABI parse to NULL and yield no
-entries, the reference's ``'ERROR'`` rows), then ``explode``. Canonical
-signatures and the registry's type vocabulary are built with ``transform`` /
-``concat`` per argument. Hashes (Keccak-256) are computed by ``mapInPandas``
-over the *distinct* canonical signatures only and joined back.
+Parsing is ``from_json`` into a flat schema, then ``explode``: invalid JSON or
+a NULL ABI parse to NULL and yield no entries, the reference's ``'ERROR'``
+rows. A parameter keeps its tuple ``components`` as JSON text, so the schema
+has no levels and a document may nest tuples as deeply as JSON parses. What a
+tuple's text says (canonical spelling, registry type, its fields) is worked out
+bottom-up by one Arrow UDF that sees nothing but those texts; parameters
+without a tuple, nearly all, stay native: ``transform`` / ``concat`` per
+argument. Hashes (Keccak-256) are computed by ``mapInPandas`` over the
+*distinct* canonical signatures only and joined back.
 
 The type expressions are generated as Spark SQL text and handed to one
 ``F.expr`` each: the same Catalyst expressions the Column API would build, but
@@ -15,6 +18,8 @@ one JVM round trip instead of hundreds (query construction took seconds).
 
 from __future__ import annotations
 
+import json
+import re
 from typing import Iterator
 
 import pandas as pd
@@ -24,28 +29,17 @@ from pyspark.sql import types as T
 
 from ..functions.keccak import keccak_hex
 
-# Levels of tuple components carried in the schema. A document nested deeper
-# than this has no entries (NULL), never a wrong signature: see parse_abi.
-_DEPTH = 10
-
-
-def _param_type(depth: int) -> T.StructType:
-    fields = [
-        T.StructField("name", T.StringType()),
-        T.StructField("type", T.StringType()),
-        T.StructField("indexed", T.BooleanType()),
-    ]
-    if depth > 0:
-        fields.append(T.StructField("components", T.ArrayType(_param_type(depth - 1))))
-    return T.StructType(fields)
-
-
-PARAM = _param_type(_DEPTH)
+#: ``components``: the JSON text of a tuple's fields.
+PARAM = T.StructType([
+    T.StructField("name", T.StringType()),
+    T.StructField("type", T.StringType()),
+    T.StructField("indexed", T.BooleanType()),
+    T.StructField("components", T.StringType()),
+])
 ENTRY = T.StructType([
     T.StructField("type", T.StringType()),
     T.StructField("name", T.StringType()),
     T.StructField("anonymous", T.BooleanType()),
-    T.StructField("stateMutability", T.StringType()),
     T.StructField("inputs", T.ArrayType(PARAM)),
     T.StructField("outputs", T.ArrayType(PARAM)),
 ])
@@ -56,6 +50,64 @@ _SQL_SUFFIX = r"'(\\[[0-9]*\\])+$'"
 _SQL_INT_WIDEN = r"'^(u?int)(\\[|$)'"
 
 
+# ------------------------------------------------- tuples, from their text --
+
+_SUFFIX = re.compile(r"(\[[0-9]*\])+$")
+
+
+def _scalar_vocab(base: str) -> str:
+    m = re.fullmatch(r"(u?)int([0-9]*)", base)
+    if m:
+        return "INT64" if int(m[2] or 256) <= (56 if m[1] else 64) else "BIGNUMERIC"
+    return {"address": "ADDRESS", "bool": "BOOL"}.get(base, "STRING")
+
+
+def _tuple_facts(fields: list) -> tuple[str, str, list]:
+    """Canonical spelling, registry type and plain fields of a tuple."""
+    canonical, vocab, plain = [], [], []
+    for f in fields:
+        kind, name = f.get("type") or "", f.get("name") or ""
+        base = _SUFFIX.sub("", kind)
+        out = {"name": name, "type": kind}
+        if base == "tuple":
+            c, v, out["components"] = _tuple_facts(f.get("components") or [])
+            c += kind[len("tuple"):]
+        else:
+            c = re.sub(r"^(u?int)(\[|$)", r"\g<1>256\2", kind)
+            v = _scalar_vocab(base)
+            if base != kind:
+                v = f"ARRAY<{name} {v}>"
+        canonical.append(c)
+        vocab.append(f"{name} {v}")
+        plain.append(out)
+    return f"({','.join(canonical)})", f"ARRAY<{', '.join(vocab)}>", plain
+
+
+def tuple_facts(text: str | None):
+    """(canonical, vocab, components) of a ``components`` text, or None."""
+    try:
+        canonical, vocab, plain = _tuple_facts(json.loads(text))
+        return canonical, vocab, json.dumps(plain, separators=(",", ":"), ensure_ascii=False)
+    except (TypeError, ValueError, AttributeError, RecursionError):
+        return None
+
+
+_FACTS = T.ArrayType(T.StructType([T.StructField(n, T.StringType()) for n in ("canonical", "vocab", "components")]))
+
+
+@F.pandas_udf(_FACTS)
+def _tuples(components: pd.Series) -> pd.Series:
+    known: dict = {None: None}
+
+    def facts(text):
+        if text not in known:
+            known[text] = tuple_facts(text)
+        return known[text]
+    return components.map(lambda texts: [facts(t) for t in texts], na_action="ignore")
+
+
+# ------------------------------------------- one parameter, as SQL text ------
+
 def _scalar_vocab_sql(base: str) -> str:
     bits = f"coalesce(try_cast(nullif(regexp_extract({base}, '^u?int([0-9]*)$', 1), '') AS INT), 256)"
     return (f"CASE WHEN {base} = 'address' THEN 'ADDRESS' WHEN {base} = 'bool' THEN 'BOOL' "
@@ -64,7 +116,7 @@ def _scalar_vocab_sql(base: str) -> str:
             "ELSE 'STRING' END")
 
 
-def vocab_type_sql(p: str, depth: int = _DEPTH) -> str:
+def vocab_type_sql(p: str, facts: str) -> str:
     """Registry type: ADDRESS / INT64 / BIGNUMERIC / BOOL / STRING, or
     ``ARRAY<name TYPE, ...>`` for tuples, arrays and arrays of tuples (one
     spelling for all three, as in the reference's documents).
@@ -72,65 +124,49 @@ def vocab_type_sql(p: str, depth: int = _DEPTH) -> str:
     intN with N <= 64 and uintN with N <= 56 fit a signed 64-bit column
     (INT64); wider integers are BIGNUMERIC (kept as exact decimal text)."""
     base = f"regexp_replace({p}.type, {_SQL_SUFFIX}, '')"
-    name = f"coalesce({p}.name, '')"
     scalar = _scalar_vocab_sql(base)
-    out = (f"CASE WHEN {p}.type RLIKE {_SQL_SUFFIX} THEN concat('ARRAY<', {name}, ' ', {scalar}, '>') "
-           f"ELSE {scalar} END")
-    if depth > 0:
-        c = f"c{depth}"
-        fields = (f"array_join(transform({p}.components, {c} -> concat(coalesce({c}.name, ''), ' ', "
-                  f"{vocab_type_sql(c, depth - 1)})), ', ')")
-        out = f"CASE WHEN {base} = 'tuple' THEN concat('ARRAY<', {fields}, '>') ELSE {out} END"
-    return out
+    return (f"CASE WHEN {base} = 'tuple' THEN {facts}.vocab "
+            f"WHEN {p}.type RLIKE {_SQL_SUFFIX} THEN concat('ARRAY<', coalesce({p}.name, ''), ' ', {scalar}, '>') "
+            f"ELSE {scalar} END")
 
 
-def canonical_type_sql(p: str, depth: int = _DEPTH) -> str:
+def canonical_type_sql(p: str, facts: str) -> str:
     """ABI canonical type: tuples spelled ``(t1,t2)`` + array suffix;
     ``uint``/``int`` widened to 256 bits."""
     t = f"regexp_replace({p}.type, {_SQL_INT_WIDEN}, '$1256$2')"
-    if depth == 0:
-        return t
-    k = f"k{depth}"
-    inner = f"array_join(transform({p}.components, {k} -> {canonical_type_sql(k, depth - 1)}), ',')"
-    return (f"CASE WHEN startswith({t}, 'tuple') THEN concat('(', {inner}, ')', "
+    return (f"CASE WHEN startswith({t}, 'tuple') THEN concat({facts}.canonical, "
             f"regexp_extract({t}, '^tuple(.*)$', 1)) ELSE {t} END")
 
 
-def _cut_off(p: str, level: int) -> str:
-    """Does the parameter reach the schema's innermost level with a tuple?"""
-    if level > _DEPTH:
-        return f"startswith({p}.type, 'tuple')"
-    q = f"p{level + 1}"
-    return f"exists(coalesce({p}.components, array()), {q} -> {_cut_off(q, level + 1)})"
-
-
 def parse_abi(abi_docs: DataFrame, key: str = "ordinal") -> DataFrame:
     """One row per ABI entry: (key, entry) for events and functions."""
-    # the innermost level carries no components: a tuple there lost its fields
-    inner = F.expr(f"NOT exists(entries, e -> exists(concat(coalesce(e.inputs, array()), coalesce(e.outputs, array())), "
-                   f"p1 -> {_cut_off('p1', 1)}))")
-    parsed = abi_docs.select(key, F.from_json("abi", ABI_SCHEMA).alias("entries")).where(F.coalesce(inner, F.lit(True)))
+    parsed = abi_docs.select(key, F.from_json("abi", ABI_SCHEMA).alias("entries"))
     return parsed.select(key, F.explode("entries").alias("e")).where(
         F.col("e.type").isin("event", "function") & F.col("e.name").isNotNull())
 
 
-def _event_inputs_sql(inputs: str) -> str:
+def _event_inputs_sql(inputs: str, facts: str) -> str:
     n_indexed = f"size(filter(slice({inputs}, 1, i + 1), y -> coalesce(y.indexed, false)))"
     return (f"array_join(transform({inputs}, (x, i) -> to_json(named_struct("
-            f"'name', coalesce(x.name, ''), 'type', {vocab_type_sql('x')}, "
+            f"'name', coalesce(x.name, ''), 'type', {vocab_type_sql('x', facts)}, "
             f"'index_type', IF(coalesce(x.indexed, false), concat('topic', CAST({n_indexed} AS STRING)), "
             f"'data')))), ',')")
 
 
-def _plain_sql(params: str) -> str:
-    return (f"array_join(transform({params}, x -> to_json(named_struct("
-            f"'name', coalesce(x.name, ''), 'type', {vocab_type_sql('x')}))), ',')")
+def _plain_sql(params: str, facts: str) -> str:
+    return (f"array_join(transform({params}, (x, i) -> to_json(named_struct("
+            f"'name', coalesce(x.name, ''), 'type', {vocab_type_sql('x', facts)}))), ',')")
+
+
+def _full_sql(params: str, facts: str) -> str:
+    return (f"to_json(transform({params}, (x, i) -> named_struct('name', x.name, 'type', x.type, 'indexed', x.indexed, "
+            f"'components', {facts}.components)))")
 
 
 def signature_entries(abi_docs: DataFrame, key: str = "ordinal") -> DataFrame:
     """X2 + X3: (key, type 'event'|'call', entry_name, signature, inputs,
     outputs, abi_inputs, abi_outputs). Anonymous events are excluded (no hash
-    topic)."""
+    topic). A tuple without readable components has no signature."""
     e = parse_abi(abi_docs, key)
     is_event = F.col("e.type") == "event"
     params = T.ArrayType(PARAM)
@@ -141,15 +177,21 @@ def signature_entries(abi_docs: DataFrame, key: str = "ordinal") -> DataFrame:
         F.coalesce(F.col("e.inputs"), F.array().cast(params)).alias("_in"),
         F.coalesce(F.col("e.outputs"), F.array().cast(params)).alias("_out"),
     )
-    sig = F.expr(f"concat(entry_name, '(', array_join(transform(_in, p -> {canonical_type_sql('p')}), ','), ')')")
+    # NULL, not a list of NULLs, for entries without a tuple: nothing to convert
+    texts = F.expr("transform(concat(_in, _out), p -> IF(startswith(p.type, 'tuple'), p.components, NULL))")
+    staged = staged.withColumn("_texts", texts).withColumn(
+        "_facts", _tuples(F.expr("IF(exists(_texts, t -> t IS NOT NULL), _texts, NULL)"))).drop("_texts")
+    ins, outs = "get(_facts, i)", "get(_facts, i + size(_in))"
+    sig = F.expr(f"concat(entry_name, '(', array_join(transform(_in, (p, i) -> {canonical_type_sql('p', ins)}), ','), ')')")
+    whole = F.expr(f"forall(transform(_in, (p, i) -> {canonical_type_sql('p', ins)}), t -> t IS NOT NULL)")
     is_ev = F.col("type") == "event"
     return staged.select(
         key, "type", "entry_name",
-        sig.alias("signature"),
-        F.when(is_ev, F.expr(_event_inputs_sql("_in"))).otherwise(F.expr(_plain_sql("_in"))).alias("inputs"),
-        F.when(is_ev, F.lit(None).cast("string")).otherwise(F.expr(_plain_sql("_out"))).alias("outputs"),
-        F.to_json("_in").alias("abi_inputs"),
-        F.to_json("_out").alias("abi_outputs"),
+        F.when(whole, sig).alias("signature"),
+        F.when(is_ev, F.expr(_event_inputs_sql("_in", ins))).otherwise(F.expr(_plain_sql("_in", ins))).alias("inputs"),
+        F.when(is_ev, F.lit(None).cast("string")).otherwise(F.expr(_plain_sql("_out", outs))).alias("outputs"),
+        F.expr(_full_sql("_in", ins)).alias("abi_inputs"),
+        F.expr(_full_sql("_out", outs)).alias("abi_outputs"),
     )
 
 
@@ -182,6 +224,9 @@ def with_hash_ids(entries: DataFrame) -> DataFrame:
 
 def reduce_abi(abi_docs: DataFrame, entry_name: str, kind: str, key: str = "ordinal") -> DataFrame:
     """X4/X5 (D8): the ABI restricted to entries named ``entry_name`` of one
-    kind ('event' or 'function'), as JSON text per key."""
-    e = parse_abi(abi_docs, key).where((F.col("e.name") == entry_name) & (F.col("e.type") == kind))
-    return e.groupBy(key).agg(F.to_json(F.collect_list("e")).alias("abi"))
+    kind ('event' or 'function'), as JSON text per key. The entries keep all
+    their fields and their order."""
+    entries = abi_docs.select(key, F.from_json("abi", "array<string>").alias("entries"))
+    named = F.filter("entries", lambda e: (F.get_json_object(e, "$.name") == entry_name) & (F.get_json_object(e, "$.type") == kind))
+    return entries.select(key, named.alias("found")).where(F.size("found") > 0).select(
+        key, F.concat(F.lit("["), F.array_join("found", ","), F.lit("]")).alias("abi"))
