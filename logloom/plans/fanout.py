@@ -4,41 +4,50 @@ The reference generates one SQL model per signature (300k+ scans of the logs).
 Here the logs are joined once with all spec rows on ``(hash, address)`` plus the
 residual ``block_time >= min_ts`` (JN10), and each row is decoded with *its own*
 layout by one interpretive native expression (``transform`` over the parsed
-ABI parameters). The result is the long form (D5): metadata, namespace, table
-and ``args`` as ``array<struct<key, value>>`` text, arrays joined by ``|||``.
+ABI parameters). Everything ends in one form, ``entries``: an array with the
+place (topic, data, input, output), name, kind and value of each argument, or
+its items. All results are native expressions over it: the long form (D5:
+``args`` as ``array<struct<key, value>>``, arrays joined by ``|||``), its JSON
+text, the decoded document (X6/X7), and the typed columns of the table sink.
 
-Layouts that this expression cannot read (tuples, fixed and nested arrays,
-arrays of ``string`` or ``bytes``) are read by a small recursive reader in an
-Arrow UDF over their payloads; nested values come out as JSON text.
+Python sees words, not rows: the 256-bit integers of a row as one flat column of
+hex words, and the payloads whose layout the expression cannot read (tuples,
+fixed and nested arrays, arrays of ``string`` or ``bytes``), which
+``functions.nested`` reads for all rows of a layout together. Rows without
+either pass as NULL.
+
+An address may be listed with several layouts of one hash (an ERC-20 and an
+ERC-721 ``Transfer``); each row takes the one that fits it best (``_CHOICE``).
 
 Scale: the spec side is (hash, address) rows; Spark broadcasts it only if its
 measured size is below the threshold, otherwise both sides shuffle on
 ``(hash, address)`` -- never on the hash alone, so the hot Transfer hash spreads
 over all addresses, and AQE splits a skewed address partition. Output is
 range-clustered by hash and address, not partitioned per table (300k
-directories would be a small-file disaster).
+directories would be a small-file disaster); ``write_tables`` makes tables.
 """
 
 from __future__ import annotations
 
 import json
+import uuid
+from concurrent.futures import ThreadPoolExecutor
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions import words as wd
-from ..functions.nested import arguments, as_text, dumps
-from ..functions.hexint import py_hex_to_decimal, py_hex_to_signed_decimal
+from ..functions.hexint import in_lists
+from ..functions.nested import arguments, dumps, words
 from ..operators import abi as abi_ops
 from ..operators import decode as dec
-from ..operators.decode import CALL_META, EVENT_META, input_names, output_names, parse_param
+from ..operators.decode import CALL_META, EVENT_META, head_words, input_names, is_dynamic, is_wide, output_names, parse_param
+from ..session import ensure_checkpoint_dir
 
-ARG = T.StructType([T.StructField("key", T.StringType()), T.StructField("value", T.StringType())])
-_RAW = T.ArrayType(T.StructType([T.StructField("key", T.StringType()),
-                                 T.StructField("kind", T.StringType()),
-                                 T.StructField("value", T.StringType())]))
+ENTRY = T.StructType([T.StructField(n, T.StringType()) for n in ("src", "key", "kind", "value")]
+                     + [T.StructField("items", T.ArrayType(T.StringType()))])
 SEP = "|||"
 # 0-based places of the first word of event data / call output and of call input
 _DATA, _INPUT = wd.DATA_BASE - 1, wd.INPUT_BASE - 1
@@ -47,6 +56,52 @@ _PLAIN_PARAMS = T.ArrayType(T.StructType([T.StructField("name", T.StringType()),
                                           T.StructField("indexed", T.BooleanType())]))
 
 
+# What a layout says, worked out once per distinct one: the unique argument
+# names, the columns of its table, and what a row must look like to fit it.
+_SHAPE = T.StructType([T.StructField("names", T.ArrayType(T.StringType())), T.StructField("types", T.ArrayType(T.StringType())),
+                       T.StructField("topics", T.IntegerType()), T.StructField("head", T.LongType()),
+                       T.StructField("static", T.BooleanType())])
+
+
+def column_type(p: dict) -> str:
+    """SQL type of an argument's column, as in the wide form: arrays of plain
+    values are arrays, everything deeper is JSON text."""
+    n = parse_param(p)
+    array = n.kind == "array" and not p.get("indexed")
+    e = n.elem if array else n
+    if e.kind != "scalar" or p.get("indexed") and is_dynamic(e):
+        return "string"
+    plain = "boolean" if e.scalar == "bool" else "bigint" if e.scalar.startswith(("uint", "int")) and not is_wide(e.scalar) else "string"
+    return f"array<{plain}>" if array else plain
+
+
+def shape(kind: str, abi_in: str | None, abi_out: str | None) -> dict:
+    ins, outs = json.loads(abi_in or "[]"), json.loads(abi_out or "[]")
+    if kind == "event":
+        names, params = input_names(ins, EVENT_META), ins
+        types = [column_type(p) for p in ins]
+    else:
+        names = input_names(ins, CALL_META)
+        names = names + output_names(outs, CALL_META + tuple(names))
+        types = [column_type(p) for p in [*ins, *outs]] + ([] if outs else ["string"])
+        params = ins
+    data = [parse_param(p) for p in params if kind == "call" or not p.get("indexed")]
+    return {"names": names, "types": types, "topics": sum(bool(p.get("indexed")) for p in ins), "head": 64 * sum(map(head_words, data)),
+            "static": not any(map(is_dynamic, data))}
+
+
+@F.arrow_udf(_SHAPE)
+def _shapes(kind: pa.Array, abi_in: pa.Array, abi_out: pa.Array) -> pa.Array:
+    known: dict = {}
+    out = []
+    for key in zip(kind.to_pylist(), abi_in.to_pylist(), abi_out.to_pylist()):
+        if key not in known:
+            known[key] = shape(*key)
+        out.append(known[key])
+    fields = [("names", pa.list_(pa.string())), ("types", pa.list_(pa.string())), ("topics", pa.int32()), ("head", pa.int64()), ("static", pa.bool_())]
+    return pa.array(out, type=pa.struct(fields))
+
+
 # Per-argument layout, computed once per spec row (before the join) so that
 # log rows only extract words. Kinds: address, bool, u64, i64, uwide, iwide,
 # word (bytesN), string, bytes, and "array:<kind>" for T[] of scalars.
@@ -74,13 +129,10 @@ def call_layout_sql(inputs: str, outputs: str) -> str:
     offsets relative to char 11), results in ``output`` (char 3). A function
     without outputs gets ``output_0``, the raw first output word."""
     kind = _kind_sql()
-    key_in = ("IF(coalesce(p.name, '') = '', concat('input_', CAST(i AS STRING)), "
-              "replace(p.name, '_partition', 'partition'))")
-    key_out = ("IF(coalesce(p.name, '') = '', concat('output_', CAST(i AS STRING)), "
-               "concat('output_', p.name))")
+    key_in, key_out = "get(_shape.names, i)", f"get(_shape.names, i + size({inputs}))"
     ins = (f"transform({inputs}, (p, i) -> named_struct('key', {key_in}, 'kind', {kind}, "
            f"'head', 11 + i * 64, 'src', 'in', 'area', 11))")
-    outs = (f"IF(size({outputs}) = 0, array(named_struct('key', 'output_0', 'kind', 'word', 'head', 3, "
+    outs = (f"IF(size({outputs}) = 0, array(named_struct('key', element_at(_shape.names, -1), 'kind', 'word', 'head', 3, "
             f"'src', 'out', 'area', 3)), transform({outputs}, (p, i) -> named_struct('key', {key_out}, "
             f"'kind', {kind}, 'head', 3 + i * 64, 'src', 'out', 'area', 3)))")
     return f"concat({ins}, {outs})"
@@ -93,9 +145,7 @@ def layout_sql(params: str) -> str:
     kind = _KIND_SQL.format(fixed=_SQL_FIXED).replace("nb", nb).replace(" b ", f" {b} ").replace(
         "WHEN b", f"WHEN {b}")
     n_idx = f"size(filter(slice({params}, 1, i), y -> coalesce(y.indexed, false)))"
-    key = ("IF(coalesce(p.name, '') = '', concat('input_', CAST(i AS STRING)), "
-           "replace(p.name, '_partition', 'partition'))")
-    return (f"transform({params}, (p, i) -> named_struct('key', {key}, 'kind', {kind}, "
+    return (f"transform({params}, (p, i) -> named_struct('key', get(_shape.names, i), 'kind', {kind}, "
             f"'indexed', coalesce(p.indexed, false), 'topic', {n_idx} + 1, "
             f"'head', 3 + (i - {n_idx}) * 64))")
 
@@ -134,52 +184,58 @@ def _args_sql(text: str = "data", area: str = "3", topics: bool = True) -> str:
                f"substr({text}, least({start} + 64, {_MAXW - 1}), least(({n}) * 2, {_MAXW - 1})), NULL)")
     region = (f"IF({start} + 63 + ({n}) * 64 <= length({text}), "
               f"substr({text}, least({start} + 64, {_MAXW - 1}), least(({n}) * 64, {_MAXW - 1})), NULL)")
-    elems = (f"array_join(transform(regexp_extract_all({region}, '(.{{64}})', 1), "
-             f"e -> {_word_text_sql('a.kind', 'e')}), '{SEP}')")
+    items = (f"transform(regexp_extract_all({region}, '(.{{64}})', 1), "
+             f"e -> {_word_text_sql('a.kind', 'e')})")
     text_value = f"try_validate_utf8(CAST(unhex({payload}) AS STRING))"
     data_value = (f"CASE WHEN a.kind = 'string' THEN {text_value} "
                   f"WHEN a.kind = 'bytes' THEN concat('0x', {payload}) "
-                  f"WHEN a.kind LIKE 'array:%' THEN {elems} "
+                  f"WHEN a.kind LIKE 'array:%' THEN NULL "
                   f"ELSE {_word_text_sql('a.kind', w)} END")
     if not topics:
-        return (f"transform(_layout, a -> named_struct('key', a.key, 'kind', a.kind, 'value', {data_value}, "
-                f"'src', IF(a.src = 'out', 'output', 'input')))")
+        return (f"transform(_layout, a -> named_struct('src', IF(a.src = 'out', 'output', 'input'), 'key', a.key, "
+                f"'kind', a.kind, 'value', {data_value}, 'items', IF(a.kind LIKE 'array:%', {items}, NULL)))")
     topic = "element_at(array(topic1, topic2, topic3), least(a.topic, 3))"
-    topic_value = (f"CASE WHEN a.kind IN ('string', 'bytes') OR a.kind LIKE 'array:%' THEN {topic} "
-                   f"ELSE {_word_text_sql('a.kind', f'substr({topic}, 3, 64)')} END")
-    return (f"transform(_layout, a -> named_struct('key', a.key, 'kind', a.kind, "
-            f"'value', IF(a.indexed, {topic_value}, {data_value}), "
-            f"'src', IF(a.indexed, 'topic', 'data')))")
+    hashed = "(a.kind IN ('string', 'bytes') OR a.kind LIKE 'array:%')"
+    topic_value = f"IF({hashed}, {topic}, {_word_text_sql('a.kind', f'substr({topic}, 3, 64)')})"
+    return (f"transform(_layout, a -> named_struct('src', IF(a.indexed, 'topic', 'data'), 'key', a.key, "
+            f"'kind', IF(a.indexed AND {hashed}, 'word', a.kind), 'value', IF(a.indexed, {topic_value}, {data_value}), "
+            f"'items', IF(NOT a.indexed AND a.kind LIKE 'array:%', {items}, NULL)))")
 
 
-def _finish(raw: list) -> list:
-    out = []
-    for r in raw:
-        k, kind, v = r["key"], r["kind"], r["value"]
-        if v is not None and kind and kind.endswith("wide"):
-            conv = py_hex_to_signed_decimal if kind.endswith("iwide") else py_hex_to_decimal
-            if kind.startswith("array:"):
-                v = SEP.join(conv(x) or "" for x in v.split(SEP)) if v else v
-            else:
-                v = conv(v)  # invalid or past-the-end word -> NULL, as in the wide path
-        out.append({"key": k, "value": v})
-    return out
+@F.arrow_udf(T.ArrayType(T.ArrayType(T.StringType())))
+def _unsigned(hexes: pa.Array) -> pa.Array:
+    return in_lists(hexes)
+
+
+@F.arrow_udf(T.ArrayType(T.ArrayType(T.StringType())))
+def _signed(hexes: pa.Array) -> pa.Array:
+    return in_lists(hexes, True)
+
+
+def _wide_sql(kind: str) -> str:
+    """The hex words of a row's arguments of one wide kind, in lists; NULL if it has none."""
+    return (f"IF(exists(_raw, r -> r.kind IN ('{kind}', 'array:{kind}')), transform(_raw, r -> CASE WHEN r.kind = '{kind}' THEN array(r.value) "
+            f"WHEN r.kind = 'array:{kind}' THEN r.items END), NULL)")
 
 
-def _finish_document(raw: list) -> str:
-    """X6/X7 decoded document: ``{"topic": {...}, "data": {...}}`` for events,
-    ``{"input": {...}, "output": {...}}`` for calls; arrays as JSON arrays."""
-    doc: dict = {}
-    for r, a in zip(raw, _finish(raw)):
-        v = a["value"]
-        if v is not None and r["kind"] and r["kind"].startswith("array:"):
-            v = [x or None for x in v.split(SEP)] if v else []
-        doc.setdefault(r["src"], {})[a["key"]] = v
-    return json.dumps(doc, separators=(",", ":"), ensure_ascii=False)
+_WITH_WIDE = ("transform(_raw, (r, i) -> named_struct('src', r.src, 'key', r.key, 'kind', r.kind, 'value', "
+              "CASE r.kind WHEN 'uwide' THEN get(get(_u, i), 0) WHEN 'iwide' THEN get(get(_i, i), 0) ELSE r.value END, 'items', "
+              "CASE r.kind WHEN 'array:uwide' THEN get(_u, i) WHEN 'array:iwide' THEN get(_i, i) ELSE r.items END))")
 
 
-def _finish_json(raw: list) -> str:
-    return json.dumps(_finish(raw), separators=(",", ":"), ensure_ascii=False)
+def _quoted(x: str) -> str:
+    """JSON of a text, as SQL."""
+    return f"substr(to_json(array({x})), 2, length(to_json(array({x}))) - 2)"
+
+
+_LONG = f"transform(_entries, e -> named_struct('key', e.key, 'value', IF(e.items IS NULL, e.value, array_join(e.items, '{SEP}', ''))))"
+_JSON = f"to_json({_LONG}, map('ignoreNullFields', 'false'))"
+_FRAGMENT = (f"CASE WHEN e.items IS NOT NULL THEN to_json(e.items, map('ignoreNullFields', 'false')) WHEN e.value IS NULL THEN 'null' "
+             f"WHEN e.kind = 'json' THEN e.value ELSE {_quoted('e.value')} END")
+#: X6/X7 decoded document: ``{"topic": {...}, "data": {...}}`` for events,
+#: ``{"input": {...}, "output": {...}}`` for calls; arrays as JSON arrays, NULL fields kept.
+_DOCUMENT = (f"concat('{{', array_join(transform(array_distinct(transform(_entries, e -> e.src)), s -> concat('\"', s, '\":{{', "
+             f"array_join(transform(filter(_entries, e -> e.src = s), e -> concat({_quoted('e.key')}, ':', {_FRAGMENT})), ','), '}}')), ','), '}}')")
 
 
 def _table_bound() -> Column:
@@ -189,34 +245,178 @@ def _table_bound() -> Column:
     return F.min("min_created_ts").over(Window.partitionBy("namespace", "table"))
 
 
+def _native(params: Column) -> Column:
+    """Layouts that the native expression reads."""
+    return F.forall(params, lambda p: ~p["type"].startswith("tuple") & ~p["type"].rlike(r"\[[0-9]+\]")
+                    & ~p["type"].rlike(r"\]\[") & ~p["type"].isin("string[]", "bytes[]"))
+
+
+def _shaped(s: DataFrame, *columns) -> DataFrame:
+    return s.select(F.col("hash_id").alias("_h"), F.col("contract_address").alias("_a"), "namespace", "table", "min_created_ts", *columns,
+                    _shapes("type", "abi_inputs", "abi_outputs").alias("_shape"))
+
+
+def _options(one: DataFrame, *fields: str) -> DataFrame:
+    """One row per (hash, address, table): its layouts in an array, and the table's time bound."""
+    each = F.struct("_abi_in", "_abi_out", *fields)
+    listed = one.groupBy("_h", "_a", "namespace", "table").agg(
+        F.array_sort(F.collect_set(each)).alias("_options"), F.min("min_created_ts").alias("min_created_ts"))
+    return listed.withColumn("min_ts", _table_bound()).drop("min_created_ts")
+
+
+def _choice(fit: str) -> Column:
+    """The layout that fits the row best, the first of equal ones (O3)."""
+    return F.expr(f"IF(size(_options) = 1, _options[0], array_max(transform(_options, (o, i) -> named_struct('fit', {fit}, 'i', -i, 'o', o))).o)")
+
+
+#: How well an event's layout fits a log: its number of topics, then room for the
+#: head in the data, then the exact length of a static layout.
+_EVENT_FIT = ("IF(o._shape.topics = size(array_compact(array(topic1, topic2, topic3))), 4, 0) + IF(length(data) - 2 >= o._shape.head, 2, 0) "
+              "+ IF(o._shape.static AND length(data) - 2 = o._shape.head, 1, 0)")
+_CALL_FIT = "IF(length(input) - 10 >= o._shape.head, 2, 0) + IF(o._shape.static AND length(input) - 10 = o._shape.head, 1, 0)"
+
+
 def event_specs(specs: DataFrame) -> DataFrame:
-    """Event spec rows with the table-level lower time bound and the
-    precomputed argument layout (one row per hash x address; small)."""
+    """Event spec rows, one per hash, address and table, with the table-level
+    lower time bound and the possible layouts (small)."""
     s = specs.where(F.col("type") == "event")
-    full = F.from_json("abi_inputs", T.ArrayType(abi_ops.PARAM))
-    supported = F.forall(full, lambda p: ~p["type"].startswith("tuple") & ~p["type"].rlike(r"\[[0-9]+\]")
-                         & ~p["type"].rlike(r"\]\[") & ~p["type"].isin("string[]", "bytes[]"))
-    return s.select(
-        F.col("hash_id").alias("_h"), F.col("contract_address").alias("_a"),
-        "namespace", "table", _table_bound().alias("min_ts"), supported.alias("layout_supported"),
-        F.when(~supported, F.col("abi_inputs")).alias("_abi"), F.from_json("abi_inputs", _PLAIN_PARAMS).alias("_params"),
-    ).select("*", F.expr(layout_sql("_params")).alias("_layout")).drop("_params")
-
-
-def decode_all_events(logs: DataFrame, specs: DataFrame, as_json: bool = False) -> DataFrame:
-    """D9 (events) + D5 long form, one scan of ``logs``. ``as_json`` renders
-    ``args`` as JSON text (for exports and oracle hashing)."""
-    sp = event_specs(specs)
-    joined = logs.join(sp, (F.col("evt_hash") == F.col("_h")) & (F.col("contract_address") == F.col("_a")))
+    one = _shaped(s, F.col("abi_inputs").alias("_abi_in"), F.lit(None).cast("string").alias("_abi_out"),
+                        _native(F.from_json("abi_inputs", T.ArrayType(abi_ops.PARAM))).alias("_plain"),
+                        F.from_json("abi_inputs", _PLAIN_PARAMS).alias("_params"))
+    return _options(one.withColumn("_layout", F.expr(layout_sql("_params"))), "_shape", "_plain", "_layout")
+
+
+def call_specs(specs: DataFrame) -> DataFrame:
+    """Call spec rows like :func:`event_specs`, with the success guard (the
+    reference guards only layouts with arrays/tuples)."""
+    s = specs.where(F.col("type") == "call")
+    both = F.concat(F.from_json("abi_inputs", T.ArrayType(abi_ops.PARAM)), F.from_json("abi_outputs", T.ArrayType(abi_ops.PARAM)))
+    guard = F.exists(both, lambda p: p["type"].contains("[") | p["type"].startswith("tuple"))
+    one = _shaped(s, F.col("abi_inputs").alias("_abi_in"), F.col("abi_outputs").alias("_abi_out"),
+                        _native(both).alias("_plain"), guard.alias("_guard"),
+                        F.from_json("abi_inputs", _PLAIN_PARAMS).alias("_pin"), F.from_json("abi_outputs", _PLAIN_PARAMS).alias("_pout"))
+    return _options(one.withColumn("_layout", F.expr(call_layout_sql("_pin", "_pout"))), "_shape", "_plain", "_layout", "_guard")
+
+
+def decode_all_events(logs: DataFrame, specs: DataFrame, as_json: bool | str = False) -> DataFrame:
+    """D9 (events) + D5 long form, one scan of ``logs``. ``as_json``: False ->
+    ``args`` array<struct<key,value>>; True -> the same as JSON text;
+    ``"document"`` -> X6 decoded document text; ``"entries"`` -> the entries
+    with the layout's column names and types."""
+    joined = logs.join(event_specs(specs), (F.col("evt_hash") == F.col("_h")) & (F.col("contract_address") == F.col("_a")))
+    joined = joined.where(F.col("min_ts").isNull() | (F.col("block_time") >= F.col("min_ts")))
+    mine = joined.select(*dec.event_meta(), "namespace", "table", "topic1", "topic2", "topic3", "data", _choice(_EVENT_FIT).alias("_o"))
+    mine = mine.select("*", "_o._shape", "_o._layout", "_o._plain")
+    rest = F.struct(F.col("_o._abi_in").alias("_abi"), F.col("data").alias("text"), F.lit(None).cast("string").alias("out"),
+                    F.lit(None).cast("string").alias("_abi_out"), F.array("topic1", "topic2", "topic3").alias("topics"))
+    return _finish(mine, F.expr(_args_sql("data")), rest, as_json, "event", EVENT_META)
+
+
+def decode_all_calls(traces: DataFrame, specs: DataFrame, as_json: bool | str = False) -> DataFrame:
+    """D9 (calls) + D5 long form, one scan of ``traces``; ``as_json`` as for events (X7 documents)."""
+    joined = traces.join(call_specs(specs), (F.col("method_id") == F.col("_h")) & (F.col("to") == F.col("_a")))
     joined = joined.where(F.col("min_ts").isNull() | (F.col("block_time") >= F.col("min_ts")))
-    raw = F.when(F.col("layout_supported"), F.expr(_args_sql("data")))
-    rest = F.struct("_abi", F.lit(None).cast("string").alias("_abi_out"), F.col("data").alias("text"),
-                    F.lit(None).cast("string").alias("out"), F.array("topic1", "topic2", "topic3").alias("topics"))
-    native = joined.select(*dec.event_meta(), "namespace", "table", raw.alias("_raw"),
-                           F.when(~F.col("layout_supported"), rest).alias("_rest"))
-    # wide integers and nested layouts are finished in Arrow batches:
-    # everything else was decoded natively above
-    return _finish_frame(native, as_json, "event")
+    mine = joined.select(*dec.call_meta(), "namespace", "table", "input", "output", "success", _choice(_CALL_FIT).alias("_o"))
+    failed = F.col("_o._guard") & ~F.coalesce(F.col("success"), F.lit(False))
+    mine = mine.select("*", "_o._shape", "_o._layout", "_o._plain", F.when(~failed, F.col("input")).alias("_in"),
+                       F.when(~failed, F.col("output")).alias("_out"))
+    rest = F.struct(F.col("_o._abi_in").alias("_abi"), F.col("_in").alias("text"), F.col("_out").alias("out"), "_o._abi_out",
+                    F.array().cast("array<string>").alias("topics"))
+    return _finish(mine, F.expr(_args_sql("IF(a.src = 'out', _out, _in)", "a.area", topics=False)), rest, as_json, "call", CALL_META)
+
+
+def _entry(src: str, name: str, node, v) -> dict:
+    e = {"src": src, "key": name, "kind": "word", "value": None, "items": None}
+    if node is not None and node.kind == "array" and node.elem.kind == "scalar":
+        e["kind"] = "array:"
+        if v is not None:
+            e["items"] = [_plain_text(x) for x in v]
+    elif node is not None and node.kind != "scalar":
+        # an empty list is one in every form: no items
+        e.update(kind="json", **({"items": []} if v == [] else {"value": None if v is None else dumps(v)}))
+    else:
+        e["value"] = _plain_text(v)
+    return e
+
+
+def _plain_text(v):
+    return ("true" if v else "false") if isinstance(v, bool) else v
+
+
+_ARROW_ENTRY = pa.list_(pa.struct([("src", pa.string()), ("key", pa.string()), ("kind", pa.string()), ("value", pa.string()),
+                                   ("items", pa.list_(pa.string()))]))
+
+
+def _columns(params: list[dict], names: list[str], src: str, texts: pa.Array, base: int, topics: list | None = None) -> list[list[dict]]:
+    """Entries of one layout's parameters, a list of rows for each."""
+    data = [parse_param(p) for p in params if not (topics is not None and p.get("indexed"))]
+    found = iter(zip(data, arguments(data, texts, base)))
+    out, seen = [], 0
+    for p, name in zip(params, names):
+        if topics is not None and p.get("indexed"):
+            n = parse_param(p)
+            own = [t[seen] if seen < len(t) else None for t in topics]
+            seen += 1
+            values = words(n.scalar, own) if n.kind == "scalar" and not is_dynamic(n) else own
+            out.append([_entry("topic", name, None, v) for v in values])
+        else:
+            n, values = next(found)
+            out.append([_entry(src, name, n, v) for v in values])
+    return out
+
+
+def _nested_entries(kind: str, rest: pa.Array) -> pa.Array:
+    """Entries of the rows whose layout is not native, read layout by layout."""
+    out: list = [None] * len(rest)
+    abi, abi_out = rest.field("_abi").to_pylist(), rest.field("_abi_out").to_pylist()
+    groups: dict = {}
+    here = rest.is_valid().to_pylist()
+    for i, (ok, a, o) in enumerate(zip(here, abi, abi_out)):
+        if ok and a is not None:
+            groups.setdefault((a, o), []).append(i)
+    for (a, o), rows in groups.items():
+        take = pa.array(rows)
+        ins, texts = json.loads(a), rest.field("text").take(take)
+        if kind == "event":
+            names = input_names(ins, EVENT_META)
+            cols = _columns(ins, names, "data", texts, _DATA, rest.field("topics").take(take).to_pylist())
+        else:
+            outs, results = json.loads(o or "[]"), rest.field("out").take(take)
+            names = input_names(ins, CALL_META)
+            last = output_names(outs, CALL_META + tuple(names))
+            cols = _columns(ins, names, "input", texts, _INPUT)
+            cols += (_columns(outs, last, "output", results, _DATA) if outs else
+                     [[_entry("output", last[0], None, None if t is None else t[_DATA:_DATA + 64]) for t in results.to_pylist()]])
+        for i, entries in zip(rows, zip(*cols) if cols else ([] for _ in rows)):
+            out[i] = list(entries)
+    return pa.array(out, type=_ARROW_ENTRY)
+
+
+@F.arrow_udf(T.ArrayType(ENTRY))
+def _nested_events(rest: pa.Array) -> pa.Array:
+    return _nested_entries("event", rest)
+
+
+@F.arrow_udf(T.ArrayType(ENTRY))
+def _nested_calls(rest: pa.Array) -> pa.Array:
+    return _nested_entries("call", rest)
+
+
+def _finish(df: DataFrame, raw: Column, rest: Column, as_json, kind: str, meta: tuple[str, ...]) -> DataFrame:
+    """Entries of every row, then the form asked for. Only wide integers and
+    nested layouts go to Python, in Arrow batches of their own columns: the
+    metadata stays in the JVM, and filters on it are pushed below."""
+    meta = [c for c in (*meta, "namespace", "table") if c in df.columns]
+    plain = F.col("_plain")
+    df = df.select(*dict.fromkeys(meta), "_shape", F.when(plain, raw).alias("_raw"), F.when(~plain, rest).alias("_rest"))
+    df = df.select("*", _unsigned(F.expr(_wide_sql("uwide"))).alias("_u"), _signed(F.expr(_wide_sql("iwide"))).alias("_i"))
+    read = _nested_events if kind == "event" else _nested_calls
+    # a column of its own, used by one expression at a time
+    df = df.select(*dict.fromkeys(meta), "_shape", F.coalesce(F.expr(_WITH_WIDE), read("_rest")).alias("_entries"))
+    if as_json == "entries":
+        return df.withColumnsRenamed({"_entries": "entries", "_shape": "shape"})
+    form = _DOCUMENT if as_json == "document" else _JSON if as_json else _LONG
+    return df.select(*dict.fromkeys(meta), F.lit(True).alias("layout_supported"), F.expr(form).alias("args"))
 
 
 def write_clustered(df: DataFrame, path: str, keys: tuple[str, ...] | None = None,
@@ -250,109 +450,62 @@ def split_cast(text, to_type: str) -> Column:
     return F.when(F.size(items) > 0, items)
 
 
-def call_specs(specs: DataFrame) -> DataFrame:
-    """Call spec rows with the table time bound, the precomputed layout and
-    the success guard (the reference guards only layouts with arrays/tuples)."""
-    s = specs.where(F.col("type") == "call")
-    full_in = F.from_json("abi_inputs", T.ArrayType(abi_ops.PARAM))
-    full_out = F.from_json("abi_outputs", T.ArrayType(abi_ops.PARAM))
-    both = F.concat(full_in, full_out)
-    supported = F.forall(both, lambda p: ~p["type"].startswith("tuple") & ~p["type"].rlike(r"\[[0-9]+\]")
-                         & ~p["type"].rlike(r"\]\[") & ~p["type"].isin("string[]", "bytes[]"))
-    guard = F.exists(both, lambda p: p["type"].contains("[") | p["type"].startswith("tuple"))
-    return s.select(
-        F.col("hash_id").alias("_h"), F.col("contract_address").alias("_a"),
-        "namespace", "table", _table_bound().alias("min_ts"), supported.alias("layout_supported"),
-        guard.alias("_guard"),
-        F.when(~supported, F.col("abi_inputs")).alias("_abi"), F.when(~supported, F.col("abi_outputs")).alias("_abi_out"),
-        F.from_json("abi_inputs", _PLAIN_PARAMS).alias("_pin"),
-        F.from_json("abi_outputs", _PLAIN_PARAMS).alias("_pout"),
-    ).select("*", F.expr(call_layout_sql("_pin", "_pout")).alias("_layout")).drop("_pin", "_pout")
-
-
-def decode_all_calls(traces: DataFrame, specs: DataFrame, as_json: bool = False) -> DataFrame:
-    """D9 (calls) + D5 long form, one scan of ``traces``."""
-    sp = call_specs(specs)
-    joined = traces.join(sp, (F.col("method_id") == F.col("_h")) & (F.col("to") == F.col("_a")))
-    joined = joined.where(F.col("min_ts").isNull() | (F.col("block_time") >= F.col("min_ts")))
-    failed = F.col("_guard") & ~F.coalesce(F.col("success"), F.lit(False))
-    staged = joined.select("*", F.when(~failed, F.col("input")).alias("_in"),
-                           F.when(~failed, F.col("output")).alias("_out"))
-    raw = F.when(F.col("layout_supported"),
-                 F.expr(_args_sql("IF(a.src = 'out', _out, _in)", "a.area", topics=False)))
-    rest = F.struct("_abi", "_abi_out", F.col("_in").alias("text"), F.col("_out").alias("out"),
-                    F.array().cast("array<string>").alias("topics"))
-    native = staged.select(*dec.call_meta(), "namespace", "table", raw.alias("_raw"),
-                           F.when(~F.col("layout_supported"), rest).alias("_rest"))
-    return _finish_frame(native, as_json, "call")
-
-
-def _nested_entries(kind: str, rest: dict) -> list[tuple]:
-    """(place, name, value) of a row whose layout is not native."""
-    params = json.loads(rest["_abi"] or "[]")
-    if kind == "event":
-        return arguments(params, input_names(params, EVENT_META), parse_param, rest["text"],
-                                _DATA, list(rest["topics"]))
-    outs = json.loads(rest["_abi_out"] or "[]")
-    ins = input_names(params, CALL_META)
-    names = output_names(outs, CALL_META + tuple(ins))
-    got = arguments(params, ins, parse_param, rest["text"], _INPUT)
-    if outs:
-        more = arguments(outs, names, parse_param, rest["out"], _DATA)
-    else:
-        more = [("data", names[0], None if rest["out"] is None else rest["out"][_DATA:_DATA + 64])]
-    return [("input", n, v) for _, n, v in got] + [("output", n, v) for _, n, v in more]
+def _typed(value: str, items: str, to: str) -> str:
+    """A column of a type from an entry's text or items, as SQL."""
+    if to.startswith("array<"):
+        return items if to == "array<string>" else f"transform({items}, x -> try_cast(x AS {to[6:-1]}))"
+    return f"coalesce({value}, to_json({items}))" if to == "string" else f"try_cast({value} AS {to})"
 
 
-def _finish_nested(kind: str, as_json, rest: dict):
-    entries = _nested_entries(kind, rest)
-    if as_json == "document":
-        doc: dict = {}
-        for place, name, v in entries:
-            doc.setdefault(place, {})[name] = as_document(v)
-        return dumps(doc)
-    args = [{"key": name, "value": as_text(v, SEP)} for _, name, v in entries]
-    return dumps(args) if as_json else args
+def write_tables(source: DataFrame, specs: DataFrame, kind: str, root: str, target_prefix: str | None = None, threads: int = 8) -> list[tuple[str, str]]:
+    """S9 + S11: every table of ``specs`` from ONE scan and decode of
+    ``source``, with typed columns, as ``{root}/schema=.../table=...``, where
+    the schema is ``[prefix_]{namespace}_ethereum``. Written tables are replaced,
+    others under ``root`` stay (dynamic partition overwrite). Returns the
+    (schema, table) pairs.
 
+    The decoded rows are written once, by class of tables with the same columns
+    (Parquet files of one class have one schema). Each class, read from its own
+    partition only, is then written to its tables. Both writes are rebalanced:
+    AQE splits a class or table that is too large for one task (a Transfer table
+    with a third of all rows) and joins small ones, by measured sizes. The loop
+    is over classes, not tables."""
+    from ..operators import registry as reg
 
-def as_document(v):
-    """Scalars of a document are text, also booleans, as in the native form."""
-    return ("true" if v else "false") if isinstance(v, bool) else v
-
-
-def _finish_frame(df: DataFrame, as_json, kind: str) -> DataFrame:
-    """``as_json``: False -> ``args`` array<struct<key,value>>; True -> the
-    same as JSON text; ``"document"`` -> X6/X7 decoded document text. Only the
-    exact wide integers and the nested layouts are finished here (Arrow batches)."""
-    finish = _finish_document if as_json == "document" else (_finish_json if as_json else _finish)
-    out_type = T.StringType() if as_json else T.ArrayType(ARG)
-
-    @F.pandas_udf(out_type)
-    def finished(raw: pd.Series) -> pd.Series:
-        return raw.map(lambda r: None if r is None else finish([dict(x) for x in r]))
-
-    @F.pandas_udf(out_type)
-    def finished_nested(rest: pd.DataFrame) -> pd.Series:
-        out = pd.Series([None] * len(rest), dtype=object)
-        mine = rest["_abi"].notna().to_numpy().nonzero()[0]  # most rows have a native layout
-        for i, r in zip(mine, rest.iloc[mine].to_dict("records")):
-            out.iat[i] = _finish_nested(kind, as_json, r)
-        return out
-
-    # Only the argument columns go to Python: metadata stays in the JVM (a
-    # bigint with NULLs would lose digits as float64), and filters on it are
-    # pushed below the conversion. As _raw is used twice, it stays a column of
-    # its own (a UDF over the transform itself is not extracted).
-    args = F.when(F.col("_raw").isNotNull(), finished("_raw")).otherwise(finished_nested("_rest"))
-    return df.select(*[c for c in df.columns if c not in ("_raw", "_rest")], F.lit(True).alias("layout_supported"), args.alias("args"))
+    spark = source.sparkSession
+    decode = decode_all_events if kind == "event" else decode_all_calls
+    columns = F.to_json(F.struct("shape.names", "shape.types"))
+    rows = decode(source, specs, as_json="entries").select(
+        "*", reg.output_schema(F.col("namespace"), target_prefix).alias("schema"), F.sha2(columns, 256).alias("class"), columns.alias("columns"))
+    staged = f"{ensure_checkpoint_dir(spark).rstrip('/')}/decoded-{uuid.uuid4().hex}"
+    rows.drop("shape", "namespace").hint("rebalance", "class").write.partitionBy("class").parquet(staged)
+    decoded = spark.read.parquet(staged)
+    classes = decoded.groupBy("class").agg(F.first("columns").alias("columns")).collect()  # column lists, no rows
+    meta = [c for c in decoded.columns if c not in ("entries", "class", "columns", "schema", "table")]
+
+    def write(c):
+        shape = json.loads(c["columns"])
+        cols = [F.expr(_typed(f"entries[{i}].value", f"entries[{i}].items", t)).alias(n)
+                for i, (n, t) in enumerate(zip(shape["names"], shape["types"]))]
+        own = decoded.where(F.col("class") == c["class"]).select(*cols, *meta, "schema", "table")
+        (own.hint("rebalance", "schema", "table").write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+         .partitionBy("schema", "table").parquet(root))
+    with ThreadPoolExecutor(threads) as pool:
+        list(pool.map(write, classes))
+    return [tuple(r) for r in decoded.select("schema", "table").distinct().orderBy("schema", "table").collect()]
+
+
+def read_table(spark, root: str, schema: str, table: str) -> DataFrame:
+    """One table that :func:`write_tables` wrote, with its own columns."""
+    return spark.read.parquet(f"{root}/schema={schema}/table={table}")
 
 
 def materialize_tables(source: DataFrame, specs: DataFrame, tables: list[str], kind: str,
                        root: str, target_prefix: str | None = None) -> list[str]:
-    """S9 + S11: write requested wide tables as full rebuilds (``overwrite``),
-    one decode pass per table, partitioned by its output schema
-    ``[prefix_]{namespace}_ethereum`` -> ``{root}/{table}/schema=.../``.
-    Returns the written table paths."""
+    """A few requested wide tables as full rebuilds (``overwrite``), one decode
+    pass per table with its filters pushed to the scan, partitioned by output
+    schema -> ``{root}/{table}/schema=.../``; :func:`write_tables` writes all
+    tables in one pass. Returns the written table paths."""
     from ..operators import registry as reg
 
     written = []
