@@ -24,12 +24,13 @@ from pyspark.sql import DataFrame, SparkSession  # noqa: E402
 from pyspark.sql import functions as F  # noqa: E402
 
 import duck_oracle as duck  # noqa: E402
+import duck_parity  # noqa: E402
 from logloom.operators import abi as abi_ops  # noqa: E402
 from logloom.operators import decode as dec  # noqa: E402
 from logloom.operators import prices as px  # noqa: E402
 from logloom.operators import registry as reg  # noqa: E402
 from logloom.operators import tokens as tk  # noqa: E402
-from logloom.plans import fanout  # noqa: E402
+from logloom.plans import fanout, parity  # noqa: E402
 from logloom.plans.catalog import ChainTables  # noqa: E402
 from logloom.functions import words as wd  # noqa: E402
 from logloom.session import apply_defaults  # noqa: E402
@@ -161,22 +162,8 @@ def _d7_contract_addresses(spark, sf_dir):
 
 
 def _f21_registry_specs(spark, sf_dir):
-    """F21 (JSON list cell -> spec, '[null]' / '[\"\"]' -> default), S11 schema
-    name, S13 table name, from each registry row."""
-    t = _tables(spark, sf_dir)
-    r = _registry(t)
-    empty = F.col("inputs_").isin('[null]', '[""]')
-    empty_out = F.col("outputs").isin('[null]', '[""]')
-    first_in = F.element_at(F.from_json("inputs_", "array<string>"), 1)
-    first_out = F.element_at(F.from_json("outputs", "array<string>"), 1)
-    return r.select(
-        "sub_name", "type", "contract_name", "namespace",
-        reg.table_name(F.col("sub_name")).alias("table_name"),
-        reg.output_schema(F.col("namespace")).alias("schema_name"),
-        F.when(empty, F.lit("[]")).otherwise(F.concat(F.lit("["), first_in, F.lit("]"))).alias("input_spec"),
-        F.when(empty_out, F.lit('[{"name":"output_0","type":"STRING"}]'))
-        .otherwise(F.concat(F.lit("["), first_out, F.lit("]"))).alias("output_spec"),
-    )
+    """F21 as the reference reads it: the first layout of each registry row."""
+    return reg.layout_cells(_registry(_tables(spark, sf_dir)), first=True).drop("layout_no")
 
 
 def _x6_document(spark, sf_dir):
@@ -307,6 +294,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     q["f21_s11_s13_registry_specs"] = _f21_registry_specs
     q["x6_f10_f12_json_document"] = _x6_document
     q["s6_base_views"] = _s6_base_views
+    q.update(parity.QUERIES)
     q.update(_training_data()[0])
     return q
 
@@ -338,5 +326,6 @@ def oracle_sql() -> dict[str, str]:
         "x6_f10_f12_json_document": duck.document_sql(),
         "s6_base_views": duck.base_views_sql(),
     })
+    o.update(duck_parity.statements())
     o.update(_training_data()[1])
     return o

@@ -11,6 +11,9 @@ the GROUP BY (W1).
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import and_
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -66,32 +69,91 @@ def json_distinct_list(c: str) -> Column:
                                  lambda y: y["x"]))
 
 
+#: Addresses of one chunk of a signature's address list.
+CHUNK = 10_000
+
+
+def _listed(address_to_ordinal: DataFrame, abi_to_ordinal: DataFrame, contracts: DataFrame, allow_list: DataFrame) -> DataFrame:
+    """The ungrouped rows whose name the allow-list spells in some way."""
+    u = ungrouped_signatures(address_to_ordinal, abi_to_ordinal, contracts)
+    names = allow_list.select(F.col("sub_name").alias("n_sub_name")).distinct()
+    return u.join(names, F.lower(u["sub_name"]) == F.lower(names["n_sub_name"]))
+
+
+_GROUP = ("sub_name", "type", "contract_name", "namespace", "n_sub_name")
+
+
 def signature_registry(address_to_ordinal: DataFrame, abi_to_ordinal: DataFrame,
                        contracts: DataFrame, allow_list: DataFrame,
-                       ordered: bool = True) -> DataFrame:
+                       ordered: bool = True, addresses: bool = True) -> DataFrame:
     """M2 ``decoded_contracts``: one row per (allow-listed name spelling, type,
     contract_name, namespace) with JSON lists of inputs, outputs, hash ids and
-    addresses, first creation time and the number of groups sharing the name."""
-    u = ungrouped_signatures(address_to_ordinal, abi_to_ordinal, contracts)
-    names = allow_list.select(F.col("sub_name").alias("n_sub_name")).distinct()
-    joined = u.join(names, F.lower(u["sub_name"]) == F.lower(names["n_sub_name"]))
-    grouped = joined.groupBy("sub_name", "type", "contract_name", "namespace", "n_sub_name").agg(
+    addresses, first creation time and the number of groups sharing the name.
+    ``addresses=False`` leaves out the address cell, whose size nothing bounds
+    (a standard token's signature has millions): :func:`registry_addresses`
+    gives them in chunks."""
+    joined = _listed(address_to_ordinal, abi_to_ordinal, contracts, allow_list)
+    grouped = joined.groupBy(*_GROUP).agg(
         F.min("min_created_ts").alias("min_created_ts"),
         json_distinct_list("inputs").alias("inputs_"),
         json_distinct_list("outputs").alias("outputs"),
         json_distinct_list("hash_id").alias("hash_ids"),
-        json_distinct_list("address").alias("contract_addresses"),
+        *([json_distinct_list("address").alias("contract_addresses")] if addresses else []),
     )
     # W1: evaluated after the GROUP BY, partitioned by the ABI's own spelling
     counted = grouped.withColumn("count", F.count(F.lit(1)).over(Window.partitionBy("sub_name")))
     out = counted.select(
         F.col("n_sub_name").alias("sub_name"), "type", "min_created_ts", "inputs_", "outputs",
-        "hash_ids", "contract_addresses", "contract_name", "namespace", "count")
+        "hash_ids", *(["contract_addresses"] if addresses else []), "contract_name", "namespace", "count")
     if ordered:
         out = out.orderBy(F.desc("count"), "sub_name", "type", "contract_name", "namespace")
     return out
 
 
+def registry_addresses(address_to_ordinal: DataFrame, abi_to_ordinal: DataFrame, contracts: DataFrame,
+                       allow_list: DataFrame, chunk: int = CHUNK) -> DataFrame:
+    """A3 with bounded cells: the distinct addresses of each registry row in
+    numbered chunks of about ``chunk``, as JSON lists. (sub_name, type,
+    contract_name, namespace, chunk, n_addresses, contract_addresses)
+
+    Distinct addresses are found by a shuffle on (row, address), which spreads
+    the largest signature over all tasks; the number of chunks of a row is a
+    two-step count (by hash part, then by row), and an address's chunk is its
+    hash modulo that number, so no task ever holds more than some chunks."""
+    rows = _listed(address_to_ordinal, abi_to_ordinal, contracts, allow_list).select(*_GROUP, "address").distinct()
+    part = F.conv(F.substring(F.sha2("address", 256), 1, 8), 16, 10).cast("bigint")
+    rows = rows.withColumn("_h", F.coalesce(part, F.lit(0)))
+    sizes = rows.groupBy(*_GROUP, (F.col("_h") % 64).alias("_p")).agg(F.count("address").alias("n")).groupBy(*_GROUP).agg(
+        F.greatest(F.ceil(F.sum("n") / chunk), F.lit(1)).alias("_chunks"))
+    sizes = sizes.withColumnsRenamed({k: f"_{k}" for k in _GROUP})
+    each = rows.join(sizes, reduce(and_, [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in _GROUP])).select(
+        *_GROUP, "address", (F.col("_h") % F.col("_chunks")).alias("chunk"))
+    return each.groupBy(*_GROUP, "chunk").agg(
+        F.count("address").alias("n_addresses"), F.to_json(F.array_sort(F.collect_list("address"))).alias("contract_addresses")).select(
+        F.col("n_sub_name").alias("sub_name"), "type", "contract_name", "namespace", "chunk", "n_addresses", "contract_addresses")
+
+
+def layout_cells(registry: DataFrame, first: bool = False) -> DataFrame:
+    """F21 (JSON list cell -> layouts), S11 schema name and S13 table name of
+    each registry row: one row per layout of a name, numbered from 0 in the
+    cell's order, or with ``first`` the first one only, as the reference takes
+    it. ``[null]`` / ``[""]`` cells give the default layout (no inputs, one
+    text output); a row's outputs go with its inputs where it has as many, else
+    the first ones do."""
+    none, none_out = "[]", '[{"name":"output_0","type":"STRING"}]'
+    ins, outs = F.from_json("inputs_", "array<string>"), F.from_json("outputs", "array<string>")
+
+    def spec(cell, default):
+        return F.when(F.coalesce(cell, F.lit("")) == "", F.lit(default)).otherwise(F.concat(F.lit("["), cell, F.lit("]")))
+    rows = registry.select("*", ins.alias("_ins"), outs.alias("_outs"))
+    rows = rows.select("*", F.posexplode_outer(F.slice("_ins", 1, 1) if first else F.col("_ins")).alias("layout_no", "_in"))
+    own = F.when(F.size("_outs") == F.size("_ins"), F.get("_outs", F.col("layout_no"))).otherwise(F.get("_outs", F.lit(0)))
+    return rows.select(
+        "sub_name", "type", "contract_name", "namespace", table_name(F.col("sub_name")).alias("table_name"),
+        output_schema(F.col("namespace")).alias("schema_name"), F.coalesce("layout_no", F.lit(0)).alias("layout_no"),
+        spec(F.col("_in"), none).alias("input_spec"), spec(own, none_out).alias("output_spec"))
+
+
 def signature_specs(address_to_ordinal: DataFrame, abi_to_ordinal: DataFrame,
                     contracts: DataFrame, allow_list: DataFrame | None = None) -> DataFrame:
     """D7 in normalised form: one row per (type, hash_id, address) with the

@@ -531,3 +531,21 @@ def json_value_array(doc, path: str) -> Column:
     """F12 ``JSON_VALUE_ARRAY``: array of scalars at ``path`` as array<string>."""
     col = F.col(doc) if isinstance(doc, str) else doc
     return F.from_json(F.get_json_object(col, path), "array<string>")
+
+
+def json_extract(doc, path: str) -> Column:
+    """F11 ``JSON_EXTRACT``: the value at ``path`` as JSON text (texts keep
+    their quotes); a JSON null or no value -> NULL."""
+    col = F.col(doc) if isinstance(doc, str) else doc
+    found = F.to_json(F.try_variant_get(F.try_parse_json(col), path, "variant"))
+    return F.when(found != "null", found)
+
+
+def json_extract_scalar(doc, path: str) -> Column:
+    """F11 ``JSON_EXTRACT_SCALAR``: a scalar at ``path`` as plain text, objects and arrays -> NULL."""
+    return json_value(doc, path)
+
+
+def documents(decoded: DataFrame) -> DataFrame:
+    """Decoded documents (``as_json="document"``) with ``args`` as VARIANT."""
+    return decoded.withColumn("args", F.parse_json("args"))

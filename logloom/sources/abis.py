@@ -151,3 +151,13 @@ ALLOW_LIST = [
     "Token_V2_call_balanceOfBatch",
     "Never_evt_Seen",
 ]
+
+# A contract with nested arguments, one document per address (sources.fixtures.nested_abis).
+_FILL = [_arg("amount", "uint256"), _arg("to", "address")]
+_SIG = [_arg("scheme", "uint8"), _arg("data", "bytes")]
+BATCH = _event("Batch", [_arg("who", "address", True), _arg("fills", "tuple[]", False, _FILL), _arg("grid", "uint256[][]", False),
+                         _arg("notes", "string[]", False), _arg("sig", "tuple", False, _SIG)])
+QUOTE = _fn("quote", [_arg("fills", "tuple[]", None, _FILL), _arg("sig", "tuple", None, _SIG)],
+            [_arg("ok", "bool"), _arg("pairs", "uint256[2][]"), _arg("ok", "uint256")])
+BATCH_SIGNATURE = "Batch(address,(uint256,address)[],uint256[][],string[],(uint8,bytes))"
+QUOTE_SIGNATURE = "quote((uint256,address)[],(uint8,bytes))"

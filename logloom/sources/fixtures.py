@@ -268,3 +268,106 @@ def blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
     o = read(spark, sf_dir, "orders", "o_orderkey", "o_orderdate")
     return o.groupBy(F.col("o_orderkey").alias("number")).agg(
         F.min("o_orderdate").alias("time"), F.count("*").alias("transaction_count"))
+
+
+# --- nested arguments: one ABI document per supplier, logs and calls ---------
+
+def pack(*parts) -> Column:
+    """Head and tail of arguments: a part is the hex words of a static value,
+    or ``(tail,)`` of a dynamic one."""
+    size = F.lit(0).cast("bigint")
+    for part in parts:
+        size = size + (32 if isinstance(part, tuple) else (F.length(part) / 2).cast("bigint"))
+    heads, tails = [], []
+    for part in parts:
+        if isinstance(part, tuple):
+            heads.append(W(size))
+            tails.append(part[0])
+            size = size + (F.length(part[0]) / 2).cast("bigint")
+        else:
+            heads.append(part)
+    return F.concat(*heads, *tails)
+
+
+def _bytes_tail(hexes: Column) -> Column:
+    n = (F.length(hexes) / 2).cast("bigint")
+    return F.concat(W(n), F.rpad(hexes, (F.ceil(n / 32) * 64).cast("int"), F.lit("0")))
+
+
+def _text_tail(text: Column) -> Column:
+    return _bytes_tail(_hex_text(F.encode(text, "UTF-8")))
+
+
+def _fills(n: Column, p: Column, w: Column) -> Column:
+    """``(uint256 amount, address to)[]``: n pairs (w, p + i), i from 1."""
+    numbers = F.slice(F.array(F.lit(1), F.lit(2)), F.lit(1), n.cast("int"))
+    return F.concat(W(n), F.array_join(F.transform(numbers, lambda i: F.concat(w, W(p + i))), ""))
+
+
+def nested_abis(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """ABI documents that grow with ``supplier``: one per address, with a
+    function of its own whose argument nests tuples ``s % 13`` deep."""
+    import json
+
+    from .abis import BATCH, QUOTE
+
+    s = F.col("s_suppkey")
+    k = (s % 13).cast("int")
+    deep = F.concat(F.repeat(F.lit('{"name":"a","type":"tuple","components":['), k), F.lit('{"name":"v","type":"uint"}'), F.repeat(F.lit("]}"), k))
+    own = F.concat(F.lit('{"type":"function","name":"f'), s.cast("string"), F.lit('","inputs":['), deep, F.lit('],"outputs":[]}'))
+    return read(spark, sf_dir, "supplier", "s_suppkey").select(
+        s.alias("ordinal"), F.concat(F.lit(f"[{json.dumps(BATCH)},{json.dumps(QUOTE)},"), own, F.lit("]")).alias("abi"))
+
+
+def nested_addresses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    s = F.col("s_suppkey")
+    return read(spark, sf_dir, "supplier", "s_suppkey").select(
+        A(s).alias("address"), F.lit("Maker").alias("name"), F.concat(F.lit("mk"), (s % 2).cast("string")).alias("namespace"), s.alias("ordinal"))
+
+
+def nested_logs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``Batch`` events from ``lineitem``: n = quantity mod 3 fills, a grid
+    whose row j holds j numbers, two notes and a signature."""
+    from ..functions.keccak import keccak_hex
+    from .abis import BATCH_SIGNATURE
+
+    li = read_spread(spark, sf_dir, "lineitem", "l_orderkey", "l_orderkey", "l_partkey", "l_suppkey",
+                     "l_linenumber", "l_quantity", "l_shipdate")
+    s, o, p = F.col("l_suppkey"), F.col("l_orderkey"), F.col("l_partkey")
+    ln, q = F.col("l_linenumber").cast("bigint"), F.col("l_quantity").cast("bigint")
+    w = F.when(p % 10 == 0, SHA(o)).otherwise(W(o * 1000 + q))
+    n = q % 3
+    grid = (F.when(n == 0, W(F.lit(0))).when(n == 1, F.concat(W(F.lit(1)), W(F.lit(32)), W(F.lit(0))))
+            .otherwise(F.concat(W(F.lit(2)), W(F.lit(64)), W(F.lit(96)), W(F.lit(0)), W(F.lit(1)), W(p + 1))))
+    notes = F.concat(W(F.lit(2)), pack((_text_tail(F.concat(F.lit("n-"), F.lpad(p.cast("string"), 8, "0"))),),
+                                       (_text_tail(F.concat(F.lit("é"), o.cast("string"))),)))
+    sig_ = pack(W(ln), (_bytes_tail(F.lpad(F.lower(F.hex(p)), 8, "0")),))
+    topic = F.lit(keccak_hex(BATCH_SIGNATURE))
+    return li.select(
+        A(s).alias("contract_address"), topic.alias("topic0"), F.concat(F.lit("0x"), W(p + 1)).alias("topic1"),
+        F.lit(None).cast("string").alias("topic2"), F.lit(None).cast("string").alias("topic3"),
+        F.concat(F.lit("0x"), pack((_fills(n, p, w),), (grid,), (notes,), (sig_,))).alias("data"),
+        o.alias("block_number"), F.col("l_shipdate").alias("block_time"), ln.alias("index"),
+        F.concat(F.lit("0x"), SHA(o)).alias("tx_hash"), (o % 200).alias("tx_index"), topic.alias("evt_hash"))
+
+
+def nested_traces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``quote`` calls from ``orders``: key mod 3 fills; failed orders are reverted calls."""
+    from ..functions.keccak import keccak_hex
+    from .abis import QUOTE_SIGNATURE
+
+    o = read_spread(spark, sf_dir, "orders", "o_orderkey", "o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate")
+    key, cust = F.col("o_orderkey"), F.col("o_custkey")
+    cents = F.round(F.col("o_totalprice") * 100).cast("bigint")
+    n, ok = key % 3, F.col("o_orderstatus") != "F"
+    method = keccak_hex(QUOTE_SIGNATURE)[:10]
+    args = pack((_fills(n, cust, W(cents)),), (pack(W(key % 250), (_bytes_tail(F.lpad(F.lower(F.hex(cust)), 8, "0")),)),))
+    pairs = F.concat(W(n), F.repeat(F.concat(W(cust), W(cents)), n.cast("int")))
+    tx = F.concat(F.lit("0x"), SHA(key))
+    contracts_ = read(spark, sf_dir, "supplier", "s_suppkey").agg(F.count("*").alias("n_contracts"))
+    return o.join(F.broadcast(contracts_)).select(  # one row: the number of contracts
+        tx.alias("tx_hash"), A(cust % F.col("n_contracts")).alias("to"), A(cust + 1).alias("from"), key.alias("block_number"),
+        F.col("o_orderdate").alias("block_time"), ok.alias("success"), F.lit("").alias("trace_address"),
+        F.concat(F.lit("call_"), tx).alias("trace_id"), F.when(~ok, F.lit("Reverted")).alias("error"), F.lit("call").alias("type"),
+        F.lit("0").alias("value"), F.lit(method).alias("method_id"), F.concat(F.lit(method), args).alias("input"),
+        F.when(ok, F.concat(F.lit("0x"), pack(W((key % 2)), (pairs,), W(cents)))).otherwise(F.lit("0x")).alias("output"))
