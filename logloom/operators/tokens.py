@@ -144,13 +144,13 @@ def _addr(topic: str) -> Column:
 
 
 def _batch_columns(stager=None) -> list[Column]:
-    from .decode import Node, top_value
+    from .decode import Node, value
 
     data = F.col("data")
     words = Node("array", elem=Node("scalar", scalar="bytes32"))
     area = F.lit(wd.DATA_BASE)
-    ids = wd.hex_array_to_decimal(top_value(words, data, area, area, stager=stager))
-    values = wd.hex_array_to_decimal(top_value(words, data, area + wd.WORD, area, stager=stager))
+    ids = wd.hex_array_to_decimal(value(words, data, area, area, stager=stager))
+    values = wd.hex_array_to_decimal(value(words, data, area + wd.WORD, area, stager=stager))
     return [
         F.col("contract_address"),
         _addr("topic2").alias("from"),

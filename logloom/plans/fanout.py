@@ -298,12 +298,23 @@ def call_specs(specs: DataFrame) -> DataFrame:
     return _options(one.withColumn("_layout", F.expr(call_layout_sql("_pin", "_pout"))), "_shape", "_plain", "_layout", "_guard")
 
 
+def _staged(specs: DataFrame) -> DataFrame:
+    """The spec side written once to the shared folder: the registry runs once,
+    the planner knows the size, and where it is too large to broadcast Spark
+    builds Bloom filters of its hashes and addresses (``bloom_filter_agg``) and
+    puts them below the exchange, on the scan of the logs. That takes a stored
+    side with a predicate, which the address gives."""
+    path = f"{ensure_checkpoint_dir(specs.sparkSession).rstrip('/')}/specs-{uuid.uuid4().hex}"
+    specs.write.parquet(path)
+    return specs.sparkSession.read.schema(specs.schema).parquet(path).where((F.length("_a") > 0) & (F.length("_h") > 0))
+
+
 def decode_all_events(logs: DataFrame, specs: DataFrame, as_json: bool | str = False) -> DataFrame:
     """D9 (events) + D5 long form, one scan of ``logs``. ``as_json``: False ->
     ``args`` array<struct<key,value>>; True -> the same as JSON text;
     ``"document"`` -> X6 decoded document text; ``"entries"`` -> the entries
     with the layout's column names and types."""
-    joined = logs.join(event_specs(specs), (F.col("evt_hash") == F.col("_h")) & (F.col("contract_address") == F.col("_a")))
+    joined = logs.join(_staged(event_specs(specs)), (F.col("evt_hash") == F.col("_h")) & (F.col("contract_address") == F.col("_a")))
     joined = joined.where(F.col("min_ts").isNull() | (F.col("block_time") >= F.col("min_ts")))
     mine = joined.select(*dec.event_meta(), "namespace", "table", "topic1", "topic2", "topic3", "data", _choice(_EVENT_FIT).alias("_o"))
     mine = mine.select("*", "_o._shape", "_o._layout", "_o._plain")
@@ -314,7 +325,7 @@ def decode_all_events(logs: DataFrame, specs: DataFrame, as_json: bool | str = F
 
 def decode_all_calls(traces: DataFrame, specs: DataFrame, as_json: bool | str = False) -> DataFrame:
     """D9 (calls) + D5 long form, one scan of ``traces``; ``as_json`` as for events (X7 documents)."""
-    joined = traces.join(call_specs(specs), (F.col("method_id") == F.col("_h")) & (F.col("to") == F.col("_a")))
+    joined = traces.join(_staged(call_specs(specs)), (F.col("method_id") == F.col("_h")) & (F.col("to") == F.col("_a")))
     joined = joined.where(F.col("min_ts").isNull() | (F.col("block_time") >= F.col("min_ts")))
     mine = joined.select(*dec.call_meta(), "namespace", "table", "input", "output", "success", _choice(_CALL_FIT).alias("_o"))
     failed = F.col("_o._guard") & ~F.coalesce(F.col("success"), F.lit(False))
@@ -419,19 +430,58 @@ def _finish(df: DataFrame, raw: Column, rest: Column, as_json, kind: str, meta:
     return df.select(*dict.fromkeys(meta), F.lit(True).alias("layout_supported"), F.expr(form).alias("args"))
 
 
+#: Rows that the quantiles of the interleaved key are read from, and bits of each column's rank.
+SAMPLE, BITS = 4096, 6
+
+
+def interleaved(df: DataFrame, columns: list[str], address: str = "contract_address") -> Column:
+    """A Z-order key: the bits of each column's rank among the quantiles of
+    ``SAMPLE`` rows (those with the smallest hash, so any part of the table is
+    as likely), most significant first, in turn; the address gives two bits to
+    each one of the others. Rows that are near in any of the columns lie near."""
+    rows = df.select(*columns).orderBy(F.xxhash64(*df.columns)).limit(SAMPLE).collect()  # bounded
+    ranks = {}
+    for c in columns:
+        values = sorted(r[c] for r in rows if r[c] is not None)
+        cuts = sorted({values[len(values) * i >> BITS] for i in range(1, 1 << BITS)}) if values else []
+        spread = (1 << BITS) // (len(cuts) + 1)  # a column of few values still uses the high bits
+        ranks[c] = sum((F.when(F.col(c) >= F.lit(v), spread).otherwise(0) for v in cuts), F.lit(0)).cast("int")
+    turns, left = [], {c: BITS for c in columns}
+    while any(left.values()):
+        for c in columns:
+            for _ in range(2 if c == address else 1):
+                if left[c]:
+                    left[c] -= 1
+                    turns.append((c, left[c]))
+    key = F.lit(0).cast("bigint")
+    for c, bit in turns:
+        key = key * 2 + F.getbit(ranks[c], F.lit(bit))
+    return key
+
+
 def write_clustered(df: DataFrame, path: str, keys: tuple[str, ...] | None = None,
-                    partitions: int | None = None) -> None:
+                    partitions: int | None = None, z_order: bool = False) -> None:
     """S9/S12 sink: full rebuild, range-clustered on ``keys`` so Parquet
     min/max statistics skip row groups for a hash or address predicate. The
     default keys (of events or calls) end with the block number and the row's
-    place in it, so one hot contract is spread over several ranges."""
+    place in it, so one hot contract is spread over several ranges. With
+    ``z_order`` an interleaved key of address, hash and block number comes
+    first: a predicate on any one of them alone skips row groups too. Parquet
+    Bloom filters of addresses and hashes serve what min/max leaves open."""
     if keys is None:
         known = ("evt_hash", "method_id", "contract_address", "evt_block_number", "call_block_number",
                  "block_number", "evt_index", "call_trace_id", "index")
         keys = tuple(k for k in known if k in df.columns)
     n = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    (df.repartitionByRange(n, *keys).sortWithinPartitions(*keys)
-     .write.mode("overwrite").parquet(path))
+    if z_order:
+        first = [k for k in ("contract_address", "evt_hash", "method_id", "evt_block_number", "call_block_number", "block_number") if k in keys]
+        df = df.withColumn("_z", interleaved(df, first))
+        keys = ("_z", *keys)
+    out = df.repartitionByRange(n, *keys).sortWithinPartitions(*keys).drop("_z").write.mode("overwrite")
+    for c in ("contract_address", "evt_hash", "method_id"):
+        if c in df.columns:
+            out = out.option(f"parquet.bloom.filter.enabled#{c}", "true")
+    out.parquet(path)
 
 
 def pick(args, key: str) -> Column:

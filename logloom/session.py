@@ -20,6 +20,10 @@ DEFAULTS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # Bloom filters of a join's smaller side on the scan of the other: also where
+    # that side is too large to broadcast (the filter itself stays below 8 MB)
+    "spark.sql.optimizer.runtime.bloomFilter.creationSideThreshold": "4g",
+    "spark.sql.optimizer.runtime.bloomFilter.applicationSideScanSizeThreshold": "1g",
 }
 
 

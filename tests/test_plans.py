@@ -69,3 +69,56 @@ def test_decode_pushes_hashes_and_time_bound(spark, stored_logs):
     assert "EqualTo(evt_hash,0xddf252ad" in plan or "In(evt_hash, [0xddf252ad" in plan
     assert "GreaterThanOrEqual(block_time," in plan
     assert df.count() > 0
+
+
+def test_bloom_filters_below_the_exchange_when_specs_are_not_broadcast(spark, tmp_path):
+    from logloom.plans import fanout, parity
+    from logloom.plans.catalog import ChainTables
+
+    t = ChainTables(spark, SF_SMALL)
+    path = str(tmp_path / "logs")
+    t.logs().write.parquet(path)
+    settings = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.optimizer.runtime.bloomFilter.applicationSideScanSizeThreshold": "0"}
+    want = sorted(map(repr, fanout.decode_all_events(spark.read.parquet(path), parity._specs(t)).collect()))
+    old = {k: spark.conf.get(k) for k in settings}
+    try:
+        for k, v in settings.items():
+            spark.conf.set(k, v)
+        df = fanout.decode_all_events(spark.read.parquet(path), parity._specs(t))
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        scan = plan.index(path) if path in plan else plan.index("FileScan parquet")
+        below = plan[plan.rindex("Exchange hashpartitioning", 0, scan):scan]
+        assert "might_contain" in below
+        assert sorted(map(repr, df.collect())) == want
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
+
+
+def test_z_order_skips_row_groups_by_address_alone(spark, tmp_path):
+    import glob
+
+    import pyarrow.parquet as pq
+
+    from logloom.plans import fanout
+    from logloom.plans.catalog import ChainTables
+
+    logs = ChainTables(spark, "/root/testdata/sf0.01").logs()
+    path = str(tmp_path / "z")
+    fanout.write_clustered(logs, path, partitions=256, z_order=True)
+    assert spark.read.parquet(path).count() == logs.count()
+    groups: list[dict] = []
+    for f in glob.glob(f"{path}/*.parquet"):
+        meta = pq.ParquetFile(f).metadata
+        names = [meta.schema.column(i).name for i in range(meta.num_columns)]
+        for g in range(meta.num_row_groups):
+            row = meta.row_group(g)
+            groups.append({n: row.column(names.index(n)).statistics for n in ("contract_address", "evt_hash", "block_number")})
+
+    def share(column, value):
+        return sum(s[column].min <= value <= s[column].max for s in groups) / len(groups)
+    some = logs.select("contract_address", "evt_hash", "block_number").orderBy("tx_hash").limit(20).collect()
+    assert len(groups) >= 200
+    assert max(share("contract_address", r["contract_address"]) for r in some) < 0.1
+    assert sum(share("evt_hash", r["evt_hash"]) for r in some) / len(some) < 0.6
+    assert sum(share("block_number", r["block_number"]) for r in some) / len(some) < 0.6
