@@ -11,9 +11,9 @@ contiguous seed. Items with fewer than ``SHORT`` tokens are no evidence.
 
 Seeds of benchmark and documents are joined on their hash. The hits name an
 item and a diagonal; the document's tokens along the diagonal are compared
-with the item's. While the benchmark has at most ``PREFILTER`` seeds (32 MB),
-its hashes also go to the tasks, which then emit only the seeds that will
-join; with more, all seeds are shuffled. The results are the same.
+with the item's. A Bloom filter of the benchmark's seeds, of fixed size
+whatever the benchmark (``FILTER_BITS``), goes to the tasks, which emit only
+the seeds that may join; the join decides.
 
 Defined cases: null and empty texts have no tokens and match nothing; repeated
 items count once, under the smallest id; a null item id is reported as null;
@@ -38,7 +38,8 @@ MASKS = ((0, 1, 2, 4, 6, 7), (0, 1, 3, 6, 7, 8))
 SHORT = 5
 WINDOW = 13
 AGREE = 11
-PREFILTER = 4_000_000
+#: Bits of the Bloom filter, as a power of 2: 8 MB on the driver and in each task.
+FILTER_BITS = 26
 _TOKEN = np.array([i >= 128 or bytes([i]).isalnum() for i in range(256)])
 
 
@@ -64,23 +65,37 @@ def _seeds(hashes: np.ndarray, first: np.ndarray, short: bool | None):
         yield hs.mix(value).view(np.int64), owner[at], place[at]
 
 
+def _bloom(marks: DataFrame, bits: int) -> np.ndarray:
+    """Words of a Bloom filter of the seeds, two bits for each. The words are
+    put together by the shuffle, so what the driver gets is bounded by the
+    filter's size."""
+    places = F.explode(F.array(F.col("seed"), F.shiftrightunsigned("seed", 32)))
+    at = marks.select(places.alias("s")).select(F.col("s").bitwiseAND(F.lit((1 << bits) - 1)).alias("i"))
+    words = at.groupBy(F.shiftright("i", 6).alias("word")).agg(F.bit_or(F.expr("shiftleft(1L, cast(i & 63 as int))")).alias("bits")).toArrow()
+    out = np.zeros(1 << (bits - 6), dtype=np.uint64)
+    out[words["word"].to_numpy()] = words["bits"].to_numpy().view(np.uint64)
+    return out
+
+
+def _maybe(filter_: np.ndarray, value: np.ndarray) -> np.ndarray:
+    """Whether each seed may be in the filter."""
+    low, v = np.uint64((len(filter_) << 6) - 1), value.view(np.uint64)
+    found = np.ones(len(v), dtype=bool)
+    for i in (v & low, (v >> np.uint64(32)) & low):
+        found &= (filter_[i >> np.uint64(6)] >> (i & np.uint64(63))) & np.uint64(1) > 0
+    return found
+
+
 def _seeder(keys: list[str], benchmark: bool, known):
-    """Seeds of each text; ``known``: a broadcast sorted array of wanted hashes."""
+    """Seeds of each text; ``known``: a broadcast filter of the wanted ones."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        wanted = None if known is None else known.value
-        if wanted is not None:
-            bits = np.zeros(1 << 24, dtype=bool)
-            bits[wanted & ((1 << 24) - 1)] = True
         for batch in batches:
             texts = batch.column("text").to_pylist()
             for lo, hi in hs.chunks([t or "" for t in texts]):
                 hashes, first = _tokens(texts[lo:hi])
                 for value, owner, place in _seeds(hashes, first, False if benchmark else None):
-                    if wanted is not None and len(value):
-                        maybe = np.flatnonzero(bits[value & ((1 << 24) - 1)])
-                        v = value[maybe]
-                        at = np.minimum(np.searchsorted(wanted, v), max(len(wanted) - 1, 0))
-                        ok = maybe[wanted[at] == v] if len(wanted) else maybe[:0]
+                    if known is not None:
+                        ok = np.flatnonzero(_maybe(known.value, value))
                         value, owner, place = value[ok], owner[ok], place[ok]
                     rows = pa.array(owner + lo)
                     yield pa.RecordBatch.from_arrays(
@@ -143,7 +158,7 @@ def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def leaks(docs: DataFrame, benchmark: DataFrame, text: str = "text", doc_id: str = "doc_id",
-          item_id: str = "item_id", item_text: str = "text", prefilter: int = PREFILTER) -> DataFrame:
+          item_id: str = "item_id", item_text: str = "text", filter_bits: int = FILTER_BITS) -> DataFrame:
     """One row per leaked alignment: ``no_id, id, dk`` (the document), the item
     (``item_id``), ``start`` and ``end`` of the leak in tokens, ``equal``."""
     spark = docs.sparkSession
@@ -153,10 +168,7 @@ def leaks(docs: DataFrame, benchmark: DataFrame, text: str = "text", doc_id: str
     tokens = c.stage(items.mapInArrow(_itemiser, "item bigint, tokens binary, length int"), "items")
     marks = c.stage(items.mapInArrow(_seeder(["item"], True, None), "item bigint, seed bigint, place int").join(
         tokens.select("item", "length"), "item"), "seeds")
-    known = None
-    if marks.count() <= prefilter:
-        found = [r[0] for r in marks.select("seed").distinct().collect()]
-        known = spark.sparkContext.broadcast(np.sort(np.array(found, dtype=np.int64)))
+    known = spark.sparkContext.broadcast(_bloom(marks, filter_bits))
     rows = docs.select(F.col(f"`{doc_id}`").isNull().alias("no_id"),
                        F.coalesce(F.col(f"`{doc_id}`"), F.lit(0)).cast("long").alias("id"),
                        c.text_key(F.col(f"`{text}`")).alias("dk"), F.col(f"`{text}`").alias("text"))

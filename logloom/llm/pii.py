@@ -36,7 +36,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import common as c
-from .trees import Boosted, threshold
+from .trees import Boosted, predict, threshold
 
 KINDS = ("email", "ip", "card", "phone")
 SAMPLE = 20_000
@@ -60,10 +60,11 @@ _NOT_LOCAL = re.compile(r"[^A-Za-z0-9._%+-]")
 _DIGITS = re.compile(r"[+(]{0,2}[0-9](?:[\x20().:/-]{0,3}[0-9]){6,}")
 _GROUP = re.compile(r"[0-9]+")
 _QUAD = re.compile(r"[0-9]+(?:[.:][0-9]+){3}")
-_AT = r"(?:\s*@\s*|\s*[\[({]\s*at\s*[\])}]\s*|\s+at\s+)"
-_DOT = r"(?:\.|\s*[\[({]\s*dot\s*[\])}]\s*|\s+dot\s+)"
-_MAIL = re.compile(rf"{_AT}[A-Za-z0-9-]+(?:{_DOT}[A-Za-z0-9-]+)+", re.I)
-_MAYBE = re.compile(r"@|[\[({]\s*at\s*[\])}]|\sdot\s|[\[({]\s*dot\s*[\])}]", re.I)
+_SIGN = re.compile(r"@|at", re.I)
+_DOT = r"(?:\.|\s*+[\[({]\s*+dot\s*+[\])}]\s*+|\s++dot\s++)"
+_NAME = re.compile(rf"[A-Za-z0-9-]++(?:{_DOT}[A-Za-z0-9-]++)+", re.I)
+_MAYBE = re.compile(r"@|[\[({]\s*+at\s*+[\])}]|\sdot\s|[\[({]\s*+dot\s*+[\])}]", re.I)
+_BLANKS = re.compile(r"\s*")
 
 
 def luhn(digits: str) -> bool:
@@ -131,10 +132,38 @@ def candidates(text: str) -> Iterator[tuple[int, int, int]]:
                 if n > 19 and j >= i + 3:
                     break
     if _MAYBE.search(text):
-        for m in _MAIL.finditer(text):
-            lo = _local_start(text, m.start(), 0)
-            if lo < m.start():
-                yield 0, lo, m.end()
+        yield from _addresses(text)
+
+
+def _before(text: str, at: int) -> int:
+    """Start of the blanks that end at ``at``."""
+    while at and text[at - 1].isspace():
+        at -= 1
+    return at
+
+
+def _addresses(text: str) -> Iterator[tuple[int, int, int]]:
+    """Addresses around each sign: ``@``, ``[at]`` in any brackets, or the word
+    ``at``, blanks around it. Blanks are looked at from the sign only, so a run
+    of them is read by its two neighbours at most."""
+    last = 0
+    for m in _SIGN.finditer(text):
+        a, z = m.span()
+        if a < last:
+            continue
+        lo, hi = _before(text, a), _BLANKS.match(text, z).end()
+        if m.group() != "@":
+            if lo and text[lo - 1] in "[({" and text[hi:hi + 1] in tuple("])}"):
+                lo, hi = _before(text, lo - 1), _BLANKS.match(text, hi + 1).end()
+            elif lo == a or hi == z:
+                continue
+        lo = max(lo, last)
+        name = _NAME.match(text, hi)
+        start = _local_start(text, lo, 0) if name else lo
+        if name:
+            last = name.end()
+        if start < lo:
+            yield 0, start, name.end()
 
 
 def features(text: str, kind: int, start: int, end: int) -> list[float]:
@@ -224,7 +253,7 @@ def _rows(shares: dict[tuple[int, int], float]):
 
 
 def _train(docs: DataFrame, sample: int, precision: float):
-    """Trees and a threshold for each kind, from the bounded sample."""
+    """Trees (plain arrays) and a threshold for each kind, from the bounded sample."""
     counts = {(r["kind"], r["label"]): r["n"] for r in docs.mapInArrow(_count, "kind int, label int, n bigint").groupBy("kind", "label").agg(F.sum("n").alias("n")).collect()}
     shares = {x: min(1.0, sample / 4 / n) for x, n in counts.items()}
     got = docs.mapInArrow(_rows(shares), "kind int, label int, shape string, alone boolean, x array<double>, hash bigint").limit(6 * sample).collect()
@@ -244,7 +273,7 @@ def _train(docs: DataFrame, sample: int, precision: float):
     score = model.score(x[held])
     weight = np.array([1 / shares[r["kind"], r["label"]] for r in got])[held]
     own = [kind[held] == k for k in range(len(KINDS))]
-    return model, [threshold(score[at], y[held][at], precision, weight[at]) for at in own]
+    return model.plain(), [threshold(score[at], y[held][at], precision, weight[at]) for at in own]
 
 
 def _select(trained):
@@ -256,7 +285,7 @@ def _select(trained):
             base, good, open_, x = [], [], [], []
 
             def score():
-                for p, (i, k, a, z) in zip(model.score(np.array(x, dtype=float)) if x else (), open_):
+                for p, (i, k, a, z) in zip(predict(model, np.array(x, dtype=float)) if x else (), open_):
                     if p >= least[k]:
                         good[i].append((-p, a - z, a, k))
                 open_.clear(), x.clear()

@@ -101,8 +101,11 @@ def host_rates(judged: DataFrame, host: str) -> DataFrame:
         "all_n", F.floor(F.lit(MILLION) * F.col("all_f") / F.col("all_n")).cast("long").alias("mean"))
     rated = hosts.withColumn("rate", F.floor(F.lit(MILLION) * F.col("failures") / F.col("n")).cast("long"))
     moments = rated.join(F.broadcast(total)).agg(
-        F.max("mean").alias("mean"), F.max("all_n").alias("all_n"),
+        F.max("mean").alias("mean"), F.max("all_n").alias("all_n"), F.count("*").alias("hosts"),
         F.sum(F.col("n").cast(dec) * ((F.col("rate") - F.col("mean")) * (F.col("rate") - F.col("mean")))).alias("spread"))
+    # n documents at the mean rate spread by mean * (1 - mean) / n, which weighs n: the same for each host
+    chance = F.col("hosts").cast(dec) * (F.col("mean") * (F.lit(MILLION) - F.col("mean")))
+    moments = moments.withColumn("spread", F.col("spread") - chance)
     variance = F.col("spread").cast("double") / F.col("all_n").cast("double")
     mean = F.col("mean").cast("double")
     prior = moments.select(
@@ -157,7 +160,8 @@ f AS (SELECT *, (n_words < 10 OR 100 * n_repeat_words > 20 * n_words) AS base_fa
 h AS (SELECT source AS host, count(*) AS n, sum((base_failed OR rule_failed)::INT)::BIGINT AS k FROM f GROUP BY source),
 tot AS (SELECT sum(n) AS all_n, floor(1000000 * sum(k) / sum(n))::BIGINT AS mean FROM h),
 hr AS (SELECT h.*, floor(1000000 * k / n)::BIGINT AS rate, tot.mean, tot.all_n FROM h, tot),
-mo AS (SELECT max(mean)::DOUBLE AS mean, max(all_n)::DOUBLE AS all_n, sum(n::HUGEINT * (rate - mean) * (rate - mean))::DOUBLE AS spread FROM hr),
+mo AS (SELECT max(mean)::DOUBLE AS mean, max(all_n)::DOUBLE AS all_n,
+              (sum(n::HUGEINT * (rate - mean) * (rate - mean)) - count(*)::HUGEINT * max(mean) * (1000000 - max(mean)))::DOUBLE AS spread FROM hr),
 pr AS (SELECT mean, CASE WHEN spread > 0 THEN greatest(1.0, least(1000.0, mean * (1000000.0 - mean) / (spread / all_n) - 1.0)) ELSE 1000.0 END AS strength FROM mo),
 bad AS (SELECT host FROM hr, pr WHERE floor((k::DOUBLE * 1000000.0 + pr.mean * strength) / (n::DOUBLE + strength)) >= 500000)
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, rule_failed,

@@ -34,7 +34,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import common as c
-from .trees import Forest, threshold
+from .trees import Forest, predict, threshold
 
 SAMPLE = 10_000
 RARE = 2e-7
@@ -159,7 +159,7 @@ def _train(scanned: DataFrame, findings: DataFrame | None, sample: int, precisio
         return None, 1.01
     x = np.array([r["x"] for r in got], dtype=float)
     model = Forest(x[~held], y[~held])
-    return model, threshold(model.score(x[held]), y[held], precision)
+    return model.plain(), threshold(model.score(x[held]), y[held], precision)
 
 
 def _decide(trained):
@@ -170,7 +170,7 @@ def _decide(trained):
             found = [[f for f in own if f["label"] < 2] for own in batch.column("found").to_pylist()]
             flat = [f for own in found for f in own]
             if model and flat:
-                good = model.score(np.array([f["x"] for f in flat], dtype=float)) >= least
+                good = predict(model, np.array([f["x"] for f in flat], dtype=float)) >= least
             else:
                 good = np.array([f["label"] == 1 for f in flat], dtype=bool)
             it = iter(good)

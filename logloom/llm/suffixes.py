@@ -42,8 +42,10 @@ from . import hashing as hs
 
 LENGTH = 50
 GRAM = 20
-#: Bytes of text in a batch, in a bucket, and bytes hashed together.
+#: Bytes of text in a batch (up to WIDE with many buckets, so that a batch has
+#: ranges enough for each), in a bucket, and bytes hashed together.
 BATCH = 2 << 20
+WIDE = 8 << 20
 BUCKET = 16 << 20
 SLICE = 1 << 20
 #: Suffixes in a new level of the index.
@@ -69,22 +71,24 @@ def _numbers(raw: bytes) -> dict:
     return {k: v.to_numpy(zero_copy_only=False) for k, v in _unpack(raw).items()}
 
 
-def _batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows of documents to rows of packed batches."""
-    part, number, ids, texts, size = TaskContext.get().partitionId(), 0, [], [], 0
+def _batches(least: int):
+    """Rows of documents to rows of packed batches of about ``least`` bytes."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        part, number, ids, texts, size = TaskContext.get().partitionId(), 0, [], [], 0
 
-    def row():
-        raw = _pack(doc_id=pa.array(ids, pa.int64()), text=pa.array(texts, pa.binary()))
-        return pa.RecordBatch.from_arrays([pa.array([(part << 32) + number], pa.int64()), pa.array([raw], pa.binary())], names=["uid", "docs"])
-    for batch in batches:
-        for i, t in zip(batch.column("doc_id").to_pylist(), batch.column("text").cast(pa.binary()).to_pylist()):
-            ids.append(i), texts.append(t or b"")
-            size += len(texts[-1]) + 1
-            if size >= BATCH:
-                yield row()
-                number, ids, texts, size = number + 1, [], [], 0
-    if ids:
-        yield row()
+        def row():
+            raw = _pack(doc_id=pa.array(ids, pa.int64()), text=pa.array(texts, pa.binary()))
+            return pa.RecordBatch.from_arrays([pa.array([(part << 32) + number], pa.int64()), pa.array([raw], pa.binary())], names=["uid", "docs"])
+        for batch in batches:
+            for i, t in zip(batch.column("doc_id").to_pylist(), batch.column("text").cast(pa.binary()).to_pylist()):
+                ids.append(i), texts.append(t or b"")
+                size += len(texts[-1]) + 1
+                if size >= least:
+                    yield row()
+                    number, ids, texts, size = number + 1, [], [], 0
+        if ids:
+            yield row()
+    return run
 
 
 class _Text:
@@ -154,17 +158,16 @@ def _describe(length: int, gram: int, buckets: int):
                 bucket = (h % np.uint64(buckets)).astype(np.int64)
                 order = np.argsort(bucket, kind="stable")
                 cut = np.searchsorted(bucket[order], np.arange(buckets + 1))
-                out = []
-                for b in range(buckets):
+                rows = []
+                for b in np.flatnonzero(np.diff(cut)).tolist():  # buckets that the batch has ranges for
                     at = order[cut[b]:cut[b + 1]]
                     own, local = np.unique(row[at], return_inverse=True)
                     six = lambda x: x[at].view(np.uint8).reshape(-1, 8)[:, :6].tobytes()
-                    out.append(_pack(h=pa.array([six(h)], pa.binary()), s=pa.array([six(s)], pa.binary()),
-                                     ids=pa.array([ids[own].tobytes()], pa.binary()), row=pa.array([local.astype(np.uint16 if len(own) < 65536 else np.uint32).tobytes()], pa.binary()),
-                                     wide=pa.array([len(own) >= 65536])))
+                    rows.append((b, six(h), six(s), ids[own].tobytes(), local.astype(np.uint16 if len(own) < 65536 else np.uint32).tobytes()))
+                b, h6, s6, own, local = zip(*rows) if rows else ((),) * 5
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.arange(buckets, dtype=np.int32)), pa.array([uid] * buckets, pa.int64()), pa.array(out, pa.binary())],
-                    names=["bucket", "uid", "ranges"])
+                    [pa.array(b, pa.int32()), pa.array([uid] * len(rows), pa.int64()), *(pa.array(x, pa.binary()) for x in (h6, s6, own, local))],
+                    names=["bucket", "uid", "h", "s", "ids", "row"])
     return run
 
 
@@ -178,10 +181,9 @@ def _answer(group: pa.Table) -> pa.Table:
     """For each range sent: 1 if an earlier document has it, plus 2 if its
     anchor has other ranges."""
     h, s, doc = [], [], []
-    for raw in group.column("ranges").to_pylist():
-        x = {k: v[0].as_py() for k, v in _unpack(raw).items()}
-        h.append(_eight(x["h"])), s.append(_eight(x["s"]))
-        doc.append(np.frombuffer(x["ids"], dtype=np.int64)[np.frombuffer(x["row"], dtype=np.uint32 if x["wide"] else np.uint16)])
+    for h6, s6, ids, row in zip(*(group.column(x).to_pylist() for x in ("h", "s", "ids", "row"))):
+        h.append(_eight(h6)), s.append(_eight(s6))
+        doc.append(np.frombuffer(ids, dtype=np.int64)[np.frombuffer(row, dtype=np.uint16 if len(ids) < 8 * 65536 else np.uint32)])
     cut = np.cumsum([len(x) for x in h])[:-1]
     h, s, doc = np.concatenate(h), np.concatenate(s), np.concatenate(doc)
     order = np.lexsort((doc, s, h))
@@ -319,10 +321,11 @@ def remove_repeats(docs: DataFrame, text: str = "text", doc_id: str = "doc_id",
     size = rows.agg(F.sum(F.octet_length("text")).alias("n")).first()["n"] or 0
     buckets = max(8, -(-size // BUCKET))
     name = f"batches_{uuid.uuid4().hex}"
-    rows.mapInArrow(_batches, "uid bigint, docs binary").write.bucketBy(buckets, "uid").option(
+    least = min(WIDE, max(BATCH, 8192 * buckets))
+    rows.mapInArrow(_batches(least), "uid bigint, docs binary").write.bucketBy(buckets, "uid").option(
         "path", f"{c.shared_dir(spark).rstrip('/')}/{name}").option("compression", "none").saveAsTable(name)
     packed = spark.table(name)
-    sent = packed.mapInArrow(_describe(length, gram, buckets), "bucket int, uid bigint, ranges binary")
+    sent = packed.mapInArrow(_describe(length, gram, buckets), "bucket int, uid bigint, h binary, s binary, ids binary, row binary")
     told = sent.groupBy("bucket").applyInArrow(_answer, "uid bigint, bucket int, codes binary")
     told = c.stage(told.groupBy("uid").agg(F.collect_list(F.struct("bucket", "codes")).alias("answers")), "answers")
     ends = c.stage(packed.join(told, "uid").mapInArrow(_ends(length, gram, buckets), "bucket int, uid bigint, ranges binary"), "ends")

@@ -12,7 +12,8 @@ piece starts with counts as one piece.
 
 The automaton is built once on the driver from the vocabulary file (a
 parameter, at most ``MOST_PIECES`` pieces) and broadcast. Tasks run it over the
-distinct words of about a megabyte of text at a time, all words in step.
+distinct words of about a megabyte of text at a time, all words in step and
+long words in segments.
 
 Defined cases: null and empty texts have no words and no tokens; repeated rows
 are counted each; an empty table gives an empty result; extra columns pass
@@ -35,6 +36,8 @@ from . import hashing as hs
 
 VOCABULARY = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 MOST_PIECES = 1_000_000
+#: Bytes of a word that are read one after the other.
+SEGMENT = 512
 
 
 def read_pieces(path: str) -> list[bytes]:
@@ -85,34 +88,106 @@ def automaton(pieces: Iterable[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarr
     return row, child, fail, pops
 
 
+def _step(machine: tuple, at: np.ndarray, byte: np.ndarray, count: np.ndarray) -> np.ndarray:
+    """The next nodes; popped pieces are added to ``count``."""
+    row, child, fail, pops = machine
+    to = child[row[at], byte]
+    miss = np.flatnonzero(to == 0)
+    at = at.copy() if len(miss) else at
+    while len(miss):
+        stuck = at[miss]
+        count[miss] += pops[stuck]
+        at[miss] = fail[stuck]
+        to[miss] = child[row[at[miss]], byte[miss]]
+        miss = miss[to[miss] == 0]
+    return to
+
+
+def _mend(machine: tuple, data: np.ndarray, lo, size, number, todo, last, total):
+    """Read the segments ``todo``, whose predecessors end elsewhere than they
+    were read from, and on from there while the ends change: one byte after
+    the other, equal segments from equal nodes only once."""
+    row, child, fail, pops = map(memoryview, machine)
+    known: dict[tuple[bytes, int], tuple[int, int]] = {}
+    done = -1
+    for s in todo.tolist():
+        while done < s < len(number) and number[s] > 0:
+            done = s
+            key = data[lo[s]:lo[s] + size[s]].tobytes(), int(last[s - 1])
+            if key not in known:
+                n, at = 0, key[1]
+                for b in key[0]:
+                    to = child[row[at], b]
+                    while to == 0:
+                        n, at = n + pops[at], fail[at]
+                        to = child[row[at], b]
+                    at = to
+                known[key] = at, n
+            end, total[s] = known[key]
+            if end == last[s]:
+                break
+            last[s] = end
+            s += 1
+
+
 def piece_counts(machine: tuple, data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
-    """Pieces of each word data[start:end] after a space."""
+    """Pieces of each word data[start:end] after a space.
+
+    Words are read in step, a byte of each at a time. A long word is cut into
+    segments of ``SEGMENT`` bytes that are read side by side, as if each began
+    at the root. Then every segment is read again from the node that its
+    predecessor really ended at, until it meets the first reading at the same
+    byte, from where on both are one, a few bytes nearly always; what does not
+    meet is read one after the other."""
     row, child, fail, pops = machine
     length = end - start
-    order = np.argsort(-length, kind="stable")
-    start, length = start[order], length[order]
-    state = np.full(len(start), child[row[0], 32], dtype=np.int32)
-    count = np.zeros(len(start), dtype=np.int64)
-    for j in range(int(length[0]) if len(length) else 0):
-        n = int(np.searchsorted(-length, -j, side="left"))  # words longer than j
-        byte = data[start[:n] + j]
-        at = state[:n]
-        to = child[row[at], byte]
-        miss = np.flatnonzero(to == 0)
-        while len(miss):
-            stuck = at[miss]
-            count[miss] += pops[stuck]
-            at[miss] = fail[stuck]
-            to[miss] = child[row[at[miss]], byte[miss]]
-            miss = miss[to[miss] == 0]
-        state[:n] = to
+    many = np.maximum(-(-length // SEGMENT), 1)
+    word = np.repeat(np.arange(len(start)), many)
+    number = np.arange(len(word)) - np.repeat(np.cumsum(many) - many, many)
+    lo = start[word] + number * SEGMENT
+    size = np.minimum(end[word] - lo, SEGMENT)
+    order = np.argsort(-size, kind="stable")  # a step takes a prefix
+    n_at = [int(np.searchsorted(-size[order], -j, side="left")) for j in range(int(size.max()) if len(size) else 0)]
+    state = np.where(number[order] == 0, child[row[0], 32], 0).astype(np.int32)
+    count = np.zeros(len(word), dtype=np.int64)
+    several = bool((many > 1).any())
+    seen: list[tuple[np.ndarray, np.ndarray]] = []  # nodes and counts after each byte
+    for j, n in enumerate(n_at):
+        state[:n] = _step(machine, state[:n], data[lo[order[:n]] + j], count[:n])
+        if several:
+            seen.append((state[:n].copy(), count[:n].copy()))
+    last, total = np.empty_like(state), np.empty_like(count)
+    last[order], total[order] = state, count
+    if several:
+        place = np.empty(len(word), dtype=np.int64)
+        place[order] = np.arange(len(word))
+        whole = total.copy()
+        todo = np.flatnonzero(number > 0)
+        at, extra = last[todo - 1].copy(), np.zeros(len(todo), dtype=np.int64)
+        before = last[todo].copy()
+        open_ = np.flatnonzero(at != 0)  # the first reading began at the root
+        for j in range(SEGMENT):
+            over = open_[size[todo[open_]] <= j]
+            total[todo[over]], last[todo[over]] = extra[over], at[over]
+            open_ = open_[size[todo[open_]] > j]
+            if not len(open_):
+                break
+            own, more = todo[open_], extra[open_]
+            at[open_] = _step(machine, at[open_], data[lo[own] + j], more)
+            extra[open_] = more
+            nodes, counts = seen[j]
+            met = nodes[place[own]] == at[open_]
+            total[own[met]] = extra[open_[met]] + whole[own[met]] - counts[place[own[met]]]
+            open_ = open_[~met]
+        total[todo[open_]], last[todo[open_]] = extra[open_], at[open_]
+        _mend(machine, data, lo, size, number, todo[last[todo] != before] + 1, last, total)
+    out = np.bincount(word, weights=total, minlength=len(start)).astype(np.int64)
+    state = last[np.cumsum(many) - 1]
     left = np.flatnonzero(state)
     while len(left):
-        count[left] += pops[state[left]]
+        out[left] += pops[state[left]]
         state[left] = fail[state[left]]
         left = left[state[left] != 0]
-    out = np.empty_like(count)
-    out[order] = count
     return out
 
 

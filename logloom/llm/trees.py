@@ -51,17 +51,33 @@ class Tree:
         self.right[node] = self._grow(bins, g, h, rows[~go], depth - 1, reg, least, features, rng)
         return node
 
+    def plain(self) -> tuple[np.ndarray, ...]:
+        return tuple(map(np.array, (self.feature, self.cut, self.left, self.right, self.value)))
+
     def predict(self, bins: np.ndarray) -> np.ndarray:
-        feature, cut, left, right, value = map(np.array, (self.feature, self.cut, self.left, self.right, self.value))
-        at = np.zeros(len(bins), dtype=np.int64)
-        while len(bins):
-            f = feature[at]
-            inner = f >= 0
-            if not inner.any():
-                break
-            low = bins[np.arange(len(bins)), np.maximum(f, 0)] <= cut[at]
-            at = np.where(inner, np.where(low, left[at], right[at]), at)
-        return value[at]
+        return _predict(self.plain(), bins)
+
+
+def _predict(tree: tuple[np.ndarray, ...], bins: np.ndarray) -> np.ndarray:
+    feature, cut, left, right, value = tree
+    at = np.zeros(len(bins), dtype=np.int64)
+    while len(bins):
+        f = feature[at]
+        inner = f >= 0
+        if not inner.any():
+            break
+        low = bins[np.arange(len(bins)), np.maximum(f, 0)] <= cut[at]
+        at = np.where(inner, np.where(low, left[at], right[at]), at)
+    return value[at]
+
+
+def predict(model: tuple, x: np.ndarray) -> np.ndarray:
+    """Scores by the plain arrays of a model (``plain()``), which tasks can read
+    without this package: a broadcast object is pickled by reference."""
+    kind, edges, base, factor, trees = model
+    bins = _binned(x, edges)
+    total = base + factor * sum(_predict(t, bins) for t in trees)
+    return 1 / (1 + np.exp(-total)) if kind == "boosted" else total
 
 
 class Boosted:
@@ -78,9 +94,11 @@ class Boosted:
             self.trees.append(Tree(bins, q - y, q * (1 - q), depth))
             f = f + rate * self.trees[-1].predict(bins)
 
+    def plain(self) -> tuple:
+        return "boosted", self.edges, self.base, self.rate, [t.plain() for t in self.trees]
+
     def score(self, x) -> np.ndarray:
-        bins = _binned(x, self.edges)
-        return 1 / (1 + np.exp(-(self.base + self.rate * sum(t.predict(bins) for t in self.trees))))
+        return predict(self.plain(), x)
 
 
 class Forest:
@@ -96,9 +114,11 @@ class Forest:
             # squared loss around 0: a leaf's value is the share of positives
             self.trees.append(Tree(bins[rows], -y[rows].astype(float), np.ones(len(y)), depth, reg=1e-9, least=2, features=some, rng=rng))
 
+    def plain(self) -> tuple:
+        return "forest", self.edges, 0.0, 1 / len(self.trees), [t.plain() for t in self.trees]
+
     def score(self, x) -> np.ndarray:
-        bins = _binned(x, self.edges)
-        return sum(t.predict(bins) for t in self.trees) / len(self.trees)
+        return predict(self.plain(), x)
 
 
 def threshold(score: np.ndarray, y: np.ndarray, precision: float, weight: np.ndarray | None = None) -> float:

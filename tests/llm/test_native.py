@@ -20,22 +20,44 @@ def test_no_python_in_native_plans(spark, name):
     assert not any(x in plan for x in ("Python", "Pandas", "Arrow"))
 
 
-def plain_lines(docs, w=3):
-    """Texts after removal, for distinct (id, text) in corpus order given."""
+def plain_lines(docs, w=3, words=50):
+    """Texts after removal, for distinct (id, text) in corpus order given: runs
+    of ``w`` lines, and shorter ones of ``words`` words, go where they stand later."""
     first, out = {}, []
+
+    def windows(ls, at):
+        for m in range(1, w + 1):
+            for j in range(len(at) - m + 1):
+                part = tuple(ls[i] for i in at[j:j + m])
+                if m == w or sum(len(h.WORD.findall(x)) for x in part) >= words:
+                    yield j, m, part
     for n, (_, t) in enumerate(docs):
         ls = (t or "").split("\n")
         at = [i for i, x in enumerate(ls) if h.WORD.search(x)]
-        for j in range(len(at) - w + 1):
-            first.setdefault(tuple(ls[i] for i in at[j:j + w]), (n, j))
+        for j, _, part in windows(ls, at):
+            first[part] = min(first.get(part, (n, j)), (n, j))
     for n, (_, t) in enumerate(docs):
         ls = (t or "").split("\n")
         at = [i for i, x in enumerate(ls) if h.WORD.search(x)]
-        gone = {at[j + k] for j in range(len(at) - w + 1) for k in range(w) if first[tuple(ls[i] for i in at[j:j + w])] < (n, j)}
+        gone = {at[j + k] for j, m, part in windows(ls, at) for k in range(m) if first[part] < (n, j)}
         out.append(None if t is None else "\n".join(x for i, x in enumerate(ls) if i not in gone))
     return out
 
 
+def test_long_lines_are_runs(spark):
+    """One line of 90 words in several documents, two of them exact copies of two lines."""
+    long = " ".join(f"w{i}" for i in range(90))
+    half = " ".join(f"v{i}" for i in range(30))
+    docs = [(1, long), (2, f"short\n{long}"), (3, f"{long}\nend"), (4, f"{half}\n{half} x"), (5, f"{half}\n{half} x"), (6, f"{half}\nelse"), (7, long)]
+    got = {r["doc_id"]: r for r in lines.remove_repeats(spark.createDataFrame(docs, "doc_id long, text string"), counts=True).collect()}
+    assert [got[i]["text"] for i, _ in docs] == plain_lines(docs) == [long, "short", "end", docs[3][1], "", docs[5][1], ""]
+    assert got[5]["n_removed"] == 2 and got[6]["n_removed"] == 0
+    forty = " ".join(f"w{i}" for i in range(49))  # under the bound: only with two others
+    docs = [(1, f"{forty}\nb\nc"), (2, forty), (3, f"x\n{forty}\nb\nc")]
+    got = {r["doc_id"]: r["text"] for r in lines.remove_repeats(spark.createDataFrame(docs, "doc_id long, text string")).collect()}
+    assert [got[i] for i, _ in docs] == plain_lines(docs) == [docs[0][1], forty, "x"]
+
+
 def test_line_dedup_edges(spark):
     got = lines.remove_repeats(h.edge(spark), counts=True)
     assert set(h.edge(spark).columns) <= set(got.columns)
@@ -74,6 +96,15 @@ def test_bad_host_is_rejected_good_host_kept(spark):
     assert got[500]["host_rejected"] and not got[500]["kept"] and not got[500]["base_failed"]
 
 
+def test_prior_leaves_out_what_chance_gives_small_hosts(spark):
+    """Hosts of two documents at one true rate: their rates spread by chance only, so they are drawn to the mean."""
+    rows = [(h_, bool(i), i + j < 1) for h_ in range(400) for i in (0, 1) for j in [(h_ >> i) & 1]]
+    judged = spark.createDataFrame([(f"h{a}", failed, False) for a, _, failed in rows], "host string, base_failed boolean, rule_failed boolean")
+    rates = [r["shrunk_rate"] for r in quality.host_rates(judged, "host").collect()]
+    mean = 1_000_000 * sum(f for _, _, f in rows) / len(rows)
+    assert max(abs(r - mean) for r in rates) < 20_000
+
+
 def test_mixing_edges(spark):
     got = mixing.mix(h.edge(spark)).collect()
     assert len(got) == len(h.EDGE)

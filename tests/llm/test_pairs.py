@@ -115,8 +115,8 @@ def test_leaks_query_brute(spark):
         assert {x["item_id"] for x in got[i]["items"] or ()} == want and got[i]["contaminated"] == bool(want)
 
 
-@pytest.mark.parametrize("prefilter", [0, 1000])
-def test_leaks_with_substitutions_and_edges(spark, prefilter):
+@pytest.mark.parametrize("filter_bits", [7, 26])  # a full filter and a sparse one
+def test_leaks_with_substitutions_and_edges(spark, filter_bits):
     r = random.Random(3)
     items = [(1, " ".join(f"q{i}" for i in range(20))), (2, " ".join(f"z{i}" for i in range(7))), (3, "too short item"),
              (4, None), (None, "Null, item! with (enough) words to be found 1 2 3 4 5"), (5, " ".join(f"q{i}" for i in range(20)))]
@@ -129,7 +129,7 @@ def test_leaks_with_substitutions_and_edges(spark, prefilter):
     docs += [(200, "a " + items[1][1].upper() + " b", "a"), (201, items[1][1].replace("z3", "x"), "a"), (202, "null item with enough words to be found 1 2 3 4 5", "a")]
     df = spark.createDataFrame(docs, h.EDGE_SCHEMA)
     bench = spark.createDataFrame(items, "item_id long, text string")
-    got = decontaminate.flag_leaks(df, bench, prefilter=prefilter).collect()
+    got = decontaminate.flag_leaks(df, bench, filter_bits=filter_bits).collect()
     assert len(got) == len(docs)
     plain = [(i, t) for i, t in items if i != 5 and t]
     texts = {d[0]: d[1] for d in docs}
@@ -138,7 +138,7 @@ def test_leaks_with_substitutions_and_edges(spark, prefilter):
             assert {x["item_id"] for x in row["items"] or ()} == h.leaked_items(texts[row["doc_id"]], plain), row
         else:
             assert not row["contaminated"]
-    left = decontaminate.remove_leaks(h.edge(spark), bench, prefilter=prefilter)
+    left = decontaminate.remove_leaks(h.edge(spark), bench, filter_bits=filter_bits)
     assert left.count() == len(h.EDGE) and left.columns == h.edge(spark).columns
     assert decontaminate.flag_leaks(h.empty(spark), bench).count() == 0
     assert decontaminate.remove_leaks(h.edge(spark), bench.limit(0)).count() == len(h.EDGE)
