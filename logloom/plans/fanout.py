@@ -44,7 +44,7 @@ from ..functions.nested import arguments, dumps, words
 from ..operators import abi as abi_ops
 from ..operators import decode as dec
 from ..operators.decode import CALL_META, EVENT_META, head_words, input_names, is_dynamic, is_wide, output_names, parse_param
-from ..session import ensure_checkpoint_dir
+from ..session import ensure_checkpoint_dir, stage
 
 ENTRY = T.StructType([T.StructField(n, T.StringType()) for n in ("src", "key", "kind", "value")]
                      + [T.StructField("items", T.ArrayType(T.StringType()))])
@@ -304,9 +304,7 @@ def _staged(specs: DataFrame) -> DataFrame:
     builds Bloom filters of its hashes and addresses (``bloom_filter_agg``) and
     puts them below the exchange, on the scan of the logs. That takes a stored
     side with a predicate, which the address gives."""
-    path = f"{ensure_checkpoint_dir(specs.sparkSession).rstrip('/')}/specs-{uuid.uuid4().hex}"
-    specs.write.parquet(path)
-    return specs.sparkSession.read.schema(specs.schema).parquet(path).where((F.length("_a") > 0) & (F.length("_h") > 0))
+    return stage(specs, "specs").where((F.length("_a") > 0) & (F.length("_h") > 0))
 
 
 def decode_all_events(logs: DataFrame, specs: DataFrame, as_json: bool | str = False) -> DataFrame:

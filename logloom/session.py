@@ -9,8 +9,9 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings every job relies on. They are only applied when the session does not
 # already define them, so a cluster's own tuning always wins.
@@ -70,3 +71,12 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         spark.conf.set("spark.checkpoint.dir", path)
     spark.sparkContext.setCheckpointDir(path)
     return path
+
+
+def stage(df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` once to the shared checkpoint folder and read it back: cuts
+    the lineage, survives the loss of executors and tells the planner its size
+    (a checkpoint's size is unknown, so it is never broadcast)."""
+    path = f"{ensure_checkpoint_dir(df.sparkSession).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -114,6 +114,8 @@ def test_a_log_takes_the_layout_that_fits(spark):
     topics = ["0x" + word(i) for i in (1, 2, 3)]
     got = fanout.decode_all_events(logs(spark, (0, topics[:2], word(9), 1), (0, topics, "", 2)), spark.createDataFrame(rows, SPEC)).collect()
     assert sorted((r["evt_index"], r["args"][2]["key"], r["args"][2]["value"]) for r in got) == [(0, "value", "9"), (1, "tokenId", "3")]
+    wide = dec.decode_table(logs(spark, (0, topics[:2], word(9), 1), (0, topics, "", 2)), spark.createDataFrame(rows, SPEC), "T_evt_E", "event")
+    assert sorted((r["evt_index"], r["value"], r["tokenId"]) for r in wide.collect()) == [(0, "9", None), (1, None, "3")]
 
 
 def test_all_tables_from_one_scan(spark, tmp_path):
