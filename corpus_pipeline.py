@@ -3,6 +3,10 @@
 Every stage takes what its predecessor kept, written as Parquet and read
 again. All but the last return the columns of ``documents``; the last returns
 the words that the mix takes from each document.
+
+Defined cases, in every stage: an empty table gives an empty result; extra
+columns pass through; rows with equal id and text are one document; a null id
+comes after all others.
 """
 
 from __future__ import annotations
@@ -16,28 +20,37 @@ from logloom.llm import common, decontaminate, lines, mixing, near, quality
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that fail no rule, on hosts that are not rejected."""
+    """Documents that fail no rule, on hosts that are not rejected. A null or
+    empty text has no words and goes; a null host is a host; repeated rows are
+    judged alike."""
     return quality.judge(docs).where("kept").select(*docs.columns)
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Later repeated runs of lines are deleted; ``n_chars`` follows the text."""
+    """Later repeated runs of lines are deleted; ``n_chars`` follows the text.
+    Null texts and texts without a word stay as they are; no row goes; of equal
+    runs the one in the smallest id stays; repeated rows keep the same lines."""
     out = lines.remove_repeats(docs)
     return out.withColumn("n_chars", F.length("text").cast("long")) if "n_chars" in docs.columns else out
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies."""
+    """One document of each group of near copies, the one with the smallest id
+    (of equal ids, the smallest text hash); of repeated rows one stays. Null
+    texts and texts without a word are in no group and all stay."""
     return near.keep_one(docs)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without a benchmark passage."""
+    """Documents without a benchmark passage. Null and empty texts have none and
+    stay; an empty benchmark removes nothing; repeated rows go or stay together."""
     return decontaminate.remove_leaks(docs, common.table(spark, sf_dir, "benchmark"))
 
 
 def source_mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The words taken from each document by the mix of sources."""
+    """The words taken from each document by the mix of sources. Null and empty
+    texts have size 0 and give none; a null source is a source, the last one;
+    ties of keys go by id and text; repeated rows are taken each."""
     return mixing.mix(docs, mixing.label_weights(spark, sf_dir))
 
 
