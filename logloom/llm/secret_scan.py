@@ -17,7 +17,8 @@ are not; others are not used. About ``SAMPLE`` findings of each label at most, c
 are taken. The threshold is set on a held-out third.
 
 Defined cases: a null text is empty; a null path is an empty one; without both
-labels in the sample the strict rules decide alone; repeated rows get one
+labels in the sample, or with too few held-out rows to show the precision, the
+strict rules decide alone; repeated rows get one
 result each; an empty table gives an empty result; extra columns are left out.
 """
 
@@ -159,7 +160,8 @@ def _train(scanned: DataFrame, findings: DataFrame | None, sample: int, precisio
         return None, 1.01
     x = np.array([r["x"] for r in got], dtype=float)
     model = Forest(x[~held], y[~held])
-    return model.plain(), threshold(model.score(x[held]), y[held], precision)
+    least = threshold(model.score(x[held]), y[held], precision)
+    return (model.plain() if least <= 1 else None), least
 
 
 def _decide(trained):

@@ -1,3 +1,4 @@
+import collections
 import functools
 import hashlib
 import random
@@ -290,3 +291,106 @@ def test_dictionary_counts_all_documents(spark):
     df = spark.range(12_000).selectExpr("id as doc_id", "if(id % 2000 = 7, 'кошка сидит дома', 'plain words') as text", "'a' as path")
     known = secret_scan._trigrams(df)
     assert {"кош", "дом", "pla"} <= known
+
+
+def candidates_brute(text):
+    """The generators' matches, each overlap settled by trying all accepted ones."""
+    found = [(0, m.span(), 1) for m in secret_scan._ISSUED.finditer(text)]
+    found += [(1, m.span(1), 0) for m in secret_scan._ASSIGNED.finditer(text)]
+    found += [(2, m.span(), 2) for m in secret_scan._TOKEN.finditer(text) if re.search("[0-9]", m.group()) and re.search("[A-Za-z]", m.group())]
+    out = []
+    for _, (a, z), k in sorted(found, key=lambda f: (f[0], f[1])):
+        if all(z <= b or y <= a for _, b, y in out):
+            out.append((k, a, z))
+    return sorted(out, key=lambda f: f[1])
+
+
+def test_secret_query_brute(spark):
+    docs = h.docs_of("/root/testdata/sf0.01")
+    grams = collections.Counter()
+    for _, t in docs:
+        for w in re.findall(r"[^\W\d_]{3,}", (t or "").lower()):
+            grams.update(w[i:i + 3] for i in range(len(w) - 2))
+    least = max(5, sum(grams.values()) * secret_scan.RARE)
+    known = frozenset(g for g, n in grams.items() if n >= least)
+    got = {r["doc_id"]: r for r in secret_scan.op7_secret_scan(spark, "/root/testdata/sf0.01").collect()}
+    sure = found = wrong = 0
+    for i, t in docs:
+        want = candidates_brute(t or "")
+        assert got[i]["n_candidates"] == len(want) and got[i]["n_secrets"] == len(got[i]["secrets"])
+        spans = {(s["start"], s["end"]): s["kind"] for s in got[i]["secrets"]}
+        assert set(spans) <= {(a, z) for _, a, z in want}
+        assert all(spans.get((a, z), secret_scan.KINDS[k]) == secret_scan.KINDS[k] for k, a, z in want)
+        for k, a, z in want:
+            label = secret_scan.strict(k, t[a:z], known)
+            sure += label == 1
+            found += label == 1 and (a, z) in spans
+            wrong += label == 0 and (a, z) in spans
+    assert sure > 10 and found >= 0.9 * sure and wrong <= 0.05 * sure
+
+
+def test_addresses_on_hard_texts():
+    """Blanks, signs and labels in any number cost time in proportion."""
+    import time
+    start = time.time()
+    for t in ("x@y " + " " * 3_000_000, "( " * 300_000, "@ " * 300_000, "at " * 500_000, " " * 2_000_000 + "@" + " " * 2_000_000, "+1" + "(" * 1_000_000):
+        list(pii.candidates(t)), pii.base_spans(t)
+    assert time.time() - start < 15
+    t = "mail ann  at  mail7 dot example dot com or bob[at]x.org, c ( at ) d.e at noon. Then"
+    assert [t[a:z] for _, a, z in pii._addresses(t)] == ["ann  at  mail7 dot example dot com", "bob[at]x.org", "c ( at ) d.e"]
+
+
+def test_models_reach_tasks_as_plain_arrays():
+    import pickle
+    r = np.random.default_rng(1)
+    x = r.normal(size=(400, 5))
+    y = (x[:, 0] + x[:, 1] > 0).astype(float)
+    for model in (trees.Boosted(x, y), trees.Forest(x, y)):
+        plain = pickle.loads(pickle.dumps(model.plain()))
+        assert b"logloom" not in pickle.dumps(model.plain())
+        assert (trees.predict(plain, x) == model.score(x)).all()
+
+
+def test_quotes_open_values_only_after_an_equals_sign():
+    text = lambda page: html_text.blocks(f"<article>{page}</article>")[1]
+    assert text("<p>One</p><img alt=Bob's><p>Two</p><p>Three</p>") == ["One", "Two", "Three"]
+    assert text("<p title=Bob's>x</p><p \"odd>y</p><a href='a>b' title=\">\">z</a>") == ["x", "y", "z"]
+    assert text("<p title=' class=ad '>kept</p><p class=ad>gone</p><p CLASS = 'x ad'>gone</p>") == ["kept"]
+    for name in ("search-results", "share-price", "related-work", "social-policy"):
+        assert text(f"<div class='{name}'>a</div><div id={name}>b</div>") == ["a", "b"]
+    for name in ("search-box", "share", "related-posts", "comments-list", "cookie-notice", "widget-2", "page-sidebar"):
+        assert text(f"<div class='{name}'>a</div>b") == ["b"]
+
+
+def test_stray_end_tags_cost_nothing():
+    import time
+    start = time.time()
+    assert html_text.blocks("<div>" * 20_000 + "x" + "</b>" * 20_000) == (False, ["x"])
+    assert time.time() - start < 2
+
+
+def test_long_words_in_segments():
+    machine = token_counts.automaton(token_counts.read_pieces(token_counts.VOCABULARY))
+    row, child, fail, pops = machine
+
+    def brute(word):
+        at, n = child[row[0], 32], 0
+        for b in word:
+            while child[row[at], b] == 0:
+                n, at = n + pops[at], fail[at]
+            at = child[row[at], b]
+        while at:
+            n, at = n + pops[at], fail[at]
+        return n
+    r = random.Random(2)
+    words = [bytes(r.choice(b"abcdefghij0123456789+/=\xe4\xb8\xad") for _ in range(n)) for n in (1, 511, 512, 513, 1024, 1500, 5000)]
+    words += [b"=" * 1537, b"=-" * 2000, b"a" * 5000, "中文".encode() * 700, b"the" * 3000]
+    data = np.frombuffer(b" ".join(words) + b" ", dtype=np.uint8)
+    end = np.cumsum([len(w) + 1 for w in words]) - 1
+    assert token_counts.piece_counts(machine, data, end - [len(w) for w in words], end).tolist() == [brute(w) for w in words]
+    import time
+    start = time.time()
+    for word in (b"=" * 10_000_000, "中文字符测试".encode() * 500_000):
+        long = np.frombuffer(word + b" ", dtype=np.uint8)
+        assert token_counts.piece_counts(machine, long, np.array([0]), np.array([len(word)]))[0] > 0
+    assert time.time() - start < 20
