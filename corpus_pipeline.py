@@ -4,9 +4,9 @@ Every stage takes what its predecessor kept, written as Parquet and read
 again. All but the last return the columns of ``documents``; the last returns
 the words that the mix takes from each document.
 
-Defined cases, in every stage: an empty table gives an empty result; extra
-columns pass through; rows with equal id and text are one document; a null id
-comes after all others.
+Defined cases, in every stage: an empty table gives an empty result; rows with
+equal id and text are one document; a null id comes after all others; extra
+columns pass through all stages but the last, which returns its own.
 """
 
 from __future__ import annotations
@@ -50,7 +50,7 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 def source_mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The words taken from each document by the mix of sources. Null and empty
     texts have size 0 and give none; a null source is a source, the last one;
-    ties of keys go by id and text; repeated rows are taken each."""
+    rows with equal id and text have equal keys and are taken in any order."""
     return mixing.mix(docs, mixing.label_weights(spark, sf_dir))
 
 
