@@ -153,12 +153,11 @@ def _registry(t: ChainTables):
 
 
 def _d7_contract_addresses(spark, sf_dir):
-    """D7/F16 in the reference's shape: the registry's JSON address lists
-    exploded to rows, keyed by name (``scope='sub_name'``)."""
+    """D7/F16 in the reference's shape: JSON address lists exploded to rows,
+    keyed by name. The lists come in chunks, so no cell grows with a signature."""
     t = _tables(spark, sf_dir)
-    r = _registry(t)
-    return r.select("sub_name", F.explode(F.from_json("contract_addresses", "array<string>"))
-                    .alias("contract_address")).distinct()
+    lists = reg.registry_addresses(t.address_to_ordinal(), t.abi_to_ordinal(), t.contracts(partial=True), t.allow_list())
+    return lists.select("sub_name", F.explode(F.from_json("contract_addresses", "array<string>")).alias("contract_address")).distinct()
 
 
 def _f21_registry_specs(spark, sf_dir):

@@ -307,12 +307,20 @@ def _staged(specs: DataFrame) -> DataFrame:
     return stage(specs, "specs").where((F.length("_a") > 0) & (F.length("_h") > 0))
 
 
+def _since(source: DataFrame, specs: DataFrame) -> DataFrame:
+    """P6 for the scan: no table has rows before the earliest time bound of all,
+    where every spec row has one; a literal, so that row groups are skipped."""
+    lo = specs.agg(F.min("min_ts").alias("lo"), F.count(F.lit(1)).alias("n"), F.count("min_ts").alias("known")).first()
+    return source.where(F.col("block_time") >= F.lit(lo["lo"])) if lo["n"] and lo["known"] == lo["n"] else source
+
+
 def decode_all_events(logs: DataFrame, specs: DataFrame, as_json: bool | str = False) -> DataFrame:
     """D9 (events) + D5 long form, one scan of ``logs``. ``as_json``: False ->
     ``args`` array<struct<key,value>>; True -> the same as JSON text;
     ``"document"`` -> X6 decoded document text; ``"entries"`` -> the entries
     with the layout's column names and types."""
-    joined = logs.join(_staged(event_specs(specs)), (F.col("evt_hash") == F.col("_h")) & (F.col("contract_address") == F.col("_a")))
+    sp = _staged(event_specs(specs))
+    joined = _since(logs, sp).join(sp, (F.col("evt_hash") == F.col("_h")) & (F.col("contract_address") == F.col("_a")))
     joined = joined.where(F.col("min_ts").isNull() | (F.col("block_time") >= F.col("min_ts")))
     mine = joined.select(*dec.event_meta(), "namespace", "table", "topic1", "topic2", "topic3", "data", _choice(_EVENT_FIT).alias("_o"))
     mine = mine.select("*", "_o._shape", "_o._layout", "_o._plain")
@@ -323,7 +331,8 @@ def decode_all_events(logs: DataFrame, specs: DataFrame, as_json: bool | str = F
 
 def decode_all_calls(traces: DataFrame, specs: DataFrame, as_json: bool | str = False) -> DataFrame:
     """D9 (calls) + D5 long form, one scan of ``traces``; ``as_json`` as for events (X7 documents)."""
-    joined = traces.join(_staged(call_specs(specs)), (F.col("method_id") == F.col("_h")) & (F.col("to") == F.col("_a")))
+    sp = _staged(call_specs(specs))
+    joined = _since(traces, sp).join(sp, (F.col("method_id") == F.col("_h")) & (F.col("to") == F.col("_a")))
     joined = joined.where(F.col("min_ts").isNull() | (F.col("block_time") >= F.col("min_ts")))
     mine = joined.select(*dec.call_meta(), "namespace", "table", "input", "output", "success", _choice(_CALL_FIT).alias("_o"))
     failed = F.col("_o._guard") & ~F.coalesce(F.col("success"), F.lit(False))

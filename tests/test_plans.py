@@ -5,6 +5,7 @@ import os
 import tempfile
 
 import pytest
+from pyspark.sql import functions as F
 
 import __spark_entry__ as E
 from conftest import SF_SMALL, library_queries
@@ -122,3 +123,22 @@ def test_z_order_skips_row_groups_by_address_alone(spark, tmp_path):
     assert max(share("contract_address", r["contract_address"]) for r in some) < 0.1
     assert sum(share("evt_hash", r["evt_hash"]) for r in some) / len(some) < 0.6
     assert sum(share("block_number", r["block_number"]) for r in some) / len(some) < 0.6
+
+
+def test_decode_all_pushes_the_earliest_bound(spark, tmp_path):
+    import datetime as dt
+
+    from logloom.plans import fanout, parity
+    from logloom.plans.catalog import ChainTables
+
+    t = ChainTables(spark, SF_SMALL)
+    path = str(tmp_path / "logs")
+    t.logs().write.parquet(path)
+    source, specs = spark.read.parquet(path), parity._specs(t)
+    known = specs.withColumn("min_created_ts", F.coalesce("min_created_ts", F.lit(dt.datetime(1995, 1, 1)).cast("timestamp_ntz")))
+    for sp, pushed in ((known, True), (known.withColumn("min_created_ts", F.lit(None).cast("timestamp_ntz")), False)):
+        plan = fanout.decode_all_events(source, sp)._jdf.queryExecution().executedPlan().toString()
+        scan = next(line for line in plan.splitlines() if "FileScan parquet" in line and "topic1" in line)
+        assert ("GreaterThanOrEqual(block_time" in scan) == pushed
+    late = fanout.decode_all_events(source, known)
+    assert late.where(F.col("evt_block_time") < F.lit(known.agg(F.min("min_created_ts")).first()[0])).count() == 0
