@@ -46,7 +46,7 @@ from . import common as c
 from . import hashing as hs
 
 #: Text bytes of an index block, and item bytes of a pass.
-BLOCK = 16 << 20
+BLOCK = 8 << 20
 PASS = 32 << 20
 TOP = 20
 
@@ -85,9 +85,16 @@ def index_block(number: int, texts: list[bytes], ids: np.ndarray) -> pa.RecordBa
     start, end = hs.runs(_IS_TERM[data])
     if not len(start):
         return None
-    doc = np.searchsorted(np.cumsum([len(t) + 1 for t in texts]), start, side="right")
+    bounds = np.cumsum([len(t) + 1 for t in texts])
+    doc = np.searchsorted(bounds, start, side="right")
     length = np.bincount(doc, minlength=len(texts))
-    _, one, which = np.unique(hs.substrings(hs.prefix(data), start, end), return_index=True, return_inverse=True)
+    hashes = np.empty(len(start), dtype=np.uint64)
+    for lo, hi in hs.chunks(texts):  # the sums of a slice take some 40 times its bytes
+        a, z = bounds[lo - 1] if lo else 0, bounds[hi - 1]
+        i, j = np.searchsorted(start, (a, z))
+        hashes[i:j] = hs.substrings(hs.prefix(data[a:z]), start[i:j] - a, end[i:j] - a)
+    _, one, which = np.unique(hashes, return_index=True, return_inverse=True)
+    del hashes
     pair, tf = np.unique(which * len(texts) + doc, return_counts=True)
     own = np.flatnonzero(length)
     place = np.cumsum(length > 0) - 1
