@@ -2,18 +2,27 @@
 
 A document is the set of its windows of five words (a shorter one is a single
 window). Documents with equal sets form a class of copies, and one
-representative each goes on. Its signature is cut into ``TREES`` sequences of
-minima, each a path in a prefix trie. Two documents meet in a tree if their
-paths share a prefix; the prefix starts at ``DEPTH`` minima and is shortened
-until a pair at the similarity threshold meets in some tree with probability
-``RECALL`` (a property of the parameters, hence the same at every size).
-
-Documents under one trie node are verified exactly, on their full sets. A node
-with many documents is cut into blocks, and each pair of blocks is a group of
-its own, so no group grows with the data and no pair is emitted: a group
-returns, per document, the number of its links and one edge towards the
-component's smallest member. A pair that meets in several trees counts in the
-first one only; nodes with the same members as another one are dropped.
+representative each goes on. Its signature is cut into ``TREES`` ordered
+sequences of ``DEPTH`` minima, each a path in a prefix trie. A trie is stored
+sorted by path, without what stands alone: a row for each path that shares its
+shortest usable prefix (:func:`prefix_length`) with another one.
+
+Two documents meet in a tree if their paths share a prefix. Prefixes of full
+length are matched first and their pairs verified exactly, on the full sets;
+then all are shortened by one and the pairs that meet only now are verified,
+until the links found show the target recall (:func:`reached`): pairs as weak as
+the weakest link seen meet with probability ``RECALL``, and one link as weak as
+the threshold that stayed unseen would not pull the share of links found under
+it. The shortest prefix is the one at which any pair at the threshold meets with
+that probability, whatever was found; there it ends in any case.
+
+A node with many documents is cut into blocks, and each pair of blocks is a
+group of its own, so no group grows with the data and no pair is emitted: a
+group returns, per document, the number of its links and one edge towards the
+component's smallest member. A pair counts where it meets first (longest
+prefix, then first tree); documents of a group without such a pair are left out
+before the sets are sent, and nodes with the members of an earlier one are
+dropped.
 
 Defined cases: a null text has no words; documents without a word are linked
 to nothing and are a class of their own; a null id comes after all others;
@@ -49,11 +58,26 @@ def prefix_length(threshold: float = THRESHOLD, trees: int = TREES, depth: int =
     """The longest prefix at which a pair at the threshold meets in one of the
     trees with the target probability."""
     k = depth
-    while k > 1 and 1 - (1 - threshold ** k) ** trees < recall:
+    while k > 1 and meeting(threshold, k, trees) < recall:
         k -= 1
     return k
 
 
+def meeting(similarity: float, k: int, trees: int) -> float:
+    """Probability that a pair of this similarity shares a prefix of ``k``
+    minima in one of the trees."""
+    return 1 - (1 - similarity ** k) ** trees
+
+
+def reached(k: int, links: int, weakest: float | None, threshold: float, trees: int, recall: float) -> bool:
+    """Whether prefixes of ``k`` minima have the target recall, judged by the
+    links found so far: their number and the weakest one's similarity."""
+    if not links:
+        return False
+    unseen = 1 - meeting(threshold, k, trees)
+    return meeting(weakest, k, trees) >= recall and unseen <= (1 - recall) * links
+
+
 def shingle_sets(texts: list[bytes], n: int) -> tuple[np.ndarray, np.ndarray]:
     """The distinct windows of all texts, text by text and sorted, and the
     index of each text's first one."""
@@ -66,24 +90,32 @@ def shingle_sets(texts: list[bytes], n: int) -> tuple[np.ndarray, np.ndarray]:
     return grams[new], np.searchsorted(owner[new], np.arange(len(texts) + 1))
 
 
-def _sketcher(n: int, trees: int, k: int):
+def _sketcher(n: int, trees: int, shortest: int, depth: int):
+    """The path of each tree as one hash for each prefix, from the shortest to
+    the longest one."""
     rng = np.random.default_rng(20)
-    a = rng.integers(1, 1 << 63, trees * k, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
-    b = rng.integers(0, 1 << 63, trees * k, dtype=np.uint64)
+    a = rng.integers(1, 1 << 63, trees * depth, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+    b = rng.integers(0, 1 << 63, trees * depth, dtype=np.uint64)
+    levels = depth - shortest + 1
 
     def paths(texts: list[bytes]) -> tuple:
         sets, first = shingle_sets(texts, n)
         size = np.diff(first)
         has = size > 0
-        keys = np.zeros((len(texts), trees), dtype=np.uint64)
+        keys = np.zeros((len(texts), trees, levels), dtype=np.uint64)
         sums = np.zeros((2, len(texts)), dtype=np.uint64)
         if has.any():
             at = first[:-1][has]
             for i, mult in enumerate((0xA0761D6478BD642F, 0xE7037ED1A0B428DB)):
                 sums[i, has] = np.add.reduceat(hs.mix(sets * np.uint64(mult)), at)
-            for j in range(trees * k):
-                low = np.minimum.reduceat((sets * a[j] + b[j]) >> np.uint64(32), at)
-                keys[has, j // k] = hs.mix(keys[has, j // k] * np.uint64(hs.P) + low + np.uint64(1))
+            for t in range(trees):
+                key = np.zeros(len(at), dtype=np.uint64)
+                for d in range(depth):
+                    j = t * depth + d
+                    low = np.minimum.reduceat((sets * a[j] + b[j]) >> np.uint64(32), at)
+                    key = hs.mix(key * np.uint64(hs.P) + low + np.uint64(1))
+                    if d + 1 >= shortest:
+                        keys[has, t, d + 1 - shortest] = key
         return size, sums.view(np.int64), keys.view(np.int64)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -92,7 +124,7 @@ def _sketcher(n: int, trees: int, k: int):
             for lo, hi in hs.chunks(texts):
                 size, sums, keys = paths(texts[lo:hi])
                 part = batch.slice(lo, hi - lo)
-                flat = pa.ListArray.from_arrays(pa.array(np.arange(hi - lo + 1) * trees, pa.int32()), pa.array(keys.ravel()))
+                flat = pa.ListArray.from_arrays(pa.array(np.arange(hi - lo + 1) * trees * levels, pa.int32()), pa.array(keys.ravel()))
                 yield pa.RecordBatch.from_arrays(
                     [part.column(x) for x in ("no_id", "id", "dk")]
                     + [pa.array(size.astype(np.int64)), pa.array(sums[0]), pa.array(sums[1]), flat],
@@ -108,8 +140,9 @@ def _shingler(n: int):
                 sets, first = shingle_sets(texts[lo:hi], n)
                 raw = [sets[first[i]:first[i + 1]].tobytes() for i in range(hi - lo)]
                 part = batch.slice(lo, hi - lo)
-                yield pa.RecordBatch.from_arrays([*(part.column(x) for x in ("node", "copies", "paths")), pa.array(raw, pa.binary())],
-                                                 names=["node", "copies", "paths", "grams"])
+                yield pa.RecordBatch.from_arrays(
+                    [*(part.column(x) for x in ("node", "copies", "paths")), pa.array(np.diff(first)), pa.array(raw, pa.binary())],
+                    names=["node", "copies", "paths", "size", "grams"])
     return run
 
 
@@ -135,24 +168,45 @@ def _shared(sets: list[np.ndarray], left: np.ndarray, right: np.ndarray) -> np.n
     return both[left, right].astype(np.int64)
 
 
-def _verifier(threshold: float):
+def _new_pairs(group: pa.Table, threshold: float, trees: int, level: int) -> tuple[np.ndarray, np.ndarray]:
+    """The pairs of a group that meet here first and whose sizes allow a link.
+    ``level`` is the place of the prefix among the stored ones."""
+    tree, bi, bj = (group.column(x)[0].as_py() for x in ("tree", "bi", "bj"))
+    size = group.column("size").to_numpy()
+    paths = group.column("paths").combine_chunks().flatten().to_numpy().reshape(len(size), trees, -1)
+    block = group.column("block").to_numpy()
+    left, right = np.triu_indices(len(size), 1)
+    ok = (block[left] != block[right]) if bi != bj else np.ones(len(left), dtype=bool)
+    ok &= np.minimum(size[left], size[right]) >= threshold * np.maximum(size[left], size[right])
+    left, right = left[ok], right[ok]
+    before = [(t, level + 1) for t in range(trees)] if level + 1 < paths.shape[2] else []
+    for t, at in before + [(t, level) for t in range(tree)]:
+        new = paths[left, t, at] != paths[right, t, at]
+        left, right = left[new], right[new]
+    return left, right
+
+
+def _screener(threshold: float, trees: int, level: int):
+    """The documents of a group that have a pair to verify in it."""
+    def run(group: pa.Table) -> pa.Table:
+        at = np.unique(np.concatenate(_new_pairs(group, threshold, trees, level)))
+        return group.select(["tree", "key", "bi", "bj", "block", "node"]).take(pa.array(at))
+    return run
+
+
+def _verifier(threshold: float, trees: int, level: int):
     def run(group: pa.Table) -> pa.Table:
-        tree, bi, bj = (group.column(x)[0].as_py() for x in ("tree", "bi", "bj"))
         sets = [np.frombuffer(x, dtype=np.uint64) for x in group.column("grams").to_pylist()]
-        paths = np.array(group.column("paths").to_pylist(), dtype=np.int64).reshape(len(sets), -1)
-        block = group.column("block").to_numpy()
-        size = np.array([len(s) for s in sets])
-        left, right = np.triu_indices(len(sets), 1)
-        ok = (block[left] != block[right]) if bi != bj else np.ones(len(left), dtype=bool)
-        ok &= np.minimum(size[left], size[right]) >= threshold * np.maximum(size[left], size[right])
-        left, right = left[ok], right[ok]
-        for t in range(tree):
-            new = paths[left, t] != paths[right, t]
-            left, right = left[new], right[new]
+        size = group.column("size").to_numpy()
+        left, right = _new_pairs(group, threshold, trees, level)
         shared = _shared(sets, left, right) if len(left) else np.zeros(0, dtype=np.int64)
         # shared / union >= threshold, without rounding below it
         ok = shared >= threshold * (size[left] + size[right] - shared) - 1e-9
-        left, right = left[ok], right[ok]
+        left, right, shared = left[ok], right[ok], shared[ok]
+        weakest = np.ones(len(sets))
+        alike = shared / (size[left] + size[right] - shared)
+        np.minimum.at(weakest, left, alike)
+        np.minimum.at(weakest, right, alike)
         copies = group.column("copies").to_numpy()
         links = np.zeros(len(sets), dtype=np.int64)
         np.add.at(links, left, copies[right])
@@ -168,7 +222,7 @@ def _verifier(threshold: float):
             root = low
         at = np.flatnonzero(links)
         node = group.column("node")
-        return pa.table({"u": node.take(pa.array(at)), "v": node.take(pa.array(root[at])), "links": pa.array(links[at])})
+        return pa.table({"u": node.take(pa.array(at)), "v": node.take(pa.array(root[at])), "links": pa.array(links[at]), "weakest": pa.array(weakest[at])})
     return run
 
 
@@ -181,29 +235,47 @@ def link_classes(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", n:
     rows = docs.select(F.col(f"`{doc_id}`").isNull().alias("no_id"),
                        F.coalesce(F.col(f"`{doc_id}`"), F.lit(0)).cast("long").alias("id"),
                        c.text_key(F.col(f"`{text}`")).alias("dk"), F.col(f"`{text}`").alias("text"))
-    sketch = c.stage(rows.mapInArrow(_sketcher(n, trees, k), f"{PLACE}, size bigint, sa bigint, sb bigint, paths array<bigint>"), "sketch")
+    sketch = c.stage(rows.mapInArrow(_sketcher(n, trees, k, depth), f"{PLACE}, size bigint, sa bigint, sb bigint, paths array<bigint>"), "sketch")
     place = F.struct("no_id", "id", "dk")
     classes = c.stage(sketch.where("size > 0").groupBy("sa", "sb").agg(
         F.min(place).alias("node"), F.count("*").alias("copies"), F.first("paths").alias("paths")), "classes")
-    # Dealt out once, for the count of each trie node and for its members.
-    walks = classes.select("node", F.posexplode("paths").alias("tree", "key")).repartition("tree", "key")
+    # The tries: dealt out once by the shortest prefix, for the count of its documents and for themselves.
+    levels = depth - k + 1
+    walks = classes.select("node", "paths", F.explode(F.sequence(F.lit(0), F.lit(trees - 1))).alias("tree")).select(
+        "node", "tree", F.slice("paths", F.col("tree") * levels + 1, levels).alias("path"))
+    walks = walks.withColumn("root", F.col("path")[0]).repartition("tree", "root")
+    shared = walks.groupBy("tree", "root").agg(F.count("*").alias("m")).where("m > 1").select("tree", "root")
+    tries = c.stage(walks.join(shared, ["tree", "root"], "left_semi").sortWithinPartitions("tree", "path").select("tree", "path", "node"), "tries")
     h = F.xxhash64("node")
-    nodes = walks.groupBy("tree", "key").agg(F.count("*").alias("m"), F.bit_xor(h).alias("x"), F.bit_xor(F.xxhash64(h)).alias("y")).where("m > 1")
-    nodes = nodes.groupBy("m", "x", "y").agg(F.min(F.struct("tree", "key")).alias("n")).select("n.tree", "n.key", "m")
-    met = c.stage(walks.join(nodes, ["tree", "key"]).select("tree", "key", "m", "node"), "met")
-    # The sets of the representatives that met another one, from their texts. A shuffle join at every size.
+    nodes = tries.select("tree", "node", F.posexplode("path").alias("level", "key")).groupBy("level", "tree", "key").agg(
+        F.count("*").alias("m"), F.bit_xor(h).alias("x"), F.bit_xor(F.xxhash64(h)).alias("y")).where("m > 1")
+    nodes = nodes.groupBy("m", "x", "y").agg(F.min(F.struct((-F.col("level")).alias("up"), "tree", "key")).alias("n"))
+    nodes = c.stage(nodes.select((-F.col("n.up")).alias("level"), "n.tree", "n.key", "m"), "nodes")
+    # The sets of the representatives in the tries, from their texts. A shuffle join at every size.
     keys = ["no_id", "id", "dk"]
-    wanted = met.select("node").distinct().join(classes.select("node", "copies", "paths"), "node").select(
+    struct = f"struct<{PLACE.replace(' ', ':').replace(',:', ',')}>"
+    wanted = tries.select("node").distinct().join(classes.select("node", "copies", "paths"), "node").select(
         "node", "copies", "paths", *[F.col(f"node.{x}").alias(x) for x in keys])
     texts = rows.join(wanted.hint("merge"), keys).dropDuplicates(keys).select("node", "copies", "paths", "text")
-    sets = c.stage(texts.mapInArrow(_shingler(n), f"node struct<{PLACE.replace(' ', ':').replace(',:', ',')}>, copies bigint, paths array<bigint>, grams binary"), "sets")
-    blocks = F.ceil(F.col("m") / block).cast("int")
-    met = met.select("tree", "key", "node", blocks.alias("blocks"), F.pmod(F.xxhash64("node", "tree"), blocks).cast("int").alias("block"))
-    met = met.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    met = met.select("tree", "key", F.least("block", "other").alias("bi"), F.greatest("block", "other").alias("bj"), "block", "node")
-    found = met.join(sets, "node").groupBy("tree", "key", "bi", "bj").applyInArrow(
-        _verifier(threshold), "u struct<no_id:boolean,id:bigint,dk:bigint>, v struct<no_id:boolean,id:bigint,dk:bigint>, links bigint")
-    found = c.stage(found, "found")
+    sets = c.stage(texts.mapInArrow(_shingler(n), f"node {struct}, copies bigint, paths array<bigint>, size bigint, grams binary"), "sets")
+    found, seen, weakest = None, 0, None
+    for level in reversed(range(levels)):
+        at = tries.select("tree", F.col("path")[level].alias("key"), "node").join(
+            nodes.where(F.col("level") == level).select("tree", "key", F.ceil(F.col("m") / block).cast("int").alias("blocks")), ["tree", "key"])
+        at = at.withColumn("block", F.pmod(F.xxhash64("node", "tree"), "blocks").cast("int"))
+        at = at.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+        at = at.select("tree", "key", F.least("block", "other").alias("bi"), F.greatest("block", "other").alias("bj"), "block", "node")
+        pair = ["tree", "key", "bi", "bj"]
+        new = c.stage(at.join(sets.select("node", "paths", "size"), "node").groupBy(*pair).applyInArrow(
+            _screener(threshold, trees, level), f"tree int, key bigint, bi int, bj int, block int, node {struct}"), "pairs")
+        links = c.stage(new.join(sets, "node").groupBy(*pair).applyInArrow(
+            _verifier(threshold, trees, level), f"u {struct}, v {struct}, links bigint, weakest double"), "found")
+        found = links if found is None else found.unionByName(links)
+        own = links.agg(F.sum("links").alias("n"), F.min("weakest").alias("low")).first()
+        if own["n"]:
+            seen, weakest = seen + own["n"], min(own["low"], weakest or 1.0)
+        if reached(k + level, seen, weakest, threshold, trees, recall):
+            break
     labels = components(found.select("u", "v"))
     links = found.groupBy("u").agg(F.sum("links").alias("links"))
     per_class = classes.select("sa", "sb", "node", "copies").join(labels.withColumnRenamed("u", "node"), "node", "left").join(

@@ -62,6 +62,46 @@ def test_prefix_is_shortened_until_the_recall():
     assert met(k) >= near.RECALL > met(k + 1)
 
 
+def test_recall_is_judged_by_the_links_found():
+    done = lambda k, links, low: near.reached(k, links, low, near.THRESHOLD, near.TREES, near.RECALL)
+    assert not done(8, 0, None) and not done(8, 5, 0.95)  # too few links to tell
+    assert done(8, 1000, 0.95) and not done(8, 1000, 0.83)  # weak links: shorter prefixes are needed
+    assert done(7, 1000, 0.83) and not done(7, 1000, 0.81) and done(6, 1000, 0.8)
+
+
+def levels_used(spark, docs):
+    from pathlib import Path
+
+    from logloom.llm import common
+    folder = Path(common.shared_dir(spark).removeprefix("file:"))
+    before = set(folder.glob("pairs-*"))
+    got = near_rows(spark, docs)
+    return got, len(set(folder.glob("pairs-*")) - before)
+
+
+def test_prefixes_are_shortened_only_as_far_as_needed(spark):
+    r = random.Random(5)
+    close, weak = [], []
+    for i in range(60):
+        t = [f"u{r.randrange(10**6)}" for _ in range(200)]
+        close += [(2 * i, " ".join(t)), (2 * i + 1, " ".join(t[:-1] + ["changed"]))]
+        weak += [(2 * i, " ".join(t)), (2 * i + 1, " ".join(t[:178] + [f"v{i}_{j}" for j in range(22)]))]  # 174 of 218 windows
+    for docs, levels in ((close, 1), (weak, 3)):
+        got, used = levels_used(spark, docs)
+        assert used == levels
+        assert {x["id"]: (x["label"]["id"], x["n_links"]) for x in got} == h.near_brute(docs)
+
+
+def test_measured_recall_at_the_threshold(spark):
+    r = random.Random(6)
+    docs = []
+    for i in range(400):
+        t = [f"u{r.randrange(10**6)}" for _ in range(49)]
+        docs += [(2 * i, " ".join(t)), (2 * i + 1, " ".join(t[:44] + [f"v{i}_{j}" for j in range(5)]))]  # 40 of 50 windows
+    linked = sum(x["n_links"] for x in near_rows(spark, docs))
+    assert sum(n for _, n in h.near_brute(docs).values()) == 800 and linked >= 0.99 * 800
+
+
 def test_components_of_a_chain(spark):
     edges = [(i, i + 1) for i in range(40)] + [(100, 101), (103, 102), (101, 103)]
     got = dict(components.components(spark.createDataFrame(edges, "u long, v long")).collect())
