@@ -91,18 +91,20 @@ def shingle_sets(texts: list[bytes], n: int) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _sketcher(n: int, trees: int, shortest: int, depth: int):
-    """The path of each tree as one hash for each prefix, from the shortest to
-    the longest one."""
+    """The path of each tree: 64 bits of its shortest prefix, the root, and 16
+    bits for each turn taken below it. Paths that share them by chance meet as if
+    they had equal minima, which costs a verification at most."""
     rng = np.random.default_rng(20)
     a = rng.integers(1, 1 << 63, trees * depth, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
     b = rng.integers(0, 1 << 63, trees * depth, dtype=np.uint64)
-    levels = depth - shortest + 1
+    turns = depth - shortest
 
     def paths(texts: list[bytes]) -> tuple:
         sets, first = shingle_sets(texts, n)
         size = np.diff(first)
         has = size > 0
-        keys = np.zeros((len(texts), trees, levels), dtype=np.uint64)
+        roots = np.zeros((len(texts), trees), dtype=np.uint64)
+        below = np.zeros((len(texts), trees, turns), dtype=np.int16)
         sums = np.zeros((2, len(texts)), dtype=np.uint64)
         if has.any():
             at = first[:-1][has]
@@ -114,21 +116,24 @@ def _sketcher(n: int, trees: int, shortest: int, depth: int):
                     j = t * depth + d
                     low = np.minimum.reduceat((sets * a[j] + b[j]) >> np.uint64(32), at)
                     key = hs.mix(key * np.uint64(hs.P) + low + np.uint64(1))
-                    if d + 1 >= shortest:
-                        keys[has, t, d + 1 - shortest] = key
-        return size, sums.view(np.int64), keys.view(np.int64)
+                    if d + 1 == shortest:
+                        roots[has, t] = key
+                    elif d + 1 > shortest:
+                        below[has, t, d - shortest] = (key >> np.uint64(48)).astype(np.uint16).view(np.int16)
+        return size, sums.view(np.int64), roots.view(np.int64), below
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = [t or b"" for t in batch.column("text").cast(pa.binary()).to_pylist()]
             for lo, hi in hs.chunks(texts):
-                size, sums, keys = paths(texts[lo:hi])
+                size, sums, roots, below = paths(texts[lo:hi])
                 part = batch.slice(lo, hi - lo)
-                flat = pa.ListArray.from_arrays(pa.array(np.arange(hi - lo + 1) * trees * levels, pa.int32()), pa.array(keys.ravel()))
+                lists = [pa.ListArray.from_arrays(pa.array(np.arange(hi - lo + 1) * w, pa.int32()), pa.array(x.ravel()))
+                         for x, w in ((roots, trees), (below, trees * turns))]
                 yield pa.RecordBatch.from_arrays(
                     [part.column(x) for x in ("no_id", "id", "dk")]
-                    + [pa.array(size.astype(np.int64)), pa.array(sums[0]), pa.array(sums[1]), flat],
-                    names=["no_id", "id", "dk", "size", "sa", "sb", "paths"])
+                    + [pa.array(size.astype(np.int64)), pa.array(sums[0]), pa.array(sums[1]), *lists],
+                    names=["no_id", "id", "dk", "size", "sa", "sb", "roots", "turns"])
     return run
 
 
@@ -141,8 +146,8 @@ def _shingler(n: int):
                 raw = [sets[first[i]:first[i + 1]].tobytes() for i in range(hi - lo)]
                 part = batch.slice(lo, hi - lo)
                 yield pa.RecordBatch.from_arrays(
-                    [*(part.column(x) for x in ("node", "copies", "paths")), pa.array(np.diff(first)), pa.array(raw, pa.binary())],
-                    names=["node", "copies", "paths", "size", "grams"])
+                    [*(part.column(x) for x in ("node", "copies", "roots", "turns")), pa.array(np.diff(first)), pa.array(raw, pa.binary())],
+                    names=["node", "copies", "roots", "turns", "size", "grams"])
     return run
 
 
@@ -173,15 +178,18 @@ def _new_pairs(group: pa.Table, threshold: float, trees: int, level: int) -> tup
     ``level`` is the place of the prefix among the stored ones."""
     tree, bi, bj = (group.column(x)[0].as_py() for x in ("tree", "bi", "bj"))
     size = group.column("size").to_numpy()
-    paths = group.column("paths").combine_chunks().flatten().to_numpy().reshape(len(size), trees, -1)
+    flat = lambda x: group.column(x).combine_chunks().flatten().to_numpy()
+    paths = [flat("roots").view(np.uint64).reshape(len(size), trees)]
+    for turn in np.moveaxis(flat("turns").reshape(len(size), trees, -1), 2, 0):
+        paths.append(hs.mix(paths[-1] * np.uint64(hs.P) + turn.view(np.uint16)))
     block = group.column("block").to_numpy()
     left, right = np.triu_indices(len(size), 1)
     ok = (block[left] != block[right]) if bi != bj else np.ones(len(left), dtype=bool)
     ok &= np.minimum(size[left], size[right]) >= threshold * np.maximum(size[left], size[right])
     left, right = left[ok], right[ok]
-    before = [(t, level + 1) for t in range(trees)] if level + 1 < paths.shape[2] else []
+    before = [(t, level + 1) for t in range(trees)] if level + 1 < len(paths) else []
     for t, at in before + [(t, level) for t in range(tree)]:
-        new = paths[left, t, at] != paths[right, t, at]
+        new = paths[at][left, t] != paths[at][right, t]
         left, right = left[new], right[new]
     return left, right
 
@@ -235,40 +243,40 @@ def link_classes(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", n:
     rows = docs.select(F.col(f"`{doc_id}`").isNull().alias("no_id"),
                        F.coalesce(F.col(f"`{doc_id}`"), F.lit(0)).cast("long").alias("id"),
                        c.text_key(F.col(f"`{text}`")).alias("dk"), F.col(f"`{text}`").alias("text"))
-    sketch = c.stage(rows.mapInArrow(_sketcher(n, trees, k, depth), f"{PLACE}, size bigint, sa bigint, sb bigint, paths array<bigint>"), "sketch")
+    sketch = c.stage(rows.mapInArrow(_sketcher(n, trees, k, depth), f"{PLACE}, size bigint, sa bigint, sb bigint, roots array<bigint>, turns array<smallint>"), "sketch")
     place = F.struct("no_id", "id", "dk")
     classes = c.stage(sketch.where("size > 0").groupBy("sa", "sb").agg(
-        F.min(place).alias("node"), F.count("*").alias("copies"), F.first("paths").alias("paths")), "classes")
+        F.min(place).alias("node"), F.count("*").alias("copies"), *[F.first(x).alias(x) for x in ("roots", "turns")]), "classes")
     # The tries: dealt out once by the shortest prefix, for the count of its documents and for themselves.
     levels = depth - k + 1
-    walks = classes.select("node", "paths", F.explode(F.sequence(F.lit(0), F.lit(trees - 1))).alias("tree")).select(
-        "node", "tree", F.slice("paths", F.col("tree") * levels + 1, levels).alias("path"))
-    walks = walks.withColumn("root", F.col("path")[0]).repartition("tree", "root")
+    walks = classes.select("node", "turns", F.posexplode("roots").alias("tree", "root")).select(
+        "node", "tree", "root", F.slice("turns", F.col("tree") * (levels - 1) + 1, levels - 1).alias("turns")).repartition("tree", "root")
     shared = walks.groupBy("tree", "root").agg(F.count("*").alias("m")).where("m > 1").select("tree", "root")
-    tries = c.stage(walks.join(shared, ["tree", "root"], "left_semi").sortWithinPartitions("tree", "path").select("tree", "path", "node"), "tries")
+    tries = c.stage(walks.join(shared, ["tree", "root"], "left_semi").sortWithinPartitions("tree", "root", "turns"), "tries")
+    prefix = lambda x: F.xxhash64("root", F.slice("turns", F.lit(1), x))
     h = F.xxhash64("node")
-    nodes = tries.select("tree", "node", F.posexplode("path").alias("level", "key")).groupBy("level", "tree", "key").agg(
+    nodes = tries.withColumn("level", F.explode(F.sequence(F.lit(0), F.lit(levels - 1)))).withColumn("key", prefix(F.col("level"))).groupBy("level", "tree", "key").agg(
         F.count("*").alias("m"), F.bit_xor(h).alias("x"), F.bit_xor(F.xxhash64(h)).alias("y")).where("m > 1")
     nodes = nodes.groupBy("m", "x", "y").agg(F.min(F.struct((-F.col("level")).alias("up"), "tree", "key")).alias("n"))
     nodes = c.stage(nodes.select((-F.col("n.up")).alias("level"), "n.tree", "n.key", "m"), "nodes")
     # The sets of the representatives in the tries, from their texts. A shuffle join at every size.
     keys = ["no_id", "id", "dk"]
     struct = f"struct<{PLACE.replace(' ', ':').replace(',:', ',')}>"
-    wanted = tries.select("node").distinct().join(classes.select("node", "copies", "paths"), "node").select(
-        "node", "copies", "paths", *[F.col(f"node.{x}").alias(x) for x in keys])
-    texts = rows.join(wanted.hint("merge"), keys).dropDuplicates(keys).select("node", "copies", "paths", "text")
-    sets = c.stage(texts.mapInArrow(_shingler(n), f"node {struct}, copies bigint, paths array<bigint>, size bigint, grams binary"), "sets")
+    wanted = tries.select("node").distinct().join(classes.select("node", "copies", "roots", "turns").hint("merge"), "node").select(
+        "node", "copies", "roots", "turns", *[F.col(f"node.{x}").alias(x) for x in keys])
+    texts = rows.join(wanted.hint("merge"), keys).dropDuplicates(keys).select("node", "copies", "roots", "turns", "text")
+    sets = c.stage(texts.mapInArrow(_shingler(n), f"node {struct}, copies bigint, roots array<bigint>, turns array<smallint>, size bigint, grams binary"), "sets")
     found, seen, weakest = None, 0, None
     for level in reversed(range(levels)):
-        at = tries.select("tree", F.col("path")[level].alias("key"), "node").join(
-            nodes.where(F.col("level") == level).select("tree", "key", F.ceil(F.col("m") / block).cast("int").alias("blocks")), ["tree", "key"])
+        at = tries.select("tree", prefix(F.lit(level)).alias("key"), "node").join(
+            nodes.where(F.col("level") == level).select("tree", "key", F.ceil(F.col("m") / block).cast("int").alias("blocks")).hint("merge"), ["tree", "key"])
         at = at.withColumn("block", F.pmod(F.xxhash64("node", "tree"), "blocks").cast("int"))
         at = at.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
         at = at.select("tree", "key", F.least("block", "other").alias("bi"), F.greatest("block", "other").alias("bj"), "block", "node")
         pair = ["tree", "key", "bi", "bj"]
-        new = c.stage(at.join(sets.select("node", "paths", "size"), "node").groupBy(*pair).applyInArrow(
+        new = c.stage(at.join(sets.select("node", "roots", "turns", "size").hint("merge"), "node").groupBy(*pair).applyInArrow(
             _screener(threshold, trees, level), f"tree int, key bigint, bi int, bj int, block int, node {struct}"), "pairs")
-        links = c.stage(new.join(sets, "node").groupBy(*pair).applyInArrow(
+        links = c.stage(new.join(sets.hint("merge"), "node").groupBy(*pair).applyInArrow(
             _verifier(threshold, trees, level), f"u {struct}, v {struct}, links bigint, weakest double"), "found")
         found = links if found is None else found.unionByName(links)
         own = links.agg(F.sum("links").alias("n"), F.min("weakest").alias("low")).first()
@@ -282,7 +290,7 @@ def link_classes(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", n:
         links.withColumnRenamed("u", "node"), "node", "left").select(
         "sa", "sb", "node", F.coalesce("label", "node").alias("label"),
         (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"))
-    out = sketch.drop("paths").join(per_class, ["sa", "sb"], "left")
+    out = sketch.drop("roots", "turns").join(per_class, ["sa", "sb"], "left")
     lone = F.col("size") == 0
     return out.select("no_id", "id", "dk", "size", *[F.when(lone, place).otherwise(F.col(x)).alias(x) for x in ("node", "label")],
                       F.when(lone, F.lit(0)).otherwise(F.col("n_links")).cast("long").alias("n_links"))
