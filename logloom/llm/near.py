@@ -49,7 +49,7 @@ TREES = 24
 DEPTH = 8
 RECALL = 0.999
 #: Documents in one block of a trie node.
-BLOCK = 256
+BLOCK = 128
 
 PLACE = "no_id boolean, id bigint, dk bigint"
 
