@@ -113,9 +113,9 @@ def dynamic_word_array(data: Column, head_word: int, base: int = wd.DATA_BASE) -
 
 
 def _tail_start(data: Column, head_word: int, base: int) -> Column:
-    from .decode import _offset_target
+    from .decode import _offset_target, bounded_word
 
-    start, ok = _offset_target(data, F.lit(base + wd.WORD * head_word), F.lit(base))
+    start, ok = _offset_target(data, bounded_word(data, F.lit(base + wd.WORD * head_word)), F.lit(base))
     return F.when(ok, start)
 
 
