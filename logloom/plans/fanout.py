@@ -156,52 +156,59 @@ _ZEROS48 = "0" * 48
 _MAXW = 1 << 31
 
 
+def _let(name: str, value: str, body: str) -> str:
+    """``body`` with ``name`` for ``value``, as SQL. Inside a lambda Spark shares
+    no common subexpressions: what is used twice is bound, or worked out twice."""
+    return f"transform(array({value}), {name} -> {body})[0]"
+
+
 def _wlong(w: str) -> str:
-    """word_to_long in SQL: 64-char word whose value fits 63 bits, else NULL."""
-    return (f"IF(length({w}) = 64 AND substr({w}, 1, 48) = '{_ZEROS48}' AND {w} RLIKE '^[0-9a-fA-F]+$', "
+    """word_to_long in SQL: 64-char word whose value fits 63 bits, else NULL.
+    ``w`` is used several times: a name."""
+    return (f"IF(length({w}) = 64 AND substr({w}, 1, 48) = '{_ZEROS48}' AND substr({w}, 49, 16) RLIKE '^[0-9a-fA-F]+$', "
             f"try_cast(conv(substr({w}, 49, 16), 16, 10) AS BIGINT), NULL)")
 
 
 def _word_text_sql(kind: str, w: str) -> str:
-    v = _wlong(w)
+    """Text of a word (``w``: a name) of a kind."""
     signed = (f"IF(length({w}) = 64 AND {w} RLIKE '^[0-9a-fA-F]+$' AND ((substr({w}, 1, 48) = '{_ZEROS48}' "
               f"AND substr({w}, 49, 1) < '8') OR (lower(substr({w}, 1, 48)) = '{'f' * 48}' "
               f"AND lower(substr({w}, 49, 1)) >= '8')), conv(substr({w}, 49, 16), 16, -10), NULL)")
     return (f"CASE WHEN {kind} LIKE '%address' THEN concat('0x', right({w}, 40)) "
-            f"WHEN {kind} LIKE '%bool' THEN CAST({v} <> 0 AS STRING) "
-            f"WHEN {kind} LIKE '%u64' THEN CAST({v} AS STRING) "
+            f"WHEN {kind} LIKE '%bool' THEN CAST({_wlong(w)} <> 0 AS STRING) "
+            f"WHEN {kind} LIKE '%u64' THEN CAST({_wlong(w)} AS STRING) "
             f"WHEN {kind} LIKE '%i64' THEN {signed} ELSE {w} END")
 
 
 def _args_sql(text: str = "data", area: str = "3", topics: bool = True) -> str:
     """Per-row decode over the precomputed layout ``_layout`` (SQL text).
     ``text`` / ``area`` may depend on the argument (calls read ``input``
-    after the selector and ``output``)."""
-    w = f"substr({text}, a.head, 64)"
-    off = f"IF({_wlong(w)} <= {_MAXW}, {_wlong(w)}, NULL)"
-    start = f"({area} + ({off}) * 2)"
-    n = f"IF({_wlong(f'substr({text}, least({start}, {_MAXW - 1}), 64)')} <= {_MAXW}, " \
-        f"{_wlong(f'substr({text}, least({start}, {_MAXW - 1}), 64)')}, NULL)"
-    payload = (f"IF({start} + 63 + ({n}) * 2 <= length({text}), "
-               f"substr({text}, least({start} + 64, {_MAXW - 1}), least(({n}) * 2, {_MAXW - 1})), NULL)")
-    region = (f"IF({start} + 63 + ({n}) * 64 <= length({text}), "
-              f"substr({text}, least({start} + 64, {_MAXW - 1}), least(({n}) * 64, {_MAXW - 1})), NULL)")
-    items = (f"transform(regexp_extract_all({region}, '(.{{64}})', 1), "
-             f"e -> {_word_text_sql('a.kind', 'e')})")
-    text_value = f"try_validate_utf8(CAST(unhex({payload}) AS STRING))"
-    data_value = (f"CASE WHEN a.kind = 'string' THEN {text_value} "
-                  f"WHEN a.kind = 'bytes' THEN concat('0x', {payload}) "
+    after the selector and ``output``). The words, offsets and lengths of an
+    argument are read once each."""
+    def tail(width: int) -> str:
+        """What the offset word ``w`` points at: its length word, then as many times ``width`` characters."""
+        read = (f"IF(n <= {_MAXW} AND s + 63 + n * {width} <= length(t), "
+                f"substr(t, least(s + 64, {_MAXW - 1}), least(n * {width}, {_MAXW - 1})), NULL)")
+        size = _let("l", f"substr(t, least(s, {_MAXW - 1}), 64)", _let("n", _wlong("l"), read))
+        return _let("o", _wlong("w"), f"IF(o <= {_MAXW}, {_let('s', f'{area} + o * 2', size)}, NULL)")
+
+    items = f"transform(regexp_extract_all({tail(64)}, '(.{{64}})', 1), e -> {_word_text_sql('a.kind', 'e')})"
+    data_value = (f"CASE WHEN a.kind = 'string' THEN try_validate_utf8(CAST(unhex({tail(2)}) AS STRING)) "
+                  f"WHEN a.kind = 'bytes' THEN concat('0x', {tail(2)}) "
                   f"WHEN a.kind LIKE 'array:%' THEN NULL "
-                  f"ELSE {_word_text_sql('a.kind', w)} END")
+                  f"ELSE {_word_text_sql('a.kind', 'w')} END")
+
+    def read(src: str, data: str) -> str:
+        entry = (f"named_struct('src', {src}, 'key', a.key, 'kind', a.kind, 'value', {data_value}, "
+                 f"'items', IF(a.kind LIKE 'array:%', {items}, NULL))")
+        return _let("t", data, _let("w", "substr(t, a.head, 64)", entry))
     if not topics:
-        return (f"transform(_layout, a -> named_struct('src', IF(a.src = 'out', 'output', 'input'), 'key', a.key, "
-                f"'kind', a.kind, 'value', {data_value}, 'items', IF(a.kind LIKE 'array:%', {items}, NULL)))")
+        return f"transform(_layout, a -> {read("IF(a.src = 'out', 'output', 'input')", text)})"
     topic = "element_at(array(topic1, topic2, topic3), least(a.topic, 3))"
     hashed = "(a.kind IN ('string', 'bytes') OR a.kind LIKE 'array:%')"
-    topic_value = f"IF({hashed}, {topic}, {_word_text_sql('a.kind', f'substr({topic}, 3, 64)')})"
-    return (f"transform(_layout, a -> named_struct('src', IF(a.indexed, 'topic', 'data'), 'key', a.key, "
-            f"'kind', IF(a.indexed AND {hashed}, 'word', a.kind), 'value', IF(a.indexed, {topic_value}, {data_value}), "
-            f"'items', IF(NOT a.indexed AND a.kind LIKE 'array:%', {items}, NULL)))")
+    topic_value = f"IF({hashed}, {topic}, {_let('w', f'substr({topic}, 3, 64)', _word_text_sql('a.kind', 'w'))})"
+    own = f"named_struct('src', 'topic', 'key', a.key, 'kind', IF({hashed}, 'word', a.kind), 'value', {topic_value}, 'items', CAST(NULL AS array<string>))"
+    return f"transform(_layout, a -> IF(a.indexed, {own}, {read("'data'", text)}))"
 
 
 @F.arrow_udf(T.ArrayType(T.ArrayType(T.StringType())))
@@ -227,7 +234,7 @@ _WITH_WIDE = ("transform(_raw, (r, i) -> named_struct('src', r.src, 'key', r.key
 
 def _quoted(x: str) -> str:
     """JSON of a text, as SQL."""
-    return f"transform(array(to_json(array({x}))), j -> substr(j, 2, length(j) - 2))[0]"
+    return _let("j", f"to_json(array({x}))", "substr(j, 2, length(j) - 2)")
 
 
 _LONG = f"transform(_entries, e -> named_struct('key', e.key, 'value', IF(e.items IS NULL, e.value, array_join(e.items, '{SEP}', ''))))"
@@ -510,7 +517,7 @@ def split_cast(text, to_type: str) -> Column:
     col = F.col(text) if isinstance(text, str) else text
     items = F.filter(F.transform(F.split(col, r"\|\|\|"), lambda x: x.try_cast(to_type)),
                      lambda x: x.isNotNull())
-    return F.when(F.size(items) > 0, items)
+    return F.transform(F.array(items), lambda x: F.when(F.size(x) > 0, x))[0]  # split and cast once
 
 
 def _typed(value: str, items: str, to: str) -> str:

@@ -6,9 +6,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import functions as F
 
-from logloom.functions import nested
+from logloom.functions import hexint, nested
 from logloom.operators import decode as dec
-from logloom.plans import parity
+from logloom.plans import fanout, parity
 
 from conftest import SF_SMALL
 from test_layouts import word
@@ -48,3 +48,41 @@ def test_parts_of_a_payload_are_built_once(spark):
 
     plan = fixtures.nested_logs(spark, SF_SMALL)._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("é") == 3  # its length twice, and the text
+
+
+def test_words_of_an_argument_are_read_once():
+    assert fanout._args_sql().count("RLIKE") < 20  # 129 when every use of an offset or length read it again
+    assert fanout._args_sql("IF(a.src = 'out', _out, _in)", "a.area", topics=False).count("RLIKE") < 20
+
+
+def test_odd_payloads_of_a_layout(spark):
+    kinds = ("string", "bytes", "array:u64", "array:bool", "i64", "address")
+    layout = [(k, k, False, 1, 3) for k in kinds] + [("s", "string", True, 1, 3), ("f", "u64", True, 9, 3)]
+    good = "0x" + word(32) + word(2) + "4142".ljust(64, "0")
+    data = {1: good, 2: good[:130], 3: "0x" + word(1 << 40), 4: "0x", 5: None, 6: "0x" + word(32) + word(0), 7: "0x" + word(32) + "f" * 64, 8: "0x" + "z" * 64}
+    rows = [(i, d, "0x" + word(7), None, "0x" + word(9), layout) for i, d in data.items()]
+    df = spark.createDataFrame(rows, "id int, data string, topic1 string, topic2 string, topic3 string, "
+                                     "_layout array<struct<key:string,kind:string,indexed:boolean,topic:int,head:int>>")
+    got = {r["id"]: {e["key"]: (e["src"], e["kind"], e["value"], e["items"]) for e in r["x"]}
+           for r in df.select("id", F.expr(fanout._args_sql()).alias("x")).collect()}
+    texts = {i: (g["string"][2], g["bytes"][2], g["array:u64"][3], g["i64"][2]) for i, g in got.items()}
+    assert texts == {1: ("AB", "0x4142", None, "32"), 2: (None, None, None, "32"), 3: (None, None, None, str(1 << 40)), 4: (None, None, None, None),
+                     5: (None, None, None, None), 6: ("", "0x", [], "32"), 7: (None, None, None, "32"), 8: (None, None, None, None)}
+    assert got[1]["s"] == ("topic", "word", "0x" + word(7), None) and got[1]["f"] == ("topic", "u64", "9", None)
+    assert got[1]["address"] == ("data", "address", "0x" + word(32)[-40:], None) and got[5]["address"][2] is None
+
+
+def test_lists_are_split_and_cast_once(spark):
+    df = spark.createDataFrame([("1|||x|||3",), ("x",), (None,)], "t string")
+    out = df.select(fanout.split_cast("t", "bigint").alias("v"))
+    assert [r["v"] for r in out.collect()] == [[1, 3], None, None]
+    assert out._jdf.queryExecution().optimizedPlan().toString().count("split(") == 1
+
+
+def test_integers_are_converted_in_slices(monkeypatch):
+    sizes, whole = [], hexint.integers
+    monkeypatch.setattr(hexint, "integers", lambda digits, signed=False: sizes.append(len(digits)) or whole(digits, signed))
+    monkeypatch.setattr(hexint, "SLICE", 4, raising=False)
+    lists = pa.array([[word(i) for i in range(6)], None, [None, "zz"], [word((1 << 256) - 1 - i) for i in range(5)]])
+    assert hexint.in_lists(lists, True).to_pylist() == [[str(i) for i in range(6)], None, [None, None], [str(-1 - i) for i in range(5)]]
+    assert max(sizes) <= 4
