@@ -17,8 +17,10 @@ it. The shortest prefix is the one at which any pair at the threshold meets with
 that probability, whatever was found; there it ends in any case.
 
 A node with many documents is cut into blocks, and each pair of blocks is a
-group of its own, so no group grows with the data and no pair is emitted: a
-group returns, per document, the number of its links and one edge towards the
+group of its own. Blocks grow with the root of the node's documents, up to a
+bound on their windows, so the rows sent grow with the power 1.5 of a node up
+to there; a group goes through its pairs in tiles, and no pair is emitted: it
+returns, per document, the number of its links and one edge towards the
 component's smallest member. A pair counts where it meets first (longest
 prefix, then first tree); documents of a group without such a pair are left out
 before the sets are sent, and nodes with the members of an earlier one are
@@ -48,8 +50,12 @@ THRESHOLD = 0.8
 TREES = 24
 DEPTH = 8
 RECALL = 0.999
-#: Documents in one block of a trie node.
+#: Documents of a trie node that stay one block; ``m`` documents make
+#: sqrt(m / BLOCK) blocks, more if a block would have over ``WINDOWS`` windows.
 BLOCK = 128
+WINDOWS = 1 << 21
+#: Documents on each side of the pairs looked at together.
+TILE = 256
 
 PLACE = "no_id boolean, id bigint, dk bigint"
 
@@ -173,61 +179,87 @@ def _shared(sets: list[np.ndarray], left: np.ndarray, right: np.ndarray) -> np.n
     return both[left, right].astype(np.int64)
 
 
-def _new_pairs(group: pa.Table, threshold: float, trees: int, level: int) -> tuple[np.ndarray, np.ndarray]:
-    """The pairs of a group that meet here first and whose sizes allow a link.
-    ``level`` is the place of the prefix among the stored ones."""
-    tree, bi, bj = (group.column(x)[0].as_py() for x in ("tree", "bi", "bj"))
+def _tiles(group: pa.Table) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """All pairs of a group, ``TILE`` x ``TILE`` at a time: inside its block,
+    or between its two blocks."""
+    bi, bj = (group.column(x)[0].as_py() for x in ("bi", "bj"))
+    block = group.column("block").to_numpy()
+    pieces = [[at[i:i + TILE] for i in range(0, len(at), TILE)] for at in (np.flatnonzero(block == x) for x in (bi, bj))]
+    for i, a in enumerate(pieces[0]):
+        for b in pieces[1][i + 1:] if bi == bj else pieces[1]:
+            yield np.repeat(a, len(b)), np.tile(b, len(a))
+        if bi == bj:
+            left, right = np.triu_indices(len(a), 1)
+            yield a[left], a[right]
+
+
+def _new_pairs(group: pa.Table, threshold: float, trees: int, level: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """The pairs of a group, tile by tile, that meet here first and whose sizes
+    allow a link. ``level`` is the place of the prefix among the stored ones."""
+    tree = group.column("tree")[0].as_py()
     size = group.column("size").to_numpy()
     flat = lambda x: group.column(x).combine_chunks().flatten().to_numpy()
     paths = [flat("roots").view(np.uint64).reshape(len(size), trees)]
     for turn in np.moveaxis(flat("turns").reshape(len(size), trees, -1), 2, 0):
         paths.append(hs.mix(paths[-1] * np.uint64(hs.P) + turn.view(np.uint16)))
-    block = group.column("block").to_numpy()
-    left, right = np.triu_indices(len(size), 1)
-    ok = (block[left] != block[right]) if bi != bj else np.ones(len(left), dtype=bool)
-    ok &= np.minimum(size[left], size[right]) >= threshold * np.maximum(size[left], size[right])
-    left, right = left[ok], right[ok]
     before = [(t, level + 1) for t in range(trees)] if level + 1 < len(paths) else []
-    for t, at in before + [(t, level) for t in range(tree)]:
-        new = paths[at][left, t] != paths[at][right, t]
-        left, right = left[new], right[new]
-    return left, right
+    for left, right in _tiles(group):
+        ok = np.minimum(size[left], size[right]) >= threshold * np.maximum(size[left], size[right])
+        left, right = left[ok], right[ok]
+        for t, at in before + [(t, level) for t in range(tree)]:
+            if not len(left):
+                break
+            new = paths[at][left, t] != paths[at][right, t]
+            left, right = left[new], right[new]
+        if len(left):
+            yield left, right
 
 
 def _screener(threshold: float, trees: int, level: int):
     """The documents of a group that have a pair to verify in it."""
     def run(group: pa.Table) -> pa.Table:
-        at = np.unique(np.concatenate(_new_pairs(group, threshold, trees, level)))
-        return group.select(["tree", "key", "bi", "bj", "block", "node"]).take(pa.array(at))
+        has = np.zeros(group.num_rows, dtype=bool)
+        for left, right in _new_pairs(group, threshold, trees, level):
+            has[left] = has[right] = True
+        return group.select(["tree", "key", "bi", "bj", "block", "node"]).take(pa.array(np.flatnonzero(has)))
     return run
 
 
+def _joined(root: np.ndarray, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+    """The smallest index in each local component, with these links added."""
+    while True:
+        a, b = root[left], root[right]
+        if (a == b).all():
+            return root
+        np.minimum.at(root, np.maximum(a, b), np.minimum(a, b))
+        while True:
+            low = root[root]
+            if (low == root).all():
+                break
+            root = low
+
+
 def _verifier(threshold: float, trees: int, level: int):
     def run(group: pa.Table) -> pa.Table:
-        sets = [np.frombuffer(x, dtype=np.uint64) for x in group.column("grams").to_pylist()]
+        grams = group.column("grams").combine_chunks()
         size = group.column("size").to_numpy()
-        left, right = _new_pairs(group, threshold, trees, level)
-        shared = _shared(sets, left, right) if len(left) else np.zeros(0, dtype=np.int64)
-        # shared / union >= threshold, without rounding below it
-        ok = shared >= threshold * (size[left] + size[right] - shared) - 1e-9
-        left, right, shared = left[ok], right[ok], shared[ok]
-        weakest = np.ones(len(sets))
-        alike = shared / (size[left] + size[right] - shared)
-        np.minimum.at(weakest, left, alike)
-        np.minimum.at(weakest, right, alike)
         copies = group.column("copies").to_numpy()
-        links = np.zeros(len(sets), dtype=np.int64)
-        np.add.at(links, left, copies[right])
-        np.add.at(links, right, copies[left])
-        root = np.arange(len(sets))
-        while True:  # the smallest index in each local component
-            low = root.copy()
-            np.minimum.at(low, left, root[right])
-            np.minimum.at(low, right, root[left])
-            low = low[low]
-            if (low == root).all():
-                break
-            root = low
+        weakest = np.ones(len(size))
+        links = np.zeros(len(size), dtype=np.int64)
+        root = np.arange(len(size))
+        for left, right in _new_pairs(group, threshold, trees, level):
+            own, at = np.unique(np.concatenate((left, right)), return_inverse=True)
+            sets = [np.frombuffer(grams[i].as_buffer(), dtype=np.uint64) for i in own.tolist()]
+            shared = _shared(sets, at[:len(left)], at[len(left):])
+            # shared / union >= threshold, without rounding below it
+            ok = shared >= threshold * (size[left] + size[right] - shared) - 1e-9
+            left, right, shared = left[ok], right[ok], shared[ok]
+            alike = shared / (size[left] + size[right] - shared)
+            np.minimum.at(weakest, left, alike)
+            np.minimum.at(weakest, right, alike)
+            np.add.at(links, left, copies[right])
+            np.add.at(links, right, copies[left])
+            root = _joined(root, left, right)
         at = np.flatnonzero(links)
         node = group.column("node")
         return pa.table({"u": node.take(pa.array(at)), "v": node.take(pa.array(root[at])), "links": pa.array(links[at]), "weakest": pa.array(weakest[at])})
@@ -246,19 +278,19 @@ def link_classes(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", n:
     sketch = c.stage(rows.mapInArrow(_sketcher(n, trees, k, depth), f"{PLACE}, size bigint, sa bigint, sb bigint, roots array<bigint>, turns array<smallint>"), "sketch")
     place = F.struct("no_id", "id", "dk")
     classes = c.stage(sketch.where("size > 0").groupBy("sa", "sb").agg(
-        F.min(place).alias("node"), F.count("*").alias("copies"), *[F.first(x).alias(x) for x in ("roots", "turns")]), "classes")
+        F.min(place).alias("node"), F.count("*").alias("copies"), *[F.first(x).alias(x) for x in ("size", "roots", "turns")]), "classes")
     # The tries: dealt out once by the shortest prefix, for the count of its documents and for themselves.
     levels = depth - k + 1
-    walks = classes.select("node", "turns", F.posexplode("roots").alias("tree", "root")).select(
-        "node", "tree", "root", F.slice("turns", F.col("tree") * (levels - 1) + 1, levels - 1).alias("turns")).repartition("tree", "root")
+    walks = classes.select("node", "size", "turns", F.posexplode("roots").alias("tree", "root")).select(
+        "node", F.col("size").cast("int").alias("size"), "tree", "root", F.slice("turns", F.col("tree") * (levels - 1) + 1, levels - 1).alias("turns")).repartition("tree", "root")
     shared = walks.groupBy("tree", "root").agg(F.count("*").alias("m")).where("m > 1").select("tree", "root")
     tries = c.stage(walks.join(shared, ["tree", "root"], "left_semi").sortWithinPartitions("tree", "root", "turns"), "tries")
     prefix = lambda x: F.xxhash64("root", F.slice("turns", F.lit(1), x))
     h = F.xxhash64("node")
     nodes = tries.withColumn("level", F.explode(F.sequence(F.lit(0), F.lit(levels - 1)))).withColumn("key", prefix(F.col("level"))).groupBy("level", "tree", "key").agg(
-        F.count("*").alias("m"), F.bit_xor(h).alias("x"), F.bit_xor(F.xxhash64(h)).alias("y")).where("m > 1")
-    nodes = nodes.groupBy("m", "x", "y").agg(F.min(F.struct((-F.col("level")).alias("up"), "tree", "key")).alias("n"))
-    nodes = c.stage(nodes.select((-F.col("n.up")).alias("level"), "n.tree", "n.key", "m"), "nodes")
+        F.count("*").alias("m"), F.sum("size").alias("windows"), F.bit_xor(h).alias("x"), F.bit_xor(F.xxhash64(h)).alias("y")).where("m > 1")
+    nodes = nodes.groupBy("m", "windows", "x", "y").agg(F.min(F.struct((-F.col("level")).alias("up"), "tree", "key")).alias("n"))
+    nodes = c.stage(nodes.select((-F.col("n.up")).alias("level"), "n.tree", "n.key", "m", "windows"), "nodes")
     # The sets of the representatives in the tries, from their texts. A shuffle join at every size.
     keys = ["no_id", "id", "dk"]
     struct = f"struct<{PLACE.replace(' ', ':').replace(',:', ',')}>"
@@ -266,22 +298,26 @@ def link_classes(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", n:
         "node", "copies", "roots", "turns", *[F.col(f"node.{x}").alias(x) for x in keys])
     texts = rows.join(wanted.hint("merge"), keys).dropDuplicates(keys).select("node", "copies", "roots", "turns", "text")
     sets = c.stage(texts.mapInArrow(_shingler(n), f"node {struct}, copies bigint, roots array<bigint>, turns array<smallint>, size bigint, grams binary"), "sets")
+    blocks = F.greatest(F.ceil(F.sqrt(F.col("m") / block)), F.ceil(F.col("windows") / WINDOWS)).cast("int").alias("blocks")
     found, seen, weakest = None, 0, None
     for level in reversed(range(levels)):
         at = tries.select("tree", prefix(F.lit(level)).alias("key"), "node").join(
-            nodes.where(F.col("level") == level).select("tree", "key", F.ceil(F.col("m") / block).cast("int").alias("blocks")).hint("merge"), ["tree", "key"])
+            nodes.where(F.col("level") == level).select("tree", "key", blocks).hint("merge"), ["tree", "key"])
+        at = at.join(sets.select("node", "roots", "turns", "size").hint("merge"), "node")  # before it is dealt to blocks
         at = at.withColumn("block", F.pmod(F.xxhash64("node", "tree"), "blocks").cast("int"))
         at = at.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-        at = at.select("tree", "key", F.least("block", "other").alias("bi"), F.greatest("block", "other").alias("bj"), "block", "node")
+        at = at.select("tree", "key", F.least("block", "other").alias("bi"), F.greatest("block", "other").alias("bj"), "block", "node", "roots", "turns", "size")
         pair = ["tree", "key", "bi", "bj"]
-        new = c.stage(at.join(sets.select("node", "roots", "turns", "size").hint("merge"), "node").groupBy(*pair).applyInArrow(
+        new = c.stage(at.groupBy(*pair).applyInArrow(
             _screener(threshold, trees, level), f"tree int, key bigint, bi int, bj int, block int, node {struct}"), "pairs")
-        links = c.stage(new.join(sets.hint("merge"), "node").groupBy(*pair).applyInArrow(
+        # Each document meets its set once, then goes to all of its groups.
+        own = new.groupBy("node").agg(F.collect_list(F.struct(*pair, "block")).alias("at")).join(sets.hint("merge"), "node")
+        links = c.stage(own.withColumn("at", F.explode("at")).select("at.*", *sets.columns).groupBy(*pair).applyInArrow(
             _verifier(threshold, trees, level), f"u {struct}, v {struct}, links bigint, weakest double"), "found")
         found = links if found is None else found.unionByName(links)
-        own = links.agg(F.sum("links").alias("n"), F.min("weakest").alias("low")).first()
-        if own["n"]:
-            seen, weakest = seen + own["n"], min(own["low"], weakest or 1.0)
+        told = links.agg(F.sum("links").alias("n"), F.min("weakest").alias("low")).first()
+        if told["n"]:
+            seen, weakest = seen + told["n"], min(told["low"], weakest or 1.0)
         if reached(k + level, seen, weakest, threshold, trees, recall):
             break
     labels = components(found.select("u", "v"))

@@ -102,6 +102,34 @@ def test_measured_recall_at_the_threshold(spark):
     assert sum(n for _, n in h.near_brute(docs).values()) == 800 and linked >= 0.99 * 800
 
 
+def near_group(n, words=200):
+    """Texts that differ in one word: all are linked, with 191 of 201 windows."""
+    t = [f"w{i}" for i in range(words)]
+    return [(i, " ".join(t[:90] + [f"c{i}"] + t[91:])) for i in range(n)]
+
+
+def test_rows_sent_for_a_near_group_grow_slower_than_its_square(spark):
+    from pathlib import Path
+
+    from logloom.llm import common
+    folder = Path(common.shared_dir(spark).removeprefix("file:"))
+    sent = []
+    for n in (128, 512):
+        before = set(folder.glob("pairs-*"))
+        assert all(x["n_links"] == n - 1 and x["label"]["id"] == 0 for x in near_rows(spark, near_group(n), block=8))
+        sent.append(sum(spark.read.parquet(str(p)).count() for p in set(folder.glob("pairs-*")) - before))
+    assert sent[1] <= 12 * sent[0]  # 4 ** 1.5 is 8, 4 ** 2 is 16; trees share little
+
+
+def test_tiles_and_window_bound_lose_no_pair(spark, monkeypatch):
+    docs = copies(random.Random(3))
+    want = h.near_brute(docs)
+    monkeypatch.setattr(near, "WINDOWS", 1000)  # many blocks, as texts are long for it
+    assert {r["id"]: (r["label"]["id"], r["n_links"]) for r in near_rows(spark, docs)} == want
+    docs = near_group(700)
+    assert {x["n_links"] for x in near_rows(spark, docs)} == {699}
+
+
 def test_components_of_a_chain(spark):
     edges = [(i, i + 1) for i in range(40)] + [(100, 101), (103, 102), (101, 103)]
     got = dict(components.components(spark.createDataFrame(edges, "u long, v long")).collect())
