@@ -233,6 +233,50 @@ def test_host_suffixes_use_all_pages_and_the_share_of_the_host(spark):
     assert html_text.zoned('a<span class="ad">Buy</span>b<nav>c</nav>') == (False, [("ab", True), ("Buy", False), ("c", False)])
 
 
+def test_host_suffixes_decide_inside_articles_too(spark):
+    r = random.Random(9)
+    say = lambda n: " ".join(f"u{r.randrange(10 ** 6)}" for _ in range(n))
+    notice, shared, lead, line = say(14), say(15), say(16), say(13)
+    own = [say(20) for _ in range(12)]
+    # the notice stands in each footer and, without a mark, in each article; a passage that articles share, the lead that
+    # all sidebars repeat and a line of a few articles and footers are no notices
+    pages = [(i, f"https://a.example.com/{i}", f"<article><p>{t}</p><p>{shared}</p><p>{line if i < 4 else ''}</p><p>{notice}</p><p>{t[:9]} {notice}</p>"
+              f"</article><aside>{lead}</aside><footer>{notice}</footer><footer>{line if i < 4 else ''}</footer>") for i, t in enumerate(own)]
+    pages += [(50, "https://a.example.com/lead", f"<article><p>{lead}</p><p>{own[0]}</p></article><aside>{lead}</aside>")]
+    pages += [(51, "https://a.example.com/only", f"<main><p>{notice}</p></main>")]
+    got = {x["page_id"]: x["text"] for x in html_text.main_text(spark.createDataFrame(pages, "page_id long, url string, html string")).collect()}
+    for i, t in enumerate(own):
+        assert got[i] == " ".join(filter(None, [t, shared, line if i < 4 else "", f"{t[:9]} {notice}"]))
+    assert got[50] == f"{lead} {own[0]}" and got[51] == notice
+
+
+def test_host_suffixes_against_counting_over_many_batches(spark, monkeypatch):
+    from collections import defaultdict
+    monkeypatch.setattr(html_text, "BATCH", 600)
+    monkeypatch.setattr(html_text, "WIDE", 600)
+    r = random.Random(10)
+    parts = [" ".join(f"w{r.randrange(40)}" for _ in range(r.randrange(1, 9))) for _ in range(12)]
+    pages = [(i, f"//h{i % 3 and 1}/", "".join(f"<{e}>{r.choice(parts)}</{e}>" for e in r.choices(("p", "div", "nav"), k=8))) for i in range(60)]
+    pages += pages[:9]
+    df = spark.createDataFrame(pages, "page_id long, url string, html string").repartition(3)
+    seen, size = defaultdict(set), defaultdict(set)
+    streams = {p: [(w, k) for t, k in html_text.zoned(p)[1] for w in t.split(" ")] for _, _, p in pages}
+    for _, u, p in pages:
+        words = tuple(w for w, _ in streams[p])
+        size[u].add(words)
+        for a in range(len(words) - 4):
+            seen[u, words[a:a + 5]].add(words)
+
+    def expected(u, p):
+        words, gone = tuple(w for w, _ in streams[p]), set()
+        for a in range(len(words) - 4):
+            if len(seen[u, words[a:a + 5]]) >= max(3, 0.2 * len(size[u])):
+                gone |= set(range(a, a + 5))
+        return " ".join(w for j, (w, k) in enumerate(streams[p]) if k and j not in gone)
+    got = sorted((x["page_id"], x["url"], x["text"]) for x in html_text.main_text(df, run_length=5, least_share=0.2).collect())
+    assert got == sorted((i, u, expected(u, p)) for i, u, p in pages) and len({len(t) for _, _, t in got}) > 5
+
+
 def test_numbers_side_by_side_are_proposed_one_by_one():
     t = "pay 7536784127813050 4845168114407329 or +1 (826) 555-4081 190.137.223.204 (826) 555-4082."
     got = {(pii.KINDS[k], t[a:z]) for k, a, z in pii.candidates(t)}
