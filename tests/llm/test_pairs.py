@@ -160,6 +160,39 @@ def test_suffix_random_small_alphabet(spark):
     assert sorted(map(tuple, got.select("doc_id", "n_bytes", "n_removed", "n_spans", "kept").collect())) == sorted(h.suffix_brute(docs))
 
 
+def test_suffix_anchor_alone_sends_no_range(spark):
+    from pathlib import Path
+
+    from pyspark.sql import functions as F
+
+    from logloom.llm import common
+    r = random.Random(5)
+    some = lambda n: "".join(r.choice("abcdefghij") for _ in range(n))
+    phrase, shared = some(30), some(51)
+    docs = [(i, some(40) + phrase + some(40)) for i in range(200)]
+    docs += [(300 + i, some(5 * i) + shared[:49 + i] + "#" + some(60)) for i in range(3)]  # 49, 50 and 51 bytes
+    docs += [(400 + i, some(60) + "#" + shared[-49 - i:] + some(7 * i)) for i in range(3)]
+    folder = Path(common.shared_dir(spark).removeprefix("file:"))
+    before = set(folder.glob("ends-*"))
+    got = suffixes.remove_repeats(spark.createDataFrame(docs, "doc_id long, text string")).withColumn("kept", F.sha2("kept", 256))
+    assert sorted(map(tuple, got.select("doc_id", "n_bytes", "n_removed", "n_spans", "kept").collect())) == sorted(h.suffix_brute(docs))
+    new, = set(folder.glob("ends-*")) - before
+    sent = [x for row in spark.read.parquet(str(new)).where("bucket >= 0").collect() for x in suffixes._unpack(row["ranges"])["doc"].to_pylist()]
+    assert sent and min(sent) >= 300  # the phrase makes common anchors, but is too short for a common string
+
+
+def test_suffixes_of_a_repeated_text_are_indexed_once(monkeypatch):
+    import numpy as np
+    import pyarrow as pa
+    added, add = [], suffixes.Levels.add
+    monkeypatch.setattr(suffixes.Levels, "add", lambda self, s, d: added.append(len(s)) or add(self, s, d))
+    rows = [suffixes._pack(p=np.array(p, dtype=np.uint32), doc=np.array(doc), text=pa.array(text, pa.binary()))
+            for p, doc, text in (([0, 9, 40], [4, 4, 4], [b"abcd", b"abcd", b"bcde"]), ([7], [6], [b"xbcd"]))]
+    got = suffixes._index(3)(pa.table({"uid": [1, 2], "ranges": pa.array(rows, pa.binary())}))
+    assert [suffixes._numbers(x)["p"].tolist() for x in got.column("ranges").to_pylist()] == [[], [8]]
+    assert sum(added) == 6  # of eight: the document's second "abcd" is its first
+
+
 def test_levels_merge_geometrically():
     import numpy as np
     index, r = suffixes.Levels(), np.random.default_rng(1)
