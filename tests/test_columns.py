@@ -86,3 +86,71 @@ def test_integers_are_converted_in_slices(monkeypatch):
     lists = pa.array([[word(i) for i in range(6)], None, [None, "zz"], [word((1 << 256) - 1 - i) for i in range(5)]])
     assert hexint.in_lists(lists, True).to_pylist() == [[str(i) for i in range(6)], None, [None, None], [str(-1 - i) for i in range(5)]]
     assert max(sizes) <= 4
+
+
+def test_arrow_input_of_the_decoders_has_no_null_lists(spark, monkeypatch):
+    """Spark's Arrow writer goes through the NULL lists before a row again for each row."""
+    entry = "array<struct<src: string, key: string, kind: string, value: string, items: array<string>>>"
+    df = spark.createDataFrame([([("data", "a", "word", "00", None)],), (None,)], f"_raw {entry}")
+    assert [r[0] for r in df.select(F.expr(fanout._wide_sql("uwide"))).collect()] == [[], []]
+    seen = []
+    one = spark.range(1).select(F.lit("0x").alias("data"), *(F.lit(None).cast("string").alias(f"topic{i}") for i in (1, 2, 3)))
+    monkeypatch.setattr(fanout, "_finish", lambda df, raw, rest, *_: seen.append(df.select(rest).schema[0].dataType) or df)
+    specs = "hash_id string, contract_address string, namespace string, `table` string, type string, abi_inputs string, abi_outputs string, min_created_ts timestamp_ntz"
+    logs = one.select("*", *(F.lit("h").alias(c) for c in ("evt_hash", "contract_address", "tx_hash")), F.lit(1).alias("block_number"),
+                      F.lit(None).cast("timestamp_ntz").alias("block_time"), F.lit(1).alias("index"), F.lit(1).alias("tx_index"))
+    fanout.decode_all_events(logs, spark.createDataFrame([], specs))
+    assert seen and all(f.dataType.typeName() == "string" for f in seen[0].fields)
+
+
+def test_texts_of_nested_rows_are_those_of_the_entries(spark):
+    texts = ['a"b\\c', "é\n\t\b\f\r\x01\x1f\x7f/", None, "", "plain", "|||"]
+    lists = [["x"], [], None, ['"', "\x02"], ["", "é"], ["a", "b|||c"]]
+    json_ = ["[]", '[{"a":"1\\u0001"}]', None, "{}", '["\\""]', "true"]
+    columns = [("topic", 'k"1', "word", pa.array(texts)), ("data", "ids", "array:", pa.array(lists, pa.list_(pa.string()))),
+               ("data", "t", "json", pa.array(json_)), ("topic", "é\x03", "word", pa.array(texts[::-1]))]
+    entries = fanout._as_entries(columns, 6).to_pylist()
+    df = spark.createDataFrame([(i, [tuple(e.values()) for e in row]) for i, row in enumerate(entries)],
+                               "id int, _entries array<struct<src: string, key: string, kind: string, value: string, items: array<string>>>")
+    rows = df.orderBy("id").select(F.expr(fanout._JSON), F.expr(fanout._DOCUMENT)).collect()
+    assert fanout._as_long(columns, 6).to_pylist() == [r[0] for r in rows]
+    assert fanout._as_document(columns, 6).to_pylist() == [r[1] for r in rows]
+    cut = [(*c[:3], c[3].slice(1, 3)) for c in columns]  # arrays that begin within their buffers
+    assert fanout._as_long(cut, 3).to_pylist() == [r[0] for r in rows][1:4]
+    assert fanout._as_document(cut, 3).to_pylist() == [r[1] for r in rows][1:4]
+    assert fanout._as_long([], 2).to_pylist() == ["[]"] * 2 and fanout._as_document([], 2).to_pylist() == ["{}"] * 2
+
+
+def test_hex_is_cut_by_bytes_and_other_text_by_characters(spark):
+    rows = [("0123456789abcdef" * 3,), ("é" * 20 + "abc",), ("",), (None,)]
+    df = spark.createDataFrame(rows, "t string").withColumn("n", F.length("t"))
+    text = dec.Payload(F.col("t"), F.col("n"))
+    for pos, size in ((3, 16), (21, 64), (47, 5), (60, 3), (3, 0)):
+        got = df.select(text.cut(F.lit(pos), F.lit(size)), F.substr("t", F.lit(pos), F.lit(size))).collect()
+        assert [r[0] for r in got] == [r[1] for r in got]
+    plan = df.select(dec._word(text, F.lit(3)))._jdf.queryExecution().optimizedPlan().toString()
+    assert "as binary" in plan
+
+
+def test_fixture_words_pad_at_most_sixteen_characters(spark):
+    from logloom.sources import fixtures
+    n = [0, 1, 255, -1, 2**63 - 1, -2**63, None]
+    df = spark.createDataFrame([(x, q) for x in n for q in (0, 1, 2, None)], "n bigint, q bigint")
+    w, q = F.col("n"), F.col("q")
+    numbers = F.slice(F.array(F.lit(1), F.lit(2)), F.lit(1), q.cast("int"))
+    old = lambda x, k: F.lpad(F.lower(F.hex(x)), k, "0")
+    small = w % 1000
+    got = df.select(fixtures.W(w), old(w, 64), fixtures.A(w), F.concat(F.lit("0x"), old(w, 40)), fixtures._fills(q, small, fixtures.W(w)),
+                    F.concat(old(q, 64), F.array_join(F.transform(numbers, lambda i: F.concat(old(w, 64), old(small + i, 64))), "")))
+    for r in got.collect():
+        assert r[0] == r[1] and r[2] == r[3] and r[4] == r[5]
+    assert ", 16, '0')" in fixtures.W(w)._jc.toString() and "transform" not in fixtures._fills(q, w, w)._jc.toString()
+
+
+def test_a_string_is_read_from_the_parsed_document(spark):
+    docs = ['{"a": "x\\u0041\\"", "n": 1.50, "b": true, "o": {"a": 1}, "l": ["["], "z": null, "s": "[1]"}', "no json", None]
+    df = spark.createDataFrame([(d,) for d in docs], "d string").withColumn("v", F.try_parse_json("d"))
+    got = df.select(*(fanout.json_value("d", f"$.{k}", "v") for k in "anbolzsm")).collect()
+    assert tuple(got[0]) == ('xA"', "1.5", "true", None, None, None, "[1]", None) and not any(map(any, got[1:]))
+    plan = df.select(fanout.json_value("d", "$.a", "v"))._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("STRING") < plan.index("get_json_object")
