@@ -154,3 +154,14 @@ def test_a_string_is_read_from_the_parsed_document(spark):
     assert tuple(got[0]) == ('xA"', "1.5", "true", None, None, None, "[1]", None) and not any(map(any, got[1:]))
     plan = df.select(fanout.json_value("d", "$.a", "v"))._jdf.queryExecution().optimizedPlan().toString()
     assert plan.index("STRING") < plan.index("get_json_object")
+
+
+def test_wide_stages_stay_below_what_the_jvm_compiles(spark):
+    key = "spark.sql.codegen.hugeMethodLimit"
+    for own, want in ((None, "8000"), ("65535", "65535")):
+        spark.conf.unset(key)
+        if own:
+            spark.conf.set(key, own)
+        parity.tuple_arrays(spark, SF_SMALL)
+        assert spark.conf.get(key) == want
+    spark.conf.unset(key)
